@@ -1,0 +1,115 @@
+"""Lay the given parquet tables out as database shards, for tests and the bench.
+
+Shards go into embedded, in-memory Derby databases (bundled with Spark, no
+server, no port).  An in-memory Derby database lives inside the JVM that
+made it, so these fixtures work in local mode only: executors of a real
+cluster cannot see them.  On a cluster, point the scan at real servers.
+
+Each shard is written by Spark's JDBC writer from a filter of the source
+DataFrame; loads are remembered per application so a session pays once.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+DERBY_DRIVER = "org.apache.derby.jdbc.EmbeddedDriver"
+_LOADED: dict[tuple[str, str], tuple[str, ...]] = {}
+
+
+@dataclass(frozen=True)
+class ShardSpec:
+    server: int
+    schema: str
+    table: str
+    rows: Column  # which rows of the source go to this shard
+
+
+def derby_url(db: str, create: bool = False) -> str:
+    return f"jdbc:derby:memory:{db}" + (";create=true" if create else "")
+
+
+def sf_tag(sf_dir: str) -> str:
+    base = sf_dir.rstrip("/").split("/")[-1]
+    return re.sub(r"[^A-Za-z0-9]", "_", base)
+
+
+def load_derby(spark: SparkSession, name: str, df: DataFrame, shards: Sequence[ShardSpec],
+               n_servers: int | None = None, columns: Sequence[str] | None = None,
+               varchar: int = 1024) -> tuple[str, ...]:
+    """Write ``df`` (its ``columns``) into Derby shards; returns one URL per server."""
+    key = (spark.sparkContext.applicationId, name)
+    if key in _LOADED:
+        return _LOADED[key]
+    n_servers = n_servers or (max(s.server for s in shards) + 1)
+    urls = tuple(derby_url(f"{name}_{i}") for i in range(n_servers))
+    columns = list(columns or df.columns)
+    col_types = ", ".join(
+        f"{f.name} VARCHAR({varchar})" for f in df.schema.fields
+        if isinstance(f.dataType, StringType) and f.name in columns
+    )
+    for i in range(n_servers):  # create every server, even one without shards
+        spark.read.format("jdbc").option("url", derby_url(f"{name}_{i}", create=True)).option(
+            "driver", DERBY_DRIVER).option("query", "SELECT 1 AS x FROM SYSIBM.SYSDUMMY1").load().collect()
+    for s in shards:
+        w = df.where(s.rows).select(*columns).write.mode("overwrite").option("batchsize", 10000)
+        if col_types:
+            w = w.option("createTableColumnTypes", col_types)
+        w.jdbc(derby_url(f"{name}_{s.server}", create=True), f"{s.schema}.{s.table}",
+               properties={"driver": DERBY_DRIVER})
+    _LOADED[key] = urls
+    return urls
+
+
+def parquet(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+
+
+# ----------------------------------------------------------------- layouts
+def orders_shards(spark: SparkSession, sf_dir: str, variant: str = "plain") -> tuple[str, ...]:
+    """orders: server ``o_orderkey % 2``, table ``APP.ORDERS_{o_orderkey % 4}``.
+
+    Variants: ``empty`` adds an empty ``ORDERS_4`` on server 0; ``nulls`` sets
+    every 10th key to NULL (rows stay in the shard of their original key).
+    """
+    src = parquet(spark, sf_dir, "orders")
+    cols = list(src.columns)
+    k = F.col("o_orderkey")
+    src = src.withColumn("_shard", k % 4)
+    if variant == "nulls":
+        src = src.withColumn("o_orderkey", F.when(k % 10 == 0, F.lit(None).cast("bigint")).otherwise(k))
+    elif variant not in ("plain", "empty"):
+        raise ValueError(f"unknown orders variant {variant!r}")
+    shards = [ShardSpec(i % 2, "APP", f"ORDERS_{i}", F.col("_shard") == i) for i in range(4)]
+    if variant == "empty":
+        shards.append(ShardSpec(0, "APP", "ORDERS_4", F.lit(False)))
+    return load_derby(spark, f"ss_{sf_tag(sf_dir)}_orders_{variant}", src, shards, columns=cols)
+
+
+def nation_copies(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
+    """nation: every row in ``APP.NATION_0`` on both servers."""
+    src = parquet(spark, sf_dir, "nation")
+    shards = [ShardSpec(i, "APP", "NATION_0", F.lit(True)) for i in range(2)]
+    return load_derby(spark, f"ss_{sf_tag(sf_dir)}_nation", src, shards)
+
+
+def supplier_schemas(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
+    """supplier on one server, schema by ``s_suppkey % 3``: EU_0, EU_1, XX_0."""
+    src = parquet(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey") % 3
+    shards = [ShardSpec(0, name, "SUPPLIER", k == i) for i, name in enumerate(["EU_0", "EU_1", "XX_0"])]
+    return load_derby(spark, f"ss_{sf_tag(sf_dir)}_supplier", src, shards)
+
+
+def lineitem_shards(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
+    """lineitem: server ``l_orderkey % 2``, table ``APP.LINEITEM_{l_orderkey % 4}``."""
+    src = parquet(spark, sf_dir, "lineitem")
+    k = F.col("l_orderkey") % 4
+    shards = [ShardSpec(i % 2, "APP", f"LINEITEM_{i}", k == i) for i in range(4)]
+    return load_derby(spark, f"ss_{sf_tag(sf_dir)}_lineitem", src, shards)

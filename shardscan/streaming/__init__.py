@@ -1,0 +1,8 @@
+"""No streaming here, on purpose.
+
+The sharded scan is a bounded, insert-only batch source: it has no
+watermarks, no state and no late data, and a streaming query over it would
+only re-read the same snapshot.  Read it with ``spark.read`` paths
+(:func:`shardscan.sharded_scan`) and, if a stream is needed, feed the result
+to ``writeStream`` from a batch job instead.
+"""
