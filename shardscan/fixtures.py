@@ -113,3 +113,113 @@ def lineitem_shards(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
     k = F.col("l_orderkey") % 4
     shards = [ShardSpec(i % 2, "APP", f"LINEITEM_{i}", k == i) for i in range(4)]
     return load_derby(spark, f"ss_{sf_tag(sf_dir)}_lineitem", src, shards)
+
+
+# ------------------------------------------------------------ sqlite files
+_SQLITE_TYPES = {"bigint": "INTEGER", "int": "INTEGER", "smallint": "INTEGER", "tinyint": "INTEGER",
+                 "boolean": "INTEGER", "double": "REAL", "float": "REAL"}
+
+
+def fixture_root(spark: SparkSession) -> str:
+    """Folder for file fixtures: ``spark.shardscan.fixtureDir`` or, in local
+    mode only, a fresh temporary folder per application."""
+    import tempfile
+
+    from shardscan.session import is_local
+
+    conf = spark.conf.get("spark.shardscan.fixtureDir", None)
+    if conf:
+        return conf
+    if not is_local(spark):
+        raise RuntimeError("file fixtures need spark.shardscan.fixtureDir on a cluster")
+    key = (spark.sparkContext.applicationId, "__root__")
+    if key not in _LOADED:
+        _LOADED[key] = (tempfile.mkdtemp(prefix="shardscan-fixtures-"),)
+    return _LOADED[key][0]
+
+
+def load_sqlite(spark: SparkSession, name: str, df: DataFrame, file_of: Column, table: str,
+                n_files: int) -> tuple[str, ...]:
+    """Write ``df`` into ``n_files`` SQLite files (file number = ``file_of``),
+    one table each; returns ``sqlite:`` URLs.
+
+    Rows are hash-partitioned by file number, so each file has exactly one
+    writer task; a task writes to a private file and renames it at the end,
+    so a retried task never leaves half a file behind.
+    """
+    import os
+
+    from shardscan.session import ship_package
+
+    key = (spark.sparkContext.applicationId, name)
+    if key in _LOADED:
+        return _LOADED[key]
+    ship_package(spark)
+    folder = os.path.join(fixture_root(spark), name)
+    os.makedirs(folder, exist_ok=True)
+    cols = [(f.name, _SQLITE_TYPES.get(f.dataType.simpleString(), "TEXT")) for f in df.schema.fields]
+    ddl = f'CREATE TABLE "{table}" (' + ", ".join(f'"{c}" {t}' for c, t in cols) + ")"
+    ins = f'INSERT INTO "{table}" VALUES (' + ", ".join("?" for _ in cols) + ")"
+    names = [c for c, _ in cols]
+
+    def write(batches):
+        import sqlite3
+        import uuid
+
+        import pyarrow as pa
+
+        conns: dict[int, tuple] = {}
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            files = t.column("_file").to_pylist()
+            data = [t.column(c).to_pylist() for c in names]
+            for i in sorted(set(files)):
+                if i not in conns:
+                    tmp = os.path.join(folder, f"part_{i}.{uuid.uuid4().hex}.tmp")
+                    c = sqlite3.connect(tmp)
+                    c.execute(ddl)
+                    conns[i] = (c, tmp)
+                rows = [tuple(_sqlite_value(col[r]) for col in data) for r, f in enumerate(files) if f == i]
+                conns[i][0].executemany(ins, rows)
+        out = []
+        for i, (c, tmp) in conns.items():
+            c.commit()
+            c.close()
+            os.replace(tmp, os.path.join(folder, f"part_{i}.db"))
+            out.append(i)
+        yield pa.RecordBatch.from_pydict({"file": out}, schema=pa.schema([("file", pa.int64())]))
+
+    written = (
+        df.withColumn("_file", file_of.cast("bigint"))
+        .repartition(n_files, F.col("_file"))
+        .mapInArrow(write, "file bigint")
+        .collect()
+    )
+    for i in range(n_files):  # files that got no rows still exist, empty
+        path = os.path.join(folder, f"part_{i}.db")
+        if not os.path.exists(path):
+            import sqlite3
+
+            c = sqlite3.connect(path)
+            c.execute(ddl)
+            c.commit()
+            c.close()
+    del written
+    urls = tuple(f"sqlite://{os.path.join(folder, f'part_{i}.db')}" for i in range(n_files))
+    _LOADED[key] = urls
+    return urls
+
+
+def _sqlite_value(v):
+    import datetime
+
+    if isinstance(v, (datetime.datetime, datetime.date)):
+        return v.isoformat(sep=" ") if isinstance(v, datetime.datetime) else v.isoformat()
+    return v
+
+
+def customer_sqlite(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
+    """customer in two SQLite files by ``c_custkey % 2``, table ``CUSTOMER``."""
+    src = parquet(spark, sf_dir, "customer")
+    return load_sqlite(spark, f"ss_{sf_tag(sf_dir)}_customer", src, F.col("c_custkey") % 2,
+                       "CUSTOMER", 2)

@@ -62,12 +62,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or _LOCAL_CKPT[key]
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A folder next to the checkpoint folder (shared on a cluster)."""
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    path = os.path.join(os.path.dirname(base.rstrip("/")) if "://" not in base else base, name)
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)
-    return path
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``shardscan`` importable in Python workers (``addPyFile`` of a zip).
+
+    Needed by the parts that run Python in tasks: the ``sharded_dbapi`` data
+    source and the SQLite fixture writer.
+    """
+    import shutil
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="shardscan-pkg-")
+    archive = shutil.make_archive(
+        os.path.join(folder, "shardscan"), "zip", root_dir=os.path.dirname(pkg), base_dir="shardscan"
+    )
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)

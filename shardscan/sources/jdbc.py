@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from decimal import Decimal
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -127,7 +128,8 @@ def plan_scan(spark: SparkSession, schema: StructType | str,
     ]
     if opts.explicit_bounds and opts.partition_num is not None:
         # declared bounds, count not needed: no round trip to the servers
-        probed = {i: (opts.lower_bound, opts.upper_bound, None, None) for i in range(len(shards))}
+        lb, ub = Decimal(opts.lower_bound), Decimal(opts.upper_bound)
+        probed = {i: (lb, ub, None, None) for i in range(len(shards))}
     else:
         probed = {r.shard_no: (r.mn, r.mx, r.n, r.n_null) for r in probe(spark, opts, shards).collect()}
     rows = []

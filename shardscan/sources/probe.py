@@ -37,7 +37,8 @@ def source_sql(shard: Shard, opts: ScanOptions) -> str:
 def key_sql(shard: Shard, opts: ScanOptions) -> str:
     """The key column as SQL text of the shard's server."""
     if shard.table is None or opts.query:
-        return opts.partition_column  # the query's own output name, as the user wrote it
+        # a query's output column, exactly as the user named it
+        return shard.dialect.quote(opts.partition_column)
     actual = shard.resolve(opts.partition_column)
     if actual is None:
         raise ValueError(
