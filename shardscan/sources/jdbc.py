@@ -22,6 +22,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    CharType,
     DataType,
     IntegerType,
     LongType,
@@ -29,6 +30,7 @@ from pyspark.sql.types import (
     StructField,
     StructType,
     TimestampNTZType,
+    VarcharType,
 )
 
 from shardscan.options import ScanOptions
@@ -44,12 +46,16 @@ STATS_SCHEMA = (
 
 
 def as_schema(schema: StructType | str) -> StructType:
-    if isinstance(schema, StructType):
-        return schema
-    parsed = StructType.fromDDL(schema)
+    """Declared schema from a ``StructType`` or a DDL string; CHAR/VARCHAR(n)
+    are read as STRING, as Spark DataFrames do."""
+    parsed = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
     if not isinstance(parsed, StructType):
         raise ValueError(f"not a row schema: {schema!r}")
-    return parsed
+    return StructType([
+        StructField(f.name, StringType(), f.nullable, f.metadata)
+        if isinstance(f.dataType, (CharType, VarcharType)) else f
+        for f in parsed.fields
+    ])
 
 
 def as_options(options: ScanOptions | Mapping[str, Any] | None, **kwargs: Any) -> ScanOptions:

@@ -1,0 +1,30 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+for p in (ROOT, os.path.dirname(os.path.abspath(__file__))):
+    if p not in sys.path:
+        sys.path.insert(0, p)
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from shardscan.session import local_session
+
+    s = local_session("*", app="shardscan-tests")
+    s.sparkContext.setLogLevel("ERROR")
+    yield s
+
+
+def derby_exec(spark, url: str, *statements: str) -> None:
+    """Run DDL/DML on an embedded Derby database (test fixtures only)."""
+    conn = spark.sparkContext._jvm.java.sql.DriverManager.getConnection(url)
+    try:
+        st = conn.createStatement()
+        for s in statements:
+            st.execute(s)
+        st.close()
+    finally:
+        conn.close()
