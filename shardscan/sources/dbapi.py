@@ -12,10 +12,11 @@ opened read-only.  ``mysql://`` and ``postgresql://`` URLs need ``pymysql`` /
 ``psycopg2`` on the executors (imported only when used).
 
 Differences from the JDBC backend: names are matched with Python's ``re``
-(``fullmatch``), and rows pass through Python (Arrow-batched).  Filters that
-Spark hands to ``pushFilters`` (comparisons, IN, NULL tests on declared
-columns) are added to every split's ``WHERE``; turn that on with
-``spark.sql.python.filterPushdown.enabled=true``.
+(``fullmatch``), rows pass through Python (Arrow-batched), and user filters
+are applied by Spark after the read.  Filter pushdown is deliberately not
+implemented: on PySpark 4.1.2 a reader whose ``pushFilters`` recorded a
+filter was reused, filter included, by a later query on the same
+DataFrame (a ``count()`` after a filtered ``collect()`` returned 1 row of 3).
 
 SQL::
 
@@ -33,20 +34,7 @@ from dataclasses import dataclass
 from typing import Any
 from urllib.parse import unquote, urlparse
 
-from pyspark.sql.datasource import (
-    DataSource,
-    DataSourceReader,
-    EqualTo,
-    Filter,
-    GreaterThan,
-    GreaterThanOrEqual,
-    In,
-    InputPartition,
-    IsNotNull,
-    IsNull,
-    LessThan,
-    LessThanOrEqual,
-)
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
 from shardscan.options import ScanOptions
@@ -125,51 +113,11 @@ class Split(InputPartition):
     hi: int | None
 
 
-def _literal(v: Any) -> str | None:
-    if isinstance(v, bool):
-        return "1" if v else "0"
-    if isinstance(v, int):
-        return str(v)
-    if isinstance(v, float):
-        return repr(v)
-    if isinstance(v, str):
-        return "'" + v.replace("'", "''") + "'"
-    return None
-
-
 class ShardedDbapiReader(DataSourceReader):
     def __init__(self, schema: StructType, options: dict[str, str]):
         self.schema = schema
         opts = {k: v for k, v in options.items() if k.lower() not in ("path",)}
         self.opts = ScanOptions.from_map(opts)
-        self.where: list[tuple[str, str, Any]] = []  # (declared column, op, value)
-
-    # ------------------------------------------------------------ pushdown
-    def pushFilters(self, filters: list[Filter]):
-        names = {f.name.lower(): f.name for f in self.schema.fields}
-        for f in filters:
-            col = f.attribute[0] if len(f.attribute) == 1 else None
-            if col is None or col.lower() not in names:
-                yield f
-                continue
-            if isinstance(f, (IsNull, IsNotNull)):
-                self.where.append((names[col.lower()], "IS NULL" if isinstance(f, IsNull) else "IS NOT NULL", None))
-                continue
-            if isinstance(f, In):
-                lits = [_literal(v) for v in f.value]
-                if lits and all(x is not None for x in lits):
-                    self.where.append((names[col.lower()], "IN", "(" + ", ".join(lits) + ")"))
-                    continue
-                yield f
-                continue
-            ops = {EqualTo: "=", GreaterThan: ">", GreaterThanOrEqual: ">=", LessThan: "<",
-                   LessThanOrEqual: "<="}
-            op = ops.get(type(f))
-            lit = _literal(getattr(f, "value", None)) if op else None
-            if op and lit is not None:
-                self.where.append((names[col.lower()], op, lit))
-            else:
-                yield f
 
     # ------------------------------------------------------------ planning
     def _discover(self, url_no: int, url: str, conn) -> list[tuple[str | None, str, tuple[str, ...]]]:
@@ -254,12 +202,8 @@ class ShardedDbapiReader(DataSourceReader):
     def _statement(self, kind: str, s: Split) -> str:
         cols = ", ".join(_quote(kind, c) for c in s.columns)
         qk = _quote(kind, s.key)
-        cond = [f"{qk} IS NULL" if s.lo is None else f"{qk} BETWEEN {s.lo} AND {s.hi}"]
-        by_decl = {f.name: a for f, a in zip(self.schema.fields, s.columns)}
-        for name, op, lit in self.where:
-            c = _quote(kind, by_decl[name])
-            cond.append(f"{c} {op}" if lit is None else f"{c} {op} {lit}")
-        return f"SELECT {cols} FROM {self._from(kind, s.schema, s.table)} WHERE " + " AND ".join(cond)
+        cond = f"{qk} IS NULL" if s.lo is None else f"{qk} BETWEEN {s.lo} AND {s.hi}"
+        return f"SELECT {cols} FROM {self._from(kind, s.schema, s.table)} WHERE {cond}"
 
     def read(self, partition: Split) -> Iterator[Any]:
         import pyarrow as pa
