@@ -24,6 +24,15 @@ def step_of(mn: int, mx: int, n: int | None, *, batch_size: int | None = None,
     return span // partition_num
 
 
+def split_count(mn: int | None, mx: int | None, n: int | None = None, *,
+                batch_size: int | None = None, partition_num: int | None = None) -> int:
+    """Number of ranges :func:`split_ranges` would return (without building them)."""
+    if mn is None or mx is None:
+        return 0
+    step = step_of(mn, mx, n, batch_size=batch_size, partition_num=partition_num)
+    return (mx - mn) // (step + 1) + 1
+
+
 def split_ranges(mn: int | None, mx: int | None, n: int | None = None, *,
                  batch_size: int | None = None, partition_num: int | None = None,
                  top: int = 2**63 - 1) -> list[tuple[int, int]]:

@@ -16,10 +16,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
-from decimal import Decimal
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     CharType,
@@ -35,16 +34,11 @@ from pyspark.sql.types import (
 
 from shardscan.options import ScanOptions
 from shardscan.plans import splits as P
+from shardscan.plans.rule import split_count, split_ranges
 from shardscan.sources.discovery import Shard, check_columns, resolve_shards
 from shardscan.sources.probe import key_sql, probe, source_sql
 from shardscan.util import balanced_union
 
-STATS_SCHEMA = (
-    "shard_no int, url_no int, server string, schema_name string, table_name string, "
-    "mn decimal(38,0), mx decimal(38,0), n bigint, n_null bigint, sql_prefix string"
-)
-
-
 def as_schema(schema: StructType | str) -> StructType:
     """Declared schema from a ``StructType`` or a DDL string; CHAR/VARCHAR(n)
     are read as STRING, as Spark DataFrames do."""
@@ -84,7 +78,23 @@ class ScanPlan:
     shards: list[Shard]
     # shard_no -> list of (split_id, lo, hi); lo/hi None = the IS NULL split
     splits: dict[int, list[tuple[int, Any, Any]]] = field(default_factory=dict)
-    plan_df: DataFrame | None = None
+    _rows: list[tuple] = field(default_factory=list)
+    _schema: StructType | str | None = None
+    _df: DataFrame | None = None
+    _spark: SparkSession | None = None
+
+    def set_rows(self, spark: SparkSession, rows: list[tuple], schema: StructType) -> None:
+        self._spark, self._rows, self._schema, self._df = spark, rows, schema, None
+
+    @property
+    def plan_df(self) -> DataFrame:
+        """``split_id, url_no, server, schema_name, table_name, split_no, lo, hi, query``."""
+        if self._df is None:
+            if self._schema is None:
+                self._df = self._spark.createDataFrame([], _plan_schema())
+            else:
+                self._df = self._spark.createDataFrame(self._rows, self._schema).drop("shard_no")
+        return self._df
 
     @property
     def n_splits(self) -> int:
@@ -123,8 +133,8 @@ def plan_scan(spark: SparkSession, schema: StructType | str,
         names = names + [opts.partition_column]
     check_columns(shards, names, opts)
     plan = ScanPlan(opts, schema, key_type, shards)
+    plan._spark = spark
     if not shards:
-        plan.plan_df = spark.createDataFrame([], _plan_schema())
         return plan
 
     servers = [opts.redact(u) for u in opts.urls]
@@ -134,53 +144,44 @@ def plan_scan(spark: SparkSession, schema: StructType | str,
     ]
     if opts.explicit_bounds and opts.partition_num is not None:
         # declared bounds, count not needed: no round trip to the servers
-        lb, ub = Decimal(opts.lower_bound), Decimal(opts.upper_bound)
-        probed = {i: (lb, ub, None, None) for i in range(len(shards))}
+        probed = {i: (opts.lower_bound, opts.upper_bound, None, None) for i in range(len(shards))}
     else:
         probed = {r.shard_no: (r.mn, r.mx, r.n, r.n_null) for r in probe(spark, opts, shards).collect()}
-    rows = []
+    # The rule on one statistics row per shard (already on the driver): plan
+    # metadata, like a file listing; the rows themselves are read by tasks.
+    top = P.key_limits(key_type)[1]
+    out: list[tuple] = []
     for i, s in enumerate(shards):
-        mn, mx, n, n_null = probed.get(i, (None, None, None, None))
-        rows.append((i, s.url_no, servers[s.url_no], s.schema, s.table, mn, mx, n, n_null, prefixes[i]))
-    stats = spark.createDataFrame(rows, STATS_SCHEMA)
-    stepped = P.with_steps(stats, batch_size=opts.batch_size, partition_num=opts.partition_num)
-    total = stepped.agg(F.sum("n_splits")).first()[0] or 0
-    if total > opts.max_splits:
-        raise ValueError(
-            f"the plan has {total} splits, above scan.max-splits={opts.max_splits}; "
-            "raise scan.batch.size, lower scan.partition.num or raise scan.max-splits"
-        )
-    ided = P.global_split_ids(stepped, ["url_no", "schema_name", "table_name"])
-    exploded = P.explode_splits(ided, ["shard_no"], key_type=key_type, spread=False)
-    plan_df = exploded.select(
-        (F.col("first_split_id") + F.col("split_no")).alias("split_id"),
-        "shard_no", "url_no", "server", "schema_name", "table_name", "split_no", "lo", "hi",
-        F.concat(F.col("sql_prefix"), F.lit(" BETWEEN "), F.col("lo").cast("string"),
-                 F.lit(" AND "), F.col("hi").cast("string")).alias("query"),
-    )
+        mn, mx, n, _ = (None if v is None else int(v) for v in probed.get(i, (None,) * 4))
+        mode = {"batch_size": opts.batch_size, "partition_num": opts.partition_num}
+        if len(out) + split_count(mn, mx, n, **mode) > opts.max_splits:
+            raise ValueError(
+                f"the plan has more than scan.max-splits={opts.max_splits} splits; "
+                "raise scan.batch.size, lower scan.partition.num or raise scan.max-splits"
+            )
+        for j, (lo, hi) in enumerate(split_ranges(mn, mx, n, top=top, **mode)):
+            out.append((len(out), i, s.url_no, servers[s.url_no], s.schema, s.table, j, lo, hi,
+                        f"{prefixes[i]} BETWEEN {lo} AND {hi}"))
     if opts.null_key == "keep":
-        nulls = stats.where(F.col("n_null").isNull() | (F.col("n_null") > 0))
-        w_total = F.lit(int(total)).cast("bigint")
-        nulls = nulls.select(
-            (w_total + F.row_number().over(Window.orderBy("url_no", "schema_name", "table_name")) - 1)
-            .cast("bigint").alias("split_id"),
-            "shard_no", "url_no", "server", "schema_name", "table_name",
-            F.lit(None).cast("bigint").alias("split_no"),
-            F.lit(None).cast(exploded.schema["lo"].dataType).alias("lo"),
-            F.lit(None).cast(exploded.schema["hi"].dataType).alias("hi"),
-            F.concat(F.col("sql_prefix"), F.lit(" IS NULL")).alias("query"),
-        )
-        plan_df = plan_df.unionByName(nulls)
-    collected = plan_df.collect()
-    local = spark.createDataFrame(collected, plan_df.schema) if collected else spark.createDataFrame([], plan_df.schema)
-    for r in collected:
-        plan.splits.setdefault(r.shard_no, []).append((r.split_id, r.lo, r.hi))
-    for v in plan.splits.values():
-        v.sort(key=lambda t: t[0])
-    plan.plan_df = local.drop("shard_no")
+        # one IS NULL split per shard that has (or, unprobed, may have) NULL keys
+        for i, s in enumerate(shards):
+            n_null = probed.get(i, (None, None, None, None))[3]
+            if n_null is None or n_null > 0:
+                out.append((len(out), i, s.url_no, servers[s.url_no], s.schema, s.table, None, None,
+                            None, prefixes[i] + " IS NULL"))
+    for r in out:
+        plan.splits.setdefault(r[1], []).append((r[0], r[7], r[8]))
+    plan.set_rows(spark, out, _PLAN_SCHEMA_WITH_SHARD.replace("lo bigint, hi bigint",
+                                                              f"lo {P.bound_type(key_type)}, hi {P.bound_type(key_type)}"))
     return plan
 
 
+_PLAN_SCHEMA_WITH_SHARD = (
+    "split_id bigint, shard_no int, url_no int, server string, schema_name string, "
+    "table_name string, split_no bigint, lo bigint, hi bigint, query string"
+)
+
+
 def _plan_schema() -> str:
     return (
         "split_id bigint, url_no int, server string, schema_name string, table_name string, "
