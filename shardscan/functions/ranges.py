@@ -90,12 +90,28 @@ def long_div(a: Column, b: Column) -> Column:
     return F.call_function("div", a.cast("bigint"), b.cast("bigint"))
 
 
+def fast_span(mn: Column, mx: Column) -> Column:
+    """True when a shard's span allows BIGINT arithmetic per row."""
+    return span(mn, mx) < F.lit(_FAST_SPAN).cast(DEC)
+
+
 def split_index(key: Column, mn: Column, mx: Column, step: Column) -> Column:
     """Split number of a key inside its shard: ``(key - mn) div (step + 1)``.
 
     BIGINT arithmetic when the shard's span is below 2^62 (the usual case; it
     stays inside whole-stage codegen), exact decimals otherwise.
     """
-    fast = long_div(key.cast("bigint") - mn.cast("bigint"), step.cast("bigint") + 1)
+    return split_index_prepared(key, fast_span(mn, mx), mn, step_width(step), step)
+
+
+def step_width(step: Column) -> Column:
+    """``step + 1`` as BIGINT, NULL when it does not fit (the decimal path is used then)."""
+    return F.when(_dec(step) < F.lit(_FAST_SPAN).cast(DEC), (_dec(step) + 1).cast("bigint"))
+
+
+def split_index_prepared(key: Column, fast: Column, mn: Column, width: Column, step: Column) -> Column:
+    """:func:`split_index` with the per-shard parts (``fast``, ``width``) computed
+    once per shard instead of once per row."""
+    quick = long_div(key.cast("bigint") - mn.cast("bigint"), width)
     slow = idiv(_dec(key) - _dec(mn), _dec(step) + 1).cast("bigint")
-    return F.when(span(mn, mx) < F.lit(_FAST_SPAN).cast(DEC), fast).otherwise(slow)
+    return F.when(fast, quick).otherwise(slow)

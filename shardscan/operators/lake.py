@@ -7,10 +7,11 @@
 * :func:`assign_splits` - the split number of every row.  Statistics (one row
   per shard) are computed once and checkpointed to the session's checkpoint
   folder; they are broadcast only when their row count is at most
-  ``broadcast_rows``.  Beyond that, shards holding more than
-  ``hot_fraction`` of all rows (few by construction) are still broadcast and
-  the remaining, individually small shards go through a shuffle join, so no
-  single shard lands in one reduce task.
+  ``broadcast_rows``.  Beyond that, the shards holding more than
+  ``total_rows / broadcast_rows`` rows - at most ``broadcast_rows`` of them,
+  so the bound still holds - are broadcast, and the remaining shards, none
+  larger than that share, go through a shuffle join: no hot shard ever
+  lands in one reduce task.
 """
 
 from __future__ import annotations
@@ -26,7 +27,6 @@ from shardscan.plans import splits as P
 from shardscan.session import checkpoint_dir
 
 BROADCAST_ROWS = 1_000_000
-HOT_FRACTION = 0.001
 
 
 def _cols(shard_cols: str | Sequence[str] | None) -> list[str]:
@@ -61,7 +61,7 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Col
 
 def assign_splits(df: DataFrame, shard_cols: str | Sequence[str] | None, key: str, *,
                   batch_size: int | None = None, partition_num: int | None = None,
-                  broadcast_rows: int = BROADCAST_ROWS, hot_fraction: float = HOT_FRACTION,
+                  broadcast_rows: int = BROADCAST_ROWS, hot_fraction: float | None = None,
                   split_col: str = "split_no") -> DataFrame:
     """``df`` plus ``split_col``: the split each row falls in (NULL for a NULL key)."""
     cols = _cols(shard_cols)
@@ -84,7 +84,9 @@ def assign_splits(df: DataFrame, shard_cols: str | Sequence[str] | None, key: st
     if n_shards <= broadcast_rows:
         return _join_stats(df, F.broadcast(stats), cols, k, split_col)
     total = stats.agg(F.sum("n")).first()[0] or 0
-    hot = stats.where(F.col("n") > F.lit(max(1, int(total * hot_fraction))))
+    # never below total/broadcast_rows: at most broadcast_rows shards can exceed it
+    share = max(total / broadcast_rows, total * (hot_fraction or 0.0))
+    hot = stats.where(F.col("n") > F.lit(max(1, int(share))))
     cold = stats.join(hot.select(*cols), _null_safe_on(stats, hot, cols), "left_anti")
     hot_b = F.broadcast(hot)
     hot_rows = _join_stats(df, hot_b, cols, k, split_col, how="inner")
@@ -94,10 +96,13 @@ def assign_splits(df: DataFrame, shard_cols: str | Sequence[str] | None, key: st
 
 def _join_stats(df: DataFrame, stats: DataFrame, cols: Sequence[str], k: Column, split_col: str,
                 how: str = "left") -> DataFrame:
+    # per-shard parts of the split arithmetic are computed on the (small) stats side
     s = stats.select(*[F.col(c).alias(f"_s_{c}") for c in cols],
-                     F.col("mn").alias("_s_mn"), F.col("mx").alias("_s_mx"),
-                     F.col("step").alias("_s_step"))
+                     F.col("mn").alias("_s_mn"), F.col("step").alias("_s_step"),
+                     R.fast_span(F.col("mn"), F.col("mx")).alias("_s_fast"),
+                     R.step_width(F.col("step")).alias("_s_w"))
     on = reduce(lambda a, b: a & b, [df[c].eqNullSafe(s[f"_s_{c}"]) for c in cols])
     j = df.join(s, on, how)
-    idx = R.split_index(k, F.col("_s_mn"), F.col("_s_mx"), F.col("_s_step"))
-    return j.withColumn(split_col, idx).drop(*[f"_s_{c}" for c in cols], "_s_mn", "_s_mx", "_s_step")
+    idx = R.split_index_prepared(k, F.col("_s_fast"), F.col("_s_mn"), F.col("_s_w"), F.col("_s_step"))
+    return j.withColumn(split_col, idx).drop(*[f"_s_{c}" for c in cols], "_s_mn", "_s_step",
+                                               "_s_fast", "_s_w")
