@@ -223,3 +223,38 @@ def customer_sqlite(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
     src = parquet(spark, sf_dir, "customer")
     return load_sqlite(spark, f"ss_{sf_tag(sf_dir)}_customer", src, F.col("c_custkey") % 2,
                        "CUSTOMER", 2)
+
+
+def derby_ddl(spark: SparkSession, url: str, *statements: str) -> None:
+    """Run statements on an embedded Derby database (fixture setup only;
+    goes through the JVM gateway of a classic session)."""
+    conn = spark.sparkContext._jvm.java.sql.DriverManager.getConnection(url)
+    try:
+        st = conn.createStatement()
+        for s in statements:
+            st.execute(s)
+        st.close()
+    finally:
+        conn.close()
+
+
+def events_many_shards(spark: SparkSession, sf_dir: str, n_tables: int) -> tuple[str, ...]:
+    """events in ``n_tables`` tables ``APP.EV_{event_id % n_tables}`` on 2 servers
+    (table k on server k % 2), for plan-size tests.  Rows are copied inside
+    Derby from one staging table per server."""
+    name = f"ss_{sf_tag(sf_dir)}_events_{n_tables}"
+    key = (spark.sparkContext.applicationId, name)
+    if key in _LOADED:
+        return _LOADED[key]
+    src = parquet(spark, sf_dir, "events")
+    staged = load_derby(spark, name, src, [ShardSpec(i, "APP", "EV_STAGE", F.col("event_id") % 2 == i)
+                                           for i in range(2)])
+    for i in range(2):
+        stmts = []
+        for k in range(i, n_tables, 2):
+            stmts.append(f"CREATE TABLE APP.EV_{k} AS SELECT * FROM APP.EV_STAGE WITH NO DATA")
+            stmts.append(f'INSERT INTO APP.EV_{k} SELECT * FROM APP.EV_STAGE WHERE MOD("event_id", {n_tables}) = {k}')
+        stmts.append("DROP TABLE APP.EV_STAGE")
+        derby_ddl(spark, derby_url(f"{name}_{i}"), *stmts)
+    _LOADED[key] = staged
+    return staged

@@ -15,6 +15,7 @@ through it.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -189,26 +190,39 @@ def _plan_schema() -> str:
     )
 
 
+RELATION_THREADS = 4
+
+
 def read_plan(spark: SparkSession, plan: ScanPlan) -> DataFrame:
-    """The bag union of every split of ``plan`` in the declared schema."""
+    """The bag union of every split of ``plan`` in the declared schema.
+
+    Relations are created by a few driver threads: each one costs a schema
+    round trip to its server, and hundreds of shards would otherwise pay
+    them one after the other.
+    """
     opts = plan.opts
-    out_schema = plan.output_schema()
-    parts = []
     want_ntz = any(isinstance(f.dataType, TimestampNTZType) for f in plan.schema.fields)
-    for shard_no, shard in enumerate(plan.shards):
-        splits = plan.splits.get(shard_no)
-        if not splits:
-            continue
+
+    def relation(shard_no: int) -> DataFrame:
+        shard = plan.shards[shard_no]
         k = key_sql(shard, opts)
-        preds = [f"{k} IS NULL" if lo is None else f"{k} BETWEEN {lo} AND {hi}" for _, lo, hi in splits]
+        preds = [f"{k} IS NULL" if lo is None else f"{k} BETWEEN {lo} AND {hi}"
+                 for _, lo, hi in plan.splits[shard_no]]
         props = opts.jdbc_properties(shard.dialect.driver)
         if want_ntz:
             props["preferTimestampNTZ"] = "true"
         rel = spark.read.jdbc(opts.urls[shard.url_no], source_sql(shard, opts), predicates=preds,
                               properties=props)
-        parts.append(_project(rel, shard, plan))
-    if not parts:
-        return spark.createDataFrame([], out_schema)
+        return _project(rel, shard, plan)
+
+    todo = [i for i in range(len(plan.shards)) if plan.splits.get(i)]
+    if not todo:
+        return spark.createDataFrame([], plan.output_schema())
+    if len(todo) > RELATION_THREADS:
+        with ThreadPoolExecutor(RELATION_THREADS) as pool:
+            parts = list(pool.map(relation, todo))
+    else:
+        parts = [relation(i) for i in todo]
     df = balanced_union(parts)
     for name, value in opts.conditions:
         df = df.where(F.col(_bq(name)) == F.lit(value))
@@ -219,26 +233,41 @@ def _bq(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _sql_literal(v: Any) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, int):
+        return str(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _project(rel: DataFrame, shard: Shard, plan: ScanPlan) -> DataFrame:
-    actual = {f.name: f for f in rel.schema.fields}
-    probe_shard = Shard(shard.url_no, shard.url, shard.schema, shard.table, shard.table_type,
-                        tuple(actual))
-    cols = []
+    """Declared columns, in declared order and types, as one ``selectExpr``.
+
+    A column is cast only when its type differs from the declared one: a
+    cast on a column (even to the same logical type) keeps a filter on it
+    from being pushed into the shard's SQL.
+    """
+    actual = {f.name: f.dataType for f in rel.schema.fields}
+    lookup = Shard(shard.url_no, shard.url, shard.schema, shard.table, shard.table_type, tuple(actual))
+    exprs = []
     for f in plan.schema.fields:
-        name = probe_shard.resolve(f.name)
+        name = lookup.resolve(f.name)
         if name is None:
             raise ValueError(f"{shard.label(plan.opts)} lacks declared column {f.name!r}")
-        c = F.col(_bq(name))
-        if actual[name].dataType != f.dataType:
-            c = c.cast(f.dataType)
-        cols.append(c.alias(f.name))
+        if actual[name] == f.dataType:
+            exprs.append(f"{_bq(name)} AS {_bq(f.name)}" if name != f.name else _bq(name))
+        else:
+            exprs.append(f"CAST({_bq(name)} AS {f.dataType.simpleString()}) AS {_bq(f.name)}")
     if plan.opts.provenance:
-        cols += [
-            F.lit(shard.url_no).cast("int").alias("_url_no"),
-            F.lit(shard.schema).cast("string").alias("_schema"),
-            F.lit(shard.table).cast("string").alias("_table"),
+        exprs += [
+            f"CAST({shard.url_no} AS INT) AS _url_no",
+            f"CAST({_sql_literal(shard.schema)} AS STRING) AS _schema",
+            f"CAST({_sql_literal(shard.table)} AS STRING) AS _table",
         ]
-    return rel.select(*cols)
+    return rel.selectExpr(*exprs)
 
 
 def sharded_scan(spark: SparkSession, schema: StructType | str,
