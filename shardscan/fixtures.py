@@ -221,7 +221,7 @@ def _sqlite_value(v):
 def customer_sqlite(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
     """customer in two SQLite files by ``c_custkey % 2``, table ``CUSTOMER``."""
     src = parquet(spark, sf_dir, "customer")
-    return load_sqlite(spark, f"ss_{sf_tag(sf_dir)}_customer", src, F.col("c_custkey") % 2,
+    return load_sqlite(spark, f"ss_{sf_tag(sf_dir)}_customer_sqlite", src, F.col("c_custkey") % 2,
                        "CUSTOMER", 2)
 
 
@@ -258,3 +258,10 @@ def events_many_shards(spark: SparkSession, sf_dir: str, n_tables: int) -> tuple
         derby_ddl(spark, derby_url(f"{name}_{i}"), *stmts)
     _LOADED[key] = staged
     return staged
+
+
+def lineitem_sqlite(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
+    """lineitem in four SQLite files by ``l_orderkey % 4``, table ``LINEITEM``."""
+    src = parquet(spark, sf_dir, "lineitem")
+    return load_sqlite(spark, f"ss_{sf_tag(sf_dir)}_lineitem_sqlite", src, F.col("l_orderkey") % 4,
+                       "LINEITEM", 4)

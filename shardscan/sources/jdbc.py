@@ -33,6 +33,8 @@ from pyspark.sql.types import (
     VarcharType,
 )
 
+import logging
+
 from shardscan.options import ScanOptions
 from shardscan.plans import splits as P
 from shardscan.plans.rule import split_count, split_ranges
@@ -172,11 +174,19 @@ def plan_scan(spark: SparkSession, schema: StructType | str,
                             None, prefixes[i] + " IS NULL"))
     for r in out:
         plan.splits.setdefault(r[1], []).append((r[0], r[7], r[8]))
+    if LOG.isEnabledFor(logging.INFO):
+        for url_no in sorted({s.url_no for s in shards}):
+            mine = [i for i, s in enumerate(shards) if s.url_no == url_no]
+            LOG.info("server %d (%s): %d schemas, %d tables, %d splits", url_no, servers[url_no],
+                     len({shards[i].schema for i in mine}), len(mine),
+                     sum(len(plan.splits.get(i, ())) for i in mine))
     plan.set_rows(spark, out, _PLAN_SCHEMA_WITH_SHARD.replace("lo bigint, hi bigint",
                                                               f"lo {P.bound_type(key_type)}, hi {P.bound_type(key_type)}"))
     return plan
 
 
+LOG = logging.getLogger("shardscan")
+
 _PLAN_SCHEMA_WITH_SHARD = (
     "split_id bigint, shard_no int, url_no int, server string, schema_name string, "
     "table_name string, split_no bigint, lo bigint, hi bigint, query string"
