@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from shardscan.session import app_key
+
 DERBY_DRIVER = "org.apache.derby.jdbc.EmbeddedDriver"
 _LOADED: dict[tuple[str, str], tuple[str, ...]] = {}
 
@@ -44,7 +46,7 @@ def load_derby(spark: SparkSession, name: str, df: DataFrame, shards: Sequence[S
                n_servers: int | None = None, columns: Sequence[str] | None = None,
                varchar: int = 1024) -> tuple[str, ...]:
     """Write ``df`` (its ``columns``) into Derby shards; returns one URL per server."""
-    key = (spark.sparkContext.applicationId, name)
+    key = (app_key(spark), name)
     if key in _LOADED:
         return _LOADED[key]
     n_servers = n_servers or (max(s.server for s in shards) + 1)
@@ -132,7 +134,7 @@ def fixture_root(spark: SparkSession) -> str:
         return conf
     if not is_local(spark):
         raise RuntimeError("file fixtures need spark.shardscan.fixtureDir on a cluster")
-    key = (spark.sparkContext.applicationId, "__root__")
+    key = (app_key(spark), "__root__")
     if key not in _LOADED:
         _LOADED[key] = (tempfile.mkdtemp(prefix="shardscan-fixtures-"),)
     return _LOADED[key][0]
@@ -151,7 +153,7 @@ def load_sqlite(spark: SparkSession, name: str, df: DataFrame, file_of: Column,
 
     from shardscan.session import ship_package
 
-    key = (spark.sparkContext.applicationId, name)
+    key = (app_key(spark), name)
     if key in _LOADED:
         return _LOADED[key]
     ship_package(spark)
@@ -243,7 +245,7 @@ def events_many_shards(spark: SparkSession, sf_dir: str, n_tables: int) -> tuple
     (table k on server k % 2), for plan-size tests.  Rows are copied inside
     Derby from one staging table per server."""
     name = f"ss_{sf_tag(sf_dir)}_events_{n_tables}"
-    key = (spark.sparkContext.applicationId, name)
+    key = (app_key(spark), name)
     if key in _LOADED:
         return _LOADED[key]
     src = parquet(spark, sf_dir, "events")

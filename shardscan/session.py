@@ -28,6 +28,14 @@ def local_session(cores: int | str = "*", app: str = "shardscan") -> SparkSessio
     )
 
 
+def app_key(spark: SparkSession) -> str:
+    """Identity of the running application (classic or Spark Connect session)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # Spark Connect: no SparkContext on the client
+        return spark.conf.get("spark.app.id", None) or f"session-{id(spark)}"
+
+
 def is_local(spark: SparkSession) -> bool:
     try:
         master = spark.conf.get("spark.master", "")
@@ -43,7 +51,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     fresh folder of its own (as in tests).  A cluster without the setting is
     an error: a machine-local folder would not survive a lost executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -73,13 +84,16 @@ def ship_package(spark: SparkSession) -> None:
     """
     import shutil
 
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
+    key = app_key(spark)
+    if key in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     folder = tempfile.mkdtemp(prefix="shardscan-pkg-")
     archive = shutil.make_archive(
         os.path.join(folder, "shardscan"), "zip", root_dir=os.path.dirname(pkg), base_dir="shardscan"
     )
-    sc.addPyFile(archive)
-    _SHIPPED.add(sc.applicationId)
+    try:
+        spark.sparkContext.addPyFile(archive)
+    except Exception:  # Spark Connect
+        spark.addArtifacts(archive, pyfile=True)
+    _SHIPPED.add(key)
