@@ -44,8 +44,13 @@ def sf_tag(sf_dir: str) -> str:
 
 def load_derby(spark: SparkSession, name: str, df: DataFrame, shards: Sequence[ShardSpec],
                n_servers: int | None = None, columns: Sequence[str] | None = None,
-               varchar: int = 1024) -> tuple[str, ...]:
-    """Write ``df`` (its ``columns``) into Derby shards; returns one URL per server."""
+               varchar: int = 1024, index_on: str | None = None) -> tuple[str, ...]:
+    """Write ``df`` (its ``columns``) into Derby shards; returns one URL per server.
+
+    ``index_on`` names the shard key: it gets an index, as the key of a real
+    sharded table does (an auto-increment primary key), so that ``MIN``/``MAX``
+    probes and per-split range reads are index lookups, not table scans.
+    """
     key = (app_key(spark), name)
     if key in _LOADED:
         return _LOADED[key]
@@ -65,10 +70,19 @@ def load_derby(spark: SparkSession, name: str, df: DataFrame, shards: Sequence[S
             w = w.option("createTableColumnTypes", col_types)
         w.jdbc(derby_url(f"{name}_{s.server}", create=True), f"{s.schema}.{s.table}",
                properties={"driver": DERBY_DRIVER})
+        if index_on:
+            _try_index(spark, derby_url(f"{name}_{s.server}"), s.schema, s.table, index_on)
     _LOADED[key] = urls
     return urls
 
 
+def _try_index(spark: SparkSession, url: str, schema: str, table: str, column: str) -> None:
+    try:
+        derby_ddl(spark, url, f'CREATE INDEX "{schema}"."IX_{table}" ON "{schema}"."{table}" ("{column}")')
+    except Exception:  # no JVM gateway (Spark Connect): the fixture stays unindexed
+        pass
+
+
 def parquet(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
@@ -91,14 +105,15 @@ def orders_shards(spark: SparkSession, sf_dir: str, variant: str = "plain") -> t
     shards = [ShardSpec(i % 2, "APP", f"ORDERS_{i}", F.col("_shard") == i) for i in range(4)]
     if variant == "empty":
         shards.append(ShardSpec(0, "APP", "ORDERS_4", F.lit(False)))
-    return load_derby(spark, f"ss_{sf_tag(sf_dir)}_orders_{variant}", src, shards, columns=cols)
+    return load_derby(spark, f"ss_{sf_tag(sf_dir)}_orders_{variant}", src, shards, columns=cols,
+                      index_on="o_orderkey")
 
 
 def nation_copies(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
     """nation: every row in ``APP.NATION_0`` on both servers."""
     src = parquet(spark, sf_dir, "nation")
     shards = [ShardSpec(i, "APP", "NATION_0", F.lit(True)) for i in range(2)]
-    return load_derby(spark, f"ss_{sf_tag(sf_dir)}_nation", src, shards)
+    return load_derby(spark, f"ss_{sf_tag(sf_dir)}_nation", src, shards, index_on="n_nationkey")
 
 
 def supplier_schemas(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
@@ -106,7 +121,7 @@ def supplier_schemas(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
     src = parquet(spark, sf_dir, "supplier")
     k = F.col("s_suppkey") % 3
     shards = [ShardSpec(0, name, "SUPPLIER", k == i) for i, name in enumerate(["EU_0", "EU_1", "XX_0"])]
-    return load_derby(spark, f"ss_{sf_tag(sf_dir)}_supplier", src, shards)
+    return load_derby(spark, f"ss_{sf_tag(sf_dir)}_supplier", src, shards, index_on="s_suppkey")
 
 
 def lineitem_shards(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
@@ -114,7 +129,7 @@ def lineitem_shards(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
     src = parquet(spark, sf_dir, "lineitem")
     k = F.col("l_orderkey") % 4
     shards = [ShardSpec(i % 2, "APP", f"LINEITEM_{i}", k == i) for i in range(4)]
-    return load_derby(spark, f"ss_{sf_tag(sf_dir)}_lineitem", src, shards)
+    return load_derby(spark, f"ss_{sf_tag(sf_dir)}_lineitem", src, shards, index_on="l_orderkey")
 
 
 # ------------------------------------------------------------ sqlite files
@@ -256,6 +271,7 @@ def events_many_shards(spark: SparkSession, sf_dir: str, n_tables: int) -> tuple
         for k in range(i, n_tables, 2):
             stmts.append(f"CREATE TABLE APP.EV_{k} AS SELECT * FROM APP.EV_STAGE WITH NO DATA")
             stmts.append(f'INSERT INTO APP.EV_{k} SELECT * FROM APP.EV_STAGE WHERE MOD("event_id", {n_tables}) = {k}')
+            stmts.append(f'CREATE INDEX APP.IX_EV_{k} ON APP.EV_{k} ("event_id")')
         stmts.append("DROP TABLE APP.EV_STAGE")
         derby_ddl(spark, derby_url(f"{name}_{i}"), *stmts)
     _LOADED[key] = staged

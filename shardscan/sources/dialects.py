@@ -22,6 +22,8 @@ class Dialect:
     catalog_query: str
     # SQL text of a typed NULL bigint in this dialect
     null_bigint: str = "CAST(NULL AS BIGINT)"
+    # FROM clause of a one-row SELECT of scalar expressions ("" when none is needed)
+    dual: str = ""
 
     def quote(self, ident: str) -> str:
         q = self.quote_char
@@ -52,6 +54,7 @@ DERBY = Dialect(
         "FROM SYS.SYSTABLES t JOIN SYS.SYSSCHEMAS s ON t.SCHEMAID = s.SCHEMAID "
         "JOIN SYS.SYSCOLUMNS c ON c.REFERENCEID = t.TABLEID"
     ),
+    dual=" FROM SYSIBM.SYSDUMMY1",
 )
 
 MYSQL = Dialect(

@@ -6,7 +6,8 @@ unioned into one Spark job.  The database does the work (``MIN``/``MAX`` of
 an indexed key is an index lookup); Spark receives one row per shard.
 
 ``COUNT(*)`` is only asked for in batch-size mode, and the NULL-key count
-only when NULL keys are kept: both scan the table on most engines.
+only when NULL keys are kept: a row count scans the table (or an index) on
+most engines.
 """
 
 from __future__ import annotations
@@ -48,17 +49,27 @@ def key_sql(shard: Shard, opts: ScanOptions) -> str:
 
 
 def probe_statement(shard_no: int, shard: Shard, opts: ScanOptions) -> str:
+    """One row of statistics for one shard.
+
+    Each aggregate is its own scalar subquery: a lone ``MIN``/``MAX`` over an
+    indexed key is answered from the index on every engine, while some
+    engines scan the table when ``MIN`` and ``MAX`` share one ``SELECT``.
+    """
     d = shard.dialect
     k = key_sql(shard, opts)
-    n = "COUNT(*)" if opts.batch_size is not None else d.null_bigint
-    n_null = f"COUNT(*) - COUNT({k})" if opts.null_key == "keep" else d.null_bigint
-    where = ""
-    if opts.explicit_bounds:
-        where = f" WHERE {k} BETWEEN {opts.lower_bound} AND {opts.upper_bound}"
+    src = source_sql(shard, opts)
+    cond = f"{k} BETWEEN {opts.lower_bound} AND {opts.upper_bound}" if opts.explicit_bounds else ""
+
+    def sub(expr: str, extra: str = "") -> str:
+        where = " AND ".join(c for c in (cond, extra) if c)
+        return f"(SELECT {expr} FROM {src}" + (f" WHERE {where}" if where else "") + ")"
+
+    n = sub("COUNT(*)") if opts.batch_size is not None else d.null_bigint
+    n_null = sub("COUNT(*)", f"{k} IS NULL") if opts.null_key == "keep" else d.null_bigint
     q = [d.quote(c) for c in PROBE_COLUMNS]
     return (
-        f"SELECT {shard_no} AS {q[0]}, MIN({k}) AS {q[1]}, MAX({k}) AS {q[2]}, "
-        f"{n} AS {q[3]}, {n_null} AS {q[4]} FROM {source_sql(shard, opts)}{where}"
+        f"SELECT {shard_no} AS {q[0]}, {sub(f'MIN({k})')} AS {q[1]}, {sub(f'MAX({k})')} AS {q[2]}, "
+        f"{n} AS {q[3]}, {n_null} AS {q[4]}{d.dual}"
     )
 
 
