@@ -34,6 +34,7 @@ from pyspark.sql.types import (
 )
 
 import logging
+import re
 
 from shardscan.options import ScanOptions
 from shardscan.plans import splits as P
@@ -44,7 +45,10 @@ from shardscan.util import balanced_union
 
 def as_schema(schema: StructType | str) -> StructType:
     """Declared schema from a ``StructType`` or a DDL string; CHAR/VARCHAR(n)
-    are read as STRING, as Spark DataFrames do."""
+    are read as STRING, as Spark DataFrames do, and a timestamp precision
+    (``TIMESTAMP(3)``) is accepted and dropped (Spark keeps microseconds)."""
+    if isinstance(schema, str):
+        schema = re.sub(r"(?i)\bTIMESTAMP\s*\(\s*\d+\s*\)", "TIMESTAMP", schema)
     parsed = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
     if not isinstance(parsed, StructType):
         raise ValueError(f"not a row schema: {schema!r}")

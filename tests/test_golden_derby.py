@@ -141,3 +141,28 @@ def test_pushdown_reaches_every_shard(spark, servers):
     plan = df.where(F.col("context") == "a").select("id")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("PushedFilters: [*IsNotNull(CONTEXT), *EqualTo(CONTEXT,a)]") == 4
     assert plan.count("ReadSchema: struct<ID:bigint>") == 4
+
+
+def test_documented_example_schema(spark):
+    """The documented example: lower-case names matched by lower-case regexes,
+    TIMESTAMP(3) columns, a key in batch-size mode; two servers."""
+    urls = ["jdbc:derby:memory:golden_doc1", "jdbc:derby:memory:golden_doc2"]
+    for i, url in enumerate(urls):
+        derby_exec(
+            spark, url + ";create=true",
+            'CREATE SCHEMA "test_database_a"',
+            'CREATE TABLE "test_database_a"."test_table_1" ("id" BIGINT, "dbctime" TIMESTAMP, '
+            '"dbutime" TIMESTAMP, "extension" VARCHAR(100))',
+            'CREATE TABLE "test_database_a"."other" ("id" BIGINT)',
+            f"INSERT INTO \"test_database_a\".\"test_table_1\" VALUES ({10 * i + 1}, "
+            "'2021-01-02 03:04:05.123', '2021-01-02 03:04:06.456', 'x')",
+        )
+    df = sharded_scan(
+        spark,
+        "`id` BIGINT COMMENT '', `dbctime` TIMESTAMP(3) COMMENT '', `dbutime` TIMESTAMP(3), `extension` STRING",
+        {"url": urls, "table-name": "test_table.*", "schema-name": "test_database.*",
+         "scan.partition.column": "id", "scan.batch.size": 100000, "username": "u", "password": "p"})
+    assert df.schema.simpleString() == "struct<id:bigint,dbctime:timestamp,dbutime:timestamp,extension:string>"
+    rows = sorted(df.collect())
+    assert [r.id for r in rows] == [1, 11]
+    assert rows[0].dbctime == datetime.datetime(2021, 1, 2, 3, 4, 5, 123000)
