@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from shardscan import (
     discover_shards,
+    lake_shard_stats,
     lake_split_plan,
     plan_scan,
     register_view,
@@ -200,6 +201,19 @@ def q26_no_match(spark, sf):
                         _orders_opts(spark, sf, **{"table-name": "NOPE_.*"}))
 
 
+# ------------------------------------------------------------ fan-out
+def q27_many_shards(spark, sf):
+    urls = FX.events_many_shards(spark, sf, 64)
+    return sharded_scan(spark, FX.parquet(spark, sf, "events").schema, {
+        "url": list(urls), "table-name": "EV_[0-9]+", "schema-name": "APP",
+        "scan.partition.column": "event_id", "scan.batch.size": 1000})
+
+
+def q28_lake_shard_stats(spark, sf):
+    return lake_shard_stats(FX.parquet(spark, sf, "events"), "event_type", "event_id").select(
+        "event_type", F.col("mn").alias("min_key"), F.col("mx").alias("max_key"), "n")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()
 }
@@ -274,6 +288,10 @@ _ORACLE = {
         "ON o.o_custkey = c.c_custkey GROUP BY 1"),
     "q25_flat_backend": "SELECT * FROM customer",
     "q26_no_match": "SELECT * FROM orders WHERE FALSE",
+    "q27_many_shards": "SELECT * FROM events",
+    "q28_lake_shard_stats": (
+        "SELECT event_type, MIN(event_id) AS min_key, MAX(event_id) AS max_key, COUNT(*) AS n "
+        "FROM events GROUP BY 1"),
 }
 
 
