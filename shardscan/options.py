@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import Any
 
 # The JDBC fetch-size sentinel some drivers read as "stream rows".
@@ -98,7 +98,6 @@ class ScanOptions:
     max_splits: int = 100_000
     session_init_statement: str | None = None
     query_timeout: int | None = None
-    extra: tuple[tuple[str, str], ...] = field(default_factory=tuple)
 
     # ------------------------------------------------------------------ build
     @classmethod
@@ -147,6 +146,11 @@ class ScanOptions:
         conditions = m.get("scan_conditions") or ()
         if isinstance(conditions, Mapping):
             conditions = tuple(conditions.items())
+        elif isinstance(conditions, str):  # "col=value,col2=value2" (SQL OPTIONS form)
+            pairs = [c.split("=", 1) for c in conditions.split(",") if c.strip()]
+            if any(len(p) != 2 or not p[0].strip() for p in pairs):
+                raise ValueError("'scan.conditions' must look like 'col=value,col2=value2'")
+            conditions = tuple((k.strip(), v.strip()) for k, v in pairs)
         table_types = m.get("table_types")
         if isinstance(table_types, str):
             table_types = tuple(t.strip().upper() for t in table_types.split(",") if t.strip())
@@ -170,7 +174,7 @@ class ScanOptions:
             null_key=str(m.get("scan_null_key") or "drop").lower(),
             table_types=table_types,
             provenance=_as_bool("scan.provenance", m.get("scan_provenance"), False),
-            max_splits=_as_int("scan.max-splits", m.get("scan_max_splits")) or 100_000,
+            max_splits=_default(_as_int("scan.max-splits", m.get("scan_max_splits")), 100_000),
             session_init_statement=m.get("scan_session_init_statement") or None,
             query_timeout=_as_int("scan.query-timeout", m.get("scan_query_timeout")),
         )
@@ -245,5 +249,9 @@ class ScanOptions:
     __str__ = __repr__
 
 
+def _default(v: int | None, d: int) -> int:
+    return d if v is None else v
+
+
 def _norm_key(k: str) -> str:
     return str(k).strip().lower().replace(".", "_").replace("-", "_")

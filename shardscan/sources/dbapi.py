@@ -38,7 +38,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
 from shardscan.options import ScanOptions
-from shardscan.plans.rule import split_ranges
+from shardscan.plans.rule import split_count, split_ranges
 
 NAME = "sharded_dbapi"
 _CATALOG_SQLITE = (
@@ -113,11 +113,21 @@ class Split(InputPartition):
     hi: int | None
 
 
+def _literal(v: Any) -> str:
+    if isinstance(v, bool):
+        return "1" if v else "0"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    return "'" + str(v).replace("'", "''") + "'"
+
+
 class ShardedDbapiReader(DataSourceReader):
     def __init__(self, schema: StructType, options: dict[str, str]):
         self.schema = schema
         opts = {k: v for k, v in options.items() if k.lower() not in ("path",)}
         self.opts = ScanOptions.from_map(opts)
+        if self.opts.provenance:
+            raise ValueError("scan.provenance is a JDBC-backend option (sharded_scan)")
 
     # ------------------------------------------------------------ planning
     def _discover(self, url_no: int, url: str, conn) -> list[tuple[str | None, str, tuple[str, ...]]]:
@@ -147,46 +157,65 @@ class ShardedDbapiReader(DataSourceReader):
         hits = [c for c in cols if c.lower() == name.lower()]
         return hits[0] if len(hits) == 1 else None
 
+    def _source(self, kind: str, schema_name: str | None, table: str | None) -> str:
+        q = self.opts.query
+        if q and table is None:
+            return f"({q}) q"
+        if q:
+            return "(" + q.replace("{table}", self._from(kind, schema_name, table)) + ") q"
+        return self._from(kind, schema_name, table)
+
+    def _probe(self, conn, kind: str, src: str, qk: str) -> tuple:
+        """``MIN``, ``MAX`` (each its own subquery, so an index answers them),
+        ``COUNT(*)`` only in batch-size mode, NULL-key count only with keep."""
+        o = self.opts
+        cond = f"{qk} BETWEEN {o.lower_bound} AND {o.upper_bound}" if o.explicit_bounds else ""
+
+        def sub(expr: str, extra: str = "") -> str:
+            where = " AND ".join(c for c in (cond, extra) if c)
+            return f"(SELECT {expr} FROM {src}" + (f" WHERE {where}" if where else "") + ")"
+
+        n = sub("COUNT(*)") if o.batch_size is not None else "NULL"
+        nn = sub("COUNT(*)", f"{qk} IS NULL") if o.null_key == "keep" else "NULL"
+        cur = conn.cursor()
+        cur.execute(f"SELECT {sub(f'MIN({qk})')}, {sub(f'MAX({qk})')}, {n}, {nn}")
+        return cur.fetchone()
+
     def partitions(self) -> list[Split]:
         o = self.opts
+        mode = {"batch_size": o.batch_size, "partition_num": o.partition_num}
         splits: list[Split] = []
         null_splits: list[Split] = []
         for url_no, url in enumerate(o.urls):
             kind = _kind(url)
             conn = connect(url, o.username, o.password)
             try:
-                shards = self._discover(url_no, url, conn)
+                if o.query and "{table}" not in o.query:
+                    shards = [(None, None, tuple(f.name for f in self.schema.fields) + (o.partition_column,))]
+                else:
+                    shards = self._discover(url_no, url, conn)
                 for schema_name, table, cols in shards:
                     declared = [self._resolve(cols, f.name) for f in self.schema.fields]
-                    key = self._resolve(cols, o.partition_column)
+                    key = o.partition_column if o.query else self._resolve(cols, o.partition_column)
                     missing = [f.name for f, a in zip(self.schema.fields, declared) if a is None]
                     if key is None:
                         missing.append(o.partition_column)
                     if missing:
                         raise ValueError(f"server {url_no} {schema_name}.{table} lacks declared column(s) {missing}")
-                    src = self._from(kind, schema_name, table)
                     qk = _quote(kind, key)
-                    where = f" WHERE {qk} BETWEEN {o.lower_bound} AND {o.upper_bound}" if o.explicit_bounds else ""
-                    cur = conn.cursor()
-                    # COUNT(*) scans on most engines: only when the rule needs it
-                    n_sql = "COUNT(*)" if o.batch_size is not None else "NULL"
-                    nn_sql = f"COUNT(*) - COUNT({qk})" if o.null_key == "keep" else "NULL"
-                    cur.execute(f"SELECT MIN({qk}), MAX({qk}), {n_sql}, {nn_sql} FROM {src}{where}")
-                    mn, mx, n, n_null = cur.fetchone()
                     if o.explicit_bounds and o.partition_num is not None:
-                        mn, mx = o.lower_bound, o.upper_bound
-                    ranges = split_ranges(
-                        None if mn is None else int(mn), None if mx is None else int(mx), n,
-                        batch_size=o.batch_size, partition_num=o.partition_num,
-                    )
-                    for lo, hi in ranges:
+                        mn, mx, n, n_null = o.lower_bound, o.upper_bound, None, None
+                    else:
+                        mn, mx, n, n_null = self._probe(conn, kind, self._source(kind, schema_name, table), qk)
+                    mn, mx = (None if v is None else int(v) for v in (mn, mx))
+                    if len(splits) + split_count(mn, mx, n, **mode) > o.max_splits:
+                        raise ValueError(f"the plan has more than scan.max-splits={o.max_splits} splits")
+                    for lo, hi in split_ranges(mn, mx, n, **mode):
                         splits.append(Split(len(splits), url_no, schema_name, table, tuple(declared), key, lo, hi))
-                    if o.null_key == "keep" and n_null:
+                    if o.null_key == "keep" and (n_null is None or n_null > 0):
                         null_splits.append(Split(-1, url_no, schema_name, table, tuple(declared), key, None, None))
             finally:
                 conn.close()
-            if len(splits) > o.max_splits:
-                raise ValueError(f"the plan has more than scan.max-splits={o.max_splits} splits")
         base = len(splits)
         for i, s in enumerate(null_splits):
             splits.append(Split(base + i, s.url_no, s.schema, s.table, s.columns, s.key, None, None))
@@ -202,8 +231,11 @@ class ShardedDbapiReader(DataSourceReader):
     def _statement(self, kind: str, s: Split) -> str:
         cols = ", ".join(_quote(kind, c) for c in s.columns)
         qk = _quote(kind, s.key)
-        cond = f"{qk} IS NULL" if s.lo is None else f"{qk} BETWEEN {s.lo} AND {s.hi}"
-        return f"SELECT {cols} FROM {self._from(kind, s.schema, s.table)} WHERE {cond}"
+        cond = [f"{qk} IS NULL" if s.lo is None else f"{qk} BETWEEN {s.lo} AND {s.hi}"]
+        by_decl = {f.name.lower(): a for f, a in zip(self.schema.fields, s.columns)}
+        for name, value in self.opts.conditions:  # declared equality conditions
+            cond.append(f"{_quote(kind, by_decl.get(name.lower(), name))} = {_literal(value)}")
+        return f"SELECT {cols} FROM {self._source(kind, s.schema, s.table)} WHERE " + " AND ".join(cond)
 
     def read(self, partition: Split) -> Iterator[Any]:
         import pyarrow as pa

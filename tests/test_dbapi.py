@@ -64,3 +64,16 @@ def test_sql_view(spark, files):
 def test_missing_column(spark, files):
     with pytest.raises(Exception, match="lacks declared column"):
         read(spark, files, **{"table-name": "OTHER_3", "scan.batch.size": 2}).collect()
+
+
+def test_conditions_query_and_bounds(spark, files):
+    df = read(spark, files, **{"scan.batch.size": 2, "scan.conditions": "context=b1"})
+    assert [(r.id, r.context) for r in df.collect()] == [(5, "b1")]
+    q = 'SELECT "id", "context" FROM {table} WHERE "id" > 2'
+    df = read(spark, files, **{"scan.partition.num": 2, "scan.query": q})
+    assert sorted(r.id for r in df.collect()) == [3, 4, 5, 6]
+    per_server = 'SELECT "id", "context" FROM "JDBCSOURCE_1"'
+    df = read(spark, files, **{"scan.partition.num": 2, "scan.query": per_server})
+    assert sorted(r.id for r in df.collect()) == [1, 2, 3, 4, 5, 6]
+    df = read(spark, files, **{"scan.partition.num": 3, "scan.lower-bound": 2, "scan.upper-bound": 4})
+    assert sorted(r.id for r in df.collect()) == [2, 3, 4]

@@ -166,3 +166,11 @@ def test_documented_example_schema(spark):
     rows = sorted(df.collect())
     assert [r.id for r in rows] == [1, 11]
     assert rows[0].dbctime == datetime.datetime(2021, 1, 2, 3, 4, 5, 123000)
+
+
+def test_query_source_per_server(spark, servers):
+    q = 'SELECT "ID" AS "id", "CONTEXT" AS "context" FROM "APP"."JDBCSOURCE_2"'
+    df = sharded_scan(spark, SCHEMA, _opts(servers, **{"scan.query": q, "scan.partition.num": 2}))
+    assert sorted((r.id, r.context) for r in df.collect()) == sorted([(4, "a1"), (5, "b1"), (6, "c1")] * 2)
+    plan = split_plan(spark, SCHEMA, _opts(servers, **{"scan.query": q, "scan.partition.num": 2}))
+    assert sorted((r.url_no, r.lo, r.hi) for r in plan.collect()) == [(0, 4, 5), (0, 6, 7), (1, 4, 5), (1, 6, 7)]

@@ -32,6 +32,8 @@ def test_minimal_batch_and_partitions():
     {"scan.batch.size": 1, "scan.lower-bound": 5, "scan.upper-bound": 4},
     {"scan.batch.size": 1, "scan.null-key": "maybe"},
     {"scan.batch.size": 1, "no.such.option": 1},
+    {"scan.batch.size": 1, "scan.max-splits": 0},
+    {"scan.batch.size": 1, "scan.conditions": "=x"},
 ])
 def test_invalid(extra):
     m = dict(BASE)
