@@ -79,28 +79,27 @@ def provenance_fields() -> list[StructField]:
 class ScanPlan:
     """The planned scan: shards, per-shard split lists and the plan as data."""
 
+    spark: SparkSession
     opts: ScanOptions
     schema: StructType
     key_type: DataType
     shards: list[Shard]
     # shard_no -> list of (split_id, lo, hi); lo/hi None = the IS NULL split
     splits: dict[int, list[tuple[int, Any, Any]]] = field(default_factory=dict)
-    _rows: list[tuple] = field(default_factory=list)
-    _schema: StructType | str | None = None
+    # (split_id, shard_no, url_no, server, schema_name, table_name, split_no, lo, hi, query)
+    rows: list[tuple] = field(default_factory=list)
     _df: DataFrame | None = None
-    _spark: SparkSession | None = None
-
-    def set_rows(self, spark: SparkSession, rows: list[tuple], schema: StructType) -> None:
-        self._spark, self._rows, self._schema, self._df = spark, rows, schema, None
 
     @property
     def plan_df(self) -> DataFrame:
         """``split_id, url_no, server, schema_name, table_name, split_no, lo, hi, query``."""
         if self._df is None:
-            if self._schema is None:
-                self._df = self._spark.createDataFrame([], _plan_schema())
-            else:
-                self._df = self._spark.createDataFrame(self._rows, self._schema).drop("shard_no")
+            b = P.bound_type(self.key_type)
+            ddl = (
+                "split_id bigint, shard_no int, url_no int, server string, schema_name string, "
+                f"table_name string, split_no bigint, lo {b}, hi {b}, query string"
+            )
+            self._df = self.spark.createDataFrame(self.rows, ddl).drop("shard_no")
         return self._df
 
     @property
@@ -139,8 +138,7 @@ def plan_scan(spark: SparkSession, schema: StructType | str,
     if not opts.query:
         names = names + [opts.partition_column]
     check_columns(shards, names, opts)
-    plan = ScanPlan(opts, schema, key_type, shards)
-    plan._spark = spark
+    plan = ScanPlan(spark, opts, schema, key_type, shards)
     if not shards:
         return plan
 
@@ -184,26 +182,12 @@ def plan_scan(spark: SparkSession, schema: StructType | str,
             LOG.info("server %d (%s): %d schemas, %d tables, %d splits", url_no, servers[url_no],
                      len({shards[i].schema for i in mine}), len(mine),
                      sum(len(plan.splits.get(i, ())) for i in mine))
-    plan.set_rows(spark, out, _PLAN_SCHEMA_WITH_SHARD.replace("lo bigint, hi bigint",
-                                                              f"lo {P.bound_type(key_type)}, hi {P.bound_type(key_type)}"))
+    plan.rows = out
     return plan
 
 
 LOG = logging.getLogger("shardscan")
 
-_PLAN_SCHEMA_WITH_SHARD = (
-    "split_id bigint, shard_no int, url_no int, server string, schema_name string, "
-    "table_name string, split_no bigint, lo bigint, hi bigint, query string"
-)
-
-
-def _plan_schema() -> str:
-    return (
-        "split_id bigint, url_no int, server string, schema_name string, table_name string, "
-        "split_no bigint, lo bigint, hi bigint, query string"
-    )
-
-
 RELATION_THREADS = 4
 
 
