@@ -214,6 +214,13 @@ def q28_lake_shard_stats(spark, sf):
         "event_type", F.col("mn").alias("min_key"), F.col("mx").alias("max_key"), "n")
 
 
+def q29_scan_split_rows(spark, sf):
+    """Rows each planned split of the database scan reads (D01 over the sharded view)."""
+    df = sharded_scan(spark, "o_orderkey BIGINT", _orders_opts(spark, sf, **{"scan.provenance": True}))
+    return split_row_counts(df.select(F.col("_table").alias("tbl"), "o_orderkey"), "tbl", "o_orderkey",
+                            batch_size=1000)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()
 }
@@ -289,6 +296,13 @@ _ORACLE = {
     "q25_flat_backend": "SELECT * FROM customer",
     "q26_no_match": "SELECT * FROM orders WHERE FALSE",
     "q27_many_shards": "SELECT * FROM events",
+    "q29_scan_split_rows": (
+        "WITH s AS (SELECT o_orderkey % 4 AS shard, MIN(o_orderkey) AS mn, MAX(o_orderkey) AS mx, "
+        "COUNT(*) AS n FROM orders GROUP BY 1), "
+        "t AS (SELECT shard, mn, CASE WHEN 1000 > n THEN mx - mn "
+        "ELSE CAST((CAST(mx - mn AS HUGEINT) * 1000) // n AS BIGINT) END AS step FROM s) "
+        "SELECT 'ORDERS_' || t.shard AS tbl, CAST((o.o_orderkey - t.mn) // (t.step + 1) AS BIGINT) AS split_no, "
+        "COUNT(*) AS n_rows FROM orders o JOIN t ON o.o_orderkey % 4 = t.shard GROUP BY 1, 2"),
     "q28_lake_shard_stats": (
         "SELECT event_type, MIN(event_id) AS min_key, MAX(event_id) AS max_key, COUNT(*) AS n "
         "FROM events GROUP BY 1"),
