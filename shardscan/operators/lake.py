@@ -91,7 +91,8 @@ def assign_splits(df: DataFrame, shard_cols: str | Sequence[str] | None, key: st
     hot_b = F.broadcast(hot)
     hot_rows = _join_stats(df, hot_b, cols, k, split_col, how="inner")
     rest = df.join(hot_b, _null_safe_on(df, hot, cols), "left_anti")
-    return hot_rows.unionByName(_join_stats(rest, cold, cols, k, split_col))
+    # the cold statistics are large by construction: a sort-merge join, whatever the estimate
+    return hot_rows.unionByName(_join_stats(rest, cold.hint("merge"), cols, k, split_col))
 
 
 def _join_stats(df: DataFrame, stats: DataFrame, cols: Sequence[str], k: Column, split_col: str,
