@@ -106,27 +106,29 @@ def discover_shards(spark: SparkSession, opts: ScanOptions) -> DataFrame:
     )
 
 
-def resolve_shards(spark: SparkSession, opts: ScanOptions) -> list[Shard]:
+def resolve_shards(spark: SparkSession, opts: ScanOptions,
+                   wanted: Sequence[str] | None = None) -> list[Shard]:
     """Matched shards with their column lists, sorted (url_no, schema, table).
 
-    Only catalog metadata of matched tables reaches the driver.
+    One row per matched table reaches the driver; with ``wanted`` (declared
+    columns and key) it carries only those columns, matched case-insensitively,
+    not every column of every table.
     """
     if opts.query and "{table}" not in opts.query:
         return [Shard(i, u, None, None, "QUERY") for i, u in enumerate(opts.urls)]
+    col = F.struct("ordinal", "column_name")
+    if wanted is not None:
+        col = F.when(F.lower(F.col("column_name")).isin(sorted({w.lower() for w in wanted})), col)
     rows = (
         matching(catalog(spark, opts), opts)
-        .select("url_no", "schema_name", "table_name", "table_type", "column_name", "ordinal")
+        .groupBy("url_no", "schema_name", "table_name")
+        .agg(F.max("table_type").alias("table_type"), F.collect_list(col).alias("cols"))
         .collect()
     )
-    grouped: dict[tuple, list[tuple[int, str]]] = {}
-    types: dict[tuple, str] = {}
-    for r in rows:
-        k = (r.url_no, r.schema_name, r.table_name)
-        grouped.setdefault(k, []).append((r.ordinal, r.column_name))
-        types[k] = r.table_type
     shards = [
-        Shard(k[0], opts.urls[k[0]], k[1], k[2], types[k], tuple(c for _, c in sorted(cols)))
-        for k, cols in grouped.items()
+        Shard(r.url_no, opts.urls[r.url_no], r.schema_name, r.table_name, r.table_type,
+              tuple(c.column_name for c in sorted(r.cols, key=lambda c: c.ordinal)))
+        for r in rows
     ]
     return sorted(shards, key=lambda s: s.sort_key)
 
@@ -134,7 +136,7 @@ def resolve_shards(spark: SparkSession, opts: ScanOptions) -> list[Shard]:
 def check_columns(shards: Sequence[Shard], names: Sequence[str], opts: ScanOptions) -> None:
     """Every shard must have every declared column (and the key)."""
     for s in shards:
-        if not s.columns:
+        if s.table is None:  # a query source: its columns are checked when read
             continue
         missing = [n for n in names if s.resolve(n) is None]
         if missing:

@@ -133,11 +133,17 @@ def plan_scan(spark: SparkSession, schema: StructType | str,
     schema = as_schema(schema)
     key_type = _key_type(schema, opts.partition_column)
     P.key_limits(key_type)  # integral keys only
-    shards = resolve_shards(spark, opts)
     names = [f.name for f in schema.fields]
     if not opts.query:
         names = names + [opts.partition_column]
-    check_columns(shards, names, opts)
+    shards = resolve_shards(spark, opts, names)
+    if opts.query:
+        shards = [Shard(s.url_no, s.url, s.schema, s.table, s.table_type) for s in shards]
+    else:
+        check_columns(shards, names, opts)
+    if len(shards) > 1000:
+        LOG.warning("%d shards: one JDBC relation each; the sharded_dbapi backend keeps the plan "
+                    "at one scan node", len(shards))
     plan = ScanPlan(spark, opts, schema, key_type, shards)
     if not shards:
         return plan
@@ -288,8 +294,12 @@ def shard_stats(spark: SparkSession, options: ScanOptions | Mapping[str, Any] |
     ``n`` (``COUNT(*)``, NULL keys included) is probed in batch-size mode.
     """
     opts = as_options(options, **kwargs)
-    shards = resolve_shards(spark, opts)
-    check_columns(shards, [opts.partition_column] if not opts.query else [], opts)
+    if opts.query:
+        shards = resolve_shards(spark, opts, [])
+        shards = [Shard(s.url_no, s.url, s.schema, s.table, s.table_type) for s in shards]
+    else:
+        shards = resolve_shards(spark, opts, [opts.partition_column])
+        check_columns(shards, [opts.partition_column], opts)
     if not shards:
         return spark.createDataFrame(
             [], "url_no int, server string, schema_name string, table_name string, "
