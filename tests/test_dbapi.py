@@ -77,3 +77,27 @@ def test_conditions_query_and_bounds(spark, files):
     assert sorted(r.id for r in df.collect()) == [1, 2, 3, 4, 5, 6]
     df = read(spark, files, **{"scan.partition.num": 3, "scan.lower-bound": 2, "scan.upper-bound": 4})
     assert sorted(r.id for r in df.collect()) == [2, 3, 4]
+
+
+def test_types_from_sqlite(spark):
+    import datetime
+    from decimal import Decimal
+
+    dbapi.register(spark)
+    folder = tempfile.mkdtemp(prefix="shardscan-dbapi-types-")
+    path = os.path.join(folder, "t.db")
+    c = sqlite3.connect(path)
+    c.execute('CREATE TABLE "T_1" (k INTEGER, b INTEGER, d REAL, amt TEXT, ts TEXT, dt TEXT, s TEXT)')
+    c.execute("INSERT INTO \"T_1\" VALUES (1, 1, 2.5, '12.34', '2024-01-02 03:04:05.678', '2024-01-02', 'x')")
+    c.execute('INSERT INTO "T_1" VALUES (2, NULL, NULL, NULL, NULL, NULL, NULL)')
+    c.commit()
+    c.close()
+    df = (spark.read.format(dbapi.NAME)
+          .schema("k BIGINT, b BOOLEAN, d DOUBLE, amt DECIMAL(10,2), ts TIMESTAMP_NTZ, dt DATE, s STRING")
+          .options(**{"url": f"sqlite://{path}", "table-name": "T_.*", "schema-name": "main",
+                      "scan.partition.column": "k", "scan.partition.num": "2"}).load())
+    rows = {r.k: r for r in df.collect()}
+    r = rows[1]
+    assert (r.b, r.d, r.amt, r.ts, r.dt, r.s) == (
+        True, 2.5, Decimal("12.34"), datetime.datetime(2024, 1, 2, 3, 4, 5, 678000), datetime.date(2024, 1, 2), "x")
+    assert all(v is None for v in list(rows[2])[1:])
