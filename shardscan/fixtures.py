@@ -155,10 +155,10 @@ def fixture_root(spark: SparkSession) -> str:
     return _LOADED[key][0]
 
 
-def load_sqlite(spark: SparkSession, name: str, df: DataFrame, file_of: Column, table: str,
-                n_files: int) -> tuple[str, ...]:
-    """Write ``df`` into ``n_files`` SQLite files (file number = ``file_of``),
-    one table each; returns ``sqlite:`` URLs.
+def load_sqlite(spark: SparkSession, name: str, df: DataFrame, file_of: Column,
+                table_of: Column | str, n_files: int) -> tuple[str, ...]:
+    """Write ``df`` into ``n_files`` SQLite files (file number = ``file_of``,
+    table name = ``table_of``, a column or one fixed name); returns ``sqlite:`` URLs.
 
     Rows are hash-partitioned by file number, so each file has exactly one
     writer task; a task writes to a private file and renames it at the end,
@@ -175,9 +175,9 @@ def load_sqlite(spark: SparkSession, name: str, df: DataFrame, file_of: Column,
     folder = os.path.join(fixture_root(spark), name)
     os.makedirs(folder, exist_ok=True)
     cols = [(f.name, _SQLITE_TYPES.get(f.dataType.simpleString(), "TEXT")) for f in df.schema.fields]
-    ddl = f'CREATE TABLE "{table}" (' + ", ".join(f'"{c}" {t}' for c, t in cols) + ")"
-    ins = f'INSERT INTO "{table}" VALUES (' + ", ".join("?" for _ in cols) + ")"
     names = [c for c, _ in cols]
+    col_ddl = ", ".join(f'"{c}" {t}' for c, t in cols)
+    marks = ", ".join("?" for _ in cols)
 
     def write(batches):
         import sqlite3
@@ -186,18 +186,25 @@ def load_sqlite(spark: SparkSession, name: str, df: DataFrame, file_of: Column,
         import pyarrow as pa
 
         conns: dict[int, tuple] = {}
+        made: set[tuple[int, str]] = set()
         for b in batches:
             t = pa.Table.from_batches([b])
             files = t.column("_file").to_pylist()
+            tables = t.column("_table").to_pylist()
             data = [t.column(c).to_pylist() for c in names]
-            for i in sorted(set(files)):
+            groups: dict[tuple[int, str], list[int]] = {}
+            for r, ft in enumerate(zip(files, tables)):
+                groups.setdefault(ft, []).append(r)
+            for (i, tbl), idx in sorted(groups.items()):
                 if i not in conns:
                     tmp = os.path.join(folder, f"part_{i}.{uuid.uuid4().hex}.tmp")
-                    c = sqlite3.connect(tmp)
-                    c.execute(ddl)
-                    conns[i] = (c, tmp)
-                rows = [tuple(_sqlite_value(col[r]) for col in data) for r, f in enumerate(files) if f == i]
-                conns[i][0].executemany(ins, rows)
+                    conns[i] = (sqlite3.connect(tmp), tmp)
+                c = conns[i][0]
+                if (i, tbl) not in made:
+                    c.execute(f'CREATE TABLE "{tbl}" ({col_ddl})')
+                    made.add((i, tbl))
+                c.executemany(f'INSERT INTO "{tbl}" VALUES ({marks})',
+                              [tuple(_sqlite_value(col[r]) for col in data) for r in idx])
         out = []
         for i, (c, tmp) in conns.items():
             c.commit()
@@ -206,22 +213,18 @@ def load_sqlite(spark: SparkSession, name: str, df: DataFrame, file_of: Column,
             out.append(i)
         yield pa.RecordBatch.from_pydict({"file": out}, schema=pa.schema([("file", pa.int64())]))
 
-    written = (
-        df.withColumn("_file", file_of.cast("bigint"))
-        .repartition(n_files, F.col("_file"))
-        .mapInArrow(write, "file bigint")
-        .collect()
-    )
-    for i in range(n_files):  # files that got no rows still exist, empty
+    table_col = F.lit(table_of) if isinstance(table_of, str) else table_of
+    (df.withColumn("_file", file_of.cast("bigint"))
+       .withColumn("_table", table_col.cast("string"))
+       .repartition(n_files, F.col("_file"))
+       .mapInArrow(write, "file bigint")
+       .collect())  # one small row per written file
+    for i in range(n_files):  # files that got no rows still exist
         path = os.path.join(folder, f"part_{i}.db")
         if not os.path.exists(path):
             import sqlite3
 
-            c = sqlite3.connect(path)
-            c.execute(ddl)
-            c.commit()
-            c.close()
-    del written
+            sqlite3.connect(path).close()
     urls = tuple(f"sqlite://{os.path.join(folder, f'part_{i}.db')}" for i in range(n_files))
     _LOADED[key] = urls
     return urls
@@ -242,6 +245,14 @@ def customer_sqlite(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
                        "CUSTOMER", 2)
 
 
+def events_sqlite_many(spark: SparkSession, sf_dir: str, n_tables: int) -> tuple[str, ...]:
+    """events in ``n_tables`` SQLite tables ``EV_{event_id % n_tables}`` over 2 files."""
+    src = parquet(spark, sf_dir, "events")
+    k = F.col("event_id") % n_tables
+    return load_sqlite(spark, f"ss_{sf_tag(sf_dir)}_events_sqlite_{n_tables}", src, k % 2,
+                       F.concat(F.lit("EV_"), k.cast("string")), 2)
+
+
 def derby_ddl(spark: SparkSession, url: str, *statements: str, ignore_errors: bool = False) -> None:
     """Run statements on an embedded Derby database (fixture setup only;
     goes through the JVM gateway of a classic session)."""
