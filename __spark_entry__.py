@@ -221,6 +221,16 @@ def q29_scan_split_rows(spark, sf):
                             batch_size=1000)
 
 
+def q30_flat_backend_orders(spark, sf):
+    """orders (timestamps included) through the DB-API backend, 4 tables in 2 files, N=3."""
+    urls = FX.orders_sqlite(spark, sf)
+    dbapi.register(spark)
+    return (spark.read.format(dbapi.NAME).schema(_orders_schema(spark, sf))
+            .options(**{"url": ";".join(urls), "table-name": "ORDERS_.*", "schema-name": "main",
+                        "scan.partition.column": "o_orderkey", "scan.partition.num": "3"})
+            .load())
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()
 }
@@ -296,6 +306,7 @@ _ORACLE = {
     "q25_flat_backend": "SELECT * FROM customer",
     "q26_no_match": "SELECT * FROM orders WHERE FALSE",
     "q27_many_shards": "SELECT * FROM events",
+    "q30_flat_backend_orders": "SELECT * FROM orders",
     "q29_scan_split_rows": (
         "WITH s AS (SELECT o_orderkey % 4 AS shard, MIN(o_orderkey) AS mn, MAX(o_orderkey) AS mx, "
         "COUNT(*) AS n FROM orders GROUP BY 1), "

@@ -245,6 +245,14 @@ def customer_sqlite(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
                        "CUSTOMER", 2)
 
 
+def orders_sqlite(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
+    """orders in two SQLite files by ``o_orderkey % 2``, tables ``ORDERS_{o_orderkey % 4}``."""
+    src = parquet(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    return load_sqlite(spark, f"ss_{sf_tag(sf_dir)}_orders_sqlite", src, k % 2,
+                       F.concat(F.lit("ORDERS_"), (k % 4).cast("string")), 2)
+
+
 def events_sqlite_many(spark: SparkSession, sf_dir: str, n_tables: int) -> tuple[str, ...]:
     """events in ``n_tables`` SQLite tables ``EV_{event_id % n_tables}`` over 2 files."""
     src = parquet(spark, sf_dir, "events")
