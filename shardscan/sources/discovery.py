@@ -110,25 +110,31 @@ def resolve_shards(spark: SparkSession, opts: ScanOptions,
                    wanted: Sequence[str] | None = None) -> list[Shard]:
     """Matched shards with their column lists, sorted (url_no, schema, table).
 
-    One row per matched table reaches the driver; with ``wanted`` (declared
-    columns and key) it carries only those columns, matched case-insensitively,
+    Only catalog rows of matched tables reach the driver; with ``wanted``
+    (declared columns and key) only those columns, matched case-insensitively,
     not every column of every table.
     """
     if opts.query and "{table}" not in opts.query:
         return [Shard(i, u, None, None, "QUERY") for i, u in enumerate(opts.urls)]
-    col = F.struct("ordinal", "column_name")
+    m = matching(catalog(spark, opts), opts)
     if wanted is not None:
-        col = F.when(F.lower(F.col("column_name")).isin(sorted({w.lower() for w in wanted})), col)
-    rows = (
-        matching(catalog(spark, opts), opts)
-        .groupBy("url_no", "schema_name", "table_name")
-        .agg(F.max("table_type").alias("table_type"), F.collect_list(col).alias("cols"))
-        .collect()
-    )
+        # the wanted columns, plus each table's first column so that a table
+        # lacking all of them still shows up (and fails the column check)
+        m = m.where(F.lower(F.col("column_name")).isin(sorted({w.lower() for w in wanted}))
+                    | (F.col("ordinal") == 1))
+    rows = m.select("url_no", "schema_name", "table_name", "table_type", "column_name", "ordinal").collect()
+    wanted_lower = None if wanted is None else {w.lower() for w in wanted}
+    grouped: dict[tuple, list[tuple[int, str]]] = {}
+    types: dict[tuple, str] = {}
+    for r in rows:
+        k = (r.url_no, r.schema_name, r.table_name)
+        cols = grouped.setdefault(k, [])
+        types[k] = r.table_type
+        if wanted_lower is None or r.column_name.lower() in wanted_lower:
+            cols.append((r.ordinal, r.column_name))
     shards = [
-        Shard(r.url_no, opts.urls[r.url_no], r.schema_name, r.table_name, r.table_type,
-              tuple(c.column_name for c in sorted(r.cols, key=lambda c: c.ordinal)))
-        for r in rows
+        Shard(k[0], opts.urls[k[0]], k[1], k[2], types[k], tuple(c for _, c in sorted(cols)))
+        for k, cols in grouped.items()
     ]
     return sorted(shards, key=lambda s: s.sort_key)
 
