@@ -140,3 +140,13 @@ def test_spark_matches_python_random(spark):
         cases.append((i, mn, mx, n, b, p))
         expected[i] = r
     assert _spark_ranges(spark, cases) == expected
+
+
+def test_lineitem_as_one_shard(spark):
+    """lineitem sf0.01 as one shard, B=1000: 60 ranges of width 250, the first [0, 249]."""
+    from shardscan import lake_split_plan
+
+    li = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    plan = sorted((r.split_no, r.lo, r.hi) for r in lake_split_plan(li, None, "l_orderkey", batch_size=1000).collect())
+    assert len(plan) == 60 and plan[0] == (0, 0, 249)
+    assert all(hi - lo == 249 for _, lo, hi in plan)
