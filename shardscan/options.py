@@ -98,6 +98,7 @@ class ScanOptions:
     max_splits: int = 100_000
     session_init_statement: str | None = None
     query_timeout: int | None = None
+    splits_per_task: int = 1
 
     # ------------------------------------------------------------------ build
     @classmethod
@@ -115,6 +116,7 @@ class ScanOptions:
             "scan_fetch_size", "scan_lower_bound", "scan_upper_bound", "scan_query",
             "scan_conditions", "scan_null_key", "table_types", "scan_provenance",
             "scan_max_splits", "scan_session_init_statement", "scan_query_timeout",
+            "scan_splits_per_task",
             "connector", "schema",
         }
         aliases = {
@@ -177,6 +179,7 @@ class ScanOptions:
             max_splits=_default(_as_int("scan.max-splits", m.get("scan_max_splits")), 100_000),
             session_init_statement=m.get("scan_session_init_statement") or None,
             query_timeout=_as_int("scan.query-timeout", m.get("scan_query_timeout")),
+            splits_per_task=_default(_as_int("scan.splits-per-task", m.get("scan_splits_per_task")), 1),
         )
         opts.validate()
         return opts
@@ -208,6 +211,8 @@ class ScanOptions:
             raise ValueError("'scan.null-key' must be 'drop' or 'keep'")
         if self.max_splits < 1:
             raise ValueError("'scan.max-splits' must be >= 1")
+        if self.splits_per_task < 1:
+            raise ValueError("'scan.splits-per-task' must be >= 1")
         if self.query_timeout is not None and self.query_timeout < 0:
             raise ValueError("'scan.query-timeout' must be >= 0")
 

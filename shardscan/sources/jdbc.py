@@ -130,6 +130,9 @@ def _select_list(shard: Shard, schema: StructType) -> str:
 def plan_scan(spark: SparkSession, schema: StructType | str,
               options: ScanOptions | Mapping[str, Any] | None = None, **kwargs: Any) -> ScanPlan:
     opts = as_options(options, **kwargs)
+    if opts.splits_per_task != 1:
+        raise ValueError("scan.splits-per-task applies to the sharded_dbapi backend; "
+                         "a Spark JDBC partition runs exactly one statement")
     schema = as_schema(schema)
     key_type = _key_type(schema, opts.partition_column)
     P.key_limits(key_type)  # integral keys only

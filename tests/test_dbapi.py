@@ -101,3 +101,21 @@ def test_types_from_sqlite(spark):
     assert (r.b, r.d, r.amt, r.ts, r.dt, r.s) == (
         True, 2.5, Decimal("12.34"), datetime.datetime(2024, 1, 2, 3, 4, 5, 678000), datetime.date(2024, 1, 2), "x")
     assert all(v is None for v in list(rows[2])[1:])
+
+
+def test_splits_per_task(spark, files):
+    df = read(spark, files, **{"scan.batch.size": 1, "scan.splits-per-task": 2, "scan.null-key": "keep"})
+    # splits in id order: server 0's 3 ranges, server 1's 3 ranges, then server 0's NULL split;
+    # consecutive splits of one server pair up, servers never share a task
+    assert df.rdd.getNumPartitions() == 5
+    assert sorted((r.id is None, r.context) for r in df.collect()) == sorted(
+        [(False, c) for c in ["a", "b", "c", "a1", "b1", "c1"]] + [(True, "n")])
+
+
+def test_splits_per_task_is_flat_only(spark):
+    from shardscan import sharded_scan
+
+    with pytest.raises(ValueError, match="splits-per-task"):
+        sharded_scan(spark, "id BIGINT", {"url": "jdbc:derby:memory:x", "table-name": "T", "schema-name": "APP",
+                                          "scan.partition.column": "id", "scan.batch.size": 1,
+                                          "scan.splits-per-task": 4})
