@@ -5,9 +5,10 @@
   than any other.
 * :func:`lake_split_plan` - the ranges each shard would be cut into.
 * :func:`assign_splits` - the split number of every row.  Statistics (one row
-  per shard) are computed once and checkpointed to the session's checkpoint
-  folder; they are broadcast only when their row count is at most
-  ``broadcast_rows``.  Beyond that, the shards holding more than
+  per shard) are computed once: up to ``LOCAL_STATS_ROWS`` shards they come
+  back as a small local table, beyond that they are checkpointed to the
+  session's checkpoint folder; they are broadcast only when their row count
+  is at most ``broadcast_rows``.  Beyond that, the shards holding more than
   ``total_rows / broadcast_rows`` rows - at most ``broadcast_rows`` of them,
   so the bound still holds - are broadcast, and the remaining shards, none
   larger than that share, go through a shuffle join: no hot shard ever
@@ -27,6 +28,7 @@ from shardscan.plans import splits as P
 from shardscan.session import checkpoint_dir
 
 BROADCAST_ROWS = 1_000_000
+LOCAL_STATS_ROWS = 10_000
 
 
 def _cols(shard_cols: str | Sequence[str] | None) -> list[str]:
@@ -78,8 +80,15 @@ def assign_splits(df: DataFrame, shard_cols: str | Sequence[str] | None, key: st
                             F.lit(row.step).cast(R.DEC))
         return df.withColumn(split_col, idx)
 
+    stats = stats.select(*cols, "mn", "mx", "step", "n")
+    local_rows = min(LOCAL_STATS_ROWS, broadcast_rows)
+    rows = stats.limit(local_rows + 1).collect()
+    if len(rows) <= local_rows:
+        # few shards: the statistics come back as a small local table (no recompute)
+        small = df.sparkSession.createDataFrame(rows, stats.schema)
+        return _join_stats(df, F.broadcast(small), cols, k, split_col)
     checkpoint_dir(df.sparkSession)
-    stats = stats.select(*cols, "mn", "mx", "step", "n").checkpoint(eager=True)
+    stats = stats.checkpoint(eager=True)
     n_shards = stats.count()
     if n_shards <= broadcast_rows:
         return _join_stats(df, F.broadcast(stats), cols, k, split_col)
