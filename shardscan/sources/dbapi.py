@@ -182,11 +182,11 @@ class ShardedDbapiReader(DataSourceReader):
         o = self.opts
         cond = f"{qk} BETWEEN {o.lower_bound} AND {o.upper_bound}" if o.explicit_bounds else ""
 
-        def sub(expr: str, extra: str = "") -> str:
-            where = " AND ".join(c for c in (cond, extra) if c)
+        def sub(expr: str, where: str = cond) -> str:
             return f"(SELECT {expr} FROM {src}" + (f" WHERE {where}" if where else "") + ")"
 
         n = sub("COUNT(*)") if o.batch_size is not None else "NULL"
+        # NULL keys lie outside any declared bounds: counted without them
         nn = sub("COUNT(*)", f"{qk} IS NULL") if o.null_key == "keep" else "NULL"
         cur = conn.cursor()
         cur.execute(f"SELECT {sub(f'MIN({qk})')}, {sub(f'MAX({qk})')}, {n}, {nn}")

@@ -60,11 +60,11 @@ def probe_statement(shard_no: int, shard: Shard, opts: ScanOptions) -> str:
     src = source_sql(shard, opts)
     cond = f"{k} BETWEEN {opts.lower_bound} AND {opts.upper_bound}" if opts.explicit_bounds else ""
 
-    def sub(expr: str, extra: str = "") -> str:
-        where = " AND ".join(c for c in (cond, extra) if c)
+    def sub(expr: str, where: str = cond) -> str:
         return f"(SELECT {expr} FROM {src}" + (f" WHERE {where}" if where else "") + ")"
 
     n = sub("COUNT(*)") if opts.batch_size is not None else d.null_bigint
+    # NULL keys lie outside any declared bounds: counted without them
     n_null = sub("COUNT(*)", f"{k} IS NULL") if opts.null_key == "keep" else d.null_bigint
     q = [d.quote(c) for c in PROBE_COLUMNS]
     return (

@@ -174,3 +174,14 @@ def test_query_source_per_server(spark, servers):
     assert sorted((r.id, r.context) for r in df.collect()) == sorted([(4, "a1"), (5, "b1"), (6, "c1")] * 2)
     plan = split_plan(spark, SCHEMA, _opts(servers, **{"scan.query": q, "scan.partition.num": 2}))
     assert sorted((r.url_no, r.lo, r.hi) for r in plan.collect()) == [(0, 4, 5), (0, 6, 7), (1, 4, 5), (1, 6, 7)]
+
+
+def test_bounds_with_null_keys_kept(spark):
+    url = "jdbc:derby:memory:golden_bounds_nulls"
+    derby_exec(spark, url + ";create=true",
+               "CREATE TABLE JDBCSOURCE_B (id BIGINT, context VARCHAR(9))",
+               "INSERT INTO JDBCSOURCE_B VALUES (1, 'a'), (5, 'b'), (9, 'c'), (NULL, 'n')")
+    for mode in ({"scan.batch.size": 1}, {"scan.partition.num": 2}):
+        o = _opts([url], **mode, **{"scan.lower-bound": 2, "scan.upper-bound": 9, "scan.null-key": "keep"})
+        got = sorted((r.id is None, r.context) for r in sharded_scan(spark, SCHEMA, o).collect())
+        assert got == [(False, "b"), (False, "c"), (True, "n")], mode
