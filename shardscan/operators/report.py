@@ -17,18 +17,15 @@ def scan_report(spark: SparkSession, plan) -> DataFrame:
     matched but empty count as tables with no splits.
     """
     opts = plan.opts
-    shards = spark.createDataFrame(
-        [(s.url_no, opts.redact(s.url), s.schema, s.table) for s in plan.shards],
-        "url_no int, server string, schema_name string, table_name string",
+    per_shard = spark.createDataFrame(
+        [(s.url_no, opts.redact(s.url), s.schema, s.table, len(plan.splits.get(i, ())))
+         for i, s in enumerate(plan.shards)],
+        "url_no int, server string, schema_name string, table_name string, k bigint",
     )
-    per_table = plan.plan_df.groupBy("url_no", "schema_name", "table_name").agg(
-        F.count(F.lit(1)).alias("k")
-    )
-    joined = shards.join(per_table, ["url_no", "schema_name", "table_name"], "left")
-    return joined.groupBy("url_no", "server").agg(
+    return per_shard.groupBy("url_no", "server").agg(
         F.countDistinct("schema_name").alias("n_schemas"),
         F.count(F.lit(1)).alias("n_tables"),
-        F.coalesce(F.sum("k"), F.lit(0)).cast("bigint").alias("n_splits"),
+        F.sum("k").cast("bigint").alias("n_splits"),
     )
 
 
