@@ -14,17 +14,19 @@ def scan_report(spark: SparkSession, plan) -> DataFrame:
     """Per server: ``url_no, server, n_schemas, n_tables, n_splits``.
 
     ``plan`` is a :class:`shardscan.sources.jdbc.ScanPlan`; tables that are
-    matched but empty count as tables with no splits.
+    matched but empty count as tables with no splits, servers without a
+    match as servers with no tables.
     """
     opts = plan.opts
+    rows = [(s.url_no, opts.redact(s.url), s.schema, 1, len(plan.splits.get(i, ())))
+            for i, s in enumerate(plan.shards)]
+    seen = {s.url_no for s in plan.shards}
+    rows += [(i, opts.redact(u), None, 0, 0) for i, u in enumerate(opts.urls) if i not in seen]
     per_shard = spark.createDataFrame(
-        [(s.url_no, opts.redact(s.url), s.schema, s.table, len(plan.splits.get(i, ())))
-         for i, s in enumerate(plan.shards)],
-        "url_no int, server string, schema_name string, table_name string, k bigint",
-    )
+        rows, "url_no int, server string, schema_name string, is_shard int, k bigint")
     return per_shard.groupBy("url_no", "server").agg(
         F.countDistinct("schema_name").alias("n_schemas"),
-        F.count(F.lit(1)).alias("n_tables"),
+        F.sum("is_shard").cast("bigint").alias("n_tables"),
         F.sum("k").cast("bigint").alias("n_splits"),
     )
 
