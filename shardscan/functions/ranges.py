@@ -30,7 +30,8 @@ _FAST_SPAN = 2**62
 
 def _dec(c: Column | int) -> Column:
     if isinstance(c, int):
-        return F.lit(c).cast(DEC)
+        # via text: a Python int beyond 64 bits cannot travel as a long literal
+        return F.lit(str(c)).cast(DEC)
     return c.cast(DEC)
 
 
@@ -82,7 +83,7 @@ def split_lo(mn: Column, step: Column, i: Column) -> Column:
 def split_hi(mn: Column, step: Column, i: Column, max_value: int = LONG_MAX) -> Column:
     """Upper bound of split ``i``, saturated at ``max_value``."""
     hi = split_lo(mn, step, i) + _dec(step)
-    return F.least(hi, F.lit(max_value).cast(DEC)).cast(DEC)
+    return F.least(hi, _dec(max_value)).cast(DEC)
 
 
 def long_div(a: Column, b: Column) -> Column:
@@ -91,8 +92,12 @@ def long_div(a: Column, b: Column) -> Column:
 
 
 def fast_span(mn: Column, mx: Column) -> Column:
-    """True when a shard's span allows BIGINT arithmetic per row."""
-    return span(mn, mx) < F.lit(_FAST_SPAN).cast(DEC)
+    """True when a shard's keys and span allow BIGINT arithmetic per row."""
+    return (
+        (span(mn, mx) < _dec(_FAST_SPAN))
+        & (_dec(mn) >= _dec(LONG_MIN))
+        & (_dec(mx) <= _dec(LONG_MAX))
+    )
 
 
 def split_index(key: Column, mn: Column, mx: Column, step: Column) -> Column:
@@ -106,7 +111,7 @@ def split_index(key: Column, mn: Column, mx: Column, step: Column) -> Column:
 
 def step_width(step: Column) -> Column:
     """``step + 1`` as BIGINT, NULL when it does not fit (the decimal path is used then)."""
-    return F.when(_dec(step) < F.lit(_FAST_SPAN).cast(DEC), (_dec(step) + 1).cast("bigint"))
+    return F.when(_dec(step) < _dec(_FAST_SPAN), (_dec(step) + 1).cast("bigint"))
 
 
 def split_index_prepared(key: Column, fast: Column, mn: Column, width: Column, step: Column) -> Column:

@@ -76,8 +76,8 @@ def assign_splits(df: DataFrame, shard_cols: str | Sequence[str] | None, key: st
         row = stats.first()  # a global aggregate: exactly one row, or none when all keys are NULL
         if row is None:
             return df.withColumn(split_col, F.lit(None).cast("bigint"))
-        idx = R.split_index(k, F.lit(row.mn).cast(R.DEC), F.lit(row.mx).cast(R.DEC),
-                            F.lit(row.step).cast(R.DEC))
+        mn, mx, step = (F.lit(str(v)).cast(R.DEC) for v in (row.mn, row.mx, row.step))
+        idx = R.split_index(k, mn, mx, step)
         return df.withColumn(split_col, idx)
 
     stats = stats.select(*cols, "mn", "mx", "step", "n")

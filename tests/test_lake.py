@@ -12,7 +12,7 @@ from shardscan.plans.rule import split_ranges
 SF = "/root/testdata/sf0.001"
 
 
-def brute_counts(rows, mode):
+def brute_counts(rows, mode, top=2**63 - 1):
     """rows: [(shard, key)] -> Counter{(shard, split_no): n} using the Python rule."""
     by = {}
     for s, k in rows:
@@ -20,7 +20,7 @@ def brute_counts(rows, mode):
     out = Counter()
     for s, ks in by.items():
         nn = [k for k in ks if k is not None]
-        ranges = split_ranges(min(nn) if nn else None, max(nn) if nn else None, len(ks), **mode)
+        ranges = split_ranges(min(nn) if nn else None, max(nn) if nn else None, len(ks), top=top, **mode)
         for k in nn:
             idx = [i for i, (lo, hi) in enumerate(ranges) if lo <= k <= hi]
             assert len(idx) == 1  # each key in exactly one split
@@ -87,3 +87,29 @@ def test_non_integer_key_rejected(spark):
     df = spark.createDataFrame([("a", 1.5)], "s string, k double")
     with pytest.raises(ValueError):
         lake_split_plan(df, "s", "k", batch_size=1)
+
+
+def test_decimal_keys_above_bigint(spark):
+    """Unsigned-BIGINT-like keys (DECIMAL(20,0) above 2^63): exact, no overflow."""
+    from decimal import Decimal
+
+    base = 2**64 - 100
+    rows = [("a", Decimal(base + i)) for i in range(0, 100, 7)] + [("b", Decimal(5)), ("b", Decimal(9))]
+    df = spark.createDataFrame(rows, "s string, k decimal(20,0)")
+    got = {(r.s, r.split_no): r.n_rows for r in split_row_counts(df, "s", "k", partition_num=3).collect()}
+    brute = brute_counts([(s, int(k)) for s, k in rows], {"partition_num": 3}, top=10**20 - 1)
+    assert got == dict(brute)
+    plan = sorted((r.s, r.split_no, int(r.lo), int(r.hi)) for r in lake_split_plan(df, "s", "k", partition_num=3).collect())
+    a = [(lo, hi) for s, _, lo, hi in plan if s == "a"]
+    assert a == split_ranges(base, base + 98, 15, partition_num=3, top=10**20 - 1)
+
+
+def test_decimal_keys_one_shard(spark):
+    from decimal import Decimal
+
+    base = 2**64 - 1000
+    rows = [(Decimal(base + i),) for i in range(0, 1000, 3)]
+    df = spark.createDataFrame(rows, "k decimal(20,0)")
+    got = {r.split_no: r.n_rows for r in split_row_counts(df, None, "k", batch_size=10).collect()}
+    brute = brute_counts([(0, int(k)) for (k,) in rows], {"batch_size": 10}, top=10**20 - 1)
+    assert got == {i: n for (_, i), n in brute.items()}
