@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from decimal import Decimal
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -99,7 +100,11 @@ class ScanPlan:
                 "split_id bigint, shard_no int, url_no int, server string, schema_name string, "
                 f"table_name string, split_no bigint, lo {b}, hi {b}, query string"
             )
-            self._df = self.spark.createDataFrame(self.rows, ddl).drop("shard_no")
+            rows = self.rows
+            if b != "bigint":  # DECIMAL(p,0) keys: bounds as Decimal values
+                rows = [r[:7] + tuple(None if v is None else Decimal(v) for v in r[7:9]) + r[9:]
+                        for r in rows]
+            self._df = self.spark.createDataFrame(rows, ddl).drop("shard_no")
         return self._df
 
     @property

@@ -185,3 +185,16 @@ def test_bounds_with_null_keys_kept(spark):
         o = _opts([url], **mode, **{"scan.lower-bound": 2, "scan.upper-bound": 9, "scan.null-key": "keep"})
         got = sorted((r.id is None, r.context) for r in sharded_scan(spark, SCHEMA, o).collect())
         assert got == [(False, "b"), (False, "c"), (True, "n")], mode
+
+
+def test_decimal_key(spark):
+    url = "jdbc:derby:memory:golden_decimal_key"
+    big = 2**64 - 10
+    derby_exec(spark, url + ";create=true",
+               "CREATE TABLE JDBCSOURCE_D (id DECIMAL(20,0), context VARCHAR(9))",
+               *[f"INSERT INTO JDBCSOURCE_D VALUES ({big + i}, 'r{i}')" for i in range(0, 10, 2)])
+    schema = "id DECIMAL(20,0), context STRING"
+    o = _opts([url], **{"scan.partition.num": 2})
+    plan = sorted((int(r.lo), int(r.hi)) for r in split_plan(spark, schema, o).collect())
+    assert plan == [(big, big + 4), (big + 5, big + 9)]
+    assert sorted(int(r.id) for r in sharded_scan(spark, schema, o).collect()) == [big + i for i in range(0, 10, 2)]
