@@ -143,7 +143,7 @@ def plan_scan(spark: SparkSession, schema: StructType | str,
     P.key_limits(key_type)  # integral keys only
     names = [f.name for f in schema.fields]
     if not opts.query:
-        names = names + [opts.partition_column]
+        names = names + [opts.partition_column] + [c for c, _ in opts.conditions]
     shards = resolve_shards(spark, opts, names)
     if opts.query:
         shards = [Shard(s.url_no, s.url, s.schema, s.table, s.table_type) for s in shards]
@@ -157,10 +157,7 @@ def plan_scan(spark: SparkSession, schema: StructType | str,
         return plan
 
     servers = [opts.redact(u) for u in opts.urls]
-    prefixes = [
-        f"SELECT {_select_list(s, schema)} FROM {source_sql(s, opts)} WHERE {key_sql(s, opts)}"
-        for s in shards
-    ]
+    heads = [f"SELECT {_select_list(s, schema)} FROM {source_sql(s, opts)} WHERE " for s in shards]
     if opts.explicit_bounds and opts.partition_num is not None:
         # declared bounds, count not needed: no round trip to the servers
         probed = {i: (opts.lower_bound, opts.upper_bound, None, None) for i in range(len(shards))}
@@ -180,14 +177,14 @@ def plan_scan(spark: SparkSession, schema: StructType | str,
             )
         for j, (lo, hi) in enumerate(split_ranges(mn, mx, n, top=top, **mode)):
             out.append((len(out), i, s.url_no, servers[s.url_no], s.schema, s.table, j, lo, hi,
-                        f"{prefixes[i]} BETWEEN {lo} AND {hi}"))
+                        heads[i] + split_predicate(s, opts, lo, hi)))
     if opts.null_key == "keep":
         # one IS NULL split per shard that has (or, unprobed, may have) NULL keys
         for i, s in enumerate(shards):
             n_null = probed.get(i, (None, None, None, None))[3]
             if n_null is None or n_null > 0:
                 out.append((len(out), i, s.url_no, servers[s.url_no], s.schema, s.table, None, None,
-                            None, prefixes[i] + " IS NULL"))
+                            None, heads[i] + split_predicate(s, opts, None, None)))
     for r in out:
         plan.splits.setdefault(r[1], []).append((r[0], r[7], r[8]))
     if LOG.isEnabledFor(logging.INFO):
@@ -217,9 +214,7 @@ def read_plan(spark: SparkSession, plan: ScanPlan) -> DataFrame:
 
     def relation(shard_no: int) -> DataFrame:
         shard = plan.shards[shard_no]
-        k = key_sql(shard, opts)
-        preds = [f"{k} IS NULL" if lo is None else f"{k} BETWEEN {lo} AND {hi}"
-                 for _, lo, hi in plan.splits[shard_no]]
+        preds = [split_predicate(shard, opts, lo, hi) for _, lo, hi in plan.splits[shard_no]]
         props = opts.jdbc_properties(shard.dialect.driver)
         if want_ntz:
             props["preferTimestampNTZ"] = "true"
@@ -235,10 +230,26 @@ def read_plan(spark: SparkSession, plan: ScanPlan) -> DataFrame:
             parts = list(pool.map(relation, todo))
     else:
         parts = [relation(i) for i in todo]
-    df = balanced_union(parts)
+    return balanced_union(parts)
+
+
+def split_predicate(shard: Shard, opts: ScanOptions, lo: Any, hi: Any) -> str:
+    """WHERE text of one split: the key range (or ``IS NULL``) and the declared
+    equality conditions, in the shard's own SQL dialect."""
+    k = key_sql(shard, opts)
+    parts = [f"{k} IS NULL" if lo is None else f"{k} BETWEEN {lo} AND {hi}"]
     for name, value in opts.conditions:
-        df = df.where(F.col(_bq(name)) == F.lit(value))
-    return df
+        col = shard.dialect.quote(shard.resolve(name) or name)
+        parts.append(f"{col} = {_db_literal(value)}")
+    return " AND ".join(parts)
+
+
+def _db_literal(v: Any) -> str:
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    return "'" + str(v).replace("'", "''") + "'"
 
 
 def _bq(name: str) -> str:

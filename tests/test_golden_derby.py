@@ -198,3 +198,11 @@ def test_decimal_key(spark):
     plan = sorted((int(r.lo), int(r.hi)) for r in split_plan(spark, schema, o).collect())
     assert plan == [(big, big + 4), (big + 5, big + 9)]
     assert sorted(int(r.id) for r in sharded_scan(spark, schema, o).collect()) == [big + i for i in range(0, 10, 2)]
+
+
+def test_condition_on_undeclared_column(spark, servers):
+    o = _opts(servers, **{"scan.batch.size": 2, "scan.conditions": {"context": "b1"}})
+    df = sharded_scan(spark, "id BIGINT", o)
+    assert sorted(r.id for r in df.collect()) == [5, 5]
+    q = split_plan(spark, "id BIGINT", o).where("split_id = 2").first().query
+    assert q == 'SELECT "ID" FROM "APP"."JDBCSOURCE_2" WHERE "ID" BETWEEN 4 AND 5 AND "CONTEXT" = \'b1\''
