@@ -23,7 +23,6 @@ def local_session(cores: int | str = "*", app: str = "shardscan") -> SparkSessio
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.python.filterPushdown.enabled", "true")
         .getOrCreate()
     )
 
