@@ -99,6 +99,8 @@ class ScanOptions:
     session_init_statement: str | None = None
     query_timeout: int | None = None
     splits_per_task: int = 1
+    salt_column: str | None = None
+    salt_buckets: int = 1
 
     # ------------------------------------------------------------------ build
     @classmethod
@@ -116,7 +118,7 @@ class ScanOptions:
             "scan_fetch_size", "scan_lower_bound", "scan_upper_bound", "scan_query",
             "scan_conditions", "scan_null_key", "table_types", "scan_provenance",
             "scan_max_splits", "scan_session_init_statement", "scan_query_timeout",
-            "scan_splits_per_task",
+            "scan_splits_per_task", "scan_salt_column", "scan_salt_buckets",
             "connector", "schema",
         }
         aliases = {
@@ -180,6 +182,8 @@ class ScanOptions:
             session_init_statement=m.get("scan_session_init_statement") or None,
             query_timeout=_as_int("scan.query-timeout", m.get("scan_query_timeout")),
             splits_per_task=_default(_as_int("scan.splits-per-task", m.get("scan_splits_per_task")), 1),
+            salt_column=m.get("scan_salt_column") or None,
+            salt_buckets=_default(_as_int("scan.salt.buckets", m.get("scan_salt_buckets")), 1),
         )
         opts.validate()
         return opts
@@ -211,6 +215,10 @@ class ScanOptions:
             raise ValueError("'scan.null-key' must be 'drop' or 'keep'")
         if self.max_splits < 1:
             raise ValueError("'scan.max-splits' must be >= 1")
+        if self.salt_buckets < 1:
+            raise ValueError("'scan.salt.buckets' must be >= 1")
+        if (self.salt_buckets > 1) != (self.salt_column is not None):
+            raise ValueError("'scan.salt.column' and 'scan.salt.buckets' > 1 go together")
         if self.splits_per_task < 1:
             raise ValueError("'scan.splits-per-task' must be >= 1")
         if self.query_timeout is not None and self.query_timeout < 0:
@@ -221,6 +229,11 @@ class ScanOptions:
     def explicit_bounds(self) -> bool:
         return self.lower_bound is not None
 
+    @property
+    def buckets(self) -> list[int | None]:
+        """Salt buckets each key range is read in (``[None]`` when not salted)."""
+        return list(range(self.salt_buckets)) if self.salt_column else [None]
+
     def jdbc_properties(self, driver: str | None) -> dict[str, str]:
         """Properties for ``spark.read.jdbc``; the password never leaves here
         except into Spark's own (redacted) JDBC options."""

@@ -42,6 +42,7 @@ from pyspark.sql.types import StructType
 
 from shardscan.options import ScanOptions
 from shardscan.plans.rule import split_count, split_ranges
+from shardscan.sources.dialects import salt_predicate
 
 NAME = "sharded_dbapi"
 _CATALOG_SQLITE = (
@@ -114,6 +115,8 @@ class Split:
     key: str                  # actual key name
     lo: int | None            # None, None = the IS NULL split
     hi: int | None
+    bucket: int | None = None  # salt bucket, when salted
+    salt: str | None = None    # actual salt column name
 
 
 @dataclass(frozen=True)
@@ -219,17 +222,28 @@ class ShardedDbapiReader(DataSourceReader):
                     else:
                         mn, mx, n, n_null = self._probe(conn, kind, self._source(kind, schema_name, table), qk)
                     mn, mx = (None if v is None else int(v) for v in (mn, mx))
-                    if len(splits) + split_count(mn, mx, n, **mode) > o.max_splits:
+                    if len(splits) + split_count(mn, mx, n, **mode) * o.salt_buckets > o.max_splits:
                         raise ValueError(f"the plan has more than scan.max-splits={o.max_splits} splits")
+                    salt = None
+                    if o.salt_column:
+                        salt = o.salt_column if o.query else self._resolve(cols, o.salt_column)
+                        if salt is None:
+                            raise ValueError(f"server {url_no} {schema_name}.{table} lacks salt column "
+                                             f"{o.salt_column!r}")
                     for lo, hi in split_ranges(mn, mx, n, **mode):
-                        splits.append(Split(len(splits), url_no, schema_name, table, tuple(declared), key, lo, hi))
+                        for b in o.buckets:
+                            splits.append(Split(len(splits), url_no, schema_name, table, tuple(declared),
+                                                key, lo, hi, b, salt))
                     if o.null_key == "keep" and (n_null is None or n_null > 0):
-                        null_splits.append(Split(-1, url_no, schema_name, table, tuple(declared), key, None, None))
+                        for b in o.buckets:
+                            null_splits.append(Split(-1, url_no, schema_name, table, tuple(declared), key,
+                                                     None, None, b, salt))
             finally:
                 conn.close()
         base = len(splits)
         for i, s in enumerate(null_splits):
-            splits.append(Split(base + i, s.url_no, s.schema, s.table, s.columns, s.key, None, None))
+            splits.append(Split(base + i, s.url_no, s.schema, s.table, s.columns, s.key, None, None,
+                                s.bucket, s.salt))
         return pack(splits, o.splits_per_task)
 
     @staticmethod
@@ -243,6 +257,8 @@ class ShardedDbapiReader(DataSourceReader):
         cols = ", ".join(_quote(kind, c) for c in s.columns)
         qk = _quote(kind, s.key)
         cond = [f"{qk} IS NULL" if s.lo is None else f"{qk} BETWEEN {s.lo} AND {s.hi}"]
+        if s.bucket is not None:
+            cond.append(salt_predicate(_quote(kind, s.salt), self.opts.salt_buckets, s.bucket))
         by_decl = {f.name.lower(): a for f, a in zip(self.schema.fields, s.columns)}
         for name, value in self.opts.conditions:  # declared equality conditions
             cond.append(f"{_quote(kind, by_decl.get(name.lower(), name))} = {_literal(value)}")

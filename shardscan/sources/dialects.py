@@ -114,3 +114,12 @@ def dialect_for(url: str) -> Dialect:
         if u.startswith(prefix):
             return d
     return GENERIC
+
+
+def salt_predicate(column_sql: str, buckets: int, bucket: int) -> str:
+    """Rows of one salt bucket: ``MOD(col, k)`` is negative for negative values
+    on every supported engine, so bucket ``j`` also takes remainder ``j - k``;
+    NULL salt values go to bucket 0."""
+    if bucket == 0:
+        return f"(MOD({column_sql}, {buckets}) = 0 OR {column_sql} IS NULL)"
+    return f"MOD({column_sql}, {buckets}) IN ({bucket}, {bucket - buckets})"

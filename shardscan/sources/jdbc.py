@@ -40,6 +40,7 @@ import re
 from shardscan.options import ScanOptions
 from shardscan.plans import splits as P
 from shardscan.plans.rule import split_count, split_ranges
+from shardscan.sources.dialects import salt_predicate
 from shardscan.sources.discovery import Shard, check_columns, resolve_shards
 from shardscan.sources.probe import key_sql, probe, source_sql
 from shardscan.util import balanced_union
@@ -85,20 +86,20 @@ class ScanPlan:
     schema: StructType
     key_type: DataType
     shards: list[Shard]
-    # shard_no -> list of (split_id, lo, hi); lo/hi None = the IS NULL split
+    # shard_no -> list of (split_id, lo, hi, bucket); lo/hi None = the IS NULL split
     splits: dict[int, list[tuple[int, Any, Any]]] = field(default_factory=dict)
-    # (split_id, shard_no, url_no, server, schema_name, table_name, split_no, lo, hi, query)
+    # (split_id, shard_no, url_no, server, schema_name, table_name, split_no, lo, hi, query, bucket)
     rows: list[tuple] = field(default_factory=list)
     _df: DataFrame | None = None
 
     @property
     def plan_df(self) -> DataFrame:
-        """``split_id, url_no, server, schema_name, table_name, split_no, lo, hi, query``."""
+        """``split_id, url_no, server, schema_name, table_name, split_no, lo, hi, query, bucket``."""
         if self._df is None:
             b = P.bound_type(self.key_type)
             ddl = (
                 "split_id bigint, shard_no int, url_no int, server string, schema_name string, "
-                f"table_name string, split_no bigint, lo {b}, hi {b}, query string"
+                f"table_name string, split_no bigint, lo {b}, hi {b}, query string, bucket int"
             )
             rows = self.rows
             if b != "bigint":  # DECIMAL(p,0) keys: bounds as Decimal values
@@ -144,6 +145,7 @@ def plan_scan(spark: SparkSession, schema: StructType | str,
     names = [f.name for f in schema.fields]
     if not opts.query:
         names = names + [opts.partition_column] + [c for c, _ in opts.conditions]
+        names += [opts.salt_column] if opts.salt_column else []
     shards = resolve_shards(spark, opts, names)
     if opts.query:
         shards = [Shard(s.url_no, s.url, s.schema, s.table, s.table_type) for s in shards]
@@ -170,23 +172,25 @@ def plan_scan(spark: SparkSession, schema: StructType | str,
     for i, s in enumerate(shards):
         mn, mx, n, _ = (None if v is None else int(v) for v in probed.get(i, (None,) * 4))
         mode = {"batch_size": opts.batch_size, "partition_num": opts.partition_num}
-        if len(out) + split_count(mn, mx, n, **mode) > opts.max_splits:
+        if len(out) + split_count(mn, mx, n, **mode) * opts.salt_buckets > opts.max_splits:
             raise ValueError(
                 f"the plan has more than scan.max-splits={opts.max_splits} splits; "
                 "raise scan.batch.size, lower scan.partition.num or raise scan.max-splits"
             )
         for j, (lo, hi) in enumerate(split_ranges(mn, mx, n, top=top, **mode)):
-            out.append((len(out), i, s.url_no, servers[s.url_no], s.schema, s.table, j, lo, hi,
-                        heads[i] + split_predicate(s, opts, lo, hi)))
+            for b in opts.buckets:
+                out.append((len(out), i, s.url_no, servers[s.url_no], s.schema, s.table, j, lo, hi,
+                            heads[i] + split_predicate(s, opts, lo, hi, b), b))
     if opts.null_key == "keep":
         # one IS NULL split per shard that has (or, unprobed, may have) NULL keys
         for i, s in enumerate(shards):
             n_null = probed.get(i, (None, None, None, None))[3]
             if n_null is None or n_null > 0:
-                out.append((len(out), i, s.url_no, servers[s.url_no], s.schema, s.table, None, None,
-                            None, heads[i] + split_predicate(s, opts, None, None)))
+                for b in opts.buckets:
+                    out.append((len(out), i, s.url_no, servers[s.url_no], s.schema, s.table, None,
+                                None, None, heads[i] + split_predicate(s, opts, None, None, b), b))
     for r in out:
-        plan.splits.setdefault(r[1], []).append((r[0], r[7], r[8]))
+        plan.splits.setdefault(r[1], []).append((r[0], r[7], r[8], r[10]))
     if LOG.isEnabledFor(logging.INFO):
         for url_no in sorted({s.url_no for s in shards}):
             mine = [i for i, s in enumerate(shards) if s.url_no == url_no]
@@ -214,7 +218,7 @@ def read_plan(spark: SparkSession, plan: ScanPlan) -> DataFrame:
 
     def relation(shard_no: int) -> DataFrame:
         shard = plan.shards[shard_no]
-        preds = [split_predicate(shard, opts, lo, hi) for _, lo, hi in plan.splits[shard_no]]
+        preds = [split_predicate(shard, opts, lo, hi, b) for _, lo, hi, b in plan.splits[shard_no]]
         props = opts.jdbc_properties(shard.dialect.driver)
         if want_ntz:
             props["preferTimestampNTZ"] = "true"
@@ -233,11 +237,15 @@ def read_plan(spark: SparkSession, plan: ScanPlan) -> DataFrame:
     return balanced_union(parts)
 
 
-def split_predicate(shard: Shard, opts: ScanOptions, lo: Any, hi: Any) -> str:
-    """WHERE text of one split: the key range (or ``IS NULL``) and the declared
-    equality conditions, in the shard's own SQL dialect."""
+def split_predicate(shard: Shard, opts: ScanOptions, lo: Any, hi: Any, bucket: int | None = None) -> str:
+    """WHERE text of one split: the key range (or ``IS NULL``), the salt
+    bucket if any, and the declared equality conditions, in the shard's own
+    SQL dialect."""
     k = key_sql(shard, opts)
     parts = [f"{k} IS NULL" if lo is None else f"{k} BETWEEN {lo} AND {hi}"]
+    if bucket is not None:
+        salt = shard.dialect.quote(shard.resolve(opts.salt_column) or opts.salt_column)
+        parts.append(salt_predicate(salt, opts.salt_buckets, bucket))
     for name, value in opts.conditions:
         col = shard.dialect.quote(shard.resolve(name) or name)
         parts.append(f"{col} = {_db_literal(value)}")

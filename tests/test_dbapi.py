@@ -119,3 +119,9 @@ def test_splits_per_task_is_flat_only(spark):
         sharded_scan(spark, "id BIGINT", {"url": "jdbc:derby:memory:x", "table-name": "T", "schema-name": "APP",
                                           "scan.partition.column": "id", "scan.batch.size": 1,
                                           "scan.splits-per-task": 4})
+
+
+def test_salted(spark, files):
+    df = read(spark, files, **{"scan.partition.num": 1, "scan.salt.column": "id", "scan.salt.buckets": 3})
+    assert df.rdd.getNumPartitions() == 6
+    assert sorted(r.id for r in df.collect()) == [1, 2, 3, 4, 5, 6]

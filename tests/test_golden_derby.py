@@ -206,3 +206,19 @@ def test_condition_on_undeclared_column(spark, servers):
     assert sorted(r.id for r in df.collect()) == [5, 5]
     q = split_plan(spark, "id BIGINT", o).where("split_id = 2").first().query
     assert q == 'SELECT "ID" FROM "APP"."JDBCSOURCE_2" WHERE "ID" BETWEEN 4 AND 5 AND "CONTEXT" = \'b1\''
+
+
+def test_salted_hot_key(spark):
+    """One key value holds most rows: salt buckets cut its range into parallel reads."""
+    url = "jdbc:derby:memory:golden_salt"
+    rows = [(7, i) for i in range(-50, 150)] + [(k, k) for k in range(1, 30)] + [(None, 3), (8, None)]
+    derby_exec(spark, url + ";create=true", "CREATE TABLE JDBCSOURCE_S (id BIGINT, seq BIGINT)",
+               *[f"INSERT INTO JDBCSOURCE_S VALUES ({'NULL' if a is None else a}, {'NULL' if b is None else b})"
+                 for a, b in rows])
+    o = _opts([url], **{"scan.batch.size": 100, "scan.null-key": "keep",
+                        "scan.salt.column": "seq", "scan.salt.buckets": 4})
+    df = sharded_scan(spark, "id BIGINT, seq BIGINT", o)
+    plan = split_plan(spark, "id BIGINT, seq BIGINT", o).collect()
+    assert df.rdd.getNumPartitions() == len(plan) == 4 * len({(r.split_no, r.lo) for r in plan})
+    got = sorted(((r.id, r.seq) for r in df.collect()), key=str)
+    assert got == sorted(rows, key=str)

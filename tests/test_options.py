@@ -70,3 +70,12 @@ def test_redact():
     assert "pw" not in redact("jdbc:derby:memory:x;user=u;password=pw")
     assert "pw" not in redact("postgresql://u:pw@host/db")
     assert redact("jdbc:derby:memory:x") == "jdbc:derby:memory:x"
+
+
+def test_salt_options():
+    o = ScanOptions.from_map(BASE, **{"scan.batch.size": 1, "scan.salt.column": "s", "scan.salt.buckets": 3})
+    assert o.buckets == [0, 1, 2]
+    assert ScanOptions.from_map(BASE, **{"scan.batch.size": 1}).buckets == [None]
+    for bad in ({"scan.salt.column": "s"}, {"scan.salt.buckets": 2}, {"scan.salt.column": "s", "scan.salt.buckets": 0}):
+        with pytest.raises(ValueError):
+            ScanOptions.from_map(BASE, **{"scan.batch.size": 1, **bad})
