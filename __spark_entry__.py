@@ -231,6 +231,15 @@ def q30_flat_backend_orders(spark, sf):
             .load())
 
 
+def q31_hot_key_salted(spark, sf):
+    """Every key value holds a third of a shard: each range is read as 4 salt buckets."""
+    urls = FX.orders_hot_key(spark, sf)
+    return sharded_scan(spark, _orders_schema(spark, sf), {
+        "url": list(urls), "table-name": "ORDERS_.*", "schema-name": "APP",
+        "scan.partition.column": "hot_key", "scan.batch.size": 1000,
+        "scan.salt.column": "o_custkey", "scan.salt.buckets": 4})
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()
 }
@@ -307,6 +316,7 @@ _ORACLE = {
     "q26_no_match": "SELECT * FROM orders WHERE FALSE",
     "q27_many_shards": "SELECT * FROM events",
     "q30_flat_backend_orders": "SELECT * FROM orders",
+    "q31_hot_key_salted": "SELECT * FROM orders",
     "q29_scan_split_rows": (
         "WITH s AS (SELECT o_orderkey % 4 AS shard, MIN(o_orderkey) AS mn, MAX(o_orderkey) AS mx, "
         "COUNT(*) AS n FROM orders GROUP BY 1), "

@@ -109,6 +109,16 @@ def orders_shards(spark: SparkSession, sf_dir: str, variant: str = "plain") -> t
                       index_on="o_orderkey")
 
 
+def orders_hot_key(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
+    """orders sharded as usual plus ``hot_key = o_orderkey % 3``: a shard key
+    whose every value holds a third of the rows."""
+    src = parquet(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    src = src.withColumn("hot_key", k % 3)
+    shards = [ShardSpec(i % 2, "APP", f"ORDERS_{i}", k % 4 == i) for i in range(4)]
+    return load_derby(spark, f"ss_{sf_tag(sf_dir)}_orders_hot", src, shards, index_on="hot_key")
+
+
 def nation_copies(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
     """nation: every row in ``APP.NATION_0`` on both servers."""
     src = parquet(spark, sf_dir, "nation")
