@@ -195,55 +195,65 @@ class ShardedDbapiReader(DataSourceReader):
         cur.execute(f"SELECT {sub(f'MIN({qk})')}, {sub(f'MAX({qk})')}, {n}, {nn}")
         return cur.fetchone()
 
-    def partitions(self) -> list[Task]:
+    def _plan_server(self, url_no: int, url: str) -> tuple[list[Split], list[Split]]:
+        """Range splits and NULL-key splits of one server (ids assigned later)."""
         o = self.opts
         mode = {"batch_size": o.batch_size, "partition_num": o.partition_num}
-        splits: list[Split] = []
-        null_splits: list[Split] = []
-        for url_no, url in enumerate(o.urls):
-            kind = _kind(url)
-            conn = connect(url, o.username, o.password)
-            try:
-                if o.query and "{table}" not in o.query:
-                    shards = [(None, None, tuple(f.name for f in self.schema.fields) + (o.partition_column,))]
+        kind = _kind(url)
+        ranges: list[Split] = []
+        nulls: list[Split] = []
+        conn = connect(url, o.username, o.password)
+        try:
+            if o.query and "{table}" not in o.query:
+                shards = [(None, None, tuple(f.name for f in self.schema.fields) + (o.partition_column,))]
+            else:
+                shards = self._discover(url_no, url, conn)
+            for schema_name, table, cols in shards:
+                declared = [self._resolve(cols, f.name) for f in self.schema.fields]
+                key = o.partition_column if o.query else self._resolve(cols, o.partition_column)
+                missing = [f.name for f, a in zip(self.schema.fields, declared) if a is None]
+                if key is None:
+                    missing.append(o.partition_column)
+                if missing:
+                    raise ValueError(f"server {url_no} {schema_name}.{table} lacks declared column(s) {missing}")
+                salt = None
+                if o.salt_column:
+                    salt = o.salt_column if o.query else self._resolve(cols, o.salt_column)
+                    if salt is None:
+                        raise ValueError(f"server {url_no} {schema_name}.{table} lacks salt column "
+                                         f"{o.salt_column!r}")
+                qk = _quote(kind, key)
+                if o.explicit_bounds and o.partition_num is not None:
+                    mn, mx, n, n_null = o.lower_bound, o.upper_bound, None, None
                 else:
-                    shards = self._discover(url_no, url, conn)
-                for schema_name, table, cols in shards:
-                    declared = [self._resolve(cols, f.name) for f in self.schema.fields]
-                    key = o.partition_column if o.query else self._resolve(cols, o.partition_column)
-                    missing = [f.name for f, a in zip(self.schema.fields, declared) if a is None]
-                    if key is None:
-                        missing.append(o.partition_column)
-                    if missing:
-                        raise ValueError(f"server {url_no} {schema_name}.{table} lacks declared column(s) {missing}")
-                    qk = _quote(kind, key)
-                    if o.explicit_bounds and o.partition_num is not None:
-                        mn, mx, n, n_null = o.lower_bound, o.upper_bound, None, None
-                    else:
-                        mn, mx, n, n_null = self._probe(conn, kind, self._source(kind, schema_name, table), qk)
-                    mn, mx = (None if v is None else int(v) for v in (mn, mx))
-                    if len(splits) + split_count(mn, mx, n, **mode) * o.salt_buckets > o.max_splits:
-                        raise ValueError(f"the plan has more than scan.max-splits={o.max_splits} splits")
-                    salt = None
-                    if o.salt_column:
-                        salt = o.salt_column if o.query else self._resolve(cols, o.salt_column)
-                        if salt is None:
-                            raise ValueError(f"server {url_no} {schema_name}.{table} lacks salt column "
-                                             f"{o.salt_column!r}")
-                    for lo, hi in split_ranges(mn, mx, n, **mode):
-                        for b in o.buckets:
-                            splits.append(Split(len(splits), url_no, schema_name, table, tuple(declared),
-                                                key, lo, hi, b, salt))
-                    if o.null_key == "keep" and (n_null is None or n_null > 0):
-                        for b in o.buckets:
-                            null_splits.append(Split(-1, url_no, schema_name, table, tuple(declared), key,
-                                                     None, None, b, salt))
-            finally:
-                conn.close()
-        base = len(splits)
-        for i, s in enumerate(null_splits):
-            splits.append(Split(base + i, s.url_no, s.schema, s.table, s.columns, s.key, None, None,
-                                s.bucket, s.salt))
+                    mn, mx, n, n_null = self._probe(conn, kind, self._source(kind, schema_name, table), qk)
+                mn, mx = (None if v is None else int(v) for v in (mn, mx))
+                if len(ranges) + split_count(mn, mx, n, **mode) * o.salt_buckets > o.max_splits:
+                    raise ValueError(f"the plan has more than scan.max-splits={o.max_splits} splits")
+                for lo, hi in split_ranges(mn, mx, n, **mode):
+                    for b in o.buckets:
+                        ranges.append(Split(-1, url_no, schema_name, table, tuple(declared), key, lo, hi, b, salt))
+                if o.null_key == "keep" and (n_null is None or n_null > 0):
+                    for b in o.buckets:
+                        nulls.append(Split(-1, url_no, schema_name, table, tuple(declared), key, None, None, b, salt))
+        finally:
+            conn.close()
+        return ranges, nulls
+
+    def partitions(self) -> list[Task]:
+        """Discovery and probes of all servers, each in its own thread (DB-API
+        drivers wait on I/O outside the GIL); ids follow server order."""
+        from concurrent.futures import ThreadPoolExecutor
+        from dataclasses import replace
+
+        o = self.opts
+        with ThreadPoolExecutor(max(1, min(8, len(o.urls)))) as pool:
+            per_server = list(pool.map(lambda a: self._plan_server(*a), enumerate(o.urls)))
+        ordered = [s for ranges, _ in per_server for s in ranges]
+        ordered += [s for _, nulls in per_server for s in nulls]
+        if len(ordered) > o.max_splits:
+            raise ValueError(f"the plan has more than scan.max-splits={o.max_splits} splits")
+        splits = [replace(s, split_id=i) for i, s in enumerate(ordered)]
         return pack(splits, o.splits_per_task)
 
     @staticmethod
