@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from shardscan.options import ScanOptions
 from shardscan.sources.dialects import CATALOG_COLUMNS, Dialect, dialect_for
-from shardscan.util import balanced_union
+from shardscan.util import balanced_union, parallel_map
 
 
 @dataclass(frozen=True)
@@ -61,24 +61,24 @@ def full_match(regex: str) -> str:
 
 def catalog(spark: SparkSession, opts: ScanOptions) -> DataFrame:
     """``url_no, schema_name, table_name, table_type, column_name, ordinal`` of every server."""
-    parts = []
-    for url_no, url in enumerate(opts.urls):
+    def one(url_no: int) -> DataFrame:
+        url = opts.urls[url_no]
         d = dialect_for(url)
         reader = spark.read.format("jdbc").option("url", url).option("query", d.catalog_query)
         for k, v in opts.jdbc_properties(d.driver).items():
             reader = reader.option(k, v)
         df = reader.load().toDF(*CATALOG_COLUMNS)
-        parts.append(
-            df.select(
-                F.lit(url_no).cast("int").alias("url_no"),
-                F.col("schema_name").cast("string").alias("schema_name"),
-                F.col("table_name").cast("string").alias("table_name"),
-                F.upper(F.trim(F.col("table_type").cast("string"))).alias("table_type"),
-                F.col("column_name").cast("string").alias("column_name"),
-                F.col("ordinal").cast("int").alias("ordinal"),
-            )
+        return df.select(
+            F.lit(url_no).cast("int").alias("url_no"),
+            F.col("schema_name").cast("string").alias("schema_name"),
+            F.col("table_name").cast("string").alias("table_name"),
+            F.upper(F.trim(F.col("table_type").cast("string"))).alias("table_type"),
+            F.col("column_name").cast("string").alias("column_name"),
+            F.col("ordinal").cast("int").alias("ordinal"),
         )
-    return balanced_union(parts)
+
+    # each load() resolves its schema with a round trip to its server: a few driver threads
+    return balanced_union(parallel_map(one, range(len(opts.urls))))
 
 
 def matching(cat: DataFrame, opts: ScanOptions) -> DataFrame:

@@ -15,7 +15,6 @@ through it.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from decimal import Decimal
 from typing import Any
@@ -43,7 +42,7 @@ from shardscan.plans.rule import split_count, split_ranges
 from shardscan.sources.dialects import salt_predicate
 from shardscan.sources.discovery import Shard, check_columns, resolve_shards
 from shardscan.sources.probe import key_sql, probe, source_sql
-from shardscan.util import balanced_union
+from shardscan.util import balanced_union, parallel_map
 
 def as_schema(schema: StructType | str) -> StructType:
     """Declared schema from a ``StructType`` or a DDL string; CHAR/VARCHAR(n)
@@ -203,8 +202,6 @@ def plan_scan(spark: SparkSession, schema: StructType | str,
 
 LOG = logging.getLogger("shardscan")
 
-RELATION_THREADS = 4
-
 
 def read_plan(spark: SparkSession, plan: ScanPlan) -> DataFrame:
     """The bag union of every split of ``plan`` in the declared schema.
@@ -229,12 +226,7 @@ def read_plan(spark: SparkSession, plan: ScanPlan) -> DataFrame:
     todo = [i for i in range(len(plan.shards)) if plan.splits.get(i)]
     if not todo:
         return spark.createDataFrame([], plan.output_schema())
-    if len(todo) > RELATION_THREADS:
-        with ThreadPoolExecutor(RELATION_THREADS) as pool:
-            parts = list(pool.map(relation, todo))
-    else:
-        parts = [relation(i) for i in todo]
-    return balanced_union(parts)
+    return balanced_union(parallel_map(relation, todo))
 
 
 def split_predicate(shard: Shard, opts: ScanOptions, lo: Any, hi: Any, bucket: int | None = None) -> str:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from shardscan.options import ScanOptions
 from shardscan.sources.discovery import Shard
-from shardscan.util import balanced_union
+from shardscan.util import balanced_union, parallel_map
 
 CHUNK_TABLES = 200
 PROBE_COLUMNS = ("shard_no", "mn", "mx", "n", "n_null")
@@ -81,23 +81,23 @@ def probe(spark: SparkSession, opts: ScanOptions, shards: Sequence[Shard]) -> Da
     by_url: dict[int, list[int]] = {}
     for i, s in enumerate(shards):
         by_url.setdefault(s.url_no, []).append(i)
-    parts = []
-    for url_no, idx in by_url.items():
-        url = opts.urls[url_no]
-        d = shards[idx[0]].dialect
-        for c in range(0, len(idx), CHUNK_TABLES):
-            stmt = " UNION ALL ".join(probe_statement(i, shards[i], opts) for i in idx[c:c + CHUNK_TABLES])
-            reader = spark.read.format("jdbc").option("url", url).option("query", stmt)
-            for k, v in opts.jdbc_properties(d.driver).items():
-                reader = reader.option(k, v)
-            df = reader.load().toDF(*PROBE_COLUMNS)
-            parts.append(
-                df.select(
-                    F.col("shard_no").cast("int").alias("shard_no"),
-                    F.col("mn").cast("decimal(38,0)").alias("mn"),
-                    F.col("mx").cast("decimal(38,0)").alias("mx"),
-                    F.col("n").cast("bigint").alias("n"),
-                    F.col("n_null").cast("bigint").alias("n_null"),
-                )
-            )
-    return balanced_union(parts)
+    chunks = [(url_no, idx[c:c + CHUNK_TABLES])
+              for url_no, idx in by_url.items() for c in range(0, len(idx), CHUNK_TABLES)]
+
+    def one(chunk: tuple[int, list[int]]) -> DataFrame:
+        url_no, members = chunk
+        d = shards[members[0]].dialect
+        stmt = " UNION ALL ".join(probe_statement(i, shards[i], opts) for i in members)
+        reader = spark.read.format("jdbc").option("url", opts.urls[url_no]).option("query", stmt)
+        for k, v in opts.jdbc_properties(d.driver).items():
+            reader = reader.option(k, v)
+        df = reader.load().toDF(*PROBE_COLUMNS)
+        return df.select(
+            F.col("shard_no").cast("int").alias("shard_no"),
+            F.col("mn").cast("decimal(38,0)").alias("mn"),
+            F.col("mx").cast("decimal(38,0)").alias("mx"),
+            F.col("n").cast("bigint").alias("n"),
+            F.col("n_null").cast("bigint").alias("n_null"),
+        )
+
+    return balanced_union(parallel_map(one, chunks))

@@ -2,10 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame
 
+T = TypeVar("T")
+R = TypeVar("R")
+
+DRIVER_THREADS = 4
+
+
+def parallel_map(fn: Callable[[T], R], items: Iterable[T], threads: int = DRIVER_THREADS) -> list[R]:
+    """``map`` on a few driver threads, order kept.
+
+    For building DataFrames whose creation waits on a server round trip
+    (a JDBC source resolves its schema when created); serial for one item.
+    """
+    items = list(items)
+    if len(items) <= 1:
+        return [fn(i) for i in items]
+    with ThreadPoolExecutor(min(threads, len(items))) as pool:
+        return list(pool.map(fn, items))
+
 
 def balanced_union(parts: Sequence[DataFrame]) -> DataFrame:
     """``UNION ALL`` of many frames as a balanced tree.
