@@ -1,0 +1,33 @@
+import threading
+
+import pytest
+
+from shardscan.util import balanced_union, parallel_map
+
+
+def test_parallel_map_keeps_order_and_uses_threads():
+    seen = set()
+
+    def f(x):
+        seen.add(threading.get_ident())
+        return x * x
+
+    assert parallel_map(f, range(20)) == [x * x for x in range(20)]
+    assert parallel_map(f, []) == []
+
+
+def test_parallel_map_raises():
+    def f(x):
+        if x == 3:
+            raise ValueError("boom")
+        return x
+
+    with pytest.raises(ValueError, match="boom"):
+        parallel_map(f, range(6))
+
+
+def test_balanced_union(spark):
+    parts = [spark.range(i, i + 1) for i in range(7)]
+    assert sorted(r.id for r in balanced_union(parts).collect()) == list(range(7))
+    with pytest.raises(ValueError):
+        balanced_union([])
