@@ -11,7 +11,9 @@ DataFrame; loads are remembered per application so a session pays once.
 
 from __future__ import annotations
 
+import functools
 import re
+import threading
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -23,6 +25,15 @@ from shardscan.session import app_key
 
 DERBY_DRIVER = "org.apache.derby.jdbc.EmbeddedDriver"
 _LOADED: dict[tuple[str, str], tuple[str, ...]] = {}
+_LOCK = threading.RLock()  # one loader at a time, so concurrent callers never load twice
+
+
+def _serialized(fn):
+    @functools.wraps(fn)
+    def wrapper(*args, **kwargs):
+        with _LOCK:
+            return fn(*args, **kwargs)
+    return wrapper
 
 
 @dataclass(frozen=True)
@@ -42,6 +53,7 @@ def sf_tag(sf_dir: str) -> str:
     return re.sub(r"[^A-Za-z0-9]", "_", base)
 
 
+@_serialized
 def load_derby(spark: SparkSession, name: str, df: DataFrame, shards: Sequence[ShardSpec],
                n_servers: int | None = None, columns: Sequence[str] | None = None,
                varchar: int = 1024, index_on: str | None = None) -> tuple[str, ...]:
@@ -147,6 +159,7 @@ _SQLITE_TYPES = {"bigint": "INTEGER", "int": "INTEGER", "smallint": "INTEGER", "
                  "boolean": "INTEGER", "double": "REAL", "float": "REAL"}
 
 
+@_serialized
 def fixture_root(spark: SparkSession) -> str:
     """Folder for file fixtures: ``spark.shardscan.fixtureDir`` or, in local
     mode only, a fresh temporary folder per application."""
@@ -165,6 +178,7 @@ def fixture_root(spark: SparkSession) -> str:
     return _LOADED[key][0]
 
 
+@_serialized
 def load_sqlite(spark: SparkSession, name: str, df: DataFrame, file_of: Column,
                 table_of: Column | str, n_files: int) -> tuple[str, ...]:
     """Write ``df`` into ``n_files`` SQLite files (file number = ``file_of``,
@@ -288,6 +302,7 @@ def derby_ddl(spark: SparkSession, url: str, *statements: str, ignore_errors: bo
         conn.close()
 
 
+@_serialized
 def events_many_shards(spark: SparkSession, sf_dir: str, n_tables: int) -> tuple[str, ...]:
     """events in ``n_tables`` tables ``APP.EV_{event_id % n_tables}`` on 2 servers
     (table k on server k % 2), for plan-size tests.  Rows are copied inside
