@@ -26,6 +26,7 @@ from shardscan import (
     sharded_scan,
     skew_report,
     split_row_counts,
+    split_row_counts_in_db,
 )
 from shardscan import fixtures as FX
 from shardscan.sources import dbapi
@@ -240,10 +241,24 @@ def q31_hot_key_salted(spark, sf):
         "scan.salt.column": "o_custkey", "scan.salt.buckets": 4})
 
 
+def q32_split_rows_in_db(spark, sf):
+    """q29 counted inside the databases: one GROUP BY per shard, only counts travel."""
+    return split_row_counts_in_db(spark, "o_orderkey BIGINT", _orders_opts(spark, sf)).select(
+        F.col("table_name").alias("tbl"), "split_no", "n_rows")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()
 }
 
+_SPLIT_ROWS_SQL = (
+    "WITH s AS (SELECT o_orderkey % 4 AS shard, MIN(o_orderkey) AS mn, MAX(o_orderkey) AS mx, "
+    "COUNT(*) AS n FROM orders GROUP BY 1), "
+    "t AS (SELECT shard, mn, CASE WHEN 1000 > n THEN mx - mn "
+    "ELSE CAST((CAST(mx - mn AS HUGEINT) * 1000) // n AS BIGINT) END AS step FROM s) "
+    "SELECT 'ORDERS_' || t.shard AS tbl, CAST((o.o_orderkey - t.mn) // (t.step + 1) AS BIGINT) AS split_no, "
+    "COUNT(*) AS n_rows FROM orders o JOIN t ON o.o_orderkey % 4 = t.shard GROUP BY 1, 2")
+
 _ORACLE = {
     "q01_scan_bag": "SELECT * FROM orders",
     "q02_scan_duplicate_servers": "SELECT * FROM nation UNION ALL SELECT * FROM nation",
@@ -317,13 +332,8 @@ _ORACLE = {
     "q27_many_shards": "SELECT * FROM events",
     "q30_flat_backend_orders": "SELECT * FROM orders",
     "q31_hot_key_salted": "SELECT * FROM orders",
-    "q29_scan_split_rows": (
-        "WITH s AS (SELECT o_orderkey % 4 AS shard, MIN(o_orderkey) AS mn, MAX(o_orderkey) AS mx, "
-        "COUNT(*) AS n FROM orders GROUP BY 1), "
-        "t AS (SELECT shard, mn, CASE WHEN 1000 > n THEN mx - mn "
-        "ELSE CAST((CAST(mx - mn AS HUGEINT) * 1000) // n AS BIGINT) END AS step FROM s) "
-        "SELECT 'ORDERS_' || t.shard AS tbl, CAST((o.o_orderkey - t.mn) // (t.step + 1) AS BIGINT) AS split_no, "
-        "COUNT(*) AS n_rows FROM orders o JOIN t ON o.o_orderkey % 4 = t.shard GROUP BY 1, 2"),
+    "q29_scan_split_rows": _SPLIT_ROWS_SQL,
+    "q32_split_rows_in_db": _SPLIT_ROWS_SQL,
     "q28_lake_shard_stats": (
         "SELECT event_type, MIN(event_id) AS min_key, MAX(event_id) AS max_key, COUNT(*) AS n "
         "FROM events GROUP BY 1"),

@@ -24,11 +24,16 @@ class Dialect:
     null_bigint: str = "CAST(NULL AS BIGINT)"
     # FROM clause of a one-row SELECT of scalar expressions ("" when none is needed)
     dual: str = ""
+    # integer division of integer operands
+    div_template: str = "({a}) / ({b})"
 
     def quote(self, ident: str) -> str:
         q = self.quote_char
         return q + ident.replace(q, q + q) + q
 
+    def int_div(self, a: str, b: str) -> str:
+        return self.div_template.format(a=a, b=b)
+
     def qualified(self, schema: str | None, table: str) -> str:
         if schema is None or schema == "":
             return self.quote(table)
@@ -69,6 +74,7 @@ MYSQL = Dialect(
         "ON c.TABLE_SCHEMA = t.TABLE_SCHEMA AND c.TABLE_NAME = t.TABLE_NAME"
     ),
     null_bigint="CAST(NULL AS SIGNED)",
+    div_template="({a}) DIV ({b})",
 )
 
 POSTGRES = Dialect(

@@ -38,7 +38,7 @@ import re
 
 from shardscan.options import ScanOptions
 from shardscan.plans import splits as P
-from shardscan.plans.rule import split_count, split_ranges
+from shardscan.plans.rule import split_count, split_ranges, step_of
 from shardscan.sources.dialects import salt_predicate
 from shardscan.sources.discovery import Shard, check_columns, resolve_shards
 from shardscan.sources.probe import key_sql, probe, source_sql
@@ -87,6 +87,8 @@ class ScanPlan:
     shards: list[Shard]
     # shard_no -> list of (split_id, lo, hi, bucket); lo/hi None = the IS NULL split
     splits: dict[int, list[tuple[int, Any, Any]]] = field(default_factory=dict)
+    # shard_no -> (min key, step) of the range rule, for non-empty shards
+    steps: dict[int, tuple[int, int]] = field(default_factory=dict)
     # (split_id, shard_no, url_no, server, schema_name, table_name, split_no, lo, hi, query, bucket)
     rows: list[tuple] = field(default_factory=list)
     _df: DataFrame | None = None
@@ -171,6 +173,8 @@ def plan_scan(spark: SparkSession, schema: StructType | str,
     for i, s in enumerate(shards):
         mn, mx, n, _ = (None if v is None else int(v) for v in probed.get(i, (None,) * 4))
         mode = {"batch_size": opts.batch_size, "partition_num": opts.partition_num}
+        if mn is not None and mx is not None:
+            plan.steps[i] = (mn, step_of(mn, mx, n, **mode))
         if len(out) + split_count(mn, mx, n, **mode) * opts.salt_buckets > opts.max_splits:
             raise ValueError(
                 f"the plan has more than scan.max-splits={opts.max_splits} splits; "
@@ -335,6 +339,53 @@ def shard_stats(spark: SparkSession, options: ScanOptions | Mapping[str, Any] |
     )
 
 
+def split_row_counts_in_db(spark: SparkSession, schema: StructType | str,
+                           options: ScanOptions | Mapping[str, Any] | None = None,
+                           **kwargs: Any) -> DataFrame:
+    """Rows each planned key range reads, counted inside the databases.
+
+    ``url_no, server, schema_name, table_name, split_no, n_rows``: one
+    ``GROUP BY`` statement per shard returns one row per non-empty range, so
+    only counts travel; no key is pulled into Spark.  NULL keys form a
+    ``split_no`` NULL group when kept.  Salt buckets are not split out.
+    """
+    plan = plan_scan(spark, schema, options, **kwargs)
+    opts = plan.opts
+    out_schema = ("url_no int, server string, schema_name string, table_name string, "
+                  "split_no bigint, n_rows bigint")
+    todo = [i for i in range(len(plan.shards)) if i in plan.steps or
+            (opts.null_key == "keep" and plan.splits.get(i))]
+    if not todo:
+        return spark.createDataFrame([], out_schema)
+
+    def counts(shard_no: int) -> DataFrame:
+        shard = plan.shards[shard_no]
+        d = shard.dialect
+        k = key_sql(shard, opts)
+        where = [] if opts.null_key == "keep" else [f"{k} IS NOT NULL"]
+        if opts.explicit_bounds:
+            bound = f"{k} BETWEEN {opts.lower_bound} AND {opts.upper_bound}"
+            where.append(f"({bound} OR {k} IS NULL)" if opts.null_key == "keep" else bound)
+        for name, value in opts.conditions:
+            where.append(f"{d.quote(shard.resolve(name) or name)} = {_db_literal(value)}")
+        mn, step = plan.steps.get(shard_no, (0, 0))
+        idx = d.int_div(f"{k} - {mn}", str(step + 1))
+        q = [d.quote(c) for c in ("split_no", "n_rows")]
+        sql = (f"SELECT {q[0]}, COUNT(*) AS {q[1]} FROM (SELECT {idx} AS {q[0]} FROM {source_sql(shard, opts)}"
+               + (" WHERE " + " AND ".join(where) if where else "") + f") s GROUP BY {q[0]}")
+        reader = spark.read.format("jdbc").option("url", opts.urls[shard.url_no]).option("query", sql)
+        for key, v in opts.jdbc_properties(d.driver).items():
+            reader = reader.option(key, v)
+        return reader.load().toDF("split_no", "n_rows").selectExpr(
+            f"CAST({shard.url_no} AS INT) AS url_no",
+            f"CAST({_sql_literal(opts.redact(shard.url))} AS STRING) AS server",
+            f"CAST({_sql_literal(shard.schema)} AS STRING) AS schema_name",
+            f"CAST({_sql_literal(shard.table)} AS STRING) AS table_name",
+            "CAST(split_no AS BIGINT) AS split_no", "CAST(n_rows AS BIGINT) AS n_rows")
+
+    return balanced_union(parallel_map(counts, todo))
+
+
 def register_view(spark: SparkSession, name: str, schema: StructType | str,
                   options: ScanOptions | Mapping[str, Any] | None = None, **kwargs: Any) -> DataFrame:
     """Declare the logical table under ``name`` for Spark SQL."""

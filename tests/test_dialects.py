@@ -61,3 +61,8 @@ def test_query_source_wraps_and_substitutes():
 
 def test_full_match_anchor():
     assert full_match("a|b") == "\\A(?:a|b)\\z"
+
+
+def test_integer_division_text():
+    assert dialect_for("jdbc:mysql://h/db").int_div("k - 3", "10") == "(k - 3) DIV (10)"
+    assert dialect_for("jdbc:derby:memory:x").int_div("k - 3", "10") == "(k - 3) / (10)"

@@ -222,3 +222,34 @@ def test_salted_hot_key(spark):
     assert df.rdd.getNumPartitions() == len(plan) == 4 * len({(r.split_no, r.lo) for r in plan})
     got = sorted(((r.id, r.seq) for r in df.collect()), key=str)
     assert got == sorted(rows, key=str)
+
+
+def test_split_row_counts_in_db(spark):
+    from collections import Counter
+
+    from shardscan import split_row_counts_in_db
+    from shardscan.plans.rule import split_ranges
+
+    url = "jdbc:derby:memory:golden_rows_in_db"
+    keys = [3, 3, 3, 4, 10, 11, 12, 40, None, None]
+    derby_exec(spark, url + ";create=true", "CREATE TABLE JDBCSOURCE_R (id BIGINT, context VARCHAR(9))",
+               *[f"INSERT INTO JDBCSOURCE_R VALUES ({'NULL' if k is None else k}, '{'x' if i % 2 else 'y'}')"
+                 for i, k in enumerate(keys)])
+    for extra in ({"scan.batch.size": 3}, {"scan.partition.num": 4, "scan.null-key": "keep"},
+                  {"scan.batch.size": 2, "scan.conditions": {"context": "x"}}):
+        o = _opts([url], **extra)
+        got = {r.split_no: r.n_rows for r in split_row_counts_in_db(spark, SCHEMA, o).collect()}
+        nn = [k for k in keys if k is not None]
+        ranges = split_ranges(min(nn), max(nn), len(keys), batch_size=extra.get("scan.batch.size"),
+                              partition_num=extra.get("scan.partition.num"))
+        rows = [(k, "x" if i % 2 else "y") for i, k in enumerate(keys)]
+        if "scan.conditions" in extra:
+            rows = [r for r in rows if r[1] == "x"]
+        want = Counter()
+        for k, _ in rows:
+            if k is None:
+                if extra.get("scan.null-key") == "keep":
+                    want[None] += 1
+                continue
+            want[next(i for i, (lo, hi) in enumerate(ranges) if lo <= k <= hi)] += 1
+        assert got == dict(want), extra
