@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from typing import Any
 
@@ -37,6 +38,20 @@ def redact(text: str, secrets: Sequence[str | None] = ()) -> str:
     return out
 
 
+@contextmanager
+def redacted_errors(what: str, secrets: Sequence[str | None] = ()):
+    """Re-raise any error of the block as ``RuntimeError`` whose text has the
+    passwords removed (the original exception is not chained, since its
+    message may carry a URL with credentials)."""
+    try:
+        yield
+    except (ValueError, KeyboardInterrupt):
+        raise
+    except Exception as e:
+        text = redact(f"{type(e).__name__}: {e}", secrets)
+        raise RuntimeError(f"{what} failed: {text[:4000]}") from None
+
+
 def _as_int(name: str, value: Any) -> int | None:
     if value is None or value == "":
         return None

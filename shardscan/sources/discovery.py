@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardscan.options import ScanOptions
+from shardscan.options import ScanOptions, redacted_errors
 from shardscan.sources.dialects import CATALOG_COLUMNS, Dialect, dialect_for
 from shardscan.util import balanced_union, parallel_map
 
@@ -116,13 +116,16 @@ def resolve_shards(spark: SparkSession, opts: ScanOptions,
     """
     if opts.query and "{table}" not in opts.query:
         return [Shard(i, u, None, None, "QUERY") for i, u in enumerate(opts.urls)]
-    m = matching(catalog(spark, opts), opts)
+    with redacted_errors("shard discovery", (opts.password,)):
+        m = matching(catalog(spark, opts), opts)
     if wanted is not None:
         # the wanted columns, plus each table's first column so that a table
         # lacking all of them still shows up (and fails the column check)
         m = m.where(F.lower(F.col("column_name")).isin(sorted({w.lower() for w in wanted}))
                     | (F.col("ordinal") == 1))
-    rows = m.select("url_no", "schema_name", "table_name", "table_type", "column_name", "ordinal").collect()
+    with redacted_errors("shard discovery", (opts.password,)):
+        rows = m.select("url_no", "schema_name", "table_name", "table_type", "column_name",
+                        "ordinal").collect()
     wanted_lower = None if wanted is None else {w.lower() for w in wanted}
     grouped: dict[tuple, list[tuple[int, str]]] = {}
     types: dict[tuple, str] = {}

@@ -36,7 +36,7 @@ from pyspark.sql.types import (
 import logging
 import re
 
-from shardscan.options import ScanOptions
+from shardscan.options import ScanOptions, redacted_errors
 from shardscan.plans import splits as P
 from shardscan.plans.rule import split_count, split_ranges, step_of
 from shardscan.sources.dialects import salt_predicate
@@ -165,7 +165,9 @@ def plan_scan(spark: SparkSession, schema: StructType | str,
         # declared bounds, count not needed: no round trip to the servers
         probed = {i: (opts.lower_bound, opts.upper_bound, None, None) for i in range(len(shards))}
     else:
-        probed = {r.shard_no: (r.mn, r.mx, r.n, r.n_null) for r in probe(spark, opts, shards).collect()}
+        with redacted_errors("shard probes", (opts.password,)):
+            rows = probe(spark, opts, shards).collect()
+        probed = {r.shard_no: (r.mn, r.mx, r.n, r.n_null) for r in rows}
     # The rule on one statistics row per shard (already on the driver): plan
     # metadata, like a file listing; the rows themselves are read by tasks.
     top = P.key_limits(key_type)[1]
@@ -230,7 +232,8 @@ def read_plan(spark: SparkSession, plan: ScanPlan) -> DataFrame:
     todo = [i for i in range(len(plan.shards)) if plan.splits.get(i)]
     if not todo:
         return spark.createDataFrame([], plan.output_schema())
-    return balanced_union(parallel_map(relation, todo))
+    with redacted_errors("shard relations", (opts.password,)):
+        return balanced_union(parallel_map(relation, todo))
 
 
 def split_predicate(shard: Shard, opts: ScanOptions, lo: Any, hi: Any, bucket: int | None = None) -> str:

@@ -253,3 +253,13 @@ def test_split_row_counts_in_db(spark):
                 continue
             want[next(i for i, (lo, hi) in enumerate(ranges) if lo <= k <= hi)] += 1
         assert got == dict(want), extra
+
+
+def test_unreachable_server_error_is_redacted(spark):
+    o = {"url": ["jdbc:derby:memory:no_such_db_xyz;password=topsecret"], "table-name": "T",
+         "schema-name": "APP", "scan.partition.column": "id", "scan.batch.size": 1, "password": "hunter2"}
+    with pytest.raises(RuntimeError) as err:
+        sharded_scan(spark, SCHEMA, o)
+    text = str(err.value)
+    assert "shard discovery failed" in text
+    assert "topsecret" not in text and "hunter2" not in text
