@@ -315,6 +315,10 @@ def _to_arrow(values: list, typ):
         values = [None if v is None else bool(v) for v in values]
     elif pa.types.is_floating(typ):
         values = [None if v is None else float(v) for v in values]
+    elif pa.types.is_integer(typ):  # dynamically typed stores may hand back text
+        values = [None if v is None else (v if isinstance(v, int) else int(v)) for v in values]
+    elif pa.types.is_string(typ) or pa.types.is_large_string(typ):
+        values = [None if v is None else (v if isinstance(v, str) else str(v)) for v in values]
     return pa.array(values, type=typ)
 
 
