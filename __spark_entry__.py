@@ -26,6 +26,7 @@ from shardscan import (
     sharded_scan,
     skew_report,
     split_row_counts,
+    skew_report_in_db,
     split_row_counts_in_db,
 )
 from shardscan import fixtures as FX
@@ -247,6 +248,12 @@ def q32_split_rows_in_db(spark, sf):
         F.col("table_name").alias("tbl"), "split_no", "n_rows")
 
 
+def q33_skew_report_in_db(spark, sf):
+    """Largest / total / non-empty ranges per shard, from in-database counts (D02)."""
+    return skew_report_in_db(spark, "o_orderkey BIGINT", _orders_opts(spark, sf)).select(
+        F.col("table_name").alias("tbl"), "max_rows", "total_rows", "nonempty_splits")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()
 }
@@ -334,6 +341,9 @@ _ORACLE = {
     "q31_hot_key_salted": "SELECT * FROM orders",
     "q29_scan_split_rows": _SPLIT_ROWS_SQL,
     "q32_split_rows_in_db": _SPLIT_ROWS_SQL,
+    "q33_skew_report_in_db": (
+        "WITH c AS (" + _SPLIT_ROWS_SQL + ") SELECT tbl, MAX(n_rows) AS max_rows, "
+        "CAST(SUM(n_rows) AS BIGINT) AS total_rows, COUNT(*) AS nonempty_splits FROM c GROUP BY tbl"),
     "q28_lake_shard_stats": (
         "SELECT event_type, MIN(event_id) AS min_key, MAX(event_id) AS max_key, COUNT(*) AS n "
         "FROM events GROUP BY 1"),

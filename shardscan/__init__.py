@@ -25,6 +25,7 @@ from shardscan.sources.jdbc import (
     register_view,
     shard_stats,
     sharded_scan,
+    skew_report_in_db,
     split_plan,
     split_row_counts_in_db,
 )
@@ -49,6 +50,7 @@ __all__ = [
     "shard_stats",
     "sharded_scan",
     "skew_report",
+    "skew_report_in_db",
     "split_plan",
     "split_row_counts",
     "split_row_counts_in_db",

@@ -389,6 +389,21 @@ def split_row_counts_in_db(spark: SparkSession, schema: StructType | str,
     return balanced_union(parallel_map(counts, todo))
 
 
+def skew_report_in_db(spark: SparkSession, schema: StructType | str,
+                      options: ScanOptions | Mapping[str, Any] | None = None,
+                      **kwargs: Any) -> DataFrame:
+    """Per shard of a database scan: ``max_rows``, ``total_rows``,
+    ``nonempty_splits``, ``avg_rows`` of its key ranges, from the in-database
+    counts of :func:`split_row_counts_in_db`."""
+    counts = split_row_counts_in_db(spark, schema, options, **kwargs)
+    return counts.groupBy("url_no", "server", "schema_name", "table_name").agg(
+        F.max("n_rows").alias("max_rows"),
+        F.sum("n_rows").cast("bigint").alias("total_rows"),
+        F.count(F.lit(1)).alias("nonempty_splits"),
+        F.avg("n_rows").alias("avg_rows"),
+    )
+
+
 def register_view(spark: SparkSession, name: str, schema: StructType | str,
                   options: ScanOptions | Mapping[str, Any] | None = None, **kwargs: Any) -> DataFrame:
     """Declare the logical table under ``name`` for Spark SQL."""
