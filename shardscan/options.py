@@ -249,9 +249,10 @@ class ScanOptions:
         """Salt buckets each key range is read in (``[None]`` when not salted)."""
         return list(range(self.salt_buckets)) if self.salt_column else [None]
 
-    def jdbc_properties(self, driver: str | None) -> dict[str, str]:
+    def jdbc_properties(self, driver: str | None, default_fetch_size: int | None = None) -> dict[str, str]:
         """Properties for ``spark.read.jdbc``; the password never leaves here
-        except into Spark's own (redacted) JDBC options."""
+        except into Spark's own (redacted) JDBC options.  ``default_fetch_size``
+        (the dialect's streaming setting) applies when no fetch size is set."""
         props: dict[str, str] = {}
         drv = self.driver or driver
         if drv:
@@ -260,8 +261,9 @@ class ScanOptions:
             props["user"] = self.username
         if self.password is not None:
             props["password"] = self.password
-        if self.fetch_size is not None:
-            props["fetchsize"] = str(self.fetch_size)
+        fetch = self.fetch_size if self.fetch_size is not None else default_fetch_size
+        if fetch is not None:
+            props["fetchsize"] = str(fetch)
         if self.session_init_statement:
             props["sessionInitStatement"] = self.session_init_statement
         if self.query_timeout is not None:

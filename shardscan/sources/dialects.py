@@ -26,6 +26,9 @@ class Dialect:
     dual: str = ""
     # integer division of integer operands
     div_template: str = "({a}) / ({b})"
+    # fetch size for split reads when none is given: some drivers otherwise
+    # buffer a whole result set in executor memory
+    scan_fetch_size: int | None = None
 
     def quote(self, ident: str) -> str:
         q = self.quote_char
@@ -75,12 +78,14 @@ MYSQL = Dialect(
     ),
     null_bigint="CAST(NULL AS SIGNED)",
     div_template="({a}) DIV ({b})",
+    scan_fetch_size=-(2**31),  # the driver's row-streaming mode
 )
 
 POSTGRES = Dialect(
     name="postgresql",
     quote_char='"',
     driver="org.postgresql.Driver",
+    scan_fetch_size=10_000,  # with Spark's PostgreSQL dialect this turns on a cursor
     catalog_query=(
         "SELECT t.table_schema AS schema_name, t.table_name AS table_name, "
         "CASE t.table_type WHEN 'BASE TABLE' THEN 'TABLE' ELSE t.table_type END AS table_type, "

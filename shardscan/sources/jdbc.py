@@ -222,7 +222,7 @@ def read_plan(spark: SparkSession, plan: ScanPlan) -> DataFrame:
     def relation(shard_no: int) -> DataFrame:
         shard = plan.shards[shard_no]
         preds = [split_predicate(shard, opts, lo, hi, b) for _, lo, hi, b in plan.splits[shard_no]]
-        props = opts.jdbc_properties(shard.dialect.driver)
+        props = opts.jdbc_properties(shard.dialect.driver, shard.dialect.scan_fetch_size)
         if want_ntz:
             props["preferTimestampNTZ"] = "true"
         rel = spark.read.jdbc(opts.urls[shard.url_no], source_sql(shard, opts), predicates=preds,

@@ -66,3 +66,13 @@ def test_full_match_anchor():
 def test_integer_division_text():
     assert dialect_for("jdbc:mysql://h/db").int_div("k - 3", "10") == "(k - 3) DIV (10)"
     assert dialect_for("jdbc:derby:memory:x").int_div("k - 3", "10") == "(k - 3) / (10)"
+
+
+def test_split_reads_stream_by_default_where_drivers_buffer():
+    o = _opts("jdbc:mysql://h/db")
+    my, pg, dy = (dialect_for(u) for u in ("jdbc:mysql://h/db", "jdbc:postgresql://h/db", "jdbc:derby:memory:x"))
+    assert o.jdbc_properties(my.driver, my.scan_fetch_size)["fetchsize"] == str(-(2**31))
+    assert o.jdbc_properties(pg.driver, pg.scan_fetch_size)["fetchsize"] == "10000"
+    assert "fetchsize" not in o.jdbc_properties(dy.driver, dy.scan_fetch_size)
+    own = _opts("jdbc:mysql://h/db", **{"scan.fetch-size": 500})
+    assert own.jdbc_properties(my.driver, my.scan_fetch_size)["fetchsize"] == "500"
