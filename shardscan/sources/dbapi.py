@@ -230,7 +230,12 @@ class ShardedDbapiReader(DataSourceReader):
                 mn, mx = (None if v is None else int(v) for v in (mn, mx))
                 if len(ranges) + split_count(mn, mx, n, **mode) * o.salt_buckets > o.max_splits:
                     raise ValueError(f"the plan has more than scan.max-splits={o.max_splits} splits")
-                for lo, hi in split_ranges(mn, mx, n, **mode):
+                # saturate the last range at BIGINT's maximum (or at a wider key's own
+                # maximum), and at the declared upper bound when there is one
+                top = max(2**63 - 1, mx or 0)
+                if o.explicit_bounds:
+                    top = min(top, o.upper_bound)
+                for lo, hi in split_ranges(mn, mx, n, top=top, **mode):
                     for b in o.buckets:
                         ranges.append(Split(-1, url_no, schema_name, table, tuple(declared), key, lo, hi, b, salt))
                 if o.null_key == "keep" and (n_null is None or n_null > 0):

@@ -171,6 +171,8 @@ def plan_scan(spark: SparkSession, schema: StructType | str,
     # The rule on one statistics row per shard (already on the driver): plan
     # metadata, like a file listing; the rows themselves are read by tasks.
     top = P.key_limits(key_type)[1]
+    if opts.explicit_bounds:  # the last range stops at the declared upper bound
+        top = min(top, opts.upper_bound)
     out: list[tuple] = []
     for i, s in enumerate(shards):
         mn, mx, n, _ = (None if v is None else int(v) for v in probed.get(i, (None,) * 4))

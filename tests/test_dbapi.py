@@ -125,3 +125,18 @@ def test_salted(spark, files):
     df = read(spark, files, **{"scan.partition.num": 1, "scan.salt.column": "id", "scan.salt.buckets": 3})
     assert df.rdd.getNumPartitions() == 6
     assert sorted(r.id for r in df.collect()) == [1, 2, 3, 4, 5, 6]
+
+
+def test_keys_beyond_bigint(spark):
+    dbapi.register(spark)
+    folder = tempfile.mkdtemp(prefix="shardscan-dbapi-big-")
+    path = os.path.join(folder, "b.db")
+    c = sqlite3.connect(path)
+    c.execute('CREATE TABLE "B_1" (k TEXT, v TEXT)')  # SQLite integers stop at 2^63-1: keys as text
+    c.commit()
+    c.close()
+    df = (spark.read.format(dbapi.NAME).schema("k BIGINT, v STRING")
+          .options(**{"url": f"sqlite://{path}", "table-name": "B_.*", "schema-name": "main",
+                      "scan.partition.column": "k", "scan.partition.num": "2",
+                      "scan.lower-bound": "5", "scan.upper-bound": "8"}).load())
+    assert df.count() == 0

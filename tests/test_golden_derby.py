@@ -263,3 +263,13 @@ def test_unreachable_server_error_is_redacted(spark):
     text = str(err.value)
     assert "shard discovery failed" in text
     assert "topsecret" not in text and "hunter2" not in text
+
+
+def test_declared_bounds_are_hard_limits(spark):
+    url = "jdbc:derby:memory:golden_bounds_hard"
+    derby_exec(spark, url + ";create=true", "CREATE TABLE JDBCSOURCE_H (id BIGINT, context VARCHAR(9))",
+               *[f"INSERT INTO JDBCSOURCE_H VALUES ({k}, 'r{k}')" for k in range(1, 21)])
+    o = _opts([url], **{"scan.partition.num": 3, "scan.lower-bound": 2, "scan.upper-bound": 9})
+    plan = sorted((r.lo, r.hi) for r in split_plan(spark, SCHEMA, o).collect())
+    assert plan == [(2, 4), (5, 7), (8, 9)]
+    assert sorted(r.id for r in sharded_scan(spark, SCHEMA, o).collect()) == list(range(2, 10))
