@@ -78,3 +78,50 @@ def test_random_layouts(spark, seed):
             assert sorted(ranges) == expect
             for k in keys:
                 assert sum(lo <= k <= hi for lo, hi in ranges) == 1
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_random_layouts_dbapi(spark, seed):
+    """The same randomised checks through the DB-API backend (SQLite files)."""
+    import os
+    import sqlite3
+    import tempfile
+
+    from shardscan.sources import dbapi
+
+    dbapi.register(spark)
+    servers, tables = _layout(seed + 50)
+    folder = tempfile.mkdtemp(prefix="shardscan-rnd-")
+    urls = []
+    for i in range(servers):
+        path = os.path.join(folder, f"s{i}.db")
+        c = sqlite3.connect(path)
+        for (srv, name), rows in tables.items():
+            if srv == i:
+                c.execute(f'CREATE TABLE "{name}" (k INTEGER, v TEXT)')
+                c.executemany(f'INSERT INTO "{name}" VALUES (?, ?)', rows)
+        c.commit()
+        c.close()
+        urls.append(f"sqlite://{path}")
+    rnd = random.Random(seed + 200)
+    for _ in range(4):
+        mode = ({"scan.batch.size": rnd.choice([1, 3, 17, 1000])} if rnd.random() < 0.5
+                else {"scan.partition.num": rnd.choice([1, 2, 7, 50])})
+        keep = rnd.random() < 0.5
+        opts = {"url": ";".join(urls), "table-name": "RND_.*", "schema-name": "main",
+                "scan.partition.column": "k", "scan.null-key": "keep" if keep else "drop", **mode,
+                "scan.splits-per-task": rnd.choice([1, 4])}
+        all_keys = sorted(k for rows in tables.values() for k, _ in rows if k is not None)
+        bounds = None
+        if all_keys and rnd.random() < 0.3:
+            lb, ub = sorted(rnd.sample(all_keys, 2)) if len(all_keys) > 1 else (all_keys[0], all_keys[0])
+            bounds = (lb, ub)
+            opts.update({"scan.lower-bound": lb, "scan.upper-bound": ub})
+        if rnd.random() < 0.3:
+            opts.update({"scan.salt.column": "k", "scan.salt.buckets": 3})
+        df = spark.read.format(dbapi.NAME).schema(SCHEMA).options(**{k: str(v) for k, v in opts.items()}).load()
+        got = Counter((r.k, r.v) for r in df.collect())
+        want = Counter(r for rows in tables.values() for r in rows
+                       if (r[0] is None and keep)
+                       or (r[0] is not None and (bounds is None or bounds[0] <= r[0] <= bounds[1])))
+        assert got == want, (seed, opts)
