@@ -113,3 +113,24 @@ def test_decimal_keys_one_shard(spark):
     got = {r.split_no: r.n_rows for r in split_row_counts(df, None, "k", batch_size=10).collect()}
     brute = brute_counts([(0, int(k)) for (k,) in rows], {"batch_size": 10}, top=10**20 - 1)
     assert got == {i: n for (_, i), n in brute.items()}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_assignments(spark, seed):
+    """Random shards and keys (NULLs, repeats, negative, wide), all three join paths."""
+    import random
+
+    rnd = random.Random(seed)
+    rows = []
+    for s in range(rnd.randint(1, 6)):
+        base, spread = rnd.randint(-10**15, 10**15), rnd.choice([0, 5, 10**6, 10**14])
+        heavy = rnd.random() < 0.3
+        for _ in range(rnd.choice([1, 20, 300]) * (5 if heavy else 1)):
+            rows.append((None if rnd.random() < 0.1 else f"s{s}",
+                         None if rnd.random() < 0.05 else base + rnd.randint(0, spread)))
+    df = spark.createDataFrame(rows, "s string, k bigint")
+    mode = {"batch_size": rnd.choice([1, 7, 100])} if seed % 2 else {"partition_num": rnd.choice([1, 3, 16])}
+    want = brute_counts(rows, mode)
+    for kw in ({}, {"broadcast_rows": 2}, {"broadcast_rows": 1, "hot_fraction": 0.3}):
+        got = {(r.s, r.split_no): r.n_rows for r in split_row_counts(df, "s", "k", **mode, **kw).collect()}
+        assert got == dict(want), (seed, mode, kw)
