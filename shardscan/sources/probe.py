@@ -1,8 +1,9 @@
 """Key-bounds and row-count probes of remote shards.
 
-Per server, the probes of up to ``CHUNK_TABLES`` tables go out as one
-``UNION ALL`` statement, read by one Spark task; all servers' statements are
-unioned into one Spark job.  The database does the work (``MIN``/``MAX`` of
+Per server, the probes of up to ``CHUNK_TABLES`` tables (``CHUNK_TABLES_COUNT``
+when row counts are needed, so that a server counts several tables at once)
+go out as one ``UNION ALL`` statement, read by one Spark task; all servers'
+statements are unioned into one Spark job.  The database does the work (``MIN``/``MAX`` of
 an indexed key is an index lookup); Spark receives one row per shard.
 
 ``COUNT(*)`` is only asked for in batch-size mode, and the NULL-key count
@@ -21,7 +22,8 @@ from shardscan.options import ScanOptions
 from shardscan.sources.discovery import Shard
 from shardscan.util import balanced_union, parallel_map
 
-CHUNK_TABLES = 200
+CHUNK_TABLES = 200  # MIN/MAX probes: index lookups, many per statement
+CHUNK_TABLES_COUNT = 16  # with COUNT(*) (a scan each): fewer per statement, more statements in parallel
 PROBE_COLUMNS = ("shard_no", "mn", "mx", "n", "n_null")
 
 
@@ -81,8 +83,8 @@ def probe(spark: SparkSession, opts: ScanOptions, shards: Sequence[Shard]) -> Da
     by_url: dict[int, list[int]] = {}
     for i, s in enumerate(shards):
         by_url.setdefault(s.url_no, []).append(i)
-    chunks = [(url_no, idx[c:c + CHUNK_TABLES])
-              for url_no, idx in by_url.items() for c in range(0, len(idx), CHUNK_TABLES)]
+    size = CHUNK_TABLES_COUNT if (opts.batch_size is not None or opts.null_key == "keep") else CHUNK_TABLES
+    chunks = [(url_no, idx[c:c + size]) for url_no, idx in by_url.items() for c in range(0, len(idx), size)]
 
     def one(chunk: tuple[int, list[int]]) -> DataFrame:
         url_no, members = chunk
