@@ -45,6 +45,7 @@ from shardscan.plans.rule import split_count, split_ranges
 from shardscan.sources.dialects import salt_predicate
 
 NAME = "sharded_dbapi"
+PROBE_CONNECTIONS = 4  # per server, while planning
 _CATALOG_SQLITE = (
     "SELECT 'main', m.name, CASE m.type WHEN 'table' THEN 'TABLE' ELSE 'VIEW' END, p.name, p.cid "
     "FROM sqlite_master m JOIN pragma_table_info(m.name) p "
@@ -200,51 +201,80 @@ class ShardedDbapiReader(DataSourceReader):
         o = self.opts
         mode = {"batch_size": o.batch_size, "partition_num": o.partition_num}
         kind = _kind(url)
-        ranges: list[Split] = []
-        nulls: list[Split] = []
         conn = connect(url, o.username, o.password)
         try:
             if o.query and "{table}" not in o.query:
                 shards = [(None, None, tuple(f.name for f in self.schema.fields) + (o.partition_column,))]
             else:
                 shards = self._discover(url_no, url, conn)
-            for schema_name, table, cols in shards:
-                declared = [self._resolve(cols, f.name) for f in self.schema.fields]
-                key = o.partition_column if o.query else self._resolve(cols, o.partition_column)
-                missing = [f.name for f, a in zip(self.schema.fields, declared) if a is None]
-                if key is None:
-                    missing.append(o.partition_column)
-                if missing:
-                    raise ValueError(f"server {url_no} {schema_name}.{table} lacks declared column(s) {missing}")
-                salt = None
-                if o.salt_column:
-                    salt = o.salt_column if o.query else self._resolve(cols, o.salt_column)
-                    if salt is None:
-                        raise ValueError(f"server {url_no} {schema_name}.{table} lacks salt column "
-                                         f"{o.salt_column!r}")
-                qk = _quote(kind, key)
-                if o.explicit_bounds and o.partition_num is not None:
-                    mn, mx, n, n_null = o.lower_bound, o.upper_bound, None, None
-                else:
-                    mn, mx, n, n_null = self._probe(conn, kind, self._source(kind, schema_name, table), qk)
-                mn, mx = (None if v is None else int(v) for v in (mn, mx))
-                if len(ranges) + split_count(mn, mx, n, **mode) * o.salt_buckets > o.max_splits:
-                    raise ValueError(f"the plan has more than scan.max-splits={o.max_splits} splits")
-                # saturate the last range at BIGINT's maximum (or at a wider key's own
-                # maximum), and at the declared upper bound when there is one
-                top = max(2**63 - 1, mx or 0)
-                if o.explicit_bounds:
-                    top = min(top, o.upper_bound)
-                for lo, hi in split_ranges(mn, mx, n, top=top, **mode):
-                    for b in o.buckets:
-                        ranges.append(Split(-1, url_no, schema_name, table, tuple(declared), key, lo, hi, b, salt))
-                if o.null_key == "keep" and (n_null is None or n_null > 0):
-                    for b in o.buckets:
-                        nulls.append(Split(-1, url_no, schema_name, table, tuple(declared), key, None, None, b, salt))
         finally:
             conn.close()
+        planned = []
+        for schema_name, table, cols in shards:
+            declared = [self._resolve(cols, f.name) for f in self.schema.fields]
+            key = o.partition_column if o.query else self._resolve(cols, o.partition_column)
+            missing = [f.name for f, a in zip(self.schema.fields, declared) if a is None]
+            if key is None:
+                missing.append(o.partition_column)
+            if missing:
+                raise ValueError(f"server {url_no} {schema_name}.{table} lacks declared column(s) {missing}")
+            salt = None
+            if o.salt_column:
+                salt = o.salt_column if o.query else self._resolve(cols, o.salt_column)
+                if salt is None:
+                    raise ValueError(f"server {url_no} {schema_name}.{table} lacks salt column "
+                                     f"{o.salt_column!r}")
+            planned.append((schema_name, table, tuple(declared), key, salt))
+        if o.explicit_bounds and o.partition_num is not None:
+            stats = [(o.lower_bound, o.upper_bound, None, None)] * len(planned)
+        else:
+            stats = self._probe_all(url, kind, [(self._source(kind, p[0], p[1]), _quote(kind, p[3]))
+                                                for p in planned])
+        ranges: list[Split] = []
+        nulls: list[Split] = []
+        for (schema_name, table, declared, key, salt), (mn, mx, n, n_null) in zip(planned, stats):
+            mn, mx = (None if v is None else int(v) for v in (mn, mx))
+            if len(ranges) + split_count(mn, mx, n, **mode) * o.salt_buckets > o.max_splits:
+                raise ValueError(f"the plan has more than scan.max-splits={o.max_splits} splits")
+            # saturate the last range at BIGINT's maximum (or at a wider key's own
+            # maximum), and at the declared upper bound when there is one
+            top = max(2**63 - 1, mx or 0)
+            if o.explicit_bounds:
+                top = min(top, o.upper_bound)
+            for lo, hi in split_ranges(mn, mx, n, top=top, **mode):
+                for b in o.buckets:
+                    ranges.append(Split(-1, url_no, schema_name, table, declared, key, lo, hi, b, salt))
+            if o.null_key == "keep" and (n_null is None or n_null > 0):
+                for b in o.buckets:
+                    nulls.append(Split(-1, url_no, schema_name, table, declared, key, None, None, b, salt))
         return ranges, nulls
 
+    def _probe_all(self, url: str, kind: str, items: list[tuple[str, str]]) -> list[tuple]:
+        """Probe many tables of one server over a few connections at once
+        (a row count scans its table: several run side by side)."""
+        import threading
+        from concurrent.futures import ThreadPoolExecutor
+
+        o = self.opts
+        local = threading.local()
+        opened = []
+        lock = threading.Lock()
+
+        def one(item: tuple[str, str]) -> tuple:
+            c = getattr(local, "conn", None)
+            if c is None:
+                c = local.conn = connect(url, o.username, o.password)
+                with lock:
+                    opened.append(c)
+            return self._probe(c, kind, *item)
+
+        try:
+            with ThreadPoolExecutor(max(1, min(PROBE_CONNECTIONS, len(items)))) as pool:
+                return list(pool.map(one, items))
+        finally:
+            for c in opened:
+                c.close()
+
     def partitions(self) -> list[Task]:
         """Discovery and probes of all servers, each in its own thread (DB-API
         drivers wait on I/O outside the GIL); ids follow server order."""
