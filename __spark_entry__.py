@@ -254,6 +254,17 @@ def q33_skew_report_in_db(spark, sf):
         F.col("table_name").alias("tbl"), "max_rows", "total_rows", "nonempty_splits")
 
 
+def q34_flat_backend_packed(spark, sf):
+    """orders through the DB-API backend in ranges of about 100 rows, 16 ranges per task."""
+    urls = FX.orders_sqlite(spark, sf)
+    dbapi.register(spark)
+    return (spark.read.format(dbapi.NAME).schema(_orders_schema(spark, sf))
+            .options(**{"url": ";".join(urls), "table-name": "ORDERS_.*", "schema-name": "main",
+                        "scan.partition.column": "o_orderkey", "scan.batch.size": "100",
+                        "scan.splits-per-task": "16"})
+            .load())
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()
 }
@@ -339,6 +350,7 @@ _ORACLE = {
     "q27_many_shards": "SELECT * FROM events",
     "q30_flat_backend_orders": "SELECT * FROM orders",
     "q31_hot_key_salted": "SELECT * FROM orders",
+    "q34_flat_backend_packed": "SELECT * FROM orders",
     "q29_scan_split_rows": _SPLIT_ROWS_SQL,
     "q32_split_rows_in_db": _SPLIT_ROWS_SQL,
     "q33_skew_report_in_db": (
