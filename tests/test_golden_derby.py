@@ -273,3 +273,11 @@ def test_declared_bounds_are_hard_limits(spark):
     plan = sorted((r.lo, r.hi) for r in split_plan(spark, SCHEMA, o).collect())
     assert plan == [(2, 4), (5, 7), (8, 9)]
     assert sorted(r.id for r in sharded_scan(spark, SCHEMA, o).collect()) == list(range(2, 10))
+
+
+def test_scan_report_lists_servers_without_matches(spark, servers):
+    empty = "jdbc:derby:memory:golden_empty_server"
+    derby_exec(spark, empty + ";create=true", "CREATE TABLE OTHER_9 (id BIGINT)")
+    plan = plan_scan(spark, SCHEMA, _opts(servers + [empty], **{"scan.batch.size": 2}))
+    rep = {r.url_no: (r.n_tables, r.n_splits) for r in scan_report(spark, plan).collect()}
+    assert rep == {0: (2, 4), 1: (2, 4), 2: (0, 0)}
