@@ -116,6 +116,7 @@ class ScanOptions:
     splits_per_task: int = 1
     salt_column: str | None = None
     salt_buckets: int = 1
+    max_parallel_reads: int | None = None
 
     # ------------------------------------------------------------------ build
     @classmethod
@@ -134,6 +135,7 @@ class ScanOptions:
             "scan_conditions", "scan_null_key", "table_types", "scan_provenance",
             "scan_max_splits", "scan_session_init_statement", "scan_query_timeout",
             "scan_splits_per_task", "scan_salt_column", "scan_salt_buckets",
+            "scan_max_parallel_reads",
             "connector", "schema",
         }
         aliases = {
@@ -199,6 +201,7 @@ class ScanOptions:
             splits_per_task=_default(_as_int("scan.splits-per-task", m.get("scan_splits_per_task")), 1),
             salt_column=m.get("scan_salt_column") or None,
             salt_buckets=_default(_as_int("scan.salt.buckets", m.get("scan_salt_buckets")), 1),
+            max_parallel_reads=_as_int("scan.max-parallel-reads", m.get("scan_max_parallel_reads")),
         )
         opts.validate()
         return opts
@@ -230,6 +233,8 @@ class ScanOptions:
             raise ValueError("'scan.null-key' must be 'drop' or 'keep'")
         if self.max_splits < 1:
             raise ValueError("'scan.max-splits' must be >= 1")
+        if self.max_parallel_reads is not None and self.max_parallel_reads < 1:
+            raise ValueError("'scan.max-parallel-reads' must be >= 1")
         if self.salt_buckets < 1:
             raise ValueError("'scan.salt.buckets' must be >= 1")
         if (self.salt_buckets > 1) != (self.salt_column is not None):

@@ -143,6 +143,9 @@ class ShardedDbapiReader(DataSourceReader):
         self.opts = ScanOptions.from_map(opts)
         if self.opts.provenance:
             raise ValueError("scan.provenance is a JDBC-backend option (sharded_scan)")
+        if self.opts.max_parallel_reads is not None:
+            raise ValueError("use scan.splits-per-task with sharded_dbapi; "
+                             "scan.max-parallel-reads is a JDBC-backend option")
 
     # ------------------------------------------------------------ planning
     def _discover(self, url_no: int, url: str, conn) -> list[tuple[str | None, str, tuple[str, ...]]]:

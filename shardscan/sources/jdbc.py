@@ -235,7 +235,12 @@ def read_plan(spark: SparkSession, plan: ScanPlan) -> DataFrame:
     if not todo:
         return spark.createDataFrame([], plan.output_schema())
     with redacted_errors("shard relations", (opts.password,)):
-        return balanced_union(parallel_map(relation, todo))
+        df = balanced_union(parallel_map(relation, todo))
+    if opts.max_parallel_reads is not None and plan.n_splits > opts.max_parallel_reads:
+        # at most this many split reads at once (and so connections): each task
+        # reads several splits one after the other, like a reader pulling splits
+        df = df.coalesce(opts.max_parallel_reads)
+    return df
 
 
 def split_predicate(shard: Shard, opts: ScanOptions, lo: Any, hi: Any, bucket: int | None = None) -> str:

@@ -281,3 +281,11 @@ def test_scan_report_lists_servers_without_matches(spark, servers):
     plan = plan_scan(spark, SCHEMA, _opts(servers + [empty], **{"scan.batch.size": 2}))
     rep = {r.url_no: (r.n_tables, r.n_splits) for r in scan_report(spark, plan).collect()}
     assert rep == {0: (2, 4), 1: (2, 4), 2: (0, 0)}
+
+
+def test_max_parallel_reads(spark, servers):
+    o = _opts(servers, **{"scan.batch.size": 1, "scan.max-parallel-reads": 3})
+    df = sharded_scan(spark, SCHEMA, o)
+    assert df.rdd.getNumPartitions() == 3
+    rows = sorted((r.id, r.context) for r in df.collect())
+    assert rows == sorted([(1, "a"), (2, "b"), (3, "c"), (4, "a1"), (5, "b1"), (6, "c1")] * 2)

@@ -79,3 +79,9 @@ def test_salt_options():
     for bad in ({"scan.salt.column": "s"}, {"scan.salt.buckets": 2}, {"scan.salt.column": "s", "scan.salt.buckets": 0}):
         with pytest.raises(ValueError):
             ScanOptions.from_map(BASE, **{"scan.batch.size": 1, **bad})
+
+
+def test_max_parallel_reads_option():
+    assert ScanOptions.from_map(BASE, **{"scan.batch.size": 1, "scan.max-parallel-reads": 8}).max_parallel_reads == 8
+    with pytest.raises(ValueError):
+        ScanOptions.from_map(BASE, **{"scan.batch.size": 1, "scan.max-parallel-reads": 0})
