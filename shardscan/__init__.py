@@ -10,7 +10,7 @@ Public API::
 
     lake_shard_stats / lake_split_plan / assign_splits  # the same rule on any DataFrame
     split_row_counts / skew_report / scan_report        # plan quality reports
-    split_row_counts_in_db(spark, schema, options)      # rows per range, counted in the databases
+    split_row_counts_in_db / skew_report_in_db(spark, schema, options)  # the same, counted in the databases
 
 The flat DB-API backend registers as the Python data source ``sharded_dbapi``
 (:func:`shardscan.sources.dbapi.register`).
