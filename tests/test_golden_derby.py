@@ -289,3 +289,15 @@ def test_max_parallel_reads(spark, servers):
     assert df.rdd.getNumPartitions() == 3
     rows = sorted((r.id, r.context) for r in df.collect())
     assert rows == sorted([(1, "a"), (2, "b"), (3, "c"), (4, "a1"), (5, "b1"), (6, "c1")] * 2)
+
+
+def test_discovery_reports_table_kinds(spark):
+    url = "jdbc:derby:memory:golden_kinds"
+    derby_exec(spark, url + ";create=true", "CREATE TABLE KIND_T (id BIGINT)",
+               "CREATE VIEW KIND_V AS SELECT id FROM KIND_T")
+    o = {"url": [url], "table-name": "KIND_.*", "schema-name": "APP", "scan.partition.column": "id",
+         "scan.batch.size": 1}
+    kinds = {r.table_name: r.table_type for r in discover_shards(spark, o).collect()}
+    assert kinds == {"KIND_T": "TABLE", "KIND_V": "VIEW"}
+    only_views = {r.table_name for r in discover_shards(spark, dict(o, **{"table-types": "VIEW"})).collect()}
+    assert only_views == {"KIND_V"}
