@@ -24,3 +24,8 @@ def test_entry(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns == ["o_orderstatus", "n"]
+
+
+def test_every_query_has_an_oracle():
+    assert set(E.queries()) == set(E.oracle_sql())
+    assert all(callable(f) for f in E.queries().values())
