@@ -7,6 +7,8 @@ cluster cannot see them.  On a cluster, point the scan at real servers.
 
 Each shard is written by Spark's JDBC writer from a filter of the source
 DataFrame; loads are remembered per application so a session pays once.
+The DB-API backend's fixtures are SQLite files written by one task per file
+(``load_sqlite``), in a fresh local folder or ``spark.shardscan.fixtureDir``.
 """
 
 from __future__ import annotations
