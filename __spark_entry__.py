@@ -362,14 +362,30 @@ _ORACLE = {
 }
 
 
+def _text_queries() -> tuple[dict, dict]:
+    """Queries and oracles of the text-preparation subpackage and its pipeline, if they are present."""
+    try:
+        import corpus_pipeline
+        from shardscan.llm import queries as llm
+    except ModuleNotFoundError as e:
+        if e.name in ("corpus_pipeline", "shardscan.llm"):
+            return {}, {}
+        raise
+    found = dict(llm.QUERIES) | {"pipeline": corpus_pipeline.run}
+    sql = dict(llm.ORACLE_SQL)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: GROUP BY over the sharded orders view (sf0.001)."""
     return q23_group_over_view(spark, SF_SMOKE)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return dict(_QUERIES) | _text_queries()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in _ORACLE.items() if k in _QUERIES}
+    return {k: v for k, v in _ORACLE.items() if k in _QUERIES} | _text_queries()[1]
