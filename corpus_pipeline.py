@@ -1,9 +1,70 @@
-"""Corpus preparation: the stages that turn ``documents`` into sharded training text."""
+"""Corpus preparation: five stages that turn ``documents`` into sharded training text.
 
+Each stage is ``(spark, docs, sf_dir) -> DataFrame``; it reads the whole table that
+the stage before it wrote.  All but the last return the columns of ``documents``.
+Documents that carry no language go, one document of each near-duplicate
+group stays, documents contaminated by the benchmark go, sources are mixed
+to target weights by repeating documents, and the last stage puts every copy
+into a shard.  Tests hold each stage against a plain version of itself.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from shardscan.llm import decontaminate, langid, mixing, sharding, simhash
+from shardscan.llm.common import table, work_path
+
+#: A document's language is rejected below this mean probability.
+LEAST_SCORE = 0.3
+
+
+def _columns(df: DataFrame, like: DataFrame) -> DataFrame:
+    return df.select(*[F.col(f"`{c}`") for c in like.columns])
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a recognised language: neither ``und`` nor a score below ``LEAST_SCORE``."""
+    found = langid.identify(docs, docs, "__lid")
+    return _columns(found.where((F.col("__lid.lang_pred") != "und") & (F.col("__lid.score") >= LEAST_SCORE)), docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_overlap(docs, table(spark, sf_dir, "benchmark"), out="__overlap")
+    return _columns(found.where(~decontaminate.contaminated("__overlap")), docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _columns(mixing.mix(docs), docs)
+
+
+def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return sharding.shard(docs)
+
+
+STAGES = [
+    ("language ID", language_id),
+    ("SimHash near-dedup", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("mixing sources to target weights", mixture),
+    ("sharding", shards),
+]
+
+#: The first two stages run a trained network and XXH64, which SQL does not have.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each is written to the shared folder and read by the next."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        out = stage(spark, docs, sf_dir)
+        path = work_path(spark, "stage-" + name.split()[0])
+        out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
     return docs

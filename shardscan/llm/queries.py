@@ -1,9 +1,13 @@
 """The registered queries of this subpackage and, where SQL can say the same, their DuckDB form."""
 
+from shardscan.llm.decontaminate import op8_suffix_automaton_decontamination
+from shardscan.llm.langid import op3_byte_cnn_language_id
 from shardscan.llm.mixing import MIX_SQL, op9_poisson_mixing
 from shardscan.llm.sharding import op4_vector_bin_packing
 from shardscan.llm.simhash import op10_simhash_near_dedup
 
-QUERIES = {f.__name__: f for f in (op4_vector_bin_packing, op9_poisson_mixing, op10_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op3_byte_cnn_language_id, op4_vector_bin_packing, op8_suffix_automaton_decontamination, op9_poisson_mixing,
+    op10_simhash_near_dedup)}
 
 ORACLE_SQL: dict[str, str] = {"op9_poisson_mixing": MIX_SQL}
