@@ -3,11 +3,13 @@
 from shardscan.llm.decontaminate import op8_suffix_automaton_decontamination
 from shardscan.llm.langid import op3_byte_cnn_language_id
 from shardscan.llm.mixing import MIX_SQL, op9_poisson_mixing
+from shardscan.llm.secrets import op7_entropy_secret_scan
 from shardscan.llm.sharding import op4_vector_bin_packing
 from shardscan.llm.simhash import op10_simhash_near_dedup
+from shardscan.llm.warc import WARC_SQL, op2_content_addressed_warc
 
 QUERIES = {f.__name__: f for f in (
-    op3_byte_cnn_language_id, op4_vector_bin_packing, op8_suffix_automaton_decontamination, op9_poisson_mixing,
-    op10_simhash_near_dedup)}
+    op2_content_addressed_warc, op3_byte_cnn_language_id, op4_vector_bin_packing, op7_entropy_secret_scan,
+    op8_suffix_automaton_decontamination, op9_poisson_mixing, op10_simhash_near_dedup)}
 
-ORACLE_SQL: dict[str, str] = {"op9_poisson_mixing": MIX_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_content_addressed_warc": WARC_SQL, "op9_poisson_mixing": MIX_SQL}
