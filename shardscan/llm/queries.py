@@ -4,6 +4,7 @@ from shardscan.llm.decontaminate import op8_suffix_automaton_decontamination
 from shardscan.llm.langid import op3_byte_cnn_language_id
 from shardscan.llm.mixing import MIX_SQL, op9_poisson_mixing
 from shardscan.llm.permutation_index import op6_permutation_index_search
+from shardscan.llm.repeats import op5_interval_tree_dedup
 from shardscan.llm.secrets import op7_entropy_secret_scan
 from shardscan.llm.sharding import op4_vector_bin_packing
 from shardscan.llm.simhash import op10_simhash_near_dedup
@@ -12,7 +13,7 @@ from shardscan.llm.warc import WARC_SQL, op2_content_addressed_warc
 
 QUERIES = {f.__name__: f for f in (
     op1_weak_supervision_toxicity, op2_content_addressed_warc, op3_byte_cnn_language_id, op4_vector_bin_packing,
-    op6_permutation_index_search, op7_entropy_secret_scan, op8_suffix_automaton_decontamination,
+    op5_interval_tree_dedup, op6_permutation_index_search, op7_entropy_secret_scan, op8_suffix_automaton_decontamination,
     op9_poisson_mixing, op10_simhash_near_dedup)}
 
 ORACLE_SQL: dict[str, str] = {"op2_content_addressed_warc": WARC_SQL, "op9_poisson_mixing": MIX_SQL}
