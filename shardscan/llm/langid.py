@@ -75,7 +75,7 @@ class ByteCnn:
         n, length = x.shape
         parts, kept = [], []
         for w in WIDTHS:
-            cols = np.concatenate([emb[:, j:length - w + 1 + j] for j in range(w)], axis=2)
+            cols = np.concatenate([emb[:, j:length - WIDTHS[-1] + 1 + j] for j in range(w)], axis=2)
             z = cols @ self.p[f"W{w}"] + self.p[f"b{w}"]
             at = z.argmax(axis=1)
             top = np.take_along_axis(z, at[:, None, :], axis=1)[:, 0]

@@ -71,33 +71,34 @@ def source_rates(docs: DataFrame, temperature: float = 0.5, weights: dict[str, f
 
 
 def mix(docs: DataFrame, temperature: float = 0.5, weights: dict[str, float] | None = None,
-        max_broadcast_sources: int = 10_000, salts: int = 64) -> DataFrame:
+        max_broadcast_sources: int = 10_000, salts: int = 64, prefix: str = "mix_") -> DataFrame:
     """``docs`` with each row repeated by its count, shuffled, and the columns
-    ``mix_rate, mix_count, mix_copy`` (from 0) and ``mix_key``."""
+    ``rate, count, copy`` (from 0) and ``key`` under ``prefix``."""
     spark = docs.sparkSession
-    rates = source_rates(docs, temperature, weights)
+    rates = source_rates(docs, temperature, weights).toDF("__source", f"{prefix}rate", "__steps")
     few = rates.limit(max_broadcast_sources + 1).collect()
-    plain = docs.select(*[F.col(f"`{c}`") for c in docs.columns if not c.lower().startswith("mix_")])
+    source = docs["source"].cast("string")
     if len(few) <= max_broadcast_sources:
         side = F.broadcast(spark.createDataFrame(few, rates.schema))
-        rows = plain.join(side, plain["source"].cast("string").eqNullSafe(side["mix_source"]))
+        rows = docs.join(side, source.eqNullSafe(side["__source"]))
     else:
-        salted = rates.withColumn("mix_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        left = plain.withColumn("mix_s", F.pmod(F.xxhash64("doc_id", "text"), F.lit(salts)).cast("int"))
-        rows = left.join(salted, left["source"].cast("string").eqNullSafe(salted["mix_source"])
-                         & (left["mix_s"] == salted["mix_salt"])).drop("mix_s", "mix_salt")
-    u = _uniform(_id("doc_id"))
-    counted = rows.withColumn("mix_u", u).withColumn(
-        "mix_count", F.size(F.filter("mix_steps", lambda c: c <= F.col("mix_u")))).where("mix_count > 0")
-    copies = counted.withColumn("mix_copy", F.explode(F.sequence(F.lit(0), F.col("mix_count") - 1)))
-    keyed = copies.withColumn("mix_key", F.md5(F.concat_ws(
-        "|", F.lit(SEED), _id("doc_id"), F.col("mix_copy").cast("string")).cast("binary")))
-    return keyed.drop("mix_source", "mix_steps", "mix_u").repartition("mix_key").sortWithinPartitions("mix_key")
+        salted = rates.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        left = docs.withColumn("__s", F.pmod(F.xxhash64("doc_id", "text"), F.lit(salts)).cast("int"))
+        rows = left.join(salted, left["source"].cast("string").eqNullSafe(salted["__source"])
+                         & (left["__s"] == salted["__salt"])).drop("__s", "__salt")
+    rate, count, copy, key = (f"{prefix}{x}" for x in ("rate", "count", "copy", "key"))
+    counted = rows.withColumn("__u", _uniform(_id("doc_id"))).withColumn(
+        count, F.size(F.filter("__steps", lambda c: c <= F.col("__u")))).where(F.col(count) > 0)
+    copies = counted.withColumn(copy, F.explode(F.sequence(F.lit(0), F.col(count) - 1)))
+    keyed = copies.withColumn(key, F.md5(F.concat_ws(
+        "|", F.lit(SEED), _id("doc_id"), F.col(copy).cast("string")).cast("binary")))
+    return keyed.drop("__source", "__steps", "__u").repartition(F.col(key)).sortWithinPartitions(key)
 
 
 def op9_poisson_mixing(spark, sf_dir: str) -> DataFrame:
     """The mixture of ``documents``, sources at the square root of their bytes."""
-    return mix(documents(spark, sf_dir)).select(
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang", "source", "n_chars")
+    return mix(docs).select(
         "doc_id", "text", "lang", "source", "n_chars", F.round("mix_rate", 9).alias("rate"),
         F.col("mix_count").alias("n_copies"), F.col("mix_copy").alias("copy"), F.col("mix_key").alias("shuffle_key"))
 
@@ -106,16 +107,17 @@ _RATES_SQL = """
 n AS (SELECT source, SUM(strlen(COALESCE(text, '')) + 1)::DOUBLE AS n FROM {docs} GROUP BY source),
 t AS (SELECT SUM(n) AS all_n, SUM(pow(n, 0.5)) AS all_w FROM n),
 r AS (SELECT source, pow(n, 0.5) / all_w * all_n / n AS rate FROM n, t),
-p AS (SELECT source, rate, k, exp(-rate + k * ln(rate)
-        - COALESCE((SELECT SUM(ln(i)) FROM range(1, k + 1) x(i)), 0)) AS p
-      FROM r, range(0, 200) y(k)),
-c AS (SELECT source, rate, k, SUM(p) OVER (PARTITION BY source ORDER BY k) AS f FROM p)"""
+y AS (SELECT k, SUM(CASE WHEN k = 0 THEN 0 ELSE ln(k) END) OVER (ORDER BY k) AS lf
+      FROM range(0, (SELECT CAST(ceil(max(rate) + 12 * sqrt(max(rate)) + 26) AS BIGINT) FROM r)) x(k)),
+p AS (SELECT source, rate, k, exp(-rate + k * ln(rate) - lf) AS p FROM r JOIN y ON k <= rate + 12 * sqrt(rate) + 25),
+c AS (SELECT source, rate, k, SUM(p) OVER (PARTITION BY source ORDER BY k) AS f FROM p),
+l AS (SELECT source, rate, list(f ORDER BY k) AS steps FROM c GROUP BY source, rate)"""
 
 MIX_SQL = "WITH " + _RATES_SQL.format(docs="documents") + """,
 d AS (SELECT *, ('0x' || substr(md5('mix-1|' || COALESCE(CAST(doc_id AS VARCHAR), '')), 1, 13))::BIGINT
         / 4503599627370496.0 AS u FROM documents),
-m AS (SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, round(min(c.rate), 9) AS rate,
-        CAST(count(*) FILTER (c.f <= d.u) AS INTEGER) AS n_copies
-      FROM d JOIN c ON d.source IS NOT DISTINCT FROM c.source GROUP BY ALL)
+m AS (SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, round(l.rate, 9) AS rate,
+        CAST(len(list_filter(l.steps, lambda f: f <= d.u)) AS INTEGER) AS n_copies
+      FROM d JOIN l ON d.source IS NOT DISTINCT FROM l.source)
 SELECT *, md5('mix-1|' || COALESCE(CAST(doc_id AS VARCHAR), '') || '|' || copy) AS shuffle_key
 FROM (SELECT *, CAST(unnest(range(0, n_copies)) AS INTEGER) AS copy FROM m WHERE n_copies > 0)"""

@@ -213,27 +213,30 @@ class LabelModel:
             self.tables.append({tuple(k): (x, y) for k, x, y in zip(
                 keys.tolist(), a / a.sum(), b / b.sum())})
 
-    def posterior(self, patterns: np.ndarray) -> np.ndarray:
+    def posterior(self, patterns: np.ndarray, without: tuple[int, ...] = ()) -> np.ndarray:
+        """P(toxic) of every vote pattern, by all groups but those that hold a voter of ``without``."""
         logit = np.full(len(patterns), np.log(self.prior / (1 - self.prior)))
         for g, t in zip(self.groups, self.tables):
+            if set(g) & set(without):
+                continue
             logit += np.array([np.log(x / y) for x, y in (t.get(tuple(k), (1.0, 1.0)) for k in patterns[:, g].tolist())])
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
-    def _correlated(self, patterns, counts, post, limit: float) -> list[list[int]]:
-        """Voters joined where their votes correlate within a class beyond ``limit``."""
+    def _correlated(self, patterns, counts, limit: float) -> list[list[int]]:
+        """Voters joined where their votes correlate within a class beyond ``limit``; the class is
+        judged by the other voters, as two that agree would define it by themselves."""
         m = patterns.shape[1]
         parent = list(range(m))
-        for w in (counts * post, counts * (1 - post)):
-            v = patterns.astype(float)
-            mean = np.average(v, axis=0, weights=w)
-            d = (v - mean) * np.sqrt(w)[:, None]
-            cov = d.T @ d / w.sum()
-            sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
-            for i in range(m - 1):
-                for j in range(i):
-                    if abs(cov[i, j]) > limit * sd[i] * sd[j] and min(sd[i], sd[j]) > 1e-2:
+        for i in range(m - 1):
+            for j in range(i):
+                post = self.posterior(patterns, without=(i, j))
+                for w in (counts * post, counts * (1 - post)):
+                    x, y = (patterns[:, c] - np.average(patterns[:, c], weights=w) for c in (i, j))
+                    sx, sy = np.sqrt(np.average(x * x, weights=w)), np.sqrt(np.average(y * y, weights=w))
+                    if min(sx, sy) > 1e-2 and abs(np.average(x * y, weights=w)) > limit * sx * sy:
                         a, b = parent[i], parent[j]
                         parent = [min(a, b) if p == max(a, b) else p for p in parent]
+                        break
         return [[j for j in range(m) if parent[j] == r] for r in sorted(set(parent))]
 
     def fit(self, patterns: np.ndarray, counts: np.ndarray, rounds: int = 50, limit: float = 0.3) -> None:
@@ -247,7 +250,7 @@ class LabelModel:
                 if done:
                     break
             if phase == 0:
-                self.groups = self._correlated(patterns, counts, post, limit)
+                self.groups = self._correlated(patterns, counts, limit)
                 post = self._start(patterns)
 
     def accuracies(self) -> dict[str, tuple[float, float]]:

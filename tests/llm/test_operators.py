@@ -1,0 +1,349 @@
+"""Every operator's query against a plain version, on given, awkward and empty tables."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+import brute
+from conftest import SF
+from shardscan.llm import decontaminate, langid, mixing, permutation_index, secrets, sharding, simhash, toxicity, warc
+from shardscan.llm.queries import QUERIES
+from pyspark.sql import functions as F
+
+
+def rows(spark, path, name, *cols):
+    return [tuple(r) for r in spark.read.parquet(f"{path}/{name}.parquet").select(*cols).collect()]
+
+
+def got(spark, name, path):
+    q = next(f for n, f in QUERIES.items() if n.startswith(name + "_"))
+    return [tuple(r) for r in q(spark, path).collect()]
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_empty_tables(spark, empty_dir, name):
+    df = QUERIES[name](spark, empty_dir)
+    assert df.collect() == [] and df.columns
+
+
+@pytest.fixture(params=["given", "edge"])
+def path(request, edge_dir):
+    return SF if request.param == "given" else edge_dir
+
+
+def test_op10(spark, path):
+    assert Counter(got(spark, "op10", path)) == Counter(brute.components(rows(spark, path, "documents", "doc_id", "text")))
+
+
+def test_op5(spark, path):
+    assert Counter(got(spark, "op5", path)) == Counter(brute.repeats(rows(spark, path, "documents", "doc_id", "text")))
+
+
+def test_op8(spark, path):
+    docs, bench = rows(spark, path, "documents", "doc_id", "text"), rows(spark, path, "benchmark", "item_id", "text")
+    assert Counter(got(spark, "op8", path)) == Counter(brute.overlap(docs, bench))
+
+
+def test_op7(spark, path):
+    text = defaultdict(list)
+    for d, t in rows(spark, path, "documents", "doc_id", "text"):
+        counts, digest, names = brute.base_secrets(t)
+        text[d].append((*counts, digest, names))
+    for d, *counts, digest, spans, _ in got(spark, "op7", path):
+        match = [x for x in text[d] if x[:4] == (*counts, digest) and set(x[4]) <= set(spans.split(","))]
+        assert match, (d, spans)
+
+
+def test_op7_entropy_spans():
+    base, every = secrets.scan("tok Zq3Rt7Lw9Xb2Nc5Vm8Kd1Hs4 end")
+    assert base == [] and [(a, b, k) for a, b, k in every] == [(4, 28, "entropy_base64")]
+    for s in ("Zq3Rt7Lw9Xb2Nc5Vm8Kd1Hs4QQQQQQQQQQ", "abcabcabcabcabcabcabcabc1", "0123456789abcdef0123"):
+        want = [brute.entropy(s[i:i + 20]) for i in range(len(s) - 19)]
+        assert np.allclose(list(secrets.entropies(s)), want, atol=1e-9)
+    for allowed in ("id 123e4567-e89b-12d3-a456-426614174000", "key wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY",
+                    "xyxyxyxy1xyxyxyxy1xyxyxyxy1", "Donaudampfschifffahrtsgesellschaft1921"):
+        assert secrets.scan(allowed)[1] == [], allowed
+
+
+def test_op9(spark, path):
+    from oracle import compare, duck
+
+    con = duck(SF) if path == SF else None
+    if con is None:
+        import duckdb
+
+        con = duckdb.connect()
+        con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{path}/documents.parquet/*.parquet')")
+    ok, why = compare(mixing.op9_poisson_mixing(spark, path), con, mixing.MIX_SQL)
+    assert ok, why
+
+
+def test_op9_reaches_target_weights_and_salted_join(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = {"src0": 3.0, "src3": 1.0}
+    mixed = mixing.mix(docs, weights=want)
+    by = {r["source"]: r["n"] for r in mixed.groupBy("source").agg(F.sum(F.octet_length("text")).alias("n")).collect()}
+    assert set(by) == set(want) and 1.5 < by["src0"] / by["src3"] < 6
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    assert 0.7 < sum(by.values()) / total < 1.3
+    a = mixing.mix(docs).select("doc_id", "mix_copy", "mix_key")
+    b = mixing.mix(docs, max_broadcast_sources=0).select("doc_id", "mix_copy", "mix_key")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_poisson_counts(spark):
+    rates = spark.createDataFrame([(0.0,), (0.3,), (4.0,), (900.0,)], "r double").withColumn("s", mixing.poisson_steps(F.col("r")))
+    for r in rates.collect():
+        steps = np.array(r["s"])
+        assert (np.diff(steps) >= 0).all() and abs(steps[-1] - 1) < 1e-9
+        assert abs((1 - steps).sum() - r["r"]) < 1e-6 * max(1, r["r"])  # the mean is the sum of the tail
+
+
+def test_op4(spark, path):
+    docs = rows(spark, path, "documents", "doc_id", "text")
+    out = sharding.op4_vector_bin_packing(spark, path).collect()
+    want = Counter((d, len((t or "").encode()) + 1, brute.crc(t)) for d, t in docs)
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in out) == want
+    slots = defaultdict(list)
+    for r in out:
+        assert 0 <= r["shard"] < 16 and r.law == "bytes" and r.grown_shard is None
+        slots[r["shard"]].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_op4_balance_and_hot_group(spark):
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "one text that a third of all rows share").otherwise(
+        F.concat(F.lit("text "), F.sha2(F.col("id").cast("string"), 512), F.repeat(F.lit(" w"), (F.col("id") % 50).cast("int")))).alias("text"))
+    out = sharding.shard(docs).groupBy("shard").agg(F.sum("size").alias("b"), F.sum("tokens").alias("t"), F.count(F.lit(1)).alias("n")).collect()
+    assert len(out) == 16
+    for m in ("b", "t", "n"):
+        v = np.array([r[m] for r in out], float)
+        assert v.max() / v.mean() < 1.06 and v.min() / v.mean() > 0.94, (m, v)
+
+
+def test_pack_puts_each_group_where_residual_capacity_points():
+    sizes = np.array([[8.0, 1, 1], [8.0, 1, 1], [1.0, 8, 8], [1.0, 8, 8]])
+    shard = sharding.pack(sizes, 2)
+    assert shard[0] != shard[1] and shard[2] != shard[3]
+
+
+def test_op3(spark, edge_dir):
+    out = got(spark, "op3", edge_dir)
+    docs = rows(spark, edge_dir, "documents", "doc_id", "text")
+    und = Counter(d for d, t in docs if not t or not any(c.isalpha() for c in t))
+    assert Counter(d for d, _, lang, s in out if lang == "und") == und
+    assert all(s == 0 for _, _, lang, s in out if lang == "und") and all(0 <= s <= 1 for *_, s in out)
+    assert len(out) == len(docs)
+    for d, held, _, _ in out:
+        assert held == (zlib.crc32(("" if d is None else str(d)).encode()) % 4 == 2)
+
+
+def test_op3_accuracy_on_held_out_texts(spark):
+    sf = "/root/testdata/sf0.01"
+    lang = dict(rows(spark, sf, "documents", "doc_id", "lang"))
+    out = [r for r in got(spark, "op3", sf) if r[1]]
+    assert len(out) > 150 and sum(lang[d] == p for d, _, p, _ in out) / len(out) > 0.97
+
+
+def test_cnn_tables_equal_the_network():
+    model = langid.ByteCnn(["a", "b", "c"])
+    x = np.random.default_rng(1).integers(0, langid.N_SYMBOLS, (40, langid.WINDOW)).astype(np.uint8)
+    assert np.allclose(model.window_probabilities(x), model._forward(x)[2], atol=1e-4)
+    # gradients against differences
+    y = np.arange(4) % 3
+    small = x[:4, :12]
+    grads = model._gradients(small, y)
+    model.p = {k: v.astype(np.float64) for k, v in model.p.items()}
+
+    def loss():
+        return -np.log(model._forward(small)[2][np.arange(4), y]).mean()
+
+    for name in ("E", "W3", "b4", "D", "d"):
+        at = np.unravel_index(int(np.abs(grads[name]).argmax()), grads[name].shape)
+        keep, eps = model.p[name][at], 1e-5
+        model.p[name][at] = keep + eps
+        up = loss()
+        model.p[name][at] = keep - eps
+        down = loss()
+        model.p[name][at] = keep
+        assert abs((up - down) / (2 * eps) - grads[name][at]) < 1e-3
+
+
+def test_op6(spark, edge_dir):
+    vecs = defaultdict(list)
+    for i, v in rows(spark, edge_dir, "embeddings", "vec_id", "embedding"):
+        if i is not None and v is not None and len(v) == 4 and all(x is not None and np.isfinite(x) for x in v) and any(v):
+            vecs[i].append(np.array(v, float))
+    cos = lambda a, b: (a * b).sum() / (np.sqrt((a * a).sum()) * np.sqrt((b * b).sum()))
+    want = []
+    for q in sorted(i for i in vecs if i % 50 == 0):
+        near = sorted((-cos(vecs[q][0], vecs[i][0]), i) for i in vecs if i != q)[:5]
+        want += [(q, n + 1, i) for n, (s, i) in enumerate(near)]
+    out = sorted(got(spark, "op6", edge_dir))
+    assert {r[0] for r in out} == {-50, 50, 100, 450}
+    score = {(q, i): cos(vecs[q][0], vecs[i][0]) for q in (-50, 50, 100, 450) for i in vecs}
+    for r, w in zip(out, want):
+        assert r[:2] == w[:2] and abs(r[3] - score[w[0], w[2]]) < 1e-12 and abs(r[3] - score[r[0], r[2]]) < 1e-12
+    assert len(out) == len(want)
+
+
+@pytest.mark.parametrize("sf,rows_of_block", [("/root/testdata/sf0.1", 16_384), ("/root/testdata/sf0.1", 300)])
+def test_op6_recall(spark, sf, rows_of_block):
+    """At least 0.9 of the true neighbours, also when only a part of each block is reranked."""
+    vectors = spark.read.parquet(f"{sf}/embeddings.parquet")
+    out = permutation_index.search(vectors, vectors.where("vec_id % 50 = 0"), block_rows=rows_of_block, least=32,
+                                   query_bytes=20_000).toPandas()
+    e = vectors.toPandas()
+    ids, x = e.vec_id.to_numpy(), np.stack(e.embedding.to_numpy()).astype(float)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hit = total = 0
+    for q in ids[ids % 50 == 0]:
+        s = unit @ unit[ids == q][0]
+        s[ids == q] = -9
+        true = set(ids[np.argsort(-s)[:5]])
+        hit += len(true & set(out[out.query_id == q].vec_id))
+        total += 5
+    assert hit / total >= 0.9
+
+
+def test_footrule_from_postings():
+    rng = np.random.default_rng(2)
+    vec, pivots = rng.normal(size=(60, 6)), rng.normal(size=(12, 6))
+    pivots /= np.linalg.norm(pivots, axis=1, keepdims=True)
+    block = permutation_index.Block(np.arange(60), vec, pivots, 5, 3)
+    perm = permutation_index.permutations(block.rows, pivots, 5)
+    q = permutation_index.permutations(rng.normal(size=(1, 6)), pivots, 5)[0]
+    place = lambda p, x: int(np.flatnonzero(p == x)[0]) if x in p else 5
+    want = [sum(abs(place(q, x) - place(p, x)) for x in set(q) | set(p)) for p in perm]
+    assert block.footrule(q).tolist() == want
+
+
+def test_op2(spark, path, tmp_path):
+    pages = rows(spark, path, "pages", "page_id", "url", "html")
+    least, copies = {}, defaultdict(list)
+    for p, _, h in pages:
+        b = (h or "").encode()
+        if p is not None:
+            least[b] = min(least.get(b, p), p)
+    want = Counter()
+    for p, _, h in pages:
+        b = (h or "").encode()
+        again = len(b) >= 100 and b in least and p != least[b]
+        want[(p, len(b), hashlib.sha256(b).hexdigest(), "revisit" if again else "response", least[b] if again else None)] += 1
+        copies[b].append(p)
+    assert Counter(got(spark, "op2", path)) == want
+    # an exact round trip of the records
+    out = str(tmp_path / "archive")
+    warc.write_archive(spark.read.parquet(f"{path}/pages.parquet"), out)
+    assert spark.read.parquet(f"{out}/payloads").count() == len(copies)
+    heads = Counter(bytes(r.header) for r in spark.read.parquet(f"{out}/headers").collect())
+    back = warc.read_archive(spark, out).collect()
+    for r in back:
+        head, body = bytes(r.record).split(b"\r\n\r\n", 1)
+        heads[head + b"\r\n\r\n"] -= 1
+        size = int(re.search(rb"Content-Length: (\d+)", head).group(1))
+        assert body[size:] == b"\r\n\r\n" and body[:size] == (b"" if r.record_type == "revisit" else bytes(r.payload))
+        assert hashlib.sha256(bytes(r.payload)).hexdigest() == r.digest
+        assert all(b":" in line for line in head.split(b"\r\n")[1:])
+    assert len(back) == len(pages) and not any(heads.values())
+
+
+def test_op2_corrupt_payload_fails(spark, tmp_path):
+    out = str(tmp_path / "archive")
+    warc.write_archive(spark.read.parquet(f"{SF}/pages.parquet").limit(3), out)
+    bad = spark.read.parquet(f"{out}/payloads").withColumn("payload", F.lit(b"changed"))
+    rows_ = bad.collect()
+    spark.createDataFrame(rows_, bad.schema).write.mode("overwrite").parquet(f"{out}/payloads")
+    with pytest.raises(Exception, match="differs from its digest"):
+        warc.read_archive(spark, out).select("payload").collect()
+
+
+def test_op1(spark, edge_dir):
+    out = got(spark, "op1", edge_dir)
+    docs = rows(spark, edge_dir, "documents", "doc_id", "text")
+    assert Counter(r[0] for r in out) == Counter(d for d, _ in docs)
+    for d, held, score, predicted in out:
+        assert 0 <= score <= 1 and predicted == int(score >= 0.5)
+        assert held == (zlib.crc32(("" if d is None else str(d)).encode()) % 5 == 0)
+
+
+def test_op1_held_out_quality(spark):
+    sf = "/root/testdata/sf0.1"
+    toxic = dict(rows(spark, sf, "labels", "doc_id", "toxic"))
+    out = [r for r in got(spark, "op1", sf) if r[1] and r[0] in toxic]
+    hit = sum(p and toxic[d] for d, _, _, p in out)
+    assert hit / sum(p for *_, p in out) > 0.85 and hit / sum(toxic[d] for d, *_ in out) > 0.85
+
+
+def test_label_model_recovers_voters():
+    rng = np.random.default_rng(4)
+    y = rng.random(20_000) < 0.15
+    votes = np.full((len(y), 5), -1)
+    for j, (tp, fp) in enumerate([(0.8, 0.02), (0.6, 0.05), (0.7, 0.1)]):
+        votes[:, j] = np.where(rng.random(len(y)) < np.where(y, tp, fp), 1, 0)
+    votes[:, 3] = votes[:, 0]  # a copy of the first voter: must not count twice
+    known = rng.random(len(y)) < 0.05
+    votes[:, 4] = np.where(known, y.astype(int), -1)
+    patterns, inv = np.unique(votes, axis=0, return_inverse=True)
+    model = toxicity.LabelModel(5)
+    model.fit(patterns, np.bincount(inv.ravel()).astype(float))
+    assert [0, 3] in model.groups and abs(model.prior - 0.15) < 0.04
+    post = model.posterior(votes)
+    assert (post[~known].round() == y[~known]).mean() > 0.93
+
+
+def test_simhash_covering_masks_meet_every_near_pair():
+    masks = simhash.covering_masks(list(range(64)), 2)
+    assert len(masks) == 7
+    for i in range(64):
+        for j in range(64):
+            assert any(not (m >> i & 1) and not (m >> j & 1) for m in masks)
+
+
+def test_simhash_hot_buckets_lose_no_link(spark):
+    import random
+
+    rnd = random.Random(8)
+    base = rnd.getrandbits(64)
+    fps = {base}
+    while len(fps) < 400:  # many fingerprints that share whole masks
+        x = rnd.choice(sorted(fps))
+        for _ in range(rnd.randint(1, 4)):
+            x ^= 1 << rnd.randrange(64)
+        fps.add(x)
+    fps = sorted(fps)
+    nodes = spark.createDataFrame([(simhash._signed(x),) for x in fps], "fp long")
+    parent = {x: x for x in fps}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, x in enumerate(fps):
+        for y in fps[i + 1:]:
+            if (x ^ y).bit_count() <= 2:
+                parent[find(y)] = find(x)
+    want = Counter(Counter(find(x) for x in fps).values())
+    for rows_of_bucket in (1024, 4):
+        comp = simhash.components(simhash.links(nodes, bucket_rows=rows_of_bucket)).collect()
+        sizes = Counter(Counter(r["root"] for r in comp).values())
+        alone = len(fps) - len(comp)
+        assert sizes + (Counter({1: alone}) if alone else Counter()) == want
+
+
+def test_decontaminate_blocks_and_removed_spans(spark, edge_dir):
+    docs = spark.read.parquet(f"{edge_dir}/documents.parquet").select("doc_id", "text", "overlap")
+    bench = spark.read.parquet(f"{edge_dir}/benchmark.parquet")
+    one = decontaminate.find_overlap(docs, bench, out="o").select("doc_id", "o")
+    many = decontaminate.find_overlap(docs, bench, out="o", block_bytes=60).select("doc_id", "o")
+    key = lambda df: Counter(str(r) for r in df.collect())
+    assert key(one) == key(many)
+    cut = {r.doc_id: r.text for r in decontaminate.remove_spans(docs, bench).collect()}
+    item = " ".join(f"bench{i}" for i in range(20))
+    assert cut[11] == "" and cut[12] == "clean words " * 200 and cut[13] == " " + "tail " * 30 and cut[14] in (
+        "one two three", "another text under one id") and item not in cut[12]
