@@ -219,11 +219,11 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
     """``docs`` with one row of each group of linked texts: that with the smallest id
     (null ids last; of rows that repeat the id and text, one)."""
     comp = near_duplicates(docs, shingle=shingle, radius=radius)
-    stay = comp.groupBy("root").agg(F.min(F.struct(
-        F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("x")).select(
-        F.col("x.doc_id").alias("__id"), F.col("x.text_hash").alias("__hash"))
-    tagged = docs.withColumn("__text", F.xxhash64(F.col("text").cast("string")))
-    one = tagged.join(stay, tagged["doc_id"].eqNullSafe(stay["__id"]) & (tagged["__text"] == stay["__hash"]))
-    order = Window.partitionBy("__id", "__hash").orderBy(F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in docs.columns]))
-    return one.withColumn("__n", F.row_number().over(order)).where("__n = 1").select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    none, same = F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0))
+    stay = comp.groupBy("root").agg(F.min(F.struct(none.alias("none"), "doc_id", "text_hash")).alias("x")).select(
+        "x.doc_id", "x.text_hash").select(none.alias("__none"), same.alias("__id"), F.col("text_hash").alias("__text"))
+    tagged = docs.withColumns({"__none": none, "__id": same, "__text": F.xxhash64(F.col("text").cast("string"))})
+    keys = ["__none", "__id", "__text"]
+    row = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in docs.columns])
+    one = tagged.join(stay, keys).withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(row)))
+    return one.where("__n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
