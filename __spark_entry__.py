@@ -2,7 +2,7 @@
 
 Every query lays the given parquet tables out as database shards (embedded
 Derby in memory, SQLite files for the DB-API backend; see
-``shardscan.fixtures``), then reads them back through the sharded scan, or
+``shard_fixtures``), then reads them back through the sharded scan, or
 runs the split rule on the parquet tables directly.  The shards live in this
 JVM, so the Derby-backed queries run in local mode only; on a cluster the
 same calls take real server URLs.
@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardscan import (
-    discover_shards,
     lake_shard_stats,
     lake_split_plan,
     plan_scan,
@@ -25,11 +24,12 @@ from shardscan import (
     shard_stats,
     sharded_scan,
     skew_report,
+    split_plan,
     split_row_counts,
     skew_report_in_db,
     split_row_counts_in_db,
 )
-from shardscan import fixtures as FX
+import shard_fixtures as FX
 from shardscan.sources import dbapi
 
 SF_SMOKE = "/root/testdata/sf0.001"
@@ -146,14 +146,9 @@ def q18_skew_report(spark, sf):
                        partition_num=8).select("event_type", "max_rows", "total_rows", "nonempty_splits")
 
 
-def q19_discovery(spark, sf):
-    return discover_shards(spark, _orders_opts(spark, sf)).select(
-        "url_no", F.col("table_name").alias("tbl"))
-
-
 def q20_scan_report(spark, sf):
     plan = plan_scan(spark, _orders_schema(spark, sf), _orders_opts(spark, sf))
-    return scan_report(spark, plan).select("url_no", "n_tables", "n_splits")
+    return scan_report(spark, plan).select("url_no", "n_schemas", "n_tables", "n_splits")
 
 
 def q21_provenance(spark, sf):
@@ -198,11 +193,6 @@ def q25_flat_backend(spark, sf):
     return spark.sql("SELECT * FROM ss_customer_flat")
 
 
-def q26_no_match(spark, sf):
-    return sharded_scan(spark, _orders_schema(spark, sf),
-                        _orders_opts(spark, sf, **{"table-name": "NOPE_.*"}))
-
-
 # ------------------------------------------------------------ fan-out
 def q27_many_shards(spark, sf):
     urls = FX.events_many_shards(spark, sf, 64)
@@ -265,6 +255,60 @@ def q34_flat_backend_packed(spark, sf):
             .load())
 
 
+def _split_rows_of(spark, sf, **kw):
+    return split_plan(spark, "o_orderkey BIGINT, o_totalprice DOUBLE", _orders_opts(spark, sf, **kw)).select(
+        "split_id", "url_no", F.col("table_name").alias("tbl"), "split_no", "lo", "hi")
+
+
+def q35_split_plan_of_scan(spark, sf):
+    """The planned splits of the orders shards: ids by (server, table, number), ranges by batch size."""
+    return _split_rows_of(spark, sf)
+
+
+def q36_split_plan_of_scan_num(spark, sf):
+    return _split_rows_of(spark, sf, **{"scan.partition.num": 3})
+
+
+def _wide_opts(spark, sf):
+    return {"url": list(FX.orders_wide_key(spark, sf)), "table-name": "ORDERS_.*", "schema-name": "APP",
+            "scan.partition.column": "wide_key", "scan.batch.size": 1000}
+
+
+def q37_wide_undeclared_key(spark, sf):
+    """A DECIMAL(20,0) key above 2^63 that the declared schema does not name."""
+    return sharded_scan(spark, "o_custkey BIGINT, o_totalprice DOUBLE", _wide_opts(spark, sf))
+
+
+def q38_split_rows_in_db_wide_key(spark, sf):
+    """q32 over the DECIMAL(20,0) key: the split number is an integer division in the database."""
+    return split_row_counts_in_db(spark, "o_custkey BIGINT", _wide_opts(spark, sf)).select(
+        F.col("table_name").alias("tbl"), "split_no", "n_rows")
+
+
+def q39_skew_report_in_db_wide_key(spark, sf):
+    return skew_report_in_db(spark, "o_custkey BIGINT", _wide_opts(spark, sf)).select(
+        F.col("table_name").alias("tbl"), "max_rows", "total_rows", "nonempty_splits")
+
+
+def q40_typed_conditions(spark, sf):
+    """Equality conditions: a number given as text, and a text that holds a quote and a backslash."""
+    urls = FX.part_quoted(spark, sf)
+    return sharded_scan(spark, "p_partkey BIGINT, p_size INT, note STRING", {
+        "url": list(urls), "table-name": "PART", "schema-name": "APP", "scan.partition.column": "p_partkey",
+        "scan.batch.size": 1000, "scan.conditions": {"p_size": "7", "note": "it's a \\ sign"}})
+
+
+def q41_flat_conditions_and_timestamp(spark, sf):
+    """The DB-API backend: a bound condition, and a declared TIMESTAMP (session zone) read from text."""
+    dbapi.register(spark)
+    schema = "o_orderkey BIGINT, o_orderstatus STRING, o_orderdate TIMESTAMP"
+    df = (spark.read.format(dbapi.NAME).schema(schema)
+          .options(**{"url": ";".join(FX.orders_sqlite(spark, sf)), "table-name": "ORDERS_.*", "schema-name": "main",
+                      "scan.partition.column": "o_orderkey", "scan.batch.size": "1000",
+                      "scan.conditions": "o_orderstatus=F"}).load())
+    return df.select("o_orderkey", "o_orderstatus", F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()
 }
@@ -277,7 +321,30 @@ _SPLIT_ROWS_SQL = (
     "SELECT 'ORDERS_' || t.shard AS tbl, CAST((o.o_orderkey - t.mn) // (t.step + 1) AS BIGINT) AS split_no, "
     "COUNT(*) AS n_rows FROM orders o JOIN t ON o.o_orderkey % 4 = t.shard GROUP BY 1, 2")
 
+def _split_plan_sql(step: str) -> str:
+    return (
+        "WITH s AS (SELECT o_orderkey % 4 AS shard, MIN(o_orderkey) AS mn, MAX(o_orderkey) AS mx, "
+        f"COUNT(*) AS n FROM orders GROUP BY 1), t AS (SELECT shard, mn, mx, {step} AS step FROM s), "
+        "u AS (SELECT shard, mn, step, UNNEST(generate_series(0, (mx - mn) // (step + 1))) AS i FROM t) "
+        "SELECT ROW_NUMBER() OVER (ORDER BY shard % 2, shard, i) - 1 AS split_id, CAST(shard % 2 AS INTEGER) AS url_no, "
+        "'ORDERS_' || shard AS tbl, CAST(i AS BIGINT) AS split_no, CAST(mn + i * (step + 1) AS BIGINT) AS lo, "
+        "CAST(mn + i * (step + 1) + step AS BIGINT) AS hi FROM u")
+
+
 _ORACLE = {
+    "q35_split_plan_of_scan": _split_plan_sql(
+        "CASE WHEN 1000 > n THEN mx - mn ELSE CAST((CAST(mx - mn AS HUGEINT) * 1000) // n AS BIGINT) END"),
+    "q36_split_plan_of_scan_num": _split_plan_sql("(mx - mn) // 3"),
+    "q37_wide_undeclared_key": "SELECT o_custkey, o_totalprice FROM orders",
+    "q38_split_rows_in_db_wide_key": _SPLIT_ROWS_SQL,
+    "q39_skew_report_in_db_wide_key": (
+        "WITH c AS (" + _SPLIT_ROWS_SQL + ") SELECT tbl, MAX(n_rows) AS max_rows, "
+        "CAST(SUM(n_rows) AS BIGINT) AS total_rows, COUNT(*) AS nonempty_splits FROM c GROUP BY tbl"),
+    "q40_typed_conditions": (
+        "SELECT p_partkey, p_size, 'it''s a \\ sign' AS note FROM part WHERE p_size = 7 AND p_partkey % 2 = 0"),
+    "q41_flat_conditions_and_timestamp": (
+        "SELECT o_orderkey, o_orderstatus, CAST(o_orderdate AS TIMESTAMP) AS o_orderdate FROM orders "
+        "WHERE o_orderstatus = 'F'"),
     "q01_scan_bag": "SELECT * FROM orders",
     "q02_scan_duplicate_servers": "SELECT * FROM nation UNION ALL SELECT * FROM nation",
     "q03_table_regex": "SELECT * FROM orders WHERE o_orderkey % 4 IN (0, 2)",
@@ -326,15 +393,12 @@ _ORACLE = {
         "FROM events e JOIN s ON e.event_type = s.event_type GROUP BY 1, 2) "
         "SELECT event_type, MAX(n) AS max_rows, CAST(SUM(n) AS BIGINT) AS total_rows, "
         "COUNT(*) AS nonempty_splits FROM c GROUP BY 1"),
-    "q19_discovery": (
-        "SELECT DISTINCT CAST(o_orderkey % 2 AS INTEGER) AS url_no, 'ORDERS_' || (o_orderkey % 4) AS tbl "
-        "FROM orders"),
     "q20_scan_report": (
         "WITH s AS (SELECT o_orderkey % 4 AS shard, MAX(o_orderkey) - MIN(o_orderkey) AS r, COUNT(*) AS n "
         "FROM orders GROUP BY 1), "
         "t AS (SELECT shard, r, CASE WHEN 1000 > n THEN r "
         "ELSE CAST((CAST(r AS HUGEINT) * 1000) // n AS BIGINT) END AS step FROM s) "
-        "SELECT CAST(shard % 2 AS INTEGER) AS url_no, COUNT(*) AS n_tables, "
+        "SELECT CAST(shard % 2 AS INTEGER) AS url_no, CAST(1 AS BIGINT) AS n_schemas, COUNT(*) AS n_tables, "
         "CAST(SUM(r // (step + 1) + 1) AS BIGINT) AS n_splits FROM t GROUP BY 1"),
     "q21_provenance": (
         "SELECT CAST(o_orderkey % 2 AS INTEGER) AS url_no, 'ORDERS_' || (o_orderkey % 4) AS tbl, "
@@ -346,7 +410,6 @@ _ORACLE = {
         "SELECT c.c_mktsegment, COUNT(*) AS n FROM orders o JOIN customer c "
         "ON o.o_custkey = c.c_custkey GROUP BY 1"),
     "q25_flat_backend": "SELECT * FROM customer",
-    "q26_no_match": "SELECT * FROM orders WHERE FALSE",
     "q27_many_shards": "SELECT * FROM events",
     "q30_flat_backend_orders": "SELECT * FROM orders",
     "q31_hot_key_salted": "SELECT * FROM orders",

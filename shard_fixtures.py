@@ -14,6 +14,7 @@ The DB-API backend's fixtures are SQLite files written by one task per file
 from __future__ import annotations
 
 import functools
+import os
 import re
 import threading
 from collections.abc import Sequence
@@ -133,6 +134,24 @@ def orders_hot_key(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
     return load_derby(spark, f"ss_{sf_tag(sf_dir)}_orders_hot", src, shards, index_on="hot_key")
 
 
+def orders_wide_key(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
+    """orders sharded as usual plus ``wide_key``, a DECIMAL(20,0) above 2^63."""
+    src = parquet(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    wide = (F.lit(str(2**63 + 10)).cast("decimal(20,0)") + k.cast("decimal(19,0)")).cast("decimal(20,0)")
+    shards = [ShardSpec(i % 2, "APP", f"ORDERS_{i}", k % 4 == i) for i in range(4)]
+    return load_derby(spark, f"ss_{sf_tag(sf_dir)}_orders_wide", src.withColumn("wide_key", wide), shards,
+                      index_on="wide_key")
+
+
+def part_quoted(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
+    """part in one table with a text column ``note`` that holds a quote and a backslash on even keys."""
+    src = parquet(spark, sf_dir, "part")
+    note = F.when(F.col("p_partkey") % 2 == 0, F.lit("it's a \\ sign")).otherwise(F.lit("plain"))
+    return load_derby(spark, f"ss_{sf_tag(sf_dir)}_part", src.withColumn("note", note),
+                      [ShardSpec(0, "APP", "PART", F.lit(True))], index_on="p_partkey")
+
+
 def nation_copies(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
     """nation: every row in ``APP.NATION_0`` on both servers."""
     src = parquet(spark, sf_dir, "nation")
@@ -182,22 +201,20 @@ def fixture_root(spark: SparkSession) -> str:
 
 @_serialized
 def load_sqlite(spark: SparkSession, name: str, df: DataFrame, file_of: Column,
-                table_of: Column | str, n_files: int) -> tuple[str, ...]:
+                table_of: Column | str, n_files: int, index_on: str | None = None) -> tuple[str, ...]:
     """Write ``df`` into ``n_files`` SQLite files (file number = ``file_of``,
-    table name = ``table_of``, a column or one fixed name); returns ``sqlite:`` URLs.
+    table name = ``table_of``, a column or one fixed name), the shard key ``index_on``
+    indexed; returns ``sqlite:`` URLs.
 
     Rows are hash-partitioned by file number, so each file has exactly one
     writer task; a task writes to a private file and renames it at the end,
     so a retried task never leaves half a file behind.
     """
-    import os
-
-    from shardscan.session import ship_package
 
     key = (app_key(spark), name)
     if key in _LOADED:
         return _LOADED[key]
-    ship_package(spark)
+    spark.sparkContext.addPyFile(os.path.abspath(__file__))
     folder = os.path.join(fixture_root(spark), name)
     os.makedirs(folder, exist_ok=True)
     cols = [(f.name, _SQLITE_TYPES.get(f.dataType.simpleString(), "TEXT")) for f in df.schema.fields]
@@ -233,6 +250,9 @@ def load_sqlite(spark: SparkSession, name: str, df: DataFrame, file_of: Column,
                               [tuple(_sqlite_value(col[r]) for col in data) for r in idx])
         out = []
         for i, (c, tmp) in conns.items():
+            for j, tbl in sorted(made):
+                if j == i and index_on:
+                    c.execute(f'CREATE INDEX "IX_{tbl}" ON "{tbl}" ("{index_on}")')
             c.commit()
             c.close()
             os.replace(tmp, os.path.join(folder, f"part_{i}.db"))
@@ -268,7 +288,7 @@ def customer_sqlite(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
     """customer in two SQLite files by ``c_custkey % 2``, table ``CUSTOMER``."""
     src = parquet(spark, sf_dir, "customer")
     return load_sqlite(spark, f"ss_{sf_tag(sf_dir)}_customer_sqlite", src, F.col("c_custkey") % 2,
-                       "CUSTOMER", 2)
+                       "CUSTOMER", 2, index_on="c_custkey")
 
 
 def orders_sqlite(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
@@ -276,7 +296,7 @@ def orders_sqlite(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
     src = parquet(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     return load_sqlite(spark, f"ss_{sf_tag(sf_dir)}_orders_sqlite", src, k % 2,
-                       F.concat(F.lit("ORDERS_"), (k % 4).cast("string")), 2)
+                       F.concat(F.lit("ORDERS_"), (k % 4).cast("string")), 2, index_on="o_orderkey")
 
 
 def events_sqlite_many(spark: SparkSession, sf_dir: str, n_tables: int) -> tuple[str, ...]:
@@ -284,7 +304,7 @@ def events_sqlite_many(spark: SparkSession, sf_dir: str, n_tables: int) -> tuple
     src = parquet(spark, sf_dir, "events")
     k = F.col("event_id") % n_tables
     return load_sqlite(spark, f"ss_{sf_tag(sf_dir)}_events_sqlite_{n_tables}", src, k % 2,
-                       F.concat(F.lit("EV_"), k.cast("string")), 2)
+                       F.concat(F.lit("EV_"), k.cast("string")), 2, index_on="event_id")
 
 
 def derby_ddl(spark: SparkSession, url: str, *statements: str, ignore_errors: bool = False) -> None:
@@ -335,4 +355,4 @@ def lineitem_sqlite(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
     """lineitem in four SQLite files by ``l_orderkey % 4``, table ``LINEITEM``."""
     src = parquet(spark, sf_dir, "lineitem")
     return load_sqlite(spark, f"ss_{sf_tag(sf_dir)}_lineitem_sqlite", src, F.col("l_orderkey") % 4,
-                       "LINEITEM", 4)
+                       "LINEITEM", 4, index_on="l_orderkey")

@@ -4,19 +4,16 @@
   aggregation per task, so a shard holding a third of all rows costs no more
   than any other.
 * :func:`lake_split_plan` - the ranges each shard would be cut into.
-* :func:`assign_splits` - the split number of every row.  Statistics (one row
-  per shard) are computed once: up to ``LOCAL_STATS_ROWS`` shards they come
-  back as a small local table, beyond that they are checkpointed to the
-  session's checkpoint folder; they are broadcast only when their row count
-  is at most ``broadcast_rows``.  Beyond that, the shards holding more than
-  ``total_rows / broadcast_rows`` rows - at most ``broadcast_rows`` of them,
-  so the bound still holds - are broadcast, and the remaining shards, none
-  larger than that share, go through a shuffle join: no hot shard ever
-  lands in one reduce task.
+* :func:`assign_splits` - the split number of every row: the statistics (one row per
+  shard, from one pass over the keys) are written once to the session's checkpoint
+  folder and joined to the rows, whatever the number of shards.  Their size in bytes is then known
+  to the planner: up to ``spark.sql.autoBroadcastJoinThreshold`` they are broadcast, beyond that a
+  sort-merge join runs, whose hot shards adaptive execution splits.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -27,9 +24,6 @@ from shardscan.functions import ranges as R
 from shardscan.plans import splits as P
 from shardscan.session import checkpoint_dir
 
-BROADCAST_ROWS = 1_000_000
-LOCAL_STATS_ROWS = 10_000
-
 
 def _cols(shard_cols: str | Sequence[str] | None) -> list[str]:
     if shard_cols is None:
@@ -57,13 +51,8 @@ def lake_split_plan(df: DataFrame, shard_cols: str | Sequence[str] | None, key:
                          batch_size=batch_size, partition_num=partition_num, spread=True)
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
-
-
 def assign_splits(df: DataFrame, shard_cols: str | Sequence[str] | None, key: str, *,
                   batch_size: int | None = None, partition_num: int | None = None,
-                  broadcast_rows: int = BROADCAST_ROWS, hot_fraction: float | None = None,
                   split_col: str = "split_no") -> DataFrame:
     """``df`` plus ``split_col``: the split each row falls in (NULL for a NULL key)."""
     cols = _cols(shard_cols)
@@ -80,39 +69,20 @@ def assign_splits(df: DataFrame, shard_cols: str | Sequence[str] | None, key: st
         idx = R.split_index(k, mn, mx, step)
         return df.withColumn(split_col, idx)
 
-    stats = stats.select(*cols, "mn", "mx", "step", "n")
-    local_rows = min(LOCAL_STATS_ROWS, broadcast_rows)
-    rows = stats.limit(local_rows + 1).collect()
-    if len(rows) <= local_rows:
-        # few shards: the statistics come back as a small local table (no recompute)
-        small = df.sparkSession.createDataFrame(rows, stats.schema)
-        return _join_stats(df, F.broadcast(small), cols, k, split_col)
-    checkpoint_dir(df.sparkSession)
-    stats = stats.checkpoint(eager=True)
-    n_shards = stats.count()
-    if n_shards <= broadcast_rows:
-        return _join_stats(df, F.broadcast(stats), cols, k, split_col)
-    total = stats.agg(F.sum("n")).first()[0] or 0
-    # never below total/broadcast_rows: at most broadcast_rows shards can exceed it
-    share = max(total / broadcast_rows, total * (hot_fraction or 0.0))
-    hot = stats.where(F.col("n") > F.lit(max(1, int(share))))
-    cold = stats.join(hot.select(*cols), _null_safe_on(stats, hot, cols), "left_anti")
-    hot_b = F.broadcast(hot)
-    hot_rows = _join_stats(df, hot_b, cols, k, split_col, how="inner")
-    rest = df.join(hot_b, _null_safe_on(df, hot, cols), "left_anti")
-    # the cold statistics are large by construction: a sort-merge join, whatever the estimate
-    return hot_rows.unionByName(_join_stats(rest, cold.hint("merge"), cols, k, split_col))
-
-
-def _join_stats(df: DataFrame, stats: DataFrame, cols: Sequence[str], k: Column, split_col: str,
-                how: str = "left") -> DataFrame:
+    stats = stats.select(*cols, "mn", "mx", "step")
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/shard-stats-{uuid.uuid4().hex}"
+    stats.write.parquet(path)
+    return _join_stats(df, df.sparkSession.read.schema(stats.schema).parquet(path), cols, k, split_col)
+
+
+def _join_stats(df: DataFrame, stats: DataFrame, cols: Sequence[str], k: Column, split_col: str) -> DataFrame:
     # per-shard parts of the split arithmetic are computed on the (small) stats side
     s = stats.select(*[F.col(c).alias(f"_s_{c}") for c in cols],
                      F.col("mn").alias("_s_mn"), F.col("step").alias("_s_step"),
                      R.fast_span(F.col("mn"), F.col("mx")).alias("_s_fast"),
                      R.step_width(F.col("step")).alias("_s_w"))
     on = reduce(lambda a, b: a & b, [df[c].eqNullSafe(s[f"_s_{c}"]) for c in cols])
-    j = df.join(s, on, how)
+    j = df.join(s, on, "left")
     idx = R.split_index_prepared(k, F.col("_s_fast"), F.col("_s_mn"), F.col("_s_w"), F.col("_s_step"))
     return j.withColumn(split_col, idx).drop(*[f"_s_{c}" for c in cols], "_s_mn", "_s_step",
                                                "_s_fast", "_s_w")

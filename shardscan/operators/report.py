@@ -7,23 +7,29 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shardscan.sources.discovery import schemas
 from shardscan.operators.lake import _cols, assign_splits
 
 
 def scan_report(spark: SparkSession, plan) -> DataFrame:
     """Per server: ``url_no, server, n_schemas, n_tables, n_splits``.
 
-    ``plan`` is a :class:`shardscan.sources.jdbc.ScanPlan`; tables that are
-    matched but empty count as tables with no splits, servers without a
-    match as servers with no tables.
+    ``plan`` is a :class:`shardscan.sources.jdbc.ScanPlan`; schemas that match
+    count with or without a matched table, tables that are matched but empty
+    count as tables with no splits, servers without a match as servers with
+    no tables.
     """
     opts = plan.opts
-    rows = [(s.url_no, opts.redact(s.url), s.schema, 1, len(plan.splits.get(i, ())))
-            for i, s in enumerate(plan.shards)]
-    seen = {s.url_no for s in plan.shards}
-    rows += [(i, opts.redact(u), None, 0, 0) for i, u in enumerate(opts.urls) if i not in seen]
+    rows = [(i, opts.redact(u), None, 0, 0) for i, u in enumerate(opts.urls)]  # a row for every server
+    rows += [(s.url_no, opts.redact(s.url), s.schema, 1, len(plan.splits.get(i, ())))
+             for i, s in enumerate(plan.shards)]
     per_shard = spark.createDataFrame(
         rows, "url_no int, server string, schema_name string, is_shard int, k bigint")
+    if not opts.query or "{table}" in opts.query:  # schemas that match but hold no matched table count
+        servers = per_shard.where("is_shard = 0").select("url_no", "server")
+        bare = schemas(spark, opts).join(servers, "url_no").select(
+            "url_no", "server", "schema_name", F.lit(0).alias("is_shard"), F.lit(0).cast("bigint").alias("k"))
+        per_shard = per_shard.unionByName(bare)
     return per_shard.groupBy("url_no", "server").agg(
         F.countDistinct("schema_name").alias("n_schemas"),
         F.sum("is_shard").cast("bigint").alias("n_tables"),

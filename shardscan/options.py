@@ -38,18 +38,31 @@ def redact(text: str, secrets: Sequence[str | None] = ()) -> str:
     return out
 
 
+class RedactedCause(Exception):
+    """What failed underneath: the original class name and its message without passwords."""
+
+
+def _redacted_chain(e: BaseException | None, secrets: Sequence[str | None]) -> RedactedCause | None:
+    if e is None:
+        return None
+    cause = RedactedCause(f"{type(e).__name__}: {redact(str(e), secrets)}")
+    cause.__cause__ = _redacted_chain(e.__cause__ or (None if e.__suppress_context__ else e.__context__), secrets)
+    return cause
+
+
 @contextmanager
 def redacted_errors(what: str, secrets: Sequence[str | None] = ()):
     """Re-raise any error of the block as ``RuntimeError`` whose text has the
-    passwords removed (the original exception is not chained, since its
-    message may carry a URL with credentials)."""
+    passwords removed.  The chain of causes is kept as class names and redacted
+    messages; the original exceptions are not (they may carry a URL with
+    credentials)."""
     try:
         yield
-    except (ValueError, KeyboardInterrupt):
+    except (ValueError, KeyboardInterrupt, GeneratorExit):
         raise
     except Exception as e:
         text = redact(f"{type(e).__name__}: {e}", secrets)
-        raise RuntimeError(f"{what} failed: {text[:4000]}") from None
+        raise RuntimeError(f"{what} failed: {text}") from _redacted_chain(e, secrets)
 
 
 def _as_int(name: str, value: Any) -> int | None:
@@ -110,7 +123,7 @@ class ScanOptions:
     null_key: str = "drop"
     table_types: tuple[str, ...] | None = None
     provenance: bool = False
-    max_splits: int = 100_000
+    max_splits: int | None = None
     session_init_statement: str | None = None
     query_timeout: int | None = None
     splits_per_task: int = 1
@@ -195,7 +208,7 @@ class ScanOptions:
             null_key=str(m.get("scan_null_key") or "drop").lower(),
             table_types=table_types,
             provenance=_as_bool("scan.provenance", m.get("scan_provenance"), False),
-            max_splits=_default(_as_int("scan.max-splits", m.get("scan_max_splits")), 100_000),
+            max_splits=_as_int("scan.max-splits", m.get("scan_max_splits")),
             session_init_statement=m.get("scan_session_init_statement") or None,
             query_timeout=_as_int("scan.query-timeout", m.get("scan_query_timeout")),
             splits_per_task=_default(_as_int("scan.splits-per-task", m.get("scan_splits_per_task")), 1),
@@ -231,7 +244,7 @@ class ScanOptions:
             raise ValueError("'scan.lower-bound' must not exceed 'scan.upper-bound'")
         if self.null_key not in ("drop", "keep"):
             raise ValueError("'scan.null-key' must be 'drop' or 'keep'")
-        if self.max_splits < 1:
+        if self.max_splits is not None and self.max_splits < 1:
             raise ValueError("'scan.max-splits' must be >= 1")
         if self.max_parallel_reads is not None and self.max_parallel_reads < 1:
             raise ValueError("'scan.max-parallel-reads' must be >= 1")
@@ -245,6 +258,14 @@ class ScanOptions:
             raise ValueError("'scan.query-timeout' must be >= 0")
 
     # ---------------------------------------------------------------- helpers
+    def check_split_count(self, n: int) -> None:
+        """The opt-in guard ``scan.max-splits`` (no limit when it is not set)."""
+        if self.max_splits is not None and n > self.max_splits:
+            raise ValueError(
+                f"the plan has more than scan.max-splits={self.max_splits} splits; "
+                "raise scan.batch.size, lower scan.partition.num or raise scan.max-splits"
+            )
+
     @property
     def explicit_bounds(self) -> bool:
         return self.lower_bound is not None

@@ -4,7 +4,8 @@ Where the JDBC backend builds one Spark relation per shard, this backend is
 a single ``BatchScan`` however many shards there are: ``partitions()`` does
 discovery, probes and the split rule once, on the driver side, and returns
 one input partition per split; each task opens its own DB-API connection,
-runs one range query and streams the rows back as Arrow record batches.
+runs one range query over a server-side cursor and streams the rows back as Arrow
+record batches.
 
 Use it past a few hundred shards (plan size), or for databases reached
 through a Python driver.  ``scan.splits-per-task`` (default 1) lets one task
@@ -14,12 +15,18 @@ per-task cost.  Built in: ``sqlite:`` URLs (``sqlite:///path.db``),
 opened read-only.  ``mysql://`` and ``postgresql://`` URLs need ``pymysql`` /
 ``psycopg2`` on the executors (imported only when used).
 
-Differences from the JDBC backend: names are matched with Python's ``re``
-(``fullmatch``), rows pass through Python (Arrow-batched), and user filters
-are applied by Spark after the read.  Filter pushdown is deliberately not
-implemented: on PySpark 4.1.2 a reader whose ``pushFilters`` recorded a
+Differences from the JDBC backend: every declared column is fetched and user filters
+are applied by Spark after the read, so declare only the columns you need and put
+equality filters into ``scan.conditions`` (bound as parameters); with filters or few columns of
+many, prefer the JDBC backend.  Names are matched with Python's ``re`` in its
+ASCII mode; regex syntax that Java reads differently is refused.  Filter pushdown is
+deliberately not implemented: on PySpark 4.1.2 a reader whose ``pushFilters`` recorded a
 filter was reused, filter included, by a later query on the same
 DataFrame (a ``count()`` after a filtered ``collect()`` returned 1 row of 3).
+Options of JDBC drivers (``driver``) are refused; ``scan.session-init-statement`` runs on every
+connection, ``scan.query-timeout`` is set on MySQL and PostgreSQL and refused for SQLite.
+A declared ``TIMESTAMP`` reads zoneless values in the zone of the session that registered
+the source.
 
 SQL::
 
@@ -40,24 +47,14 @@ from urllib.parse import unquote, urlparse
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
-from shardscan.options import ScanOptions
+from shardscan.options import ScanOptions, redacted_errors
 from shardscan.plans.rule import split_count, split_ranges
-from shardscan.sources.dialects import salt_predicate
+from shardscan.sources.dialects import MYSQL, POSTGRES, SQLITE, salt_predicate
 
 NAME = "sharded_dbapi"
 PROBE_CONNECTIONS = 4  # per server, while planning
-_CATALOG_SQLITE = (
-    "SELECT 'main', m.name, CASE m.type WHEN 'table' THEN 'TABLE' ELSE 'VIEW' END, p.name, p.cid "
-    "FROM sqlite_master m JOIN pragma_table_info(m.name) p "
-    "WHERE m.type IN ('table', 'view') ORDER BY m.name, p.cid"
-)
-_CATALOG_ANSI = (
-    "SELECT t.table_schema, t.table_name, "
-    "CASE t.table_type WHEN 'BASE TABLE' THEN 'TABLE' ELSE t.table_type END, "
-    "c.column_name, c.ordinal_position FROM information_schema.tables t "
-    "JOIN information_schema.columns c ON c.table_schema = t.table_schema "
-    "AND c.table_name = t.table_name ORDER BY 1, 2, 5"
-)
+# syntax that Java's and Python's regular expressions do not share, or read differently
+_NOT_SHARED = re.compile(r"\\[pPQEhHRXGzZekNvVcx0]|\(\?<[A-Za-z]|\(\?P|&&|\[[^\]]*\[|\(\?[a-zA-Z-]*[uULdmx]")
 
 
 def _kind(url: str) -> str:
@@ -71,9 +68,53 @@ def _kind(url: str) -> str:
     raise ValueError(f"unsupported DB-API URL scheme: {url.split(':', 1)[0]}:")
 
 
+_DIALECTS = {"sqlite": SQLITE, "mysql": MYSQL, "postgresql": POSTGRES}
+
+
 def _quote(kind: str, ident: str) -> str:
-    q = "`" if kind == "mysql" else '"'
-    return q + ident.replace(q, q + q) + q
+    return _DIALECTS[kind].quote(ident)
+
+
+def full_match(regex: str, name: str) -> bool:
+    return re.fullmatch(regex, name, re.ASCII) is not None
+
+
+def check_regex(option: str, regex: str) -> None:
+    m = _NOT_SHARED.search(regex)
+    if m:
+        raise ValueError(f"'{option}': {m.group()!r} is not in the syntax Java and Python share; "
+                         "use the JDBC backend for it")
+    re.compile(regex)
+
+
+def open_session(url: str, o: ScanOptions):
+    """A connection with the session options applied."""
+    kind = _kind(url)
+    conn = connect(url, o.username, o.password)
+    statements = []
+    if o.query_timeout:
+        statements.append(f"SET SESSION MAX_EXECUTION_TIME = {o.query_timeout * 1000}" if kind == "mysql"
+                          else f"SET statement_timeout = {o.query_timeout * 1000}")
+    if o.session_init_statement:
+        statements.append(o.session_init_statement)
+    for sql in statements:
+        cur = conn.cursor()
+        cur.execute(sql)
+        cur.close()
+    return conn
+
+
+def stream_cursor(conn, kind: str, batch: int):
+    """A cursor that leaves the result on the server and hands it out by ``batch`` rows."""
+    if kind == "mysql":
+        from pymysql.cursors import SSCursor  # type: ignore
+
+        return conn.cursor(SSCursor)
+    if kind == "postgresql":
+        cur = conn.cursor(name="shardscan_split")
+        cur.itersize = batch
+        return cur
+    return conn.cursor()  # sqlite3 steps through the result
 
 
 def connect(url: str, username: str | None = None, password: str | None = None):
@@ -128,17 +169,10 @@ class Task(InputPartition):
     splits: tuple[Split, ...]
 
 
-def _literal(v: Any) -> str:
-    if isinstance(v, bool):
-        return "1" if v else "0"
-    if isinstance(v, (int, float)):
-        return repr(v)
-    return "'" + str(v).replace("'", "''") + "'"
-
-
 class ShardedDbapiReader(DataSourceReader):
-    def __init__(self, schema: StructType, options: dict[str, str]):
+    def __init__(self, schema: StructType, options: dict[str, str], zone: str = "UTC"):
         self.schema = schema
+        self.zone = zone
         opts = {k: v for k, v in options.items() if k.lower() not in ("path",)}
         self.opts = ScanOptions.from_map(opts)
         if self.opts.provenance:
@@ -146,26 +180,33 @@ class ShardedDbapiReader(DataSourceReader):
         if self.opts.max_parallel_reads is not None:
             raise ValueError("use scan.splits-per-task with sharded_dbapi; "
                              "scan.max-parallel-reads is a JDBC-backend option")
+        if self.opts.driver:
+            raise ValueError("option 'driver' names a JDBC driver; sharded_dbapi picks its driver by URL")
+        if self.opts.query_timeout and any(_kind(u) == "sqlite" for u in self.opts.urls):
+            raise ValueError("'scan.query-timeout' has no counterpart in SQLite")
+        check_regex("schema-name", self.opts.schema_name)
+        check_regex("table-name", self.opts.table_name)
 
     # ------------------------------------------------------------ planning
     def _discover(self, url_no: int, url: str, conn) -> list[tuple[str | None, str, tuple[str, ...]]]:
-        kind = _kind(url)
         cur = conn.cursor()
-        cur.execute(_CATALOG_SQLITE if kind == "sqlite" else _CATALOG_ANSI)
-        tables: dict[tuple, list[str]] = {}
+        cur.execute(_DIALECTS[_kind(url)].catalog(self.opts.schema_name, self.opts.table_name))
+        tables: dict[tuple, list[tuple[int, str]]] = {}
         kinds: dict[tuple, str] = {}
-        for schema_name, table_name, ttype, col, _ in cur.fetchall():
-            if not re.fullmatch(self.opts.schema_name, str(schema_name)):
-                continue
-            if not re.fullmatch(self.opts.table_name, str(table_name)):
-                continue
-            tables.setdefault((schema_name, table_name), []).append(col)
-            kinds[(schema_name, table_name)] = str(ttype).upper()
+        while rows := cur.fetchmany(10_000):
+            for schema_name, table_name, ttype, col, ordinal in rows:
+                if not (full_match(self.opts.schema_name, str(schema_name))
+                        and full_match(self.opts.table_name, str(table_name))):
+                    continue
+                cols = tables.setdefault((schema_name, table_name), [])
+                if col is not None:
+                    cols.append((ordinal, col))
+                kinds[(schema_name, table_name)] = str(ttype).strip().upper()
         out = []
         for (s, t), cols in sorted(tables.items()):
             if self.opts.table_types and kinds[(s, t)] not in self.opts.table_types:
                 continue
-            out.append((s, t, tuple(cols)))
+            out.append((s, t, tuple(c for _, c in sorted(cols))))
         return out
 
     @staticmethod
@@ -204,7 +245,7 @@ class ShardedDbapiReader(DataSourceReader):
         o = self.opts
         mode = {"batch_size": o.batch_size, "partition_num": o.partition_num}
         kind = _kind(url)
-        conn = connect(url, o.username, o.password)
+        conn = open_session(url, o)
         try:
             if o.query and "{table}" not in o.query:
                 shards = [(None, None, tuple(f.name for f in self.schema.fields) + (o.partition_column,))]
@@ -237,8 +278,7 @@ class ShardedDbapiReader(DataSourceReader):
         nulls: list[Split] = []
         for (schema_name, table, declared, key, salt), (mn, mx, n, n_null) in zip(planned, stats):
             mn, mx = (None if v is None else int(v) for v in (mn, mx))
-            if len(ranges) + split_count(mn, mx, n, **mode) * o.salt_buckets > o.max_splits:
-                raise ValueError(f"the plan has more than scan.max-splits={o.max_splits} splits")
+            o.check_split_count(len(ranges) + split_count(mn, mx, n, **mode) * o.salt_buckets)
             # saturate the last range at BIGINT's maximum (or at a wider key's own
             # maximum), and at the declared upper bound when there is one
             top = max(2**63 - 1, mx or 0)
@@ -266,7 +306,7 @@ class ShardedDbapiReader(DataSourceReader):
         def one(item: tuple[str, str]) -> tuple:
             c = getattr(local, "conn", None)
             if c is None:
-                c = local.conn = connect(url, o.username, o.password)
+                c = local.conn = open_session(url, o)
                 with lock:
                     opened.append(c)
             return self._probe(c, kind, *item)
@@ -285,12 +325,12 @@ class ShardedDbapiReader(DataSourceReader):
         from dataclasses import replace
 
         o = self.opts
-        with ThreadPoolExecutor(max(1, min(8, len(o.urls)))) as pool:
+        with redacted_errors("shard planning", (o.password,)), \
+                ThreadPoolExecutor(max(1, min(8, len(o.urls)))) as pool:
             per_server = list(pool.map(lambda a: self._plan_server(*a), enumerate(o.urls)))
         ordered = [s for ranges, _ in per_server for s in ranges]
         ordered += [s for _, nulls in per_server for s in nulls]
-        if len(ordered) > o.max_splits:
-            raise ValueError(f"the plan has more than scan.max-splits={o.max_splits} splits")
+        o.check_split_count(len(ordered))
         splits = [replace(s, split_id=i) for i, s in enumerate(ordered)]
         return pack(splits, o.splits_per_task)
 
@@ -301,16 +341,29 @@ class ShardedDbapiReader(DataSourceReader):
         return f"{_quote(kind, schema_name)}.{_quote(kind, table)}"
 
     # ------------------------------------------------------------ reading
-    def _statement(self, kind: str, s: Split) -> str:
+    def _statement(self, kind: str, s: Split) -> tuple[str, list]:
+        """SQL text of a split and the parameters of its equality conditions."""
+        from shardscan.sources.jdbc import typed_value
+
+        mark = "?" if kind == "sqlite" else "%s"
         cols = ", ".join(_quote(kind, c) for c in s.columns)
         qk = _quote(kind, s.key)
         cond = [f"{qk} IS NULL" if s.lo is None else f"{qk} BETWEEN {s.lo} AND {s.hi}"]
         if s.bucket is not None:
             cond.append(salt_predicate(_quote(kind, s.salt), self.opts.salt_buckets, s.bucket))
+        text = f"SELECT {cols} FROM {self._source(kind, s.schema, s.table)} WHERE " + " AND ".join(cond)
         by_decl = {f.name.lower(): a for f, a in zip(self.schema.fields, s.columns)}
+        params = []
+        if self.opts.conditions and mark == "%s":
+            text = text.replace("%", "%%")
         for name, value in self.opts.conditions:  # declared equality conditions
-            cond.append(f"{_quote(kind, by_decl.get(name.lower(), name))} = {_literal(value)}")
-        return f"SELECT {cols} FROM {self._source(kind, s.schema, s.table)} WHERE " + " AND ".join(cond)
+            column, value = _quote(kind, by_decl.get(name.lower(), name)), typed_value(value, self.schema, name)
+            if value is None:
+                text += f" AND {column} IS NULL"
+            else:
+                text += f" AND {column} = {mark}"
+                params.append(_sqlite_param(value) if kind == "sqlite" else value)
+        return text, params
 
     def read(self, partition: Task) -> Iterator[Any]:
         import pyarrow as pa
@@ -321,43 +374,95 @@ class ShardedDbapiReader(DataSourceReader):
         kind = _kind(url)
         arrow_schema = to_arrow_schema(self.schema)
         batch = o.fetch_size if o.fetch_size and o.fetch_size > 0 else 10_000
-        conn = connect(url, o.username, o.password)
+        with redacted_errors(f"reading server {partition.url_no}", (o.password,)):
+            conn = open_session(url, o)
         try:
             for split in partition.splits:
-                cur = conn.cursor()
-                cur.execute(self._statement(kind, split))
+                with redacted_errors(f"split {split.split_id} of server {partition.url_no}", (o.password,)):
+                    cur = stream_cursor(conn, kind, batch)
+                    text, params = self._statement(kind, split)
+                    cur.execute(text, params) if params else cur.execute(text)
                 while True:
-                    rows = cur.fetchmany(batch)
-                    if not rows:
-                        break
-                    cols = list(zip(*rows))
-                    arrays = [_to_arrow(list(c), f.type) for c, f in zip(cols, arrow_schema)]
+                    with redacted_errors(f"split {split.split_id} of server {partition.url_no}", (o.password,)):
+                        rows = cur.fetchmany(batch)
+                        if not rows:
+                            break
+                        arrays = [to_arrow(list(c), f.type, self.zone) for c, f in zip(zip(*rows), arrow_schema)]
                     yield pa.RecordBatch.from_arrays(arrays, schema=arrow_schema)
                 cur.close()
         finally:
             conn.close()
 
 
-def _to_arrow(values: list, typ):
+def _sqlite_param(v: Any) -> Any:
+    """SQLite stores dates and decimals as text or numbers."""
+    import datetime
     import decimal
 
+    if isinstance(v, datetime.datetime):
+        return v.isoformat(sep=" ")
+    if isinstance(v, datetime.date):
+        return v.isoformat()
+    return float(v) if isinstance(v, decimal.Decimal) else v
+
+
+def to_arrow(values: list, typ, zone: str = "UTC"):
+    """A driver's column as an Arrow array of the declared type; lossy conversions raise ``ValueError``.
+
+    Values that already have the declared type go straight to Arrow.  Otherwise the
+    column is inferred, text is parsed and the rest is cast, each as one Arrow call."""
+    import decimal
+
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    t = pa.types
+    try:
+        if t.is_timestamp(typ):
+            return _timestamps(values, typ, zone)
+        if t.is_decimal(typ):
+            return pa.array([None if v is None else decimal.Decimal(str(v)) for v in values]).cast(typ)
+        if t.is_boolean(typ):
+            known = pa.array(values) if values else pa.array([], pa.bool_())
+            if t.is_integer(known.type):
+                if pc.any(pc.invert(pc.is_in(known, value_set=pa.array([0, 1, None], known.type)))).as_py():
+                    raise ValueError("a boolean is neither 0 nor 1")
+                return pc.cast(known, pa.bool_())
+            return pc.cast(known, typ)  # text: true, false, 1, 0; anything else raises
+        if t.is_string(typ) or t.is_large_string(typ):
+            try:
+                return pa.array(values, type=typ)
+            except (pa.ArrowInvalid, pa.ArrowTypeError):  # a dynamically typed store: numbers as text
+                return pa.array([None if v is None else str(v) for v in values], type=typ)
+        try:
+            known = pa.array(values, from_pandas=False)
+        except (pa.ArrowInvalid, pa.ArrowTypeError):  # numbers and text mixed
+            known = pa.array([None if v is None else str(v) for v in values])
+        return known if known.type == typ else pc.cast(known, typ, safe=True)
+    except (pa.ArrowInvalid, pa.ArrowTypeError, pa.ArrowNotImplementedError, decimal.InvalidOperation) as e:
+        raise ValueError(f"a value does not fit the declared type {typ}: {e}") from None
+
+
+def _timestamps(values: list, typ, zone: str):
+    """Timestamps from datetimes or text.  Zoneless values of a zoned type are read in ``zone``."""
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    if pa.types.is_timestamp(typ) or pa.types.is_date(typ):
-        if any(isinstance(v, str) for v in values):
-            return pc.cast(pa.array(values, type=pa.string()), typ)
-    if pa.types.is_decimal(typ):
-        values = [None if v is None else decimal.Decimal(str(v)) for v in values]
-    elif pa.types.is_boolean(typ):
-        values = [None if v is None else bool(v) for v in values]
-    elif pa.types.is_floating(typ):
-        values = [None if v is None else float(v) for v in values]
-    elif pa.types.is_integer(typ):  # dynamically typed stores may hand back text
-        values = [None if v is None else (v if isinstance(v, int) else int(v)) for v in values]
-    elif pa.types.is_string(typ) or pa.types.is_large_string(typ):
-        values = [None if v is None else (v if isinstance(v, str) else str(v)) for v in values]
-    return pa.array(values, type=typ)
+    if not any(isinstance(v, str) for v in values):
+        if typ.tz is None or any(v is not None and v.tzinfo is not None for v in values):
+            return pa.array(values, type=typ)
+        plain = pa.array(values, type=pa.timestamp("us"))
+    else:
+        text = pa.array([None if v is None else str(v) for v in values], pa.string())
+        zoned = pc.match_substring_regex(text, r"\d(Z|[+-]\d\d:?\d\d)$")
+        if pc.any(zoned).as_py():
+            if typ.tz is None or not pc.all(zoned).as_py():
+                raise ValueError("timestamps with and without a zone")
+            return pc.cast(pc.cast(text, pa.timestamp("us", tz="UTC")), typ)
+        plain = pc.cast(text, pa.timestamp("us"))
+    if typ.tz is None:
+        return pc.cast(plain, typ)
+    return pc.cast(pc.assume_timezone(plain, zone, ambiguous="earliest", nonexistent="latest"), typ)
 
 
 def pack(splits: list[Split], per_task: int) -> list[Task]:
@@ -389,12 +494,21 @@ class ShardedDbapiSource(DataSource):
         return ddl
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        return ShardedDbapiReader(schema, dict(self.options))
+        return ShardedDbapiReader(schema, dict(self.options), self.zone)
+
+    zone = "UTC"
 
 
 def register(spark) -> None:
-    """Make ``sharded_dbapi`` available to ``spark.read.format`` and SQL ``USING``."""
+    """Make ``sharded_dbapi`` available to ``spark.read.format`` and SQL ``USING``.
+
+    Zoneless values of TIMESTAMP columns are read in the session's current zone."""
     from shardscan.session import ship_package
 
     ship_package(spark)
-    spark.dataSource.register(ShardedDbapiSource)
+    session_zone = spark.conf.get("spark.sql.session.timeZone")
+
+    class Registered(ShardedDbapiSource):
+        zone = session_zone
+
+    spark.dataSource.register(Registered)

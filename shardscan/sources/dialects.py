@@ -1,15 +1,21 @@
 """Per-server SQL dialect: identifier quoting, catalog query, default driver.
 
 The dialect is picked per URL (not once for the whole URL list), so one scan
-may span servers of different kinds.  The catalog query returns one row per
-(schema, table, column) with columns in this fixed order:
+may span servers of different kinds.  The catalog query takes its list of tables from the
+tables catalog and joins the columns from outside, so a table without (visible)
+columns is still a row; columns in this fixed order:
 ``schema_name, table_name, table_type, column_name, ordinal``; table types are
 normalised to ``TABLE``, ``VIEW``, ``SYSTEM TABLE``, ``SYNONYM`` or kept as is.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import datetime
+import decimal
+import math
+import re
+from dataclasses import dataclass, replace
+from typing import Any
 
 CATALOG_COLUMNS = ("schema_name", "table_name", "table_type", "column_name", "ordinal")
 
@@ -25,7 +31,12 @@ class Dialect:
     # FROM clause of a one-row SELECT of scalar expressions ("" when none is needed)
     dual: str = ""
     # integer division of integer operands
-    div_template: str = "({a}) / ({b})"
+    div_template: str = "CAST(FLOOR(({a}) / ({b})) AS BIGINT)"
+    # SQL text of the schema and table name in ``catalog_query`` (for a prefix filter on the server)
+    name_columns: tuple[str, str] = ("t.table_schema", "t.table_name")
+    schema_query: str = "SELECT schema_name FROM information_schema.schemata"
+    backslash_escapes: bool = False  # whether a backslash inside a string literal escapes
+    booleans: tuple[str, str] = ("FALSE", "TRUE")
     # fetch size for split reads when none is given: some drivers otherwise
     # buffer a whole result set in executor memory
     scan_fetch_size: int | None = None
@@ -37,16 +48,64 @@ class Dialect:
     def int_div(self, a: str, b: str) -> str:
         return self.div_template.format(a=a, b=b)
 
+    def literal(self, v: Any) -> str:
+        """SQL text of a value; NULL has none (``col = NULL`` is never true)."""
+        if v is None:
+            raise ValueError("NULL has no literal in a comparison")
+        if isinstance(v, bool):
+            return self.booleans[v]
+        if isinstance(v, (int, decimal.Decimal)):
+            return str(v)
+        if isinstance(v, float):
+            if not math.isfinite(v):
+                raise ValueError(f"no SQL literal for {v!r}")
+            return repr(v)
+        if isinstance(v, datetime.datetime):
+            return f"TIMESTAMP '{v.isoformat(sep=' ')}'"
+        if isinstance(v, datetime.date):
+            return f"DATE '{v.isoformat()}'"
+        text = str(v).replace("'", "''")
+        return "'" + (text.replace("\\", "\\\\") if self.backslash_escapes else text) + "'"
+
+    def equals(self, column_sql: str, v: Any) -> str:
+        return f"{column_sql} IS NULL" if v is None else f"{column_sql} = {self.literal(v)}"
+
+    def catalog(self, schema_regex: str, table_regex: str) -> str:
+        """The catalog query, cut down on the server to names with the regexes' literal prefixes."""
+        parts = []
+        for column, regex in zip(self.name_columns, (schema_regex, table_regex)):
+            prefix = literal_prefix(regex)
+            if prefix:
+                parts.append(f"{column} LIKE {self.literal(like_escape(prefix) + '%')} ESCAPE '!'")
+        if not parts:
+            return self.catalog_query
+        word = " AND " if " WHERE " in self.catalog_query else " WHERE "
+        return self.catalog_query + word + " AND ".join(parts)
+
     def qualified(self, schema: str | None, table: str) -> str:
         if schema is None or schema == "":
             return self.quote(table)
         return f"{self.quote(schema)}.{self.quote(table)}"
 
 
+def literal_prefix(regex: str) -> str:
+    """Characters every whole-string match of ``regex`` starts with ("" when none are certain)."""
+    if "|" in regex or "(?" in regex:
+        return ""
+    m = re.match(r"[A-Za-z0-9_ $-]*", regex)
+    prefix, rest = m.group(), regex[m.end():]
+    # a quantifier belongs to the last character
+    return prefix[:-1] if rest[:1] in ("?", "*", "{", "+") else prefix
+
+
+def like_escape(text: str) -> str:
+    return re.sub(r"([!%_])", r"!\1", text)
+
+
 _ANSI_CATALOG = (
     "SELECT t.table_schema AS schema_name, t.table_name AS table_name, t.table_type AS table_type, "
     "c.column_name AS column_name, c.ordinal_position AS ordinal "
-    "FROM information_schema.tables t JOIN information_schema.columns c "
+    "FROM information_schema.tables t LEFT JOIN information_schema.columns c "
     "ON c.table_schema = t.table_schema AND c.table_name = t.table_name"
 )
 
@@ -60,8 +119,12 @@ DERBY = Dialect(
         "WHEN 'S' THEN 'SYSTEM TABLE' WHEN 'A' THEN 'SYNONYM' ELSE CAST(t.TABLETYPE AS VARCHAR(16)) END AS table_type, "
         "c.COLUMNNAME AS column_name, c.COLUMNNUMBER AS ordinal "
         "FROM SYS.SYSTABLES t JOIN SYS.SYSSCHEMAS s ON t.SCHEMAID = s.SCHEMAID "
-        "JOIN SYS.SYSCOLUMNS c ON c.REFERENCEID = t.TABLEID"
+        "LEFT JOIN SYS.SYSCOLUMNS c ON c.REFERENCEID = t.TABLEID"
     ),
+    name_columns=("s.SCHEMANAME", "t.TABLENAME"),
+    schema_query="SELECT SCHEMANAME AS schema_name FROM SYS.SYSSCHEMAS",
+    # exact for DECIMAL keys too: the quotient is cut, not rounded
+    div_template="CAST(({a}) / ({b}) AS BIGINT)",
     dual=" FROM SYSIBM.SYSDUMMY1",
 )
 
@@ -73,26 +136,38 @@ MYSQL = Dialect(
         "SELECT t.TABLE_SCHEMA AS schema_name, t.TABLE_NAME AS table_name, "
         "CASE t.TABLE_TYPE WHEN 'BASE TABLE' THEN 'TABLE' ELSE t.TABLE_TYPE END AS table_type, "
         "c.COLUMN_NAME AS column_name, c.ORDINAL_POSITION AS ordinal "
-        "FROM information_schema.TABLES t JOIN information_schema.COLUMNS c "
+        "FROM information_schema.TABLES t LEFT JOIN information_schema.COLUMNS c "
         "ON c.TABLE_SCHEMA = t.TABLE_SCHEMA AND c.TABLE_NAME = t.TABLE_NAME"
     ),
     null_bigint="CAST(NULL AS SIGNED)",
     div_template="({a}) DIV ({b})",
+    name_columns=("t.TABLE_SCHEMA", "t.TABLE_NAME"),
+    schema_query="SELECT SCHEMA_NAME AS schema_name FROM information_schema.SCHEMATA",
+    backslash_escapes=True,
     scan_fetch_size=-(2**31),  # the driver's row-streaming mode
 )
 
+# the same SQL; its own driver, which streams at any positive fetch size
+MARIADB = replace(MYSQL, name="mariadb", driver="org.mariadb.jdbc.Driver", scan_fetch_size=10_000)
+
 POSTGRES = Dialect(
     name="postgresql",
     quote_char='"',
     driver="org.postgresql.Driver",
     scan_fetch_size=10_000,  # with Spark's PostgreSQL dialect this turns on a cursor
+    # pg_class rather than information_schema: materialized views are tables here too
     catalog_query=(
-        "SELECT t.table_schema AS schema_name, t.table_name AS table_name, "
-        "CASE t.table_type WHEN 'BASE TABLE' THEN 'TABLE' ELSE t.table_type END AS table_type, "
-        "c.column_name AS column_name, c.ordinal_position AS ordinal "
-        "FROM information_schema.tables t JOIN information_schema.columns c "
-        "ON c.table_schema = t.table_schema AND c.table_name = t.table_name"
+        "SELECT n.nspname AS schema_name, t.relname AS table_name, "
+        "CASE t.relkind WHEN 'v' THEN 'VIEW' WHEN 'm' THEN 'MATERIALIZED VIEW' WHEN 'f' THEN 'FOREIGN TABLE' "
+        "ELSE 'TABLE' END AS table_type, "
+        "c.attname AS column_name, c.attnum AS ordinal "
+        "FROM pg_catalog.pg_class t JOIN pg_catalog.pg_namespace n ON n.oid = t.relnamespace "
+        "LEFT JOIN pg_catalog.pg_attribute c ON c.attrelid = t.oid AND c.attnum > 0 AND NOT c.attisdropped "
+        "WHERE t.relkind IN ('r', 'p', 'v', 'm', 'f')"
     ),
+    name_columns=("n.nspname", "t.relname"),
+    schema_query="SELECT nspname AS schema_name FROM pg_catalog.pg_namespace",
+    div_template="DIV(CAST({a} AS NUMERIC), CAST({b} AS NUMERIC))",
 )
 
 SQLITE = Dialect(
@@ -102,9 +177,13 @@ SQLITE = Dialect(
     catalog_query=(
         "SELECT 'main' AS schema_name, m.name AS table_name, "
         "CASE m.type WHEN 'table' THEN 'TABLE' ELSE 'VIEW' END AS table_type, "
-        "p.name AS column_name, p.cid + 1 AS ordinal FROM sqlite_master m JOIN pragma_table_info(m.name) p "
+        "p.name AS column_name, p.cid + 1 AS ordinal FROM sqlite_master m LEFT JOIN pragma_table_info(m.name) p "
         "WHERE m.type IN ('table', 'view')"
     ),
+    name_columns=("'main'", "m.name"),
+    schema_query="SELECT 'main' AS schema_name",
+    div_template="CAST(({a}) / ({b}) AS INTEGER)",
+    booleans=("0", "1"),
 )
 
 GENERIC = Dialect(name="generic", quote_char='"', driver=None, catalog_query=_ANSI_CATALOG)
@@ -112,7 +191,7 @@ GENERIC = Dialect(name="generic", quote_char='"', driver=None, catalog_query=_AN
 _BY_PREFIX = (
     ("jdbc:derby:", DERBY),
     ("jdbc:mysql:", MYSQL),
-    ("jdbc:mariadb:", MYSQL),
+    ("jdbc:mariadb:", MARIADB),
     ("jdbc:postgresql:", POSTGRES),
     ("jdbc:sqlite:", SQLITE),
     ("sqlite:", SQLITE),
@@ -129,8 +208,11 @@ def dialect_for(url: str) -> Dialect:
 
 def salt_predicate(column_sql: str, buckets: int, bucket: int) -> str:
     """Rows of one salt bucket: ``MOD(col, k)`` is negative for negative values
-    on every supported engine, so bucket ``j`` also takes remainder ``j - k``;
-    NULL salt values go to bucket 0."""
+    on every supported engine, so bucket ``j`` also takes remainder ``j - k``.
+    Bucket 0 takes all that no other bucket takes, NULL salts included, so no
+    value of any type is left out."""
     if bucket == 0:
-        return f"(MOD({column_sql}, {buckets}) = 0 OR {column_sql} IS NULL)"
+        others = ", ".join(str(x) for j in range(1, buckets) for x in (j, j - buckets))
+        rest = f"MOD({column_sql}, {buckets}) NOT IN ({others}) OR " if others else "1 = 1 OR "
+        return f"({rest}{column_sql} IS NULL)"
     return f"MOD({column_sql}, {buckets}) IN ({bucket}, {bucket - buckets})"

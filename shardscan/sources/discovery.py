@@ -3,7 +3,8 @@
 One catalog query per server, read through Spark's JDBC source; the catalog
 DataFrames of all servers are unioned, so every server is queried by its own
 task in a single Spark job.  Names are matched with Spark's ``rlike`` (Java
-regex) anchored as ``\\A(?:re)\\z``: whole-string and case-sensitive.
+regex) anchored as ``\\A(?:re)\\z``: whole-string and case-sensitive.  The literal
+prefix of each regex already cuts the catalog down on the server.
 """
 
 from __future__ import annotations
@@ -64,7 +65,8 @@ def catalog(spark: SparkSession, opts: ScanOptions) -> DataFrame:
     def one(url_no: int) -> DataFrame:
         url = opts.urls[url_no]
         d = dialect_for(url)
-        reader = spark.read.format("jdbc").option("url", url).option("query", d.catalog_query)
+        reader = spark.read.format("jdbc").option("url", url).option(
+            "query", d.catalog(opts.schema_name, opts.table_name))
         for k, v in opts.jdbc_properties(d.driver).items():
             reader = reader.option(k, v)
         df = reader.load().toDF(*CATALOG_COLUMNS)
@@ -81,6 +83,21 @@ def catalog(spark: SparkSession, opts: ScanOptions) -> DataFrame:
     return balanced_union(parallel_map(one, range(len(opts.urls))))
 
 
+def schemas(spark: SparkSession, opts: ScanOptions) -> DataFrame:
+    """``url_no, schema_name`` of every server's schemas whose name matches, with or without tables."""
+    def one(url_no: int) -> DataFrame:
+        url = opts.urls[url_no]
+        d = dialect_for(url)
+        reader = spark.read.format("jdbc").option("url", url).option("query", d.schema_query)
+        for k, v in opts.jdbc_properties(d.driver).items():
+            reader = reader.option(k, v)
+        return reader.load().toDF("schema_name").select(
+            F.lit(url_no).cast("int").alias("url_no"), F.col("schema_name").cast("string").alias("schema_name"))
+
+    found = balanced_union(parallel_map(one, range(len(opts.urls))))
+    return found.where(F.col("schema_name").rlike(full_match(opts.schema_name)))
+
+
 def matching(cat: DataFrame, opts: ScanOptions) -> DataFrame:
     cond = F.col("schema_name").rlike(full_match(opts.schema_name)) & F.col("table_name").rlike(
         full_match(opts.table_name)
@@ -119,10 +136,12 @@ def resolve_shards(spark: SparkSession, opts: ScanOptions,
     with redacted_errors("shard discovery", (opts.password,)):
         m = matching(catalog(spark, opts), opts)
     if wanted is not None:
-        # the wanted columns, plus each table's first column so that a table
-        # lacking all of them still shows up (and fails the column check)
-        m = m.where(F.lower(F.col("column_name")).isin(sorted({w.lower() for w in wanted}))
-                    | (F.col("ordinal") == 1))
+        # every matched table is a row of its own (without a column), whatever its columns,
+        # so that one lacking all wanted columns shows up and fails the column check
+        tables = m.select("url_no", "schema_name", "table_name", "table_type",
+                          F.lit(None).cast("string").alias("column_name"),
+                          F.lit(None).cast("int").alias("ordinal")).distinct()
+        m = tables.unionByName(m.where(F.lower(F.col("column_name")).isin(sorted({w.lower() for w in wanted}))))
     with redacted_errors("shard discovery", (opts.password,)):
         rows = m.select("url_no", "schema_name", "table_name", "table_type", "column_name",
                         "ordinal").collect()
@@ -133,7 +152,7 @@ def resolve_shards(spark: SparkSession, opts: ScanOptions,
         k = (r.url_no, r.schema_name, r.table_name)
         cols = grouped.setdefault(k, [])
         types[k] = r.table_type
-        if wanted_lower is None or r.column_name.lower() in wanted_lower:
+        if r.column_name is not None and (wanted_lower is None or r.column_name.lower() in wanted_lower):
             cols.append((r.ordinal, r.column_name))
     shards = [
         Shard(k[0], opts.urls[k[0]], k[1], k[2], types[k], tuple(c for _, c in sorted(cols)))

@@ -8,12 +8,15 @@ Everything after planning is a plain Spark plan: column pruning and filters
 reach every shard's ``SELECT`` (``PushedFilters``), a ``LIMIT`` goes below the
 union, and aggregates run a partial step per task before any shuffle.  The
 driver holds only metadata: matched table names, one statistics row per
-shard and the split list (bounded by ``scan.max-splits``); rows never pass
-through it.
+shard and the split bounds (the plan's SQL text is built when it is asked for);
+rows never pass through it.
 """
 
 from __future__ import annotations
 
+import datetime
+import logging
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from decimal import Decimal
@@ -22,20 +25,23 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    BooleanType,
     CharType,
     DataType,
+    DateType,
+    DecimalType,
+    FractionalType,
     IntegerType,
+    IntegralType,
     LongType,
     StringType,
     StructField,
     StructType,
     TimestampNTZType,
+    TimestampType,
     VarcharType,
 )
 
-import logging
-import re
-
 from shardscan.options import ScanOptions, redacted_errors
 from shardscan.plans import splits as P
 from shardscan.plans.rule import split_count, split_ranges, step_of
@@ -46,10 +52,11 @@ from shardscan.util import balanced_union, parallel_map
 
 def as_schema(schema: StructType | str) -> StructType:
     """Declared schema from a ``StructType`` or a DDL string; CHAR/VARCHAR(n)
-    are read as STRING, as Spark DataFrames do, and a timestamp precision
-    (``TIMESTAMP(3)``) is accepted and dropped (Spark keeps microseconds)."""
+    are read as STRING, as Spark DataFrames do.  ``TIMESTAMP(p)`` in a DDL string is the
+    zoneless SQL timestamp, so it becomes TIMESTAMP_NTZ (microseconds, whatever
+    the precision); a bare ``TIMESTAMP`` stays Spark's own, with the session zone."""
     if isinstance(schema, str):
-        schema = re.sub(r"(?i)\bTIMESTAMP\s*\(\s*\d+\s*\)", "TIMESTAMP", schema)
+        schema = re.sub(r"(?i)\bTIMESTAMP\s*\(\s*\d+\s*\)", "TIMESTAMP_NTZ", schema)
     parsed = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
     if not isinstance(parsed, StructType):
         raise ValueError(f"not a row schema: {schema!r}")
@@ -85,28 +92,34 @@ class ScanPlan:
     schema: StructType
     key_type: DataType
     shards: list[Shard]
-    # shard_no -> list of (split_id, lo, hi, bucket); lo/hi None = the IS NULL split
-    splits: dict[int, list[tuple[int, Any, Any]]] = field(default_factory=dict)
+    # shard_no -> list of (split_id, split_no, lo, hi, bucket); all None but the first = the IS NULL split
+    splits: dict[int, list[tuple]] = field(default_factory=dict)
     # shard_no -> (min key, step) of the range rule, for non-empty shards
     steps: dict[int, tuple[int, int]] = field(default_factory=dict)
-    # (split_id, shard_no, url_no, server, schema_name, table_name, split_no, lo, hi, query, bucket)
-    rows: list[tuple] = field(default_factory=list)
     _df: DataFrame | None = None
 
     @property
     def plan_df(self) -> DataFrame:
         """``split_id, url_no, server, schema_name, table_name, split_no, lo, hi, query, bucket``."""
         if self._df is None:
+            rows = []
+            for i, mine in self.splits.items():
+                s = self.shards[i]
+                server = self.opts.redact(self.opts.urls[s.url_no])
+                head = f"SELECT {_select_list(s, self.schema)} FROM {source_sql(s, self.opts)} WHERE "
+                rows += [(split_id, s.url_no, server, s.schema, s.table, no, lo, hi,
+                          head + split_predicate(s, self.opts, lo, hi, b, self.schema), b)
+                         for split_id, no, lo, hi, b in mine]
+            rows.sort(key=lambda r: r[0])
             b = P.bound_type(self.key_type)
-            ddl = (
-                "split_id bigint, shard_no int, url_no int, server string, schema_name string, "
-                f"table_name string, split_no bigint, lo {b}, hi {b}, query string, bucket int"
-            )
-            rows = self.rows
+            low, high = (-(2**63), 2**63 - 1) if b == "bigint" else P.key_limits(self.key_type)
+            if any(v is not None and not low <= v <= high for r in rows for v in r[6:8]):
+                b = "decimal(38,0)"  # the keys are wider than declared
             if b != "bigint":  # DECIMAL(p,0) keys: bounds as Decimal values
-                rows = [r[:7] + tuple(None if v is None else Decimal(v) for v in r[7:9]) + r[9:]
-                        for r in rows]
-            self._df = self.spark.createDataFrame(rows, ddl).drop("shard_no")
+                rows = [r[:6] + tuple(None if v is None else Decimal(v) for v in r[6:8]) + r[8:] for r in rows]
+            self._df = self.spark.createDataFrame(rows, (
+                "split_id bigint, url_no int, server string, schema_name string, "
+                f"table_name string, split_no bigint, lo {b}, hi {b}, query string, bucket int"))
         return self._df
 
     @property
@@ -159,8 +172,6 @@ def plan_scan(spark: SparkSession, schema: StructType | str,
     if not shards:
         return plan
 
-    servers = [opts.redact(u) for u in opts.urls]
-    heads = [f"SELECT {_select_list(s, schema)} FROM {source_sql(s, opts)} WHERE " for s in shards]
     if opts.explicit_bounds and opts.partition_num is not None:
         # declared bounds, count not needed: no round trip to the servers
         probed = {i: (opts.lower_bound, opts.upper_bound, None, None) for i in range(len(shards))}
@@ -170,41 +181,40 @@ def plan_scan(spark: SparkSession, schema: StructType | str,
         probed = {r.shard_no: (r.mn, r.mx, r.n, r.n_null) for r in rows}
     # The rule on one statistics row per shard (already on the driver): plan
     # metadata, like a file listing; the rows themselves are read by tasks.
-    top = P.key_limits(key_type)[1]
-    if opts.explicit_bounds:  # the last range stops at the declared upper bound
-        top = min(top, opts.upper_bound)
-    out: list[tuple] = []
-    for i, s in enumerate(shards):
-        mn, mx, n, _ = (None if v is None else int(v) for v in probed.get(i, (None,) * 4))
-        mode = {"batch_size": opts.batch_size, "partition_num": opts.partition_num}
-        if mn is not None and mx is not None:
-            plan.steps[i] = (mn, step_of(mn, mx, n, **mode))
-        if len(out) + split_count(mn, mx, n, **mode) * opts.salt_buckets > opts.max_splits:
-            raise ValueError(
-                f"the plan has more than scan.max-splits={opts.max_splits} splits; "
-                "raise scan.batch.size, lower scan.partition.num or raise scan.max-splits"
-            )
-        for j, (lo, hi) in enumerate(split_ranges(mn, mx, n, top=top, **mode)):
+    mode = {"batch_size": opts.batch_size, "partition_num": opts.partition_num}
+    n = 0
+    for i in range(len(shards)):
+        mn, mx, rows_of, _ = (None if v is None else int(v) for v in probed.get(i, (None,) * 4))
+        if mn is None or mx is None:
+            continue
+        plan.steps[i] = (mn, step_of(mn, mx, rows_of, **mode))
+        opts.check_split_count(n + split_count(mn, mx, rows_of, **mode) * opts.salt_buckets)
+        # the last range is cut at the key type's maximum: the declared type's, or that of
+        # the keys themselves where they are wider than declared
+        top = max(P.key_limits(key_type)[1], mx)
+        if opts.explicit_bounds:  # it stops at the declared upper bound
+            top = min(top, opts.upper_bound)
+        mine = plan.splits.setdefault(i, [])
+        for j, (lo, hi) in enumerate(split_ranges(mn, mx, rows_of, top=top, **mode)):
             for b in opts.buckets:
-                out.append((len(out), i, s.url_no, servers[s.url_no], s.schema, s.table, j, lo, hi,
-                            heads[i] + split_predicate(s, opts, lo, hi, b), b))
+                mine.append((n, j, lo, hi, b))
+                n += 1
     if opts.null_key == "keep":
         # one IS NULL split per shard that has (or, unprobed, may have) NULL keys
-        for i, s in enumerate(shards):
+        for i in range(len(shards)):
             n_null = probed.get(i, (None, None, None, None))[3]
             if n_null is None or n_null > 0:
                 for b in opts.buckets:
-                    out.append((len(out), i, s.url_no, servers[s.url_no], s.schema, s.table, None,
-                                None, None, heads[i] + split_predicate(s, opts, None, None, b), b))
-    for r in out:
-        plan.splits.setdefault(r[1], []).append((r[0], r[7], r[8], r[10]))
+                    plan.splits.setdefault(i, []).append((n, None, None, None, b))
+                    n += 1
+    if n > 100_000:
+        LOG.warning("%d splits planned", n)
     if LOG.isEnabledFor(logging.INFO):
         for url_no in sorted({s.url_no for s in shards}):
             mine = [i for i, s in enumerate(shards) if s.url_no == url_no]
-            LOG.info("server %d (%s): %d schemas, %d tables, %d splits", url_no, servers[url_no],
+            LOG.info("server %d (%s): %d schemas, %d tables, %d splits", url_no, opts.redact(opts.urls[url_no]),
                      len({shards[i].schema for i in mine}), len(mine),
                      sum(len(plan.splits.get(i, ())) for i in mine))
-    plan.rows = out
     return plan
 
 
@@ -223,12 +233,14 @@ def read_plan(spark: SparkSession, plan: ScanPlan) -> DataFrame:
 
     def relation(shard_no: int) -> DataFrame:
         shard = plan.shards[shard_no]
-        preds = [split_predicate(shard, opts, lo, hi, b) for _, lo, hi, b in plan.splits[shard_no]]
+        preds = [split_predicate(shard, opts, lo, hi, b, plan.schema)
+                 for _, _, lo, hi, b in plan.splits[shard_no]]
         props = opts.jdbc_properties(shard.dialect.driver, shard.dialect.scan_fetch_size)
         if want_ntz:
             props["preferTimestampNTZ"] = "true"
         rel = spark.read.jdbc(opts.urls[shard.url_no], source_sql(shard, opts), predicates=preds,
                               properties=props)
+        _check_salt(rel, shard, opts)
         return _project(rel, shard, plan)
 
     todo = [i for i in range(len(plan.shards)) if plan.splits.get(i)]
@@ -243,7 +255,8 @@ def read_plan(spark: SparkSession, plan: ScanPlan) -> DataFrame:
     return df
 
 
-def split_predicate(shard: Shard, opts: ScanOptions, lo: Any, hi: Any, bucket: int | None = None) -> str:
+def split_predicate(shard: Shard, opts: ScanOptions, lo: Any, hi: Any, bucket: int | None = None,
+                    schema: StructType | None = None) -> str:
     """WHERE text of one split: the key range (or ``IS NULL``), the salt
     bucket if any, and the declared equality conditions, in the shard's own
     SQL dialect."""
@@ -252,18 +265,48 @@ def split_predicate(shard: Shard, opts: ScanOptions, lo: Any, hi: Any, bucket: i
     if bucket is not None:
         salt = shard.dialect.quote(shard.resolve(opts.salt_column) or opts.salt_column)
         parts.append(salt_predicate(salt, opts.salt_buckets, bucket))
-    for name, value in opts.conditions:
-        col = shard.dialect.quote(shard.resolve(name) or name)
-        parts.append(f"{col} = {_db_literal(value)}")
-    return " AND ".join(parts)
-
-
-def _db_literal(v: Any) -> str:
-    if isinstance(v, bool):
-        return "TRUE" if v else "FALSE"
-    if isinstance(v, (int, float)):
-        return repr(v)
-    return "'" + str(v).replace("'", "''") + "'"
+    return " AND ".join(parts + conditions_sql(shard, opts, schema))
+
+
+def conditions_sql(shard: Shard, opts: ScanOptions, schema: StructType | None) -> list[str]:
+    """The equality conditions as SQL text; a text value of a declared column takes its type."""
+    return [shard.dialect.equals(shard.dialect.quote(shard.resolve(name) or name),
+                                 typed_value(value, schema, name))
+            for name, value in opts.conditions]
+
+
+def typed_value(value: Any, schema: StructType | None, name: str) -> Any:
+    """A condition's value in the declared type of its column (``"5"`` for an integer column is 5)."""
+    kind = next((f.dataType for f in (schema.fields if schema else ()) if f.name.lower() == name.lower()), None)
+    if not isinstance(value, str) or kind is None:
+        return value
+    try:
+        if isinstance(kind, IntegralType):
+            return int(value)
+        if isinstance(kind, DecimalType):
+            return Decimal(value)
+        if isinstance(kind, FractionalType):
+            return float(value)
+        if isinstance(kind, BooleanType):
+            return {"true": True, "false": False, "1": True, "0": False}[value.strip().lower()]
+        if isinstance(kind, DateType):
+            return datetime.date.fromisoformat(value)
+        if isinstance(kind, (TimestampType, TimestampNTZType)):
+            return datetime.datetime.fromisoformat(value)
+    except (ValueError, KeyError, ArithmeticError):
+        raise ValueError(f"condition on {name!r}: {value!r} is not a {kind.simpleString()}") from None
+    return value
+
+
+def _check_salt(rel: DataFrame, shard: Shard, opts: ScanOptions) -> None:
+    if not opts.salt_column:
+        return
+    for f in rel.schema.fields:
+        if f.name.lower() == opts.salt_column.lower():
+            kind = f.dataType
+            if not (isinstance(kind, IntegralType) or isinstance(kind, DecimalType) and kind.scale == 0):
+                raise ValueError(f"{shard.label(opts)}: salt column {f.name!r} must be an integer, "
+                                 f"not {kind.simpleString()}")
 
 
 def _bq(name: str) -> str:
@@ -304,6 +347,8 @@ def _project(rel: DataFrame, shard: Shard, plan: ScanPlan) -> DataFrame:
             f"CAST({_sql_literal(shard.schema)} AS STRING) AS _schema",
             f"CAST({_sql_literal(shard.table)} AS STRING) AS _table",
         ]
+    if exprs == [_bq(c) for c in rel.columns]:
+        return rel  # already the declared columns, in order
     return rel.selectExpr(*exprs)
 
 
@@ -343,7 +388,7 @@ def shard_stats(spark: SparkSession, options: ScanOptions | Mapping[str, Any] |
     )
     return (
         probe(spark, opts, shards)
-        .join(F.broadcast(meta), "shard_no")
+        .join(meta, "shard_no")
         .select("url_no", "server", "schema_name", "table_name",
                 F.col("mn").alias("min_key"), F.col("mx").alias("max_key"), "n")
     )
@@ -376,8 +421,7 @@ def split_row_counts_in_db(spark: SparkSession, schema: StructType | str,
         if opts.explicit_bounds:
             bound = f"{k} BETWEEN {opts.lower_bound} AND {opts.upper_bound}"
             where.append(f"({bound} OR {k} IS NULL)" if opts.null_key == "keep" else bound)
-        for name, value in opts.conditions:
-            where.append(f"{d.quote(shard.resolve(name) or name)} = {_db_literal(value)}")
+        where += conditions_sql(shard, opts, plan.schema)
         mn, step = plan.steps.get(shard_no, (0, 0))
         idx = d.int_div(f"{k} - {mn}", str(step + 1))
         q = [d.quote(c) for c in ("split_no", "n_rows")]

@@ -35,6 +35,7 @@ def _opts(urls, **kw):
     return o
 
 
+# The golden fixture's eight ranges (two servers, two matched tables, two ranges each).
 GOLDEN_SPLITS = [
     (0, 0, "APP", "JDBCSOURCE_1", 1, 2), (1, 0, "APP", "JDBCSOURCE_1", 3, 4),
     (2, 0, "APP", "JDBCSOURCE_2", 4, 5), (3, 0, "APP", "JDBCSOURCE_2", 6, 7),
@@ -162,10 +163,17 @@ def test_documented_example_schema(spark):
         "`id` BIGINT COMMENT '', `dbctime` TIMESTAMP(3) COMMENT '', `dbutime` TIMESTAMP(3), `extension` STRING",
         {"url": urls, "table-name": "test_table.*", "schema-name": "test_database.*",
          "scan.partition.column": "id", "scan.batch.size": 100000, "username": "u", "password": "p"})
-    assert df.schema.simpleString() == "struct<id:bigint,dbctime:timestamp,dbutime:timestamp,extension:string>"
+    assert df.schema.simpleString() == "struct<id:bigint,dbctime:timestamp_ntz,dbutime:timestamp_ntz,extension:string>"
     rows = sorted(df.collect())
     assert [r.id for r in rows] == [1, 11]
     assert rows[0].dbctime == datetime.datetime(2021, 1, 2, 3, 4, 5, 123000)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")  # not the JVM's: zoneless values stay
+    try:
+        texts = [r[0] for r in df.selectExpr("CAST(dbctime AS STRING)").collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert texts == ["2021-01-02 03:04:05.123"] * 2
 
 
 def test_query_source_per_server(spark, servers):

@@ -37,16 +37,20 @@ def test_row_counts_brute_force(spark, mode):
     assert got == dict(brute_counts(rows, mode))
 
 
-def test_hot_cold_path_equals_broadcast_path(spark):
+def test_merge_join_equals_broadcast(spark):
     li = spark.read.parquet(f"{SF}/lineitem.parquet").select(
         (F.col("l_suppkey") % 7).alias("shard"), "l_orderkey")
     # make shard 0 hold about half of all rows (a hot shard)
     li = li.withColumn("shard", F.when(F.col("l_orderkey") % 2 == 0, F.lit(0)).otherwise(F.col("shard")))
-    a = assign_splits(li, "shard", "l_orderkey", batch_size=50)
-    b = assign_splits(li, "shard", "l_orderkey", batch_size=50, broadcast_rows=1, hot_fraction=0.2)
-    ca = Counter((r.shard, r.l_orderkey, r.split_no) for r in a.collect())
-    cb = Counter((r.shard, r.l_orderkey, r.split_no) for r in b.collect())
-    assert ca == cb and sum(ca.values()) == li.count()
+    rows = {}
+    for limit in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            a = assign_splits(li, "shard", "l_orderkey", batch_size=50)
+            rows[limit] = Counter((r.shard, r.l_orderkey, r.split_no) for r in a.collect())
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows["10m"] == rows["-1"] and sum(rows["-1"].values()) == li.count()
 
 
 def test_null_keys_and_null_shards(spark):
@@ -117,7 +121,7 @@ def test_decimal_keys_one_shard(spark):
 
 @pytest.mark.parametrize("seed", range(3))
 def test_random_assignments(spark, seed):
-    """Random shards and keys (NULLs, repeats, negative, wide), all three join paths."""
+    """Random shards and keys (NULLs, repeats, negative, wide), both joins."""
     import random
 
     rnd = random.Random(seed)
@@ -131,6 +135,10 @@ def test_random_assignments(spark, seed):
     df = spark.createDataFrame(rows, "s string, k bigint")
     mode = {"batch_size": rnd.choice([1, 7, 100])} if seed % 2 else {"partition_num": rnd.choice([1, 3, 16])}
     want = brute_counts(rows, mode)
-    for kw in ({}, {"broadcast_rows": 2}, {"broadcast_rows": 1, "hot_fraction": 0.3}):
-        got = {(r.s, r.split_no): r.n_rows for r in split_row_counts(df, "s", "k", **mode, **kw).collect()}
-        assert got == dict(want), (seed, mode, kw)
+    for limit in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            got = {(r.s, r.split_no): r.n_rows for r in split_row_counts(df, "s", "k", **mode).collect()}
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert got == dict(want), (seed, mode, limit)

@@ -54,12 +54,16 @@ def test_stats_broadcast_and_codegen_arithmetic(spark):
     assert " div " in text  # BIGINT split arithmetic per row
 
 
-def test_large_stats_take_the_bounded_path(spark):
+def test_stats_join_follows_their_size_in_bytes(spark):
+    """One path whatever the number of shards: the planner broadcasts the written statistics by their size."""
     li = spark.read.parquet(f"{SF}/lineitem.parquet")
-    text = plan_text(assign_splits(li, "l_suppkey", "l_orderkey", batch_size=10, broadcast_rows=3))
-    # hot shards (above total/broadcast_rows rows) broadcast, the rest shuffle-joined
-    assert "BroadcastHashJoin" in text
-    assert "SortMergeJoin" in text or "ShuffledHashJoin" in text
+    assert "BroadcastHashJoin" in plan_text(assign_splits(li, "l_suppkey", "l_orderkey", batch_size=10))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan_text(assign_splits(li, "l_suppkey", "l_orderkey", batch_size=10))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in text and "Broadcast" not in text
 
 
 def test_plan_expansion_is_spread(spark):
