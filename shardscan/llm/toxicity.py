@@ -318,7 +318,8 @@ def score(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
     toxic = [list(k) for k, q in likely.items() if q >= 0.5]
     is_toxic = F.array_join("votes", ",").isin([",".join(map(str, k)) for k in toxic]) if toxic else F.lit(False)
     share = F.when(is_toxic, min(1.0, max_rows / 2 / big[True])).otherwise(min(1.0, max_rows / 2 / big[False]))
-    sample = voted.where(F.col("h") < share * float(1 << 20)).select("nums", "votes").orderBy("votes", "nums").collect()
+    sample = voted.where(F.col("h") < share * float(1 << 20)).select("nums", "votes").collect()
+    sample.sort(key=lambda r: (r["votes"], r["nums"]))
     w, b = fit_linear([list(r["nums"]) for r in sample],
                       np.array([likely[tuple(r["votes"])] for r in sample]), len(lexicon.names))
 
