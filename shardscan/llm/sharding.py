@@ -12,7 +12,8 @@ most ``3 * n_shards * fine`` of those; all other groups are hashed by text into
 cut into pieces by row hash (a group that holds a third of all rows fits no
 shard).  The driver sees the totals of bundles and pieces only, a number that
 depends on the parameters, not on the input.  The ``bytes`` law holds: the
-bundles go last and even out what the groups left.
+bundles go last and even out what the groups left, and swaps of units with as many rows between the
+fullest and the emptiest shard take off most of the rest.
 
 Slots: rows of a shard are ordered by (hash bucket, id, checksum); a window
 numbers each (shard, bucket) and the bucket's start is a prefix sum over at most
@@ -47,6 +48,33 @@ def pack(sizes: np.ndarray, n_shards: int) -> np.ndarray:
     return out
 
 
+def even_out(sizes: np.ndarray, rows: np.ndarray, shard: np.ndarray, n_shards: int, rounds: int = 500) -> np.ndarray:
+    """Swap items of equal row counts between the fullest and the emptiest shard (by ``sizes``) while
+    that brings the two closer: the rows of no shard change."""
+    shard = shard.copy()
+    fill = np.bincount(shard, sizes, n_shards)
+    for _ in range(rounds):
+        hi, lo = int(fill.argmax()), int(fill.argmin())
+        gap = fill[hi] - fill[lo]
+        best = (gap, -1, -1)
+        for r in np.intersect1d(rows[shard == hi], rows[shard == lo]):
+            a, b = (np.flatnonzero((shard == s) & (rows == r)) for s in (hi, lo))
+            b = b[np.argsort(sizes[b], kind="stable")]
+            at = np.searchsorted(sizes[b], sizes[a] - gap / 2)
+            for k in (np.minimum(at, len(b) - 1), np.maximum(at - 1, 0)):
+                left = np.abs(gap - 2 * (sizes[a] - sizes[b[k]]))
+                i = int(left.argmin())
+                if left[i] < best[0]:
+                    best = (float(left[i]), int(a[i]), int(b[k[i]]))
+        if best[1] < 0:
+            break
+        _, i, j = best
+        shard[i], shard[j] = lo, hi
+        fill[hi] -= sizes[i] - sizes[j]
+        fill[lo] += sizes[i] - sizes[j]
+    return shard
+
+
 def _row_hash(*cols: Column) -> Column:
     return F.xxhash64(*cols)
 
@@ -88,7 +116,8 @@ def shard(docs: DataFrame, n_shards: int = 16, fine: int = 256, pieces: int = 8,
         F.pmod(F.xxhash64("digest"), F.lit(bundles)).cast("int"))))
     sums = units.groupBy("unit").agg(F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"),
                                      F.count(F.lit(1)).alias("rows")).orderBy("unit").collect()
-    to = pack(np.array([[float(r[m]) for m in MEASURES] for r in sums]), n_shards)
+    sizes = np.array([[float(r[m]) for m in MEASURES] for r in sums])
+    to = even_out(sizes[:, 0], sizes[:, 2], pack(sizes, n_shards), n_shards)
     place = spark.createDataFrame([(r["unit"], int(s)) for r, s in zip(sums, to)], "unit int, shard int")
     placed = units.join(F.broadcast(place), "unit").withColumn(
         "bucket", F.pmod(_row_hash("doc_id", "text_crc32"), F.lit(buckets)).cast("int"))
