@@ -18,10 +18,11 @@ they stand; the neighbouring strings that share an anchor form one *segment*.
    by the one that includes it).  Every occurrence but the earliest is
    removed: an occurrence stops being the earliest in exactly one interval, the
    deepest, so the scan emits each at most once, whatever the nesting.
-3. An anchor seen with more than ``HOT`` kinds in one task (a passage that a third
-   of all texts share, in as many surroundings) would make an unbounded group.
-   Its segments are spread over salts and cut into their strings, which are compared by
-   128-bit hash the same way as segments in step 1: combined in each task, then streamed.
+3. A group of more than ``GROUP`` kinds (a passage that a third of all texts share, in as
+   many surroundings) would be unbounded in one task.  Its segments are cut into their strings,
+   the intervals of depth ``length`` of the tree, which are named by a 128-bit hash; equal names
+   are compared the way segments are in step 1: combined in each task, then streamed.
+   An anchor with more than ``HOT`` kinds in one task is spread over salts on the way to step 2.
 
 Defined results: null text has no bytes; texts shorter than ``length`` lose nothing; rows that
 repeat an id and a text are one document and share its result; different
@@ -44,7 +45,8 @@ from shardscan.llm.common import documents, python_tasks, utf8_parts, written
 
 LENGTH = 100
 GRAM = 32
-HOT = 8
+HOT = 1024
+GROUP = 4096
 SALTS = 64
 CHUNK = 4 << 20
 KEEP = 1 << 21
@@ -230,83 +232,86 @@ def anchor_rows(batches: Iterator[pa.RecordBatch], length: int = LENGTH) -> Iter
         yield from flush()
 
 
-FOUND = "kind int, h long, doc long, start long, stop long, off int"
+FOUND = "kind int, h long, doc long, start long, stop long"
 
 
-def _found(kind, h, doc, start, stop, off) -> pa.RecordBatch:
+def _found(kind, h, doc, start, stop) -> pa.RecordBatch:
     n = len(doc)
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(n, kind, np.int32)), pa.array(np.asarray(h, np.int64)), pa.array(np.asarray(doc, np.int64)),
-         pa.array(np.asarray(start, np.int64)), pa.array(np.asarray(stop, np.int64)),
-         pa.array(np.asarray(off, np.int32))], names=["kind", "h", "doc", "start", "stop", "off"])
+        [pa.array(np.full(n, kind, np.int32)), *(pa.array(np.asarray(x, np.int64)) for x in (h, doc, start, stop))],
+        names=["kind", "h", "doc", "start", "stop"])
+
+
+class _Group:
+    """The kinds of the anchor being streamed: at most ``GROUP`` of them are held."""
+
+    def __init__(self, h: int = 0):
+        self.h, self.hot, self.parts, self.size = h, False, [], 0
+
+    def add(self, doc: np.ndarray, loc: np.ndarray, hot: bool, length: int) -> Iterator[pa.RecordBatch]:
+        self.parts.append((doc, loc))
+        self.size += len(doc)
+        self.hot |= hot or self.size > GROUP
+        if self.hot:
+            yield from self.out(2, length)
+
+    def out(self, kind: int, length: int) -> Iterator[pa.RecordBatch]:
+        doc, loc = (np.concatenate([p[i] for p in self.parts]) if self.parts else np.zeros(0, np.int64) for i in (0, 1))
+        real = doc >= 0  # not the marker row
+        self.parts = []
+        if real.any():
+            doc, loc = doc[real], loc[real]
+            yield _found(kind, np.full(len(doc), self.h), doc, loc >> 16, (loc >> 16) + ((loc >> 9) & 127) + length)
+
+    def close(self, length: int) -> Iterator[pa.RecordBatch]:
+        if not self.hot and self.size > 1:
+            yield from self.out(1, length)
 
 
 def class_scan(batches: Iterator[pa.RecordBatch], length: int = LENGTH, contest: bool = True) -> Iterator[pa.RecordBatch]:
-    """Stream rows sorted by (h, g, doc, loc).  Kind 0: byte ranges to remove.  Kinds 1 and 2 (hot): the
-    earliest segment of every kind of an anchor that has several."""
+    """Stream rows sorted by (h, g, doc, loc).  Kind 0: byte ranges to remove.  Kind 1: the earliest segment
+    of every kind of an anchor that has several.  Kind 2: the same for anchors with too many for one group."""
     head = None  # (h, g, doc, loc) of the current kind's earliest
-    waiting = None  # the only kind of the current anchor so far
-    several = hot_now = False
+    group = _Group()
     for b in batches:
         h, g, doc, loc = (b.column(i).to_numpy() for i in range(4))
         done = (loc >> 1) & 1 == 1
         if done.any():
             d, s, e = _merge(doc[done], loc[done] >> 16, g[done])
-            yield _found(0, np.zeros(len(d)), d, s, e, np.zeros(len(d)))
+            yield _found(0, np.zeros(len(d)), d, s, e)
             h, g, doc, loc = h[~done], g[~done], doc[~done], loc[~done]
         if not len(h):
             continue
-        ph = np.concatenate(([h[0] if head is None else head[0]], h[:-1]))
-        pg = np.concatenate(([g[0] if head is None else head[1]], g[:-1]))
-        new_h, new = h != ph, (h != ph) | (g != pg)
-        if head is None:
-            new[0] = new_h[0] = True
-        place = np.cumsum(new) - 1
+        new_h = np.concatenate(([head is None or h[0] != head[0]], h[1:] != h[:-1]))
+        new = new_h | np.concatenate(([head is None or g[0] != head[1]], g[1:] != g[:-1]))
         at = np.flatnonzero(new)
-        fd, fl = np.concatenate(([0 if head is None else head[2]], doc[at])), np.concatenate(
-            ([0 if head is None else head[3]], loc[at]))
-        late = ~new & (doc >= 0) & ((doc != fd[place + 1]) | ((loc | 1) != (fl[place + 1] | 1)))
+        place = np.cumsum(new)  # 0: the kind that goes on from the batch before
+        fd, fl = (np.concatenate(([0 if head is None else head[i]], x[at])) for i, x in ((2, doc), (3, loc)))
+        late = ~new & (doc >= 0) & ((doc != fd[place]) | ((loc | 1) != (fl[place] | 1)))
         s = loc[late] >> 16
         d, s, e = _merge(doc[late], s, s + ((loc[late] >> 9) & 127) + length)
-        yield _found(0, np.zeros(len(d)), d, s, e, np.zeros(len(d)))
+        yield _found(0, np.zeros(len(d)), d, s, e)
+        if not len(at):
+            continue
+        head = (h[at[-1]], g[at[-1]], doc[at[-1]], loc[at[-1]])
         if contest:
-            # kinds of this batch by anchor, the anchor that goes on from the last batch first
-            kinds = at.tolist()
-            group = np.cumsum(new_h[at])
-            counts = np.bincount(group, minlength=int(group[-1]) + 1 if len(group) else 1) if len(at) else np.zeros(1, int)
-            marked = np.bincount(group, (g[at] == MARK) & (doc[at] < 0), minlength=len(counts)) if len(at) else np.zeros(1)
-            hot_rows = np.bincount(group, loc[at] & 1, minlength=len(counts)) if len(at) else np.zeros(1)
-            is_hot = (marked > 0) | (hot_rows > 0)
-            many = counts > 1
-            is_hot[0] |= hot_now
-            many[0] = several or (waiting is not None and counts[0] > 0) or (waiting is None and counts[0] > 1)
-            many |= is_hot
-            out = [(h[i], doc[i], loc[i], bool(is_hot[k])) for i, k in zip(kinds, group.tolist())
-                   if many[k] and doc[i] >= 0] if len(kinds) else []
-            if waiting is not None and many[0]:
-                out.append((*waiting, bool(is_hot[0])))
-                waiting = None
-            if len(counts) > 1:
-                several, hot_now = bool(many[-1]), bool(is_hot[-1])
-                waiting = None if several else (h[kinds[-1]], doc[kinds[-1]], loc[kinds[-1]])
-            else:
-                several, hot_now = bool(many[0]), bool(is_hot[0])
-                if not several and kinds:
-                    waiting = (h[kinds[-1]], doc[kinds[-1]], loc[kinds[-1]])
-            for kind in (False, True):
-                part = [o for o in out if o[3] is kind]
-                if part:
-                    l = np.array([o[2] for o in part], np.int64)
-                    yield _found(2 if kind else 1, [o[0] for o in part], [o[1] for o in part], l >> 16,
-                                 (l >> 16) + ((l >> 9) & 127) + length, (l >> 2) & 127)
-        if len(at):
-            head = (h[at[-1]], g[at[-1]], doc[at[-1]], loc[at[-1]])
-
-
-def suffix_order(rows: np.ndarray) -> np.ndarray:
-    """Lexicographic order of the rows of a uint8 matrix whose width is a multiple of 8."""
-    words = np.ascontiguousarray(rows).view(">u8").astype(np.uint64)
-    return np.lexsort(words.T[::-1])
+            edge = np.flatnonzero(new_h[at])
+            bounds = np.concatenate(([0], edge, [len(at)]))
+            sizes = np.diff(bounds)
+            # anchors that begin and end inside this batch with one kind need nothing; the others one by one
+            inner = np.arange(len(sizes))
+            busy = (sizes > 1) | (inner == 0) | (inner == len(sizes) - 1) | np.add.reduceat(
+                np.concatenate((loc[at] & 1, [0])), np.minimum(bounds[:-1], len(at))).astype(bool)
+            for k in np.flatnonzero(busy).tolist():
+                if k > 0:
+                    yield from group.close(length)
+                    group = _Group(int(h[at[bounds[k]]]))
+                rows = at[bounds[k]:bounds[k + 1]]
+                if len(rows):
+                    hot = bool((loc[rows] & 1).any() or ((g[rows] == MARK) & (doc[rows] < 0)).any())
+                    yield from group.add(doc[rows], loc[rows], hot, length)
+    if contest:
+        yield from group.close(length)
 
 
 def common_prefixes(rows: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -361,17 +366,16 @@ def _absorb(into: list, piece: list, rank) -> None:
 def maximal_repeats(parts: list[tuple[bytes, int, int, int]], length: int = LENGTH):
     """Maximal repeats among ``parts`` (bytes, left byte or -1, doc, start of the bytes in doc).
 
-    Yields ``(prefix, occurrences, late)``: the repeat's length, all its occurrences as (doc, start), and
-    those of them that are late in this interval but earliest in none above it."""
+    Yields ``(prefix, doc, start, late)``: the repeat's length, the documents and places of all its occurrences
+    (views, nothing is copied), and which of them stop being the earliest in this interval: those that lead a
+    part of it and not the whole."""
     width = -(-max([len(p[0]) for p in parts] + [8]) // 8) * 8
-    which = np.repeat(np.arange(len(parts)), [max(0, len(p[0]) - length + 1) for p in parts])
+    sizes = np.array([len(p[0]) for p in parts], np.int64)
+    which, at = _strings(sizes, length)
     if not len(which):
         return
-    sizes = np.array([len(p[0]) for p in parts])
     joined = np.frombuffer(b"".join(p[0] for p in parts) + bytes(width), np.uint8)
     base = np.cumsum(sizes) - sizes
-    counts = np.maximum(sizes - length + 1, 0)
-    at = np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts)
     size = sizes[which] - at
     # suffixes whose first ``length`` bytes stand nowhere else are in no interval: out before the sort
     head = -(-length // 8) * 8
@@ -396,20 +400,19 @@ def maximal_repeats(parts: list[tuple[bytes, int, int, int]], length: int = LENG
     lcp = common_prefixes(rows, size)
     for prefix, lo, hi, maximal, _, late in interval_tree(lcp, left, rank.tolist(), length):
         if maximal:
-            yield (prefix, list(zip(doc[lo:hi + 1].tolist(), start[lo:hi + 1].tolist())),
-                   [(int(doc[i]), int(start[i])) for i in late])
+            yield prefix, doc[lo:hi + 1], start[lo:hi + 1], [i - lo for i in late]
 
 
 def removed_in_groups(batches: Iterator[pa.RecordBatch], length: int = LENGTH) -> Iterator[pa.RecordBatch]:
     """Contested segments sorted by anchor -> byte ranges to remove, one suffix array per block of whole groups."""
     def block(parts):
-        doc, start, stop = [], [], []
-        for prefix, _, late in maximal_repeats(parts, length):
-            for d, s in late:
-                doc.append(d)
-                start.append(s)
-                stop.append(s + prefix)
-        d, s, e = _merge(np.array(doc, np.int64), np.array(start, np.int64), np.array(stop, np.int64))
+        doc, start, size = [], [], []
+        for prefix, d, s, late in maximal_repeats(parts, length):
+            doc.append(d[late])
+            start.append(s[late])
+            size.append(np.full(len(late), prefix))
+        d, s, n = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (doc, start, size))
+        d, s, e = _merge(d, s, s + n)
         return pa.RecordBatch.from_arrays([pa.array(d), pa.array(s), pa.array(e)], names=["doc", "start", "stop"])
 
     held, size, last = [], 0, None
@@ -427,8 +430,15 @@ def removed_in_groups(batches: Iterator[pa.RecordBatch], length: int = LENGTH) -
         yield block(held)
 
 
+def _strings(sizes: np.ndarray, length: int):
+    """(part, offset) of every string of parts with these sizes."""
+    counts = np.maximum(sizes - length + 1, 0)
+    part = np.repeat(np.arange(len(sizes)), counts)
+    return part, np.arange(len(part)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
 def string_rows(batches: Iterator[pa.RecordBatch], length: int = LENGTH) -> Iterator[pa.RecordBatch]:
-    """Segments of hot anchors -> one row per string: its 128-bit hash, id and place, combined per task."""
+    """Segments of large groups -> one row per string: its 128-bit name, id and place, combined per task."""
     head = -(-length // 8) * 8
     held, size = [], 0
 
@@ -436,14 +446,19 @@ def string_rows(batches: Iterator[pa.RecordBatch], length: int = LENGTH) -> Iter
         return combine(*[np.concatenate([x[i] for x in held]) for i in range(4)], length, None)
 
     for b in batches:
-        for doc, start, part in zip(*(b.column(c).to_pylist() for c in ("doc", "start", "part"))):
-            joined = np.frombuffer(part + bytes(head), np.uint8)
-            at = np.arange(len(part) - length + 1)
-            rows = _padded(joined, at, np.full(len(at), length), head)
-            zero = np.zeros(len(at), np.int64)
-            held.append((mix_rows(rows, 5).view(np.int64), mix_rows(rows, 7).view(np.int64),
-                         np.full(len(at), doc, np.int64), _pack(start + at, zero, zero)))
-            size += len(at)
+        for at in range(0, b.num_rows, 2000):
+            block = b.slice(at, 2000)
+            raw, off, _ = utf8_parts(block.column("part"))
+            doc, start = (block.column(c).to_numpy() for c in ("doc", "start"))
+            part, place = _strings(off[1:] - off[:-1], length)
+            if not len(part):
+                continue
+            joined = np.concatenate((raw[off[0]:off[-1]], np.zeros(head, np.uint8)))
+            rows = _padded(joined, off[:-1][part] - off[0] + place, np.full(len(part), length), head)
+            zero = np.zeros(len(part), np.int64)
+            held.append((mix_rows(rows, 5).view(np.int64), mix_rows(rows, 7).view(np.int64), doc[part],
+                         _pack(start[part] + place, zero, zero)))
+            size += len(part)
             if size >= KEEP:
                 yield from flush()
                 held, size = [], 0
