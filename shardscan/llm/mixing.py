@@ -4,7 +4,9 @@ Source ``s`` with ``n_s`` bytes shall make up the share ``w_s`` of a mixture
 of ``N`` bytes, so each of its documents repeats at the mean rate
 ``w_s * N / n_s``.  A document's count is the inverse of the Poisson
 distribution function at a uniform number from the md5 of seed and id:
-independent of partitioning, and the same in any engine.  Every copy gets a key
+independent of partitioning, and the same in any engine.  A rate above ``PART``
+is drawn as a sum of independent parts of at most ``PART`` each, so the tabulated
+function stays short.  Every copy gets a key
 from the md5 of seed, id and copy number; rows are dealt out and sorted by it.
 
 Target weights default to ``n_s ** temperature``; or give ``weights``
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 from shardscan.llm.common import documents, written
 
 SEED = "mix-1"
+PART = 128.0
 
 
 def _uniform(*parts: Column) -> Column:
@@ -40,7 +43,7 @@ def _id(col: str) -> Column:
 
 
 def poisson_steps(rate: Column) -> Column:
-    """The distribution function P(X <= k) for k = 0, 1, ... until 1 in double precision."""
+    """The distribution function P(X <= k) for k = 0, 1, ... until 1 in double precision (rate <= ``PART``)."""
     top = F.ceil(rate + 12 * F.sqrt(rate) + 25).cast("int")
     start = F.struct((-rate).alias("log"), F.exp(-rate).alias("sum"), F.array(F.exp(-rate)).alias("steps"))
 
@@ -53,8 +56,19 @@ def poisson_steps(rate: Column) -> Column:
         F.array(F.lit(1.0)))
 
 
+def poisson_count(steps: Column, parts: Column, *key: Column) -> Column:
+    """The sum of ``parts`` draws from the tabulated distribution, each inverted at its own uniform number."""
+    def draw(u: Column) -> Column:
+        return F.size(F.filter(steps, lambda c: c <= u)).cast("long")
+
+    more = F.aggregate(F.sequence(F.lit(2), parts), F.lit(0).cast("long"),
+                       lambda n, i: n + draw(_uniform(*key, F.concat(F.lit("part "), i.cast("string")))))
+    return draw(_uniform(*key)) + F.when(parts > 1, more).otherwise(F.lit(0).cast("long"))
+
+
 def source_rates(docs: DataFrame, temperature: float = 0.5, weights: dict[str, float] | None = None) -> DataFrame:
-    """One row per source: ``mix_source, mix_rate, mix_steps``."""
+    """One row per source: ``mix_source, mix_rate``, the number of parts ``mix_parts`` its draws are made of
+    and the distribution ``mix_steps`` of a part."""
     size = F.octet_length(F.coalesce(F.col("text").cast("string"), F.lit(""))) + 1
     by = docs.groupBy(F.col("source").cast("string").alias("mix_source")).agg(
         F.sum(size.cast("long")).cast("double").alias("n"))
@@ -67,7 +81,9 @@ def source_rates(docs: DataFrame, temperature: float = 0.5, weights: dict[str, f
     total = by.agg(F.sum("n").alias("n"), F.sum("w").alias("w")).first()
     all_n, all_w = F.lit(total["n"] or 0.0), F.lit(total["w"] or 0.0)
     rate = F.when(all_w > 0, F.col("w") / all_w * all_n / F.col("n")).otherwise(F.lit(0.0))
-    return by.select("mix_source", rate.alias("mix_rate")).withColumn("mix_steps", poisson_steps(F.col("mix_rate")))
+    parts = F.greatest(F.lit(1), F.ceil(F.col("mix_rate") / F.lit(PART)).cast("int"))
+    return by.select("mix_source", rate.alias("mix_rate")).withColumn("mix_parts", parts).withColumn(
+        "mix_steps", poisson_steps(F.col("mix_rate") / F.col("mix_parts")))
 
 
 def mix(docs: DataFrame, temperature: float = 0.5, weights: dict[str, float] | None = None,
@@ -75,7 +91,7 @@ def mix(docs: DataFrame, temperature: float = 0.5, weights: dict[str, float] | N
     """``docs`` with each row repeated by its count, shuffled, and the columns
     ``rate, count, copy`` (from 0) and ``key`` under ``prefix``."""
     spark = docs.sparkSession
-    rates = source_rates(docs, temperature, weights).toDF("__source", f"{prefix}rate", "__steps")
+    rates = source_rates(docs, temperature, weights).toDF("__source", f"{prefix}rate", "__parts", "__steps")
     few = rates.limit(max_broadcast_sources + 1).collect()
     source = docs["source"].cast("string")
     if len(few) <= max_broadcast_sources:
@@ -87,12 +103,12 @@ def mix(docs: DataFrame, temperature: float = 0.5, weights: dict[str, float] | N
         rows = left.join(salted, left["source"].cast("string").eqNullSafe(salted["__source"])
                          & (left["__s"] == salted["__salt"])).drop("__s", "__salt")
     rate, count, copy, key = (f"{prefix}{x}" for x in ("rate", "count", "copy", "key"))
-    counted = rows.withColumn("__u", _uniform(_id("doc_id"))).withColumn(
-        count, F.size(F.filter("__steps", lambda c: c <= F.col("__u")))).where(F.col(count) > 0)
+    counted = rows.withColumn(count, poisson_count(F.col("__steps"), F.col("__parts"), _id("doc_id")).cast("int")).where(
+        F.col(count) > 0)
     copies = counted.withColumn(copy, F.explode(F.sequence(F.lit(0), F.col(count) - 1)))
     keyed = copies.withColumn(key, F.md5(F.concat_ws(
         "|", F.lit(SEED), _id("doc_id"), F.col(copy).cast("string")).cast("binary")))
-    return keyed.drop("__source", "__steps", "__u").repartition(F.col(key)).sortWithinPartitions(key)
+    return keyed.drop("__source", "__parts", "__steps").repartition(F.col(key)).sortWithinPartitions(key)
 
 
 def op9_poisson_mixing(spark, sf_dir: str) -> DataFrame:
@@ -107,17 +123,19 @@ _RATES_SQL = """
 n AS (SELECT source, SUM(strlen(COALESCE(text, '')) + 1)::DOUBLE AS n FROM {docs} GROUP BY source),
 t AS (SELECT SUM(n) AS all_n, SUM(pow(n, 0.5)) AS all_w FROM n),
 r AS (SELECT source, pow(n, 0.5) / all_w * all_n / n AS rate FROM n, t),
-y AS (SELECT k, SUM(CASE WHEN k = 0 THEN 0 ELSE ln(k) END) OVER (ORDER BY k) AS lf
-      FROM range(0, (SELECT CAST(ceil(max(rate) + 12 * sqrt(max(rate)) + 26) AS BIGINT) FROM r)) x(k)),
-p AS (SELECT source, rate, k, exp(-rate + k * ln(rate) - lf) AS p FROM r JOIN y ON k <= rate + 12 * sqrt(rate) + 25),
-c AS (SELECT source, rate, k, SUM(p) OVER (PARTITION BY source ORDER BY k) AS f FROM p),
-l AS (SELECT source, rate, list(f ORDER BY k) AS steps FROM c GROUP BY source, rate)"""
+q AS (SELECT source, rate, greatest(1, ceil(rate / 128.0))::INTEGER AS parts FROM r),
+y AS (SELECT k, SUM(CASE WHEN k = 0 THEN 0 ELSE ln(k) END) OVER (ORDER BY k) AS lf FROM range(0, 400) x(k)),
+p AS (SELECT source, rate, parts, k, exp(-rate / parts + k * ln(rate / parts) - lf) AS p
+      FROM q JOIN y ON k <= rate / parts + 12 * sqrt(rate / parts) + 25),
+c AS (SELECT source, rate, parts, k, SUM(p) OVER (PARTITION BY source ORDER BY k) AS f FROM p),
+l AS (SELECT source, rate, parts, list(f ORDER BY k) AS steps FROM c GROUP BY ALL)"""
 
 MIX_SQL = "WITH " + _RATES_SQL.format(docs="documents") + """,
-d AS (SELECT *, ('0x' || substr(md5('mix-1|' || COALESCE(CAST(doc_id AS VARCHAR), '')), 1, 13))::BIGINT
-        / 4503599627370496.0 AS u FROM documents),
-m AS (SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, round(l.rate, 9) AS rate,
-        CAST(len(list_filter(l.steps, lambda f: f <= d.u)) AS INTEGER) AS n_copies
+d AS (SELECT *, 'mix-1|' || COALESCE(CAST(doc_id AS VARCHAR), '') AS key FROM documents),
+m AS (SELECT d.key, d.doc_id, d.text, d.lang, d.source, d.n_chars, round(l.rate, 9) AS rate,
+        CAST(list_sum(list_transform(range(1, l.parts + 1), lambda i: len(list_filter(l.steps, lambda f: f <= (
+          '0x' || substr(md5(d.key || CASE WHEN i = 1 THEN '' ELSE '|part ' || i END), 1, 13))::BIGINT
+          / 4503599627370496.0)))) AS INTEGER) AS n_copies
       FROM d JOIN l ON d.source IS NOT DISTINCT FROM l.source)
-SELECT *, md5('mix-1|' || COALESCE(CAST(doc_id AS VARCHAR), '') || '|' || copy) AS shuffle_key
+SELECT doc_id, text, lang, source, n_chars, rate, n_copies, copy, md5(key || '|' || copy) AS shuffle_key
 FROM (SELECT *, CAST(unnest(range(0, n_copies)) AS INTEGER) AS copy FROM m WHERE n_copies > 0)"""

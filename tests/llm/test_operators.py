@@ -114,11 +114,15 @@ def test_op9_reaches_target_weights_and_salted_join(spark):
 
 
 def test_poisson_counts(spark):
-    rates = spark.createDataFrame([(0.0,), (0.3,), (4.0,), (900.0,)], "r double").withColumn("s", mixing.poisson_steps(F.col("r")))
+    rates = spark.createDataFrame([(0.0,), (0.3,), (4.0,), (128.0,)], "r double").withColumn("s", mixing.poisson_steps(F.col("r")))
     for r in rates.collect():
         steps = np.array(r["s"])
         assert (np.diff(steps) >= 0).all() and abs(steps[-1] - 1) < 1e-9
         assert abs((1 - steps).sum() - r["r"]) < 1e-6 * max(1, r["r"])  # the mean is the sum of the tail
+    # a large rate in parts: mean and variance of a Poisson
+    drawn = spark.range(1500).select(mixing.poisson_count(
+        mixing.poisson_steps(F.lit(100.0)), F.lit(9), F.col("id").cast("string")).alias("n")).toPandas().n
+    assert abs(drawn.mean() - 900) < 4 and 700 < drawn.var() < 1100
 
 
 def test_op4(spark, path):
