@@ -21,7 +21,6 @@ repeated rows get equal results; other columns pass through.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
@@ -252,5 +251,23 @@ def op8_suffix_automaton_decontamination(spark, sf_dir: str) -> DataFrame:
         contaminated().alias("contaminated"))
 
 
-def items_digest(ids: list[str]) -> str:
-    return hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
+_UP = "".join(map(chr, LOWER))
+_LOW = _UP.lower()
+OVERLAP_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all(translate(COALESCE(text, ''), '{_UP}', '{_LOW}'), '{WORD.pattern}') AS w FROM documents),
+b AS (SELECT row_number() OVER () AS item, COALESCE(CAST(item_id AS VARCHAR), '') AS id,
+        regexp_extract_all(translate(COALESCE(text, ''), '{_UP}', '{_LOW}'), '{WORD.pattern}') AS w FROM benchmark),
+s AS (SELECT item, id, w, least(len(w), 13) AS size FROM b WHERE len(w) > 0),
+g AS (SELECT DISTINCT item, id, size, array_to_string(w[i:i + size - 1], ' ') AS gram
+      FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS i FROM s)),
+p AS (SELECT r, size, i, array_to_string(w[i:i + size - 1], ' ') AS gram
+      FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS i
+            FROM d, (SELECT DISTINCT size FROM g) WHERE len(w) >= size)),
+h AS (SELECT p.r, p.i, p.size, g.item, g.id FROM p JOIN g ON p.size = g.size AND p.gram = g.gram),
+n AS (SELECT r, COUNT(DISTINCT pos) AS n_hit FROM (SELECT r, unnest(range(i, i + size)) AS pos FROM h) GROUP BY r),
+f AS (SELECT r, COUNT(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+      FROM (SELECT DISTINCT r, item, id FROM h) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(n_items, 0) AS n_items,
+  sha256(COALESCE(ids, '')) AS items_sha256, COALESCE(n_hit, 0) > 0 AND 20 * COALESCE(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN n USING (r) LEFT JOIN f USING (r)"""

@@ -675,3 +675,18 @@ def dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_co
 
 def op5_interval_tree_dedup(spark, sf_dir: str) -> DataFrame:
     return dedup(documents(spark, sf_dir)).drop("spans")
+
+
+REPEATS_SQL = """
+WITH x AS (SELECT doc_id, encode(COALESCE(text, '')) AS b FROM documents),
+n AS (SELECT doc_id, b, octet_length(b) AS n_bytes FROM x),
+w AS (SELECT doc_id, i, md5(b[i:i + 99]) AS s FROM (SELECT doc_id, b, unnest(range(1, n_bytes - 98)) AS i FROM n WHERE n_bytes >= 100)),
+q AS (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM w),
+l AS (SELECT doc_id, i, CASE WHEN i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 1 ELSE 0 END AS gap FROM q WHERE k > 1),
+c AS (SELECT doc_id, i, SUM(gap) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM l),
+r AS (SELECT doc_id, run, MIN(i) AS a, MAX(i) + 99 AS z FROM c GROUP BY doc_id, run),
+e AS (SELECT doc_id, SUM(z - a + 1) AS n_removed, COUNT(*) AS n_spans, list(a ORDER BY a) AS starts, list(z ORDER BY a) AS ends FROM r GROUP BY doc_id)
+SELECT n.doc_id, CAST(n_bytes AS BIGINT) AS n_bytes, CAST(COALESCE(n_removed, 0) AS BIGINT) AS n_removed, COALESCE(n_spans, 0) AS n_spans,
+  CASE WHEN n_spans IS NULL THEN sha256(b) ELSE sha256(unhex(array_to_string(list_transform(range(0, len(starts) + 1), lambda i:
+    hex(b[CASE WHEN i = 0 THEN 1 ELSE ends[i] + 1 END : CASE WHEN i = len(starts) THEN n_bytes ELSE starts[i + 1] - 1 END])), ''))) END AS kept_sha256
+FROM n LEFT JOIN e USING (doc_id)"""

@@ -11,7 +11,7 @@ import pytest
 import brute
 from conftest import SF
 from shardscan.llm import decontaminate, langid, mixing, permutation_index, repeats, secrets, sharding, simhash, toxicity, warc
-from shardscan.llm.queries import QUERIES
+from shardscan.llm.queries import ORACLE_SQL, QUERIES
 from pyspark.sql import functions as F
 
 
@@ -30,6 +30,15 @@ def test_empty_tables(spark, empty_dir, name):
     assert df.collect() == [] and df.columns
 
 
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_oracle_sql(spark, name):
+    from oracle import compare, duck
+
+    sf = "/root/testdata/sf0.01"
+    ok, why = compare(QUERIES[name](spark, sf), duck(sf), ORACLE_SQL[name])
+    assert ok, why
+
+
 @pytest.fixture(params=["given", "edge"])
 def path(request, edge_dir):
     return SF if request.param == "given" else edge_dir
