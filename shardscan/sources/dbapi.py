@@ -374,22 +374,32 @@ class ShardedDbapiReader(DataSourceReader):
         kind = _kind(url)
         arrow_schema = to_arrow_schema(self.schema)
         batch = o.fetch_size if o.fetch_size and o.fetch_size > 0 else 10_000
+        held: list = []  # rows of small splits share a batch
+
+        def out():
+            with redacted_errors(f"reading server {partition.url_no}", (o.password,)):
+                arrays = [to_arrow(list(c), f.type, self.zone) for c, f in zip(zip(*held), arrow_schema)]
+            held.clear()
+            return pa.RecordBatch.from_arrays(arrays, schema=arrow_schema)
+
         with redacted_errors(f"reading server {partition.url_no}", (o.password,)):
             conn = open_session(url, o)
         try:
             for split in partition.splits:
-                with redacted_errors(f"split {split.split_id} of server {partition.url_no}", (o.password,)):
-                    cur = stream_cursor(conn, kind, batch)
-                    text, params = self._statement(kind, split)
-                    cur.execute(text, params) if params else cur.execute(text)
-                while True:
+                rows = None
+                while rows is None or rows:
                     with redacted_errors(f"split {split.split_id} of server {partition.url_no}", (o.password,)):
+                        if rows is None:
+                            cur = stream_cursor(conn, kind, batch)
+                            text, params = self._statement(kind, split)
+                            cur.execute(text, params) if params else cur.execute(text)
                         rows = cur.fetchmany(batch)
-                        if not rows:
-                            break
-                        arrays = [to_arrow(list(c), f.type, self.zone) for c, f in zip(zip(*rows), arrow_schema)]
-                    yield pa.RecordBatch.from_arrays(arrays, schema=arrow_schema)
+                    held += rows
+                    if len(held) >= batch:
+                        yield out()
                 cur.close()
+            if held:
+                yield out()
         finally:
             conn.close()
 
