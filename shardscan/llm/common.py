@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -47,10 +46,6 @@ def split_crc(doc_id: Column, n: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(n))
 
 
-def crc_mod(doc_id, n: int) -> int:
-    return zlib.crc32(str(doc_id).encode()) % n
-
-
 def utf8_parts(arr: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bytes, offsets, is_null) of an Arrow string or binary array; nulls have no bytes."""
     large = pa.types.is_large_string(arr.type) or pa.types.is_large_binary(arr.type)
@@ -69,3 +64,16 @@ def texts(arr: pa.Array):
     view = memoryview(raw)
     for i in range(len(arr)):
         yield b"" if null[i] else view[off[i]:off[i + 1]].tobytes()
+
+
+def pieces(text, gap, size: int = 1 << 20):
+    """``text`` (str or bytes) in order, in pieces of about ``size`` cut where ``gap`` matches, so that the
+    words of a very long text are never all held as objects."""
+    at = 0
+    while at < len(text):
+        end = at + size
+        if end < len(text):
+            m = gap.search(text, end)
+            end = m.start() if m else len(text)
+        yield text[at:end] if at or end < len(text) else text
+        at = end

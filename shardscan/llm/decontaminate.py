@@ -29,9 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shardscan.llm.common import documents, python_tasks, table
+from shardscan.llm.common import documents, pieces, python_tasks, table
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+GAP = re.compile(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")  # no letter of either case: between words
 LOWER = {c: c + 32 for c in range(65, 91)}
 WINDOW = 13
 
@@ -104,24 +105,27 @@ class SuffixAutomaton:
             p = self.link[p]
         return new
 
-    def hits(self, seq: list[str]) -> tuple[list[tuple[int, int]], set[int]]:
-        """Word spans [start, end) covered by windows, merged, and the numbers of the items found."""
+    def codes(self, text: str | None) -> np.ndarray:
+        """Word numbers of a text, -1 for words in no item."""
         get = self.vocabulary.get
-        codes = [get(w, -1) for w in seq]
-        known = np.frombuffer(np.array(codes, np.int64), np.int64) >= 0
-        edge = np.flatnonzero(np.diff(np.concatenate(([0], known.astype(np.int8), [0]))))
+        parts = [np.fromiter((get(w, -1) for w in words(p)), np.int32) for p in pieces(text or "", GAP)]
+        return np.concatenate(parts) if parts else np.zeros(0, np.int32)
+
+    def hits(self, codes: np.ndarray) -> tuple[list[tuple[int, int]], set[int]]:
+        """Word spans [start, end) covered by windows, merged, and the numbers of the items found."""
+        known = (codes >= 0).astype(np.int8)
+        edge = np.flatnonzero(np.diff(np.concatenate(([0], known, [0]))))
         spans: list[tuple[int, int]] = []
         found: set[int] = set()
         for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
             if b - a >= self.least:
-                self._run(codes, a, b, spans, found)
+                self._run(codes[a:b].tolist(), a, spans, found)
         return spans, found
 
-    def _run(self, codes, a, b, spans, found) -> None:
+    def _run(self, codes: list[int], a: int, spans, found) -> None:
         following, link, length, window, short = self.next, self.link, self.length, self.window, self.short
         state = size = 0
-        for i in range(a, b):
-            c = codes[i]
+        for i, c in enumerate(codes, a):
             while state and c not in following[state]:
                 state = link[state]
                 size = length[state]
@@ -173,9 +177,9 @@ def matcher(automaton: SuffixAutomaton):
         for arr in batches:
             out = []
             for t in arr:
-                seq = words(t.as_py())
-                spans, found = automaton.hits(seq)
-                out.append({"n_words": len(seq), "spans": [{"a": a, "b": b} for a, b in spans],
+                codes = automaton.codes(t.as_py())
+                spans, found = automaton.hits(codes)
+                out.append({"n_words": len(codes), "spans": [{"a": a, "b": b} for a, b in spans],
                             "items": sorted(automaton.ids[n] for n in found)})
             yield pa.array(out, kind)
 

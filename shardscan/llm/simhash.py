@@ -25,8 +25,8 @@ empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -35,33 +35,41 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shardscan.llm.common import python_tasks, texts, written
+from shardscan.llm.common import pieces, python_tasks, texts, written
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 SEED = 42
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
 BLOCK = 1 << 16
 
 
+def shingle_hashes(text: bytes, shingle: int) -> Iterator[np.ndarray]:
+    """XXH64 of every word shingle, in arrays; fewer words than a shingle are one."""
+    digest, held, some = xxhash.xxh64_intdigest, [], False
+    for piece in pieces(text.translate(_LOWER), SPACE):
+        held += piece.split()
+        n = len(held) - shingle + 1
+        if n < 1:
+            continue
+        some = True
+        joined = b" ".join(held)
+        ends = np.cumsum(np.fromiter(map(len, held), np.int64, len(held)) + 1) - 1
+        starts = np.concatenate(([0], ends[:-1] + 1))[:n].tolist()
+        yield np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, ends[shingle - 1:].tolist())), np.uint64, n)
+        held = held[n:]  # the last words begin shingles of the next piece
+    if held and not some:
+        yield np.array([digest(b" ".join(held), SEED)], np.uint64)
+
+
 def fingerprint(text: bytes, shingle: int = 3) -> int:
     """The fingerprint of one UTF-8 text as an unsigned integer."""
-    words = text.translate(_LOWER).split()
-    if not words:
-        return 0
-    joined = b" ".join(words)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    if len(words) > shingle:
-        ends = ends[shingle - 1:]
-        starts = starts[:len(ends)]
-    else:
-        starts, ends = starts[:1], ends[-1:]
-    digest = xxhash.xxh64_intdigest
-    hashes = (digest(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends.tolist()))
-    n, counts = len(starts), np.zeros(64, np.int64)
-    for at in range(0, n, BLOCK):
-        h = np.fromiter(islice(hashes, BLOCK), np.uint64, min(BLOCK, n - at))
-        bits = np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        counts += bits.sum(axis=0, dtype=np.int64)
+    n, counts = 0, np.zeros(64, np.int64)
+    for hashes in shingle_hashes(text, shingle):
+        for at in range(0, len(hashes), BLOCK):
+            h = hashes[at:at + BLOCK]
+            bits = np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            counts += bits.sum(axis=0, dtype=np.int64)
+        n += len(hashes)
     return int(np.packbits((2 * counts > n).astype(np.uint8), bitorder="little").view("<u8")[0])
 
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shardscan.llm.common import documents, python_tasks, split_crc, table, written
+from shardscan.llm.common import documents, pieces, python_tasks, split_crc, table, written
 
 #: Common insults of the four languages.
 LEXICON = (
@@ -43,6 +43,7 @@ LEXICON = (
     "abruti bouffon connard connasse crétin dégoûtant débile imbécile minable ordure pathétique salaud stupide "
     "asqueroso basura cabrón cobarde escoria estúpido estúpida idiota imbécil inútil patético payaso perdedor tonto").split()
 WORD = re.compile(r"[^\W\d_]+")
+SPACE = re.compile(r"\s")
 YOU = re.compile(r"\b(?:you(?:'re| are)?|du (?:bist)?|tu (?:es|eres)|vous êtes|eres) (?:an?|the|such an?|so|ein|une?|el|la|tan)?\s*(\w+)", re.IGNORECASE)
 PREFIXES = (4, 5, 6)
 LABEL_ERROR = 1e-4
@@ -163,7 +164,9 @@ class Lexicon:
         if not text:
             return [], [-1, -1, -1, -1, -1, -1, -1]
         number, stems = self.number, self.stems
-        words = set(WORD.findall(text.lower()))
+        words: set[str] = set()
+        for piece in pieces(text, SPACE):
+            words.update(WORD.findall(piece.lower()))
         found = {number[w] for w in words if w in number}
         begin: Counter = Counter()
         for w in words:

@@ -384,6 +384,44 @@ def test_simhash_hot_buckets_lose_no_link(spark):
         assert sizes + (Counter({1: alone}) if alone else Counter()) == want
 
 
+def test_automaton_against_brute_force():
+    import random
+
+    rnd = random.Random(1)
+    for _ in range(800):
+        items = [(str(i), [rnd.choice("abc") for _ in range(rnd.randint(0, 9))]) for i in range(rnd.randint(1, 5))]
+        window, seq = rnd.randint(2, 5), [rnd.choice("abcd") for _ in range(rnd.randint(0, 30))]
+        hit, found = set(), set()
+        for n, (_, w) in enumerate(items):
+            for g in [w[k:k + window] for k in range(len(w) - window + 1)] if len(w) >= window else [w] if w else []:
+                for k in range(len(seq) - len(g) + 1):
+                    if seq[k:k + len(g)] == g:
+                        hit.update(range(k, k + len(g)))
+                        found.add(n)
+        automaton = decontaminate.SuffixAutomaton(items, window)
+        spans, which = automaton.hits(np.array([automaton.vocabulary.get(w, -1) for w in seq], np.int32))
+        assert {x for a, b in spans for x in range(a, b)} == hit and which == found
+
+
+def test_long_texts_in_pieces(monkeypatch):
+    import random
+
+    from shardscan.llm import common
+
+    cut = common.pieces
+    rnd = random.Random(6)
+    automaton = decontaminate.SuffixAutomaton([("1", "a b c d".split()), ("2", "b c".split())], 3)
+    for _ in range(300):
+        text = "".join(rnd.choice("abcAB ,.\n\u00e9\u4e2d9") for _ in range(rnd.randint(0, 60)))
+        size = rnd.randint(1, 12)
+        assert "".join(cut(text, decontaminate.GAP, size)) == text
+        monkeypatch.setattr(decontaminate, "pieces", lambda t, g: cut(t, g, size))
+        monkeypatch.setattr(simhash, "pieces", lambda t, g: cut(t, g, size))
+        want = [automaton.vocabulary.get(w, -1) for w in decontaminate.words(text)]
+        assert automaton.codes(text).tolist() == want
+        assert simhash.fingerprint(text.encode()) == brute.simhash(text)
+
+
 def test_decontaminate_blocks_and_removed_spans(spark, edge_dir):
     docs = spark.read.parquet(f"{edge_dir}/documents.parquet").select("doc_id", "text", "overlap")
     bench = spark.read.parquet(f"{edge_dir}/benchmark.parquet")
