@@ -2,7 +2,6 @@
 
 import datetime
 import decimal
-import json
 import os
 import sqlite3
 
