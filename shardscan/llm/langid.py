@@ -164,7 +164,7 @@ def predict_batch(model: ByteCnn, arr: pa.Array, block: int = 2048) -> tuple[np.
     raw, off, null = utf8_parts(arr)
     n, k = len(arr), len(model.languages)
     doc, start, stop = _windows(raw, off[:-1], np.where(null, off[:-1], off[1:]))
-    logs, probs, weight = np.zeros((n, k)), np.zeros((n, k)), np.zeros(n)
+    logs, probs, weight, plain = np.zeros((n, k)), np.zeros((n, k)), np.zeros(n), np.zeros(n)
     grid = np.arange(WINDOW)
     for at in range(0, len(doc), block):
         s, e, d = start[at:at + block], stop[at:at + block], doc[at:at + block]
@@ -177,15 +177,12 @@ def predict_batch(model: ByteCnn, arr: pa.Array, block: int = 2048) -> tuple[np.
         np.add.at(logs, d, np.log(p + 1e-6) * w[:, None])
         np.add.at(probs, d, p * w[:, None])
         np.add.at(weight, d, w)
+        np.add.at(plain, d, ((x >= 3) & (x <= 28)).sum(axis=1))
     best = logs.argmax(axis=1)
     score = probs[np.arange(n), best] / np.maximum(weight, 1)
-    for i in range(n):
-        if weight[i] == 0 or (weight[i] < 4 and not LETTER.search(arr[i].as_py())):
+    for i in np.flatnonzero(plain == 0).tolist():  # no ASCII letter: look at the characters themselves
+        if weight[i] == 0 or not LETTER.search(arr[i].as_py()):
             best[i], score[i] = -1, 0.0
-    if n and weight.min() < WINDOW:  # few letters in bytes: look at the characters themselves
-        for i in np.flatnonzero((weight > 0) & (best >= 0) & (weight < WINDOW)):
-            if not LETTER.search(arr[int(i)].as_py()):
-                best[i], score[i] = -1, 0.0
     return best, np.clip(score, 0, 1)
 
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -182,7 +183,7 @@ def test_pack_puts_each_group_where_residual_capacity_points():
 def test_op3(spark, edge_dir):
     out = got(spark, "op3", edge_dir)
     docs = rows(spark, edge_dir, "documents", "doc_id", "text")
-    und = Counter(d for d, t in docs if not t or not any(c.isalpha() for c in t))
+    und = Counter(d for d, t in docs if not t or not any(unicodedata.category(c)[0] == "L" for c in t))
     assert Counter(d for d, _, lang, s in out if lang == "und") == und
     assert all(s == 0 for _, _, lang, s in out if lang == "und") and all(0 <= s <= 1 for *_, s in out)
     assert len(out) == len(docs)
