@@ -127,36 +127,27 @@ def resolve_shards(spark: SparkSession, opts: ScanOptions,
                    wanted: Sequence[str] | None = None) -> list[Shard]:
     """Matched shards with their column lists, sorted (url_no, schema, table).
 
-    Only catalog rows of matched tables reach the driver; with ``wanted``
-    (declared columns and key) only those columns, matched case-insensitively,
-    not every column of every table.
+    Only one row per matched table reaches the driver; with ``wanted``
+    (declared columns and key) it holds only those columns, matched
+    case-insensitively, not every column of the table.
     """
     if opts.query and "{table}" not in opts.query:
         return [Shard(i, u, None, None, "QUERY") for i, u in enumerate(opts.urls)]
     with redacted_errors("shard discovery", (opts.password,)):
         m = matching(catalog(spark, opts), opts)
+    # one row per matched table, whatever its columns: one that lacks all the wanted columns
+    # shows up with none of them and fails the column check
+    known = F.col("column_name").isNotNull()
     if wanted is not None:
-        # every matched table is a row of its own (without a column), whatever its columns,
-        # so that one lacking all wanted columns shows up and fails the column check
-        tables = m.select("url_no", "schema_name", "table_name", "table_type",
-                          F.lit(None).cast("string").alias("column_name"),
-                          F.lit(None).cast("int").alias("ordinal")).distinct()
-        m = tables.unionByName(m.where(F.lower(F.col("column_name")).isin(sorted({w.lower() for w in wanted}))))
+        known = known & F.lower(F.col("column_name")).isin(sorted({w.lower() for w in wanted}))
+    tables = m.groupBy("url_no", "schema_name", "table_name", "table_type").agg(
+        F.collect_list(F.when(known, F.struct("ordinal", "column_name"))).alias("columns"))
     with redacted_errors("shard discovery", (opts.password,)):
-        rows = m.select("url_no", "schema_name", "table_name", "table_type", "column_name",
-                        "ordinal").collect()
-    wanted_lower = None if wanted is None else {w.lower() for w in wanted}
-    grouped: dict[tuple, list[tuple[int, str]]] = {}
-    types: dict[tuple, str] = {}
-    for r in rows:
-        k = (r.url_no, r.schema_name, r.table_name)
-        cols = grouped.setdefault(k, [])
-        types[k] = r.table_type
-        if r.column_name is not None and (wanted_lower is None or r.column_name.lower() in wanted_lower):
-            cols.append((r.ordinal, r.column_name))
+        rows = tables.collect()
     shards = [
-        Shard(k[0], opts.urls[k[0]], k[1], k[2], types[k], tuple(c for _, c in sorted(cols)))
-        for k, cols in grouped.items()
+        Shard(r.url_no, opts.urls[r.url_no], r.schema_name, r.table_name, r.table_type,
+              tuple(c.column_name for c in sorted(r["columns"], key=lambda c: (c.ordinal, c.column_name))))
+        for r in rows
     ]
     return sorted(shards, key=lambda s: s.sort_key)
 
