@@ -123,6 +123,14 @@ def test_op9_reaches_target_weights_and_salted_join(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def test_op9_is_native(spark):
+    """No Python, pandas or Arrow node on the main path, whichever way the source table is joined."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for df in (mixing.op9_poisson_mixing(spark, SF), mixing.mix(docs, max_broadcast_sources=0)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not re.search("Python|Pandas|Arrow", plan) and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
 def test_poisson_counts(spark):
     rates = spark.createDataFrame([(0.0,), (0.3,), (4.0,), (128.0,)], "r double").withColumn("s", mixing.poisson_steps(F.col("r")))
     for r in rates.collect():
