@@ -8,12 +8,12 @@ shard's residual capacity is highest.
 At scale the placement list must stay small.  A group above ``1/(n_shards *
 fine)`` of the corpus in some measure is placed by itself, and there are at
 most ``3 * n_shards * fine`` of those; all other groups are hashed by text into
-``n_shards * fine`` bundles.  A group above ``1/(n_shards * pieces)`` of the corpus is
-cut into pieces by row hash (a group that holds a third of all rows fits no
-shard).  The driver sees the totals of bundles and pieces only, a number that
+``n_shards * fine`` bundles.  A group stays whole if it fits a shard; a larger one (a group
+that holds a third of all rows fits none) is cut by row hash into pieces of about an eighth of a shard.
+The driver sees the totals of bundles and pieces only, a number that
 depends on the parameters, not on the input.  The ``bytes`` law holds: the
-bundles go last and even out what the groups left, and swaps of units with as many rows between the
-fullest and the emptiest shard take off most of the rest.
+bundles go last and even out what the groups left, and swaps between the fullest and
+the emptiest shard take off most of the rest.
 
 Slots: rows of a shard are ordered by (hash bucket, id, checksum); a window
 numbers each (shard, bucket) and the bucket's start is a prefix sum over at most
@@ -48,30 +48,49 @@ def pack(sizes: np.ndarray, n_shards: int) -> np.ndarray:
     return out
 
 
-def even_out(sizes: np.ndarray, rows: np.ndarray, shard: np.ndarray, n_shards: int, rounds: int = 500) -> np.ndarray:
-    """Swap items of equal row counts between the fullest and the emptiest shard (by ``sizes``) while
-    that brings the two closer: the rows of no shard change."""
+def even_out(sizes: np.ndarray, rows: np.ndarray, shard: np.ndarray, n_shards: int, rounds: int = 2000,
+             loose: float = 0.002) -> np.ndarray:
+    """Swap items between the fullest and the emptiest shard (by ``sizes``) while that brings the two
+    closer.  Items of equal row counts first, which changes the rows of no shard; then, if the two
+    are still apart by more than ``loose`` of a shard, any items, or one item against none."""
     shard = shard.copy()
     fill = np.bincount(shard, sizes, n_shards)
-    for _ in range(rounds):
-        hi, lo = int(fill.argmax()), int(fill.argmin())
-        gap = fill[hi] - fill[lo]
-        best = (gap, -1, -1)
-        for r in np.intersect1d(rows[shard == hi], rows[shard == lo]):
-            a, b = (np.flatnonzero((shard == s) & (rows == r)) for s in (hi, lo))
-            b = b[np.argsort(sizes[b], kind="stable")]
-            at = np.searchsorted(sizes[b], sizes[a] - gap / 2)
-            for k in (np.minimum(at, len(b) - 1), np.maximum(at - 1, 0)):
-                left = np.abs(gap - 2 * (sizes[a] - sizes[b[k]]))
-                i = int(left.argmin())
-                if left[i] < best[0]:
-                    best = (float(left[i]), int(a[i]), int(b[k[i]]))
-        if best[1] < 0:
-            break
-        _, i, j = best
-        shard[i], shard[j] = lo, hi
-        fill[hi] -= sizes[i] - sizes[j]
-        fill[lo] += sizes[i] - sizes[j]
+
+    def best_swap(a: np.ndarray, b: np.ndarray, gap: float):
+        """(what is left of the gap, item of a, item of b or -1) of the best swap."""
+        have = np.where(b >= 0, sizes[b], 0.0)
+        order = np.argsort(have, kind="stable")
+        b, have = b[order], have[order]
+        at = np.searchsorted(have, sizes[a] - gap / 2)
+        found = (gap, -1, -1)
+        for k in (np.minimum(at, len(b) - 1), np.maximum(at - 1, 0)):
+            left = np.abs(gap - 2 * (sizes[a] - have[k]))
+            i = int(left.argmin())
+            if left[i] < found[0]:
+                found = (float(left[i]), int(a[i]), int(b[k[i]]))
+        return found
+
+    for equal_rows in (True, False):
+        for _ in range(rounds):
+            hi, lo = int(fill.argmax()), int(fill.argmin())
+            gap = fill[hi] - fill[lo]
+            if not equal_rows and gap <= loose * fill.mean():
+                break
+            a, b = np.flatnonzero(shard == hi), np.flatnonzero(shard == lo)
+            if equal_rows:
+                swaps = [best_swap(a[rows[a] == r], b[rows[b] == r], gap) for r in np.intersect1d(rows[a], rows[b])]
+            else:
+                swaps = [best_swap(a, np.append(b, -1), gap)] if len(a) else []
+            _, i, j = min(swaps, default=(gap, -1, -1))
+            if i < 0:
+                break
+            shard[i] = lo
+            moved = sizes[i]
+            if j >= 0:
+                shard[j] = hi
+                moved -= sizes[j]
+            fill[hi] -= moved
+            fill[lo] += moved
     return shard
 
 
@@ -79,7 +98,7 @@ def _row_hash(*cols: Column) -> Column:
     return F.xxhash64(*cols)
 
 
-def shard(docs: DataFrame, n_shards: int = 16, fine: int = 256, pieces: int = 8, buckets: int = 1024,
+def shard(docs: DataFrame, n_shards: int = 16, fine: int = 256, buckets: int = 1024,
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, size, text_crc32, tokens, law, shard, slot, grown_shard``."""
     spark = docs.sparkSession
@@ -102,14 +121,13 @@ def shard(docs: DataFrame, n_shards: int = 16, fine: int = 256, pieces: int = 8,
     of = F.greatest(*[F.col(m) / F.lit(float(max(1, total[m]))) for m in MEASURES])
     large = groups.withColumn("part", of).where(F.col("part") > 1.0 / bundles)
     # at most len(MEASURES) * bundles rows, whatever the input
-    cut = [(r["digest"], bundles + i, 1, 0) for i, r in enumerate(
-        large.where(F.col("part") <= 1.0 / (n_shards * pieces)).select("digest").orderBy("digest").collect())]
-    at = bundles + len(cut)
-    for r in large.where(F.col("part") > 1.0 / (n_shards * pieces)).orderBy("digest").collect():
-        n = int(np.ceil(r["part"] * n_shards * pieces))
-        cut.append((r["digest"], at, n, 1))
+    cut, at = [], bundles
+    for r in large.select("digest", "part").orderBy("digest").collect():
+        # whole if it fits a shard, else in pieces of about an eighth of one
+        n = 1 if r["part"] <= 1.0 / n_shards else int(np.ceil(8 * n_shards * r["part"]))
+        cut.append((r["digest"], at, n))
         at += n
-    own = spark.createDataFrame(cut, "digest string, unit int, n int, parted int")
+    own = spark.createDataFrame(cut, "digest string, unit int, n int")
     row = _row_hash("doc_id", "size", "text_crc32")
     units = (rows.join(F.broadcast(own), "digest", "left").withColumn("unit", F.when(
         F.col("unit").isNotNull(), F.col("unit") + F.pmod(row, F.coalesce("n", F.lit(1))).cast("int")).otherwise(

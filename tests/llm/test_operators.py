@@ -176,10 +176,19 @@ def test_even_out_keeps_items_and_rows_and_narrows_the_spread():
     rng = np.random.default_rng(0)
     sizes, rows_ = rng.integers(1, 1000, 800).astype(float), rng.integers(1, 4, 800)
     start = rng.integers(0, 8, 800)
-    end = sharding.even_out(sizes, rows_, start, 8)
+    end = sharding.even_out(sizes, rows_, start, 8, loose=1.0)
     fill, before = np.bincount(end, sizes, 8), np.bincount(start, sizes, 8)
     assert fill.sum() == sizes.sum() and np.ptp(fill) < 0.1 * np.ptp(before)
     assert (np.bincount(end, rows_, 8) == np.bincount(start, rows_, 8)).all()
+    crowded = sharding.even_out(sizes, np.arange(800), np.zeros(800, int), 8)  # no two alike: items move
+    fill = np.bincount(crowded, sizes, 8)
+    assert np.ptp(fill) <= 0.01 * fill.mean()
+
+
+def test_op4_keeps_groups_that_fit_a_shard_whole(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    out = sharding.op4_vector_bin_packing(spark, "/root/testdata/sf0.01").join(docs.select("doc_id", "text"), "doc_id")
+    assert out.groupBy("text").agg(F.countDistinct("shard").alias("n")).where("n > 1").count() == 0
 
 
 def test_pack_puts_each_group_where_residual_capacity_points():
