@@ -50,7 +50,6 @@ GROUP = 4096
 SALTS = 64
 CHUNK = 4 << 20
 KEEP = 1 << 21
-LAST = (1 << 63) - 1
 MARK = -(1 << 63)
 _M1, _M2, _M3 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(0x9E3779B97F4A7C15)
 

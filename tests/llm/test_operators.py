@@ -358,6 +358,9 @@ def test_label_model_recovers_voters():
     model = toxicity.LabelModel(5)
     model.fit(patterns, np.bincount(inv.ravel()).astype(float))
     assert [0, 3] in model.groups and abs(model.prior - 0.15) < 0.04
+    got = model.accuracies()
+    for name, true in zip(toxicity.VOTERS, [(0.8, 0.02), (0.6, 0.05), (0.7, 0.1), (0.8, 0.02)]):
+        assert np.allclose(got[name], true, atol=0.07), (name, got[name])
     post = model.posterior(votes)
     assert (post[~known].round() == y[~known]).mean() > 0.93
 
