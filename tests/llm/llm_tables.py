@@ -1,12 +1,10 @@
-import os
+"""Awkward and empty tables; test modules import the fixtures they use."""
+
 import random
-import sys
 
 import pytest
 from pyspark.sql import Row
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
 SF = "/root/testdata/sf0.001"
 #: Column names the operators use inside, as extra columns of the inputs.
 CLASH = ("h", "g", "doc", "loc", "fp", "root", "component_id", "size", "shard", "slot", "unit", "digest", "bucket", "spans",

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 import brute
-from conftest import SF
+from llm_tables import SF, edge_dir, empty_dir  # noqa: F401
 from shardscan.llm import decontaminate, langid, mixing, permutation_index, repeats, secrets, sharding, simhash, toxicity, warc
 from shardscan.llm.queries import ORACLE_SQL, QUERIES
 from pyspark.sql import functions as F

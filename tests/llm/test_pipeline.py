@@ -6,7 +6,7 @@ import pytest
 
 import brute
 import corpus_pipeline as P
-from conftest import SF
+from llm_tables import SF, edge_dir, empty_dir  # noqa: F401
 from pyspark.sql import functions as F
 
 STAGE = dict(P.STAGES)
