@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from shardscan.session import app_key
+from shardscan.session import app_key, ship_package
 
 DERBY_DRIVER = "org.apache.derby.jdbc.EmbeddedDriver"
 _LOADED: dict[tuple[str, str], tuple[str, ...]] = {}
@@ -214,6 +214,7 @@ def load_sqlite(spark: SparkSession, name: str, df: DataFrame, file_of: Column,
     key = (app_key(spark), name)
     if key in _LOADED:
         return _LOADED[key]
+    ship_package(spark)  # this module imports it
     spark.sparkContext.addPyFile(os.path.abspath(__file__))
     folder = os.path.join(fixture_root(spark), name)
     os.makedirs(folder, exist_ok=True)
