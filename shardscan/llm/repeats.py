@@ -527,8 +527,8 @@ def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _with_bytes(rows: DataFrame, found: DataFrame) -> DataFrame:
     """The contested segments of ``found`` with their bytes: ``kind, h, doc, start, part``."""
     want = found.where("kind > 0").groupBy("doc").agg(F.collect_list(F.struct("kind", "h", "start", "stop")).alias("want"))
-    # rows that repeat a document bring its bytes once more: equal occurrences, no harm
-    return rows.select("doc", "z").join(want, "doc").select("doc", "z", "want").mapInArrow(
+    # one row of each document: a second copy of a segment would count as a later occurrence of its first string
+    return rows.select("doc", "z").dropDuplicates(["doc"]).join(want, "doc").select("doc", "z", "want").mapInArrow(
         parts_of, "kind int, h long, doc long, start long, part binary")
 
 

@@ -53,6 +53,16 @@ def test_op5(spark, path):
     assert Counter(got(spark, "op5", path)) == Counter(brute.repeats(rows(spark, path, "documents", "doc_id", "text")))
 
 
+def test_op5_repeated_row_that_holds_a_passage_first(spark):
+    rnd = np.random.default_rng(12)
+    words = [" ".join(f"w{x}" for x in rnd.integers(0, 10 ** 6, 40)) for _ in range(7)]
+    docs = [(1, f"{words[0]} {words[1]} {words[2]}")] * 3 + [(2, f"{words[3]} {words[1]} {words[4]}"),
+                                                            (3, f"{words[5]} {words[1]} {words[6]}")]
+    out = repeats.dedup(spark.createDataFrame(docs, "doc_id long, text string")).drop("spans").collect()
+    assert Counter(map(tuple, out)) == Counter(brute.repeats(docs))
+    assert {r.doc_id: r.n_removed > 0 for r in out} == {1: False, 2: True, 3: True}
+
+
 def test_op5_groups_list_all_occurrences(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 120")
     text = {d: (t or "").encode() for d, t in docs.select("doc_id", "text").collect()}
