@@ -175,6 +175,28 @@ def test_op4_balance_and_hot_group(spark):
         assert v.max() / v.mean() < 1 + most and v.min() / v.mean() > 1 - most, (m, v)
 
 
+@pytest.mark.parametrize("hot", ["distinct ids", "one id", "null id and text"])
+def test_op4_hot_group_of_any_ids_is_even_in_rows(spark, hot):
+    own = F.concat(F.lit("text "), F.sha2(F.col("id").cast("string"), 512), F.repeat(F.lit(" w"), (F.col("id") % 50).cast("int")))
+    a_third = F.col("id") % 3 == 0
+    one = F.lit(None) if hot == "null id and text" else F.lit("one text that a third of all rows share")
+    ids = {"distinct ids": F.col("id"), "one id": F.lit(7), "null id and text": F.lit(None)}[hot]
+    docs = spark.range(4000).select(F.when(a_third, ids).otherwise(F.col("id")).cast("long").alias("doc_id"),
+                                    F.when(a_third, one).otherwise(own).alias("text"))
+    out = sharding.shard(docs).collect()
+    n = np.bincount([r["shard"] for r in out], minlength=16)
+    b = np.bincount([r["shard"] for r in out], [r["size"] for r in out], 16)
+    assert np.ptp(b) / b.mean() < 0.005 and abs(n / n.mean() - 1).max() < 0.03, (b, n)
+    slots, same = defaultdict(list), defaultdict(list)
+    crc = Counter(r.text_crc32 for r in out).most_common(1)[0][0]
+    for r in out:
+        slots[r["shard"]].append(r.slot)
+        if r.text_crc32 == crc:
+            same[r["shard"]].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert len(same) == 16 and all(max(s) - min(s) >= len(s) for s in same.values())  # not in one slot bucket
+
+
 def test_op4_bytes_law_on_given_tables(spark):
     out = sharding.op4_vector_bin_packing(spark, "/root/testdata/sf0.01").groupBy("shard").agg(
         F.sum("size").alias("b"), F.count(F.lit(1)).alias("n")).collect()
