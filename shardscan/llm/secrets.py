@@ -7,7 +7,8 @@ characters, its Shannon entropy kept by incremental counts (one character
 leaves, one enters).  Windows above the class's threshold join to spans.  A span that
 lies inside a base span adds nothing; one that an allow-list pattern matches
 (UUIDs, documented example keys, long words, repeated or counting characters) is
-suppressed.  Base spans are never suppressed.
+suppressed.  'example' or counting characters suppress the part of a run between separators
+that holds them; what stands beside it is scanned by itself.  Base spans are never suppressed.
 
 Spans are ``kind:start:end`` in code points, end exclusive, by start and then kind
 in the order of ``KINDS``.  Defined results: null and empty texts have no spans
@@ -42,12 +43,15 @@ ENTROPY_WINDOW = 20
 THRESHOLDS = {"entropy_hex": 3.0, "entropy_base64": 3.75}
 ALLOW = (
     re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"),  # UUID
-    re.compile(r"(?i).*example.*"),
     re.compile(r"[A-Za-z]?[a-z]+([-_/][A-Za-z]?[a-z]+)*[0-9]{0,4}"),  # words, hyphenated words, paths
-    re.compile(r"(?i).*(0123456789|abcdefghij|1234567890).*"),
     re.compile(r"(.{1,4})\1{3,}.{0,4}"),
 )
 
+#: Suppresses the part of a run between separators that holds it; a documented key has separators itself.
+ALLOW_PART = re.compile(r"(?i)example|0123456789|abcdefghij|1234567890")
+PART = re.compile(r"[^/=_+-]+")
+DOCUMENTED = re.compile(r"wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY")
+
 _TERM = [0.0] + [n * math.log2(n) for n in range(1, ENTROPY_WINDOW + 1)]
 
 
@@ -75,10 +79,26 @@ def _mixed(s: str) -> bool:
     return bool(DIGIT.search(s)) and any(c.isalpha() for c in s)
 
 
+def _stretches(run: str) -> Iterator[tuple[int, str]]:
+    """(place, string) of what is left of a run without its allowed parts; the whole run if it has none."""
+    if any(p.fullmatch(run) for p in ALLOW):
+        return
+    if not ALLOW_PART.search(run):
+        yield 0, run
+        return
+    out = [m.span() for p in (ALLOW[0], DOCUMENTED) for m in p.finditer(run)]
+    out += [m.span() for m in PART.finditer(run) if ALLOW_PART.search(m.group())]
+    at = 0
+    for a, b in [*sorted(out), (len(run) + 1, len(run) + 1)]:
+        # without the separators next to an allowed part
+        if a - 1 - at >= ENTROPY_WINDOW:
+            yield at, run[at:a - 1]
+        at = max(at, b + 1)
+
+
 def _entropy_spans(text: str) -> list[tuple[int, int, str]]:
     out = []
-    for m in CANDIDATE.finditer(text):
-        run, at = m.group(), m.start()
+    for at, run in ((m.start() + a, s) for m in CANDIDATE.finditer(text) for a, s in _stretches(m.group())):
         if not _mixed(run) or any(p.fullmatch(run) for p in ALLOW):
             continue
         parts = [("entropy_hex", h.group(), at + h.start()) for h in HEX_CLASS.finditer(run)]

@@ -107,6 +107,18 @@ def test_op7_entropy_spans():
         assert secrets.scan(allowed)[1] == [], allowed
 
 
+def test_op7_allowed_part_hides_no_secret_beside_it():
+    key = "Zq3Rt7Lw9Xb2Nc5Vm8Kd1Hs4"
+    for before, after in (("example=", ""), ("/examples/v1/", ""), ("user_1234567890/", ""), ("", "/example"), ("example-", "=abcdefghij")):
+        text = f"see {before}{key}{after} end"
+        at = text.index(key)
+        spans = secrets.scan(text)[1]
+        assert len(spans) == 1 and spans[0][0] <= at and spans[0][1] >= at + len(key), (text, spans)
+    for allowed in ("key=wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "id 1e2f3a4b-5c6d-7e8f-9a0b-c01234567890",
+                    "example=1e2f3a4b-5c6d-7e8f-9a0b-c01234567890", "Zq3Rt7Lw9Xb2Nc5Vm8Kd1Hs4example"):
+        assert secrets.scan(allowed)[1] == [], allowed
+
+
 def test_op9(spark, path):
     from oracle import compare, duck
 
