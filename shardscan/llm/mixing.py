@@ -3,11 +3,12 @@
 Source ``s`` with ``n_s`` bytes shall make up the share ``w_s`` of a mixture
 of ``N`` bytes, so each of its documents repeats at the mean rate
 ``w_s * N / n_s``.  A document's count is the inverse of the Poisson
-distribution function at a uniform number from the md5 of seed and id:
-independent of partitioning, and the same in any engine.  A rate above ``PART``
+distribution function at a uniform number from the md5 of seed, id and the text's md5:
+independent of partitioning, and the same in any engine.  With ``by_text=False`` the text is
+left out, as in ``MIX_SQL``: then all documents of an id, or without one, share a draw.  A rate above ``PART``
 is drawn as a sum of independent parts of at most ``PART`` each, so the tabulated
 function stays short.  Every copy gets a key
-from the md5 of seed, id and copy number; rows are dealt out and sorted by it.
+from the md5 of the same and the copy number; rows are dealt out by it and their text, and sorted by it.
 
 Target weights default to ``n_s ** temperature``; or give ``weights``
 (source -> weight; a source not named gets none).  Only DataFrame functions.
@@ -17,7 +18,7 @@ The per-source table has one row per source: broadcast up to
 so that a source with a third of all rows is spread over ``salts`` keys.
 
 Defined results: a null source is a source of its own; null and empty texts
-have size 1; repeated rows share their count and keys; null ids draw as the
+have size 1; repeated rows share their count and keys; null ids draw like the
 empty id; an empty table gives an empty result; other columns pass through.
 """
 
@@ -87,11 +88,13 @@ def source_rates(docs: DataFrame, temperature: float = 0.5, weights: dict[str, f
 
 
 def mix(docs: DataFrame, temperature: float = 0.5, weights: dict[str, float] | None = None,
-        max_broadcast_sources: int = 10_000, salts: int = 64, prefix: str = "mix_") -> DataFrame:
+        max_broadcast_sources: int = 10_000, salts: int = 64, prefix: str = "mix_", by_text: bool = True) -> DataFrame:
     """``docs`` with each row repeated by its count, shuffled, and the columns
     ``rate, count, copy`` (from 0) and ``key`` under ``prefix``."""
     spark = docs.sparkSession
     rates = source_rates(docs, temperature, weights).toDF("__source", f"{prefix}rate", "__parts", "__steps")
+    text = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
+    docs = docs.withColumn("__drawn", F.concat_ws("|", _id("doc_id"), text) if by_text else _id("doc_id"))
     few = rates.limit(max_broadcast_sources + 1).collect()
     source = docs["source"].cast("string")
     if len(few) <= max_broadcast_sources:
@@ -103,18 +106,20 @@ def mix(docs: DataFrame, temperature: float = 0.5, weights: dict[str, float] | N
         rows = left.join(salted, left["source"].cast("string").eqNullSafe(salted["__source"])
                          & (left["__s"] == salted["__salt"])).drop("__s", "__salt")
     rate, count, copy, key = (f"{prefix}{x}" for x in ("rate", "count", "copy", "key"))
-    counted = rows.withColumn(count, poisson_count(F.col("__steps"), F.col("__parts"), _id("doc_id")).cast("int")).where(
+    counted = rows.withColumn(count, poisson_count(F.col("__steps"), F.col("__parts"), F.col("__drawn")).cast("int")).where(
         F.col(count) > 0)
     copies = counted.withColumn(copy, F.explode(F.sequence(F.lit(0), F.col(count) - 1)))
     keyed = copies.withColumn(key, F.md5(F.concat_ws(
-        "|", F.lit(SEED), _id("doc_id"), F.col(copy).cast("string")).cast("binary")))
-    return keyed.drop("__source", "__parts", "__steps").repartition(F.col(key)).sortWithinPartitions(key)
+        "|", F.lit(SEED), F.col("__drawn"), F.col(copy).cast("string")).cast("binary")))
+    # different texts may share a key: the text deals them out too
+    dealt = keyed.drop("__source", "__parts", "__steps", "__drawn").repartition(F.col(key), F.xxhash64("text"))
+    return dealt.sortWithinPartitions(key)
 
 
 def op9_poisson_mixing(spark, sf_dir: str) -> DataFrame:
     """The mixture of ``documents``, sources at the square root of their bytes."""
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang", "source", "n_chars")
-    return mix(docs).select(
+    return mix(docs, by_text=False).select(
         "doc_id", "text", "lang", "source", "n_chars", F.round("mix_rate", 9).alias("rate"),
         F.col("mix_count").alias("n_copies"), F.col("mix_copy").alias("copy"), F.col("mix_key").alias("shuffle_key"))
 

@@ -153,6 +153,24 @@ def test_op9_is_native(spark):
         assert not re.search("Python|Pandas|Arrow", plan) and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_op9_documents_without_id_draw_by_text_and_are_dealt_out(spark):
+    docs = spark.range(600).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"),
+                                   F.lit("s").alias("source"))
+    out = mixing.mix(docs)
+    n, texts = out.count(), out.select("text").distinct().count()
+    assert 480 < n < 720 and 300 < texts < 460  # 1 - 1/e of them at rate 1
+    assert out.select("mix_key").distinct().count() == n
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:  # the query's keys are those of MIX_SQL: equal for equal ids, but rows do not meet in one task
+        same = spark.range(600).select(F.concat(F.lit("text "), "id").alias("text"), F.lit("s").alias("source"),
+                                       F.lit(3).alias("doc_id"))
+        by = [r["count"] for r in mixing.mix(same, by_text=False, weights={"s": 1.0}).groupBy(
+            F.spark_partition_id()).count().collect()]
+        assert not by or max(by) < sum(by) / 2
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_poisson_counts(spark):
     rates = spark.createDataFrame([(0.0,), (0.3,), (4.0,), (128.0,)], "r double").withColumn("s", mixing.poisson_steps(F.col("r")))
     for r in rates.collect():
