@@ -21,7 +21,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -43,7 +45,8 @@ ENTROPY_WINDOW = 20
 THRESHOLDS = {"entropy_hex": 3.0, "entropy_base64": 3.75}
 ALLOW = (
     re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"),  # UUID
-    re.compile(r"[A-Za-z]?[a-z]+([-_/][A-Za-z]?[a-z]+)*[0-9]{0,4}"),  # words, hyphenated words, paths
+    # words, hyphenated words, paths; one way only to read each word, so a long slug that fails costs one pass
+    re.compile(r"[A-Z]?[a-z]+(?:[-_/][A-Z]?[a-z]+)*[0-9]{0,4}"),
     re.compile(r"(.{1,4})\1{3,}.{0,4}"),
 )
 
@@ -128,7 +131,12 @@ def scan(text: str | None) -> tuple[list[tuple[int, int, str]], list[tuple[int,
     def order(s):
         return s[0], KINDS.index(s[2]), s[1]
     base.sort(key=order)
-    more = [s for s in _entropy_spans(text) if not any(a <= s[0] and s[1] <= b for a, b, _ in base)]
+    starts, reach = [a for a, _, _ in base], list(accumulate((b for _, b, _ in base), max))
+    more = []
+    for s in _entropy_spans(text):
+        n = bisect_right(starts, s[0])  # the base spans that start no later, and how far they reach
+        if not n or reach[n - 1] < s[1]:
+            more.append(s)
     return base, sorted(base + more, key=order)
 
 
