@@ -309,6 +309,28 @@ def q41_flat_conditions_and_timestamp(spark, sf):
     return df.select("o_orderkey", "o_orderstatus", F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"))
 
 
+def q42_scan_report_by_schema(spark, sf):
+    """Tables and splits per (server, schema)."""
+    urls = FX.supplier_schemas(spark, sf)
+    plan = plan_scan(spark, FX.parquet(spark, sf, "supplier").schema, {
+        "url": list(urls), "table-name": "SUPPLIER$", "schema-name": "EU_.*|XX_0$",
+        "scan.partition.column": "s_suppkey", "scan.partition.num": 4})
+    return scan_report(spark, plan, by="schema").select("url_no", "schema_name", "n_tables", "n_splits")
+
+
+def q43_anchored_names(spark, sf):
+    """Names with anchors: the literal prefix that goes to the catalog must not hold them."""
+    return sharded_scan(spark, _orders_schema(spark, sf),
+                        _orders_opts(spark, sf, **{"table-name": "ORDERS_2$", "schema-name": "^APP$"}))
+
+
+def q44_anchored_names_flat(spark, sf):
+    dbapi.register(spark)
+    return (spark.read.format(dbapi.NAME).schema(_orders_schema(spark, sf))
+            .options(**{"url": ";".join(FX.orders_sqlite(spark, sf)), "table-name": "ORDERS_2$", "schema-name": "main$",
+                        "scan.partition.column": "o_orderkey", "scan.partition.num": "3"}).load())
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()
 }
@@ -345,6 +367,12 @@ _ORACLE = {
     "q41_flat_conditions_and_timestamp": (
         "SELECT o_orderkey, o_orderstatus, CAST(o_orderdate AS TIMESTAMP) AS o_orderdate FROM orders "
         "WHERE o_orderstatus = 'F'"),
+    "q42_scan_report_by_schema": (
+        "WITH s AS (SELECT s_suppkey % 3 AS k, MIN(s_suppkey) AS mn, MAX(s_suppkey) AS mx FROM supplier GROUP BY 1) "
+        "SELECT CAST(0 AS INTEGER) AS url_no, ['EU_0', 'EU_1', 'XX_0'][k + 1] AS schema_name, CAST(1 AS BIGINT) AS n_tables, "
+        "CAST((mx - mn) // ((mx - mn) // 4 + 1) + 1 AS BIGINT) AS n_splits FROM s"),
+    "q43_anchored_names": "SELECT * FROM orders WHERE o_orderkey % 4 = 2",
+    "q44_anchored_names_flat": "SELECT * FROM orders WHERE o_orderkey % 4 = 2",
     "q01_scan_bag": "SELECT * FROM orders",
     "q02_scan_duplicate_servers": "SELECT * FROM nation UNION ALL SELECT * FROM nation",
     "q03_table_regex": "SELECT * FROM orders WHERE o_orderkey % 4 IN (0, 2)",

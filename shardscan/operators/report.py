@@ -11,14 +11,17 @@ from shardscan.sources.discovery import schemas
 from shardscan.operators.lake import _cols, assign_splits
 
 
-def scan_report(spark: SparkSession, plan) -> DataFrame:
-    """Per server: ``url_no, server, n_schemas, n_tables, n_splits``.
+def scan_report(spark: SparkSession, plan, by: str = "server") -> DataFrame:
+    """Per server: ``url_no, server, n_schemas, n_tables, n_splits``; with ``by='schema'``
+    ``url_no, server, schema_name, n_tables, n_splits``, one row for every matched schema.
 
     ``plan`` is a :class:`shardscan.sources.jdbc.ScanPlan`; schemas that match
     count with or without a matched table, tables that are matched but empty
     count as tables with no splits, servers without a match as servers with
     no tables.
     """
+    if by not in ("server", "schema"):
+        raise ValueError("by must be 'server' or 'schema'")
     opts = plan.opts
     rows = [(i, opts.redact(u), None, 0, 0) for i, u in enumerate(opts.urls)]  # a row for every server
     rows += [(s.url_no, opts.redact(s.url), s.schema, 1, len(plan.splits.get(i, ())))
@@ -30,11 +33,10 @@ def scan_report(spark: SparkSession, plan) -> DataFrame:
         bare = schemas(spark, opts).join(servers, "url_no").select(
             "url_no", "server", "schema_name", F.lit(0).alias("is_shard"), F.lit(0).cast("bigint").alias("k"))
         per_shard = per_shard.unionByName(bare)
-    return per_shard.groupBy("url_no", "server").agg(
-        F.countDistinct("schema_name").alias("n_schemas"),
-        F.sum("is_shard").cast("bigint").alias("n_tables"),
-        F.sum("k").cast("bigint").alias("n_splits"),
-    )
+    totals = [F.sum("is_shard").cast("bigint").alias("n_tables"), F.sum("k").cast("bigint").alias("n_splits")]
+    if by == "schema":  # a server without a matched schema, or a query source, has none to report
+        return per_shard.where(F.col("schema_name").isNotNull()).groupBy("url_no", "server", "schema_name").agg(*totals)
+    return per_shard.groupBy("url_no", "server").agg(F.countDistinct("schema_name").alias("n_schemas"), *totals)
 
 
 def split_row_counts(df: DataFrame, shard_cols: str | Sequence[str] | None, key: str, *,

@@ -23,7 +23,7 @@ _FALSE = {"false", "0", "no", "off"}
 _SECRET_PATTERNS = (
     re.compile(r"(?i)(password\s*=\s*)[^;&\s]*"),
     re.compile(r"(?i)(passwd\s*=\s*)[^;&\s]*"),
-    re.compile(r"(//[^/:@\s]*:)[^@/\s]*(@)"),
+    re.compile(r"(//[^/:@\s]*:)[^/\s]*(@)"),  # up to the last @ of the authority: a password may hold one
 )
 
 

@@ -369,6 +369,8 @@ class ShardedDbapiReader(DataSourceReader):
         import pyarrow as pa
         from pyspark.sql.pandas.types import to_arrow_schema
 
+        if partition is None:  # no split at all: Spark runs one task without a partition
+            return
         o = self.opts
         url = o.urls[partition.url_no]
         kind = _kind(url)

@@ -92,7 +92,7 @@ def literal_prefix(regex: str) -> str:
     """Characters every whole-string match of ``regex`` starts with ("" when none are certain)."""
     if "|" in regex or "(?" in regex:
         return ""
-    m = re.match(r"[A-Za-z0-9_ $-]*", regex)
+    m = re.match(r"[A-Za-z0-9_ -]*", regex)  # no metacharacter: an anchor ($) is not part of a name
     prefix, rest = m.group(), regex[m.end():]
     # a quantifier belongs to the last character
     return prefix[:-1] if rest[:1] in ("?", "*", "{", "+") else prefix

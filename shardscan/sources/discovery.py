@@ -94,7 +94,8 @@ def schemas(spark: SparkSession, opts: ScanOptions) -> DataFrame:
         return reader.load().toDF("schema_name").select(
             F.lit(url_no).cast("int").alias("url_no"), F.col("schema_name").cast("string").alias("schema_name"))
 
-    found = balanced_union(parallel_map(one, range(len(opts.urls))))
+    with redacted_errors("schema discovery", (opts.password,)):
+        found = balanced_union(parallel_map(one, range(len(opts.urls))))
     return found.where(F.col("schema_name").rlike(full_match(opts.schema_name)))
 
 
@@ -115,9 +116,9 @@ def discover_shards(spark: SparkSession, opts: ScanOptions) -> DataFrame:
     servers = spark.createDataFrame(
         [(i, opts.redact(u)) for i, u in enumerate(opts.urls)], "url_no int, server string"
     )
-    found = matching(catalog(spark, opts), opts).select(
-        "url_no", "schema_name", "table_name", "table_type"
-    ).distinct()
+    with redacted_errors("shard discovery", (opts.password,)):
+        cat = catalog(spark, opts)
+    found = matching(cat, opts).select("url_no", "schema_name", "table_name", "table_type").distinct()
     return found.join(F.broadcast(servers), "url_no").select(
         "url_no", "server", "schema_name", "table_name", "table_type"
     )

@@ -47,7 +47,7 @@ from shardscan.plans import splits as P
 from shardscan.plans.rule import split_count, split_ranges, step_of
 from shardscan.sources.dialects import salt_predicate
 from shardscan.sources.discovery import Shard, check_columns, resolve_shards
-from shardscan.sources.probe import key_sql, probe, source_sql
+from shardscan.sources.probe import CHUNK_TABLES_COUNT, key_sql, probe, source_sql, union_all_statements
 from shardscan.util import balanced_union, parallel_map
 
 def as_schema(schema: StructType | str) -> StructType:
@@ -386,9 +386,10 @@ def shard_stats(spark: SparkSession, options: ScanOptions | Mapping[str, Any] |
         [(i, s.url_no, opts.redact(s.url), s.schema, s.table) for i, s in enumerate(shards)],
         "shard_no int, url_no int, server string, schema_name string, table_name string",
     )
+    with redacted_errors("shard probes", (opts.password,)):
+        probed = probe(spark, opts, shards)
     return (
-        probe(spark, opts, shards)
-        .join(meta, "shard_no")
+        probed.join(meta, "shard_no")
         .select("url_no", "server", "schema_name", "table_name",
                 F.col("mn").alias("min_key"), F.col("mx").alias("max_key"), "n")
     )
@@ -400,8 +401,9 @@ def split_row_counts_in_db(spark: SparkSession, schema: StructType | str,
     """Rows each planned key range reads, counted inside the databases.
 
     ``url_no, server, schema_name, table_name, split_no, n_rows``: one
-    ``GROUP BY`` statement per shard returns one row per non-empty range, so
-    only counts travel; no key is pulled into Spark.  NULL keys form a
+    ``GROUP BY`` per shard returns one row per non-empty range, so
+    only counts travel; no key is pulled into Spark.  As in the probes, a few
+    shards of a server go out as one ``UNION ALL`` statement and task.  NULL keys form a
     ``split_no`` NULL group when kept.  Salt buckets are not split out.
     """
     plan = plan_scan(spark, schema, options, **kwargs)
@@ -413,7 +415,7 @@ def split_row_counts_in_db(spark: SparkSession, schema: StructType | str,
     if not todo:
         return spark.createDataFrame([], out_schema)
 
-    def counts(shard_no: int) -> DataFrame:
+    def statement(shard_no: int) -> str:
         shard = plan.shards[shard_no]
         d = shard.dialect
         k = key_sql(shard, opts)
@@ -424,20 +426,20 @@ def split_row_counts_in_db(spark: SparkSession, schema: StructType | str,
         where += conditions_sql(shard, opts, plan.schema)
         mn, step = plan.steps.get(shard_no, (0, 0))
         idx = d.int_div(f"{k} - {mn}", str(step + 1))
-        q = [d.quote(c) for c in ("split_no", "n_rows")]
-        sql = (f"SELECT {q[0]}, COUNT(*) AS {q[1]} FROM (SELECT {idx} AS {q[0]} FROM {source_sql(shard, opts)}"
-               + (" WHERE " + " AND ".join(where) if where else "") + f") s GROUP BY {q[0]}")
-        reader = spark.read.format("jdbc").option("url", opts.urls[shard.url_no]).option("query", sql)
-        for key, v in opts.jdbc_properties(d.driver).items():
-            reader = reader.option(key, v)
-        return reader.load().toDF("split_no", "n_rows").selectExpr(
-            f"CAST({shard.url_no} AS INT) AS url_no",
-            f"CAST({_sql_literal(opts.redact(shard.url))} AS STRING) AS server",
-            f"CAST({_sql_literal(shard.schema)} AS STRING) AS schema_name",
-            f"CAST({_sql_literal(shard.table)} AS STRING) AS table_name",
-            "CAST(split_no AS BIGINT) AS split_no", "CAST(n_rows AS BIGINT) AS n_rows")
-
-    return balanced_union(parallel_map(counts, todo))
+        q = [d.quote(c) for c in ("shard_no", "split_no", "n_rows")]
+        return (f"SELECT {shard_no} AS {q[0]}, {q[1]}, COUNT(*) AS {q[2]} "
+                f"FROM (SELECT {idx} AS {q[1]} FROM {source_sql(shard, opts)}"
+                + (" WHERE " + " AND ".join(where) if where else "") + f") s GROUP BY {q[1]}")
+
+    meta = spark.createDataFrame(
+        [(i, s.url_no, opts.redact(s.url), s.schema, s.table) for i, s in enumerate(plan.shards) if i in set(todo)],
+        "shard_no int, url_no int, server string, schema_name string, table_name string")
+    with redacted_errors("split counts", (opts.password,)):
+        counted = union_all_statements(spark, opts, plan.shards, todo, statement, CHUNK_TABLES_COUNT,
+                                       ("shard_no", "split_no", "n_rows"))
+    return counted.selectExpr(
+        "CAST(shard_no AS INT) AS shard_no", "CAST(split_no AS BIGINT) AS split_no", "CAST(n_rows AS BIGINT) AS n_rows"
+    ).join(meta, "shard_no").select("url_no", "server", "schema_name", "table_name", "split_no", "n_rows")
 
 
 def skew_report_in_db(spark: SparkSession, schema: StructType | str,

@@ -13,7 +13,7 @@ most engines.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,26 +80,35 @@ def probe(spark: SparkSession, opts: ScanOptions, shards: Sequence[Shard]) -> Da
 
     ``shard_no`` is the position in ``shards``.
     """
-    by_url: dict[int, list[int]] = {}
-    for i, s in enumerate(shards):
-        by_url.setdefault(s.url_no, []).append(i)
     size = CHUNK_TABLES_COUNT if (opts.batch_size is not None or opts.null_key == "keep") else CHUNK_TABLES
-    chunks = [(url_no, idx[c:c + size]) for url_no, idx in by_url.items() for c in range(0, len(idx), size)]
-
-    def one(chunk: tuple[int, list[int]]) -> DataFrame:
-        url_no, members = chunk
-        d = shards[members[0]].dialect
-        stmt = " UNION ALL ".join(probe_statement(i, shards[i], opts) for i in members)
-        reader = spark.read.format("jdbc").option("url", opts.urls[url_no]).option("query", stmt)
-        for k, v in opts.jdbc_properties(d.driver).items():
+    df = union_all_statements(spark, opts, shards, range(len(shards)),
+                              lambda i: probe_statement(i, shards[i], opts), size, PROBE_COLUMNS)
+    return df.select(
+        F.col("shard_no").cast("int").alias("shard_no"),
+        F.col("mn").cast("decimal(38,0)").alias("mn"),
+        F.col("mx").cast("decimal(38,0)").alias("mx"),
+        F.col("n").cast("bigint").alias("n"),
+        F.col("n_null").cast("bigint").alias("n_null"),
+    )
+
+
+def union_all_statements(spark: SparkSession, opts: ScanOptions, shards: Sequence[Shard], members: Iterable[int],
+                         statement: Callable[[int], str], chunk: int, columns: Sequence[str]) -> DataFrame:
+    """The rows of ``statement(shard_no)`` of all ``members``: per server, ``chunk`` statements joined by
+    ``UNION ALL`` are one relation and one task."""
+    by_url: dict[int, list[int]] = {}
+    for i in members:
+        by_url.setdefault(shards[i].url_no, []).append(i)
+    chunks = [(url_no, idx[c:c + chunk]) for url_no, idx in by_url.items() for c in range(0, len(idx), chunk)]
+
+    def one(part: tuple[int, list[int]]) -> DataFrame:
+        url_no, mine = part
+        reader = spark.read.format("jdbc").option("url", opts.urls[url_no]).option(
+            "query", " UNION ALL ".join(statement(i) for i in mine))
+        for k, v in opts.jdbc_properties(shards[mine[0]].dialect.driver).items():
             reader = reader.option(k, v)
-        df = reader.load().toDF(*PROBE_COLUMNS)
-        return df.select(
-            F.col("shard_no").cast("int").alias("shard_no"),
-            F.col("mn").cast("decimal(38,0)").alias("mn"),
-            F.col("mx").cast("decimal(38,0)").alias("mx"),
-            F.col("n").cast("bigint").alias("n"),
-            F.col("n_null").cast("bigint").alias("n_null"),
-        )
+        df = reader.load().toDF(*columns)
+        # databases type the same expression differently
+        return df.select(*[F.col(c).cast("decimal(38,0)").alias(c) for c in columns])
 
     return balanced_union(parallel_map(one, chunks))
