@@ -16,13 +16,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardscan import (
+    check_split_plan,
+    distributed_split_plan,
+    equal_depth_plan,
     lake_shard_stats,
     lake_split_plan,
     plan_scan,
+    prune_split_plan,
+    read_split_plan,
     register_view,
+    scan_by_stored_plan,
     scan_report,
     shard_stats,
+    sharded_aggregate,
     sharded_scan,
+    sharded_top_k,
     skew_report,
     split_plan,
     split_row_counts,
@@ -31,6 +39,7 @@ from shardscan import (
 )
 import shard_fixtures as FX
 from shardscan.sources import dbapi
+from shardscan.util import work_path
 
 SF_SMOKE = "/root/testdata/sf0.001"
 
@@ -331,6 +340,99 @@ def q44_anchored_names_flat(spark, sf):
                         "scan.partition.column": "o_orderkey", "scan.partition.num": "3"}).load())
 
 
+# --------------------------------------------- stored plans, read by tasks
+def _flat_opts(spark, sf, **kw):
+    opts = {"url": list(FX.orders_sqlite(spark, sf)), "table-name": "ORDERS_.*", "schema-name": "main",
+            "scan.partition.column": "o_orderkey"}
+    if "scan.partition.num" not in kw:
+        opts["scan.batch.size"] = 1000
+    return opts | kw
+
+
+def q45_scan_by_stored_plan(spark, sf):
+    """orders read by tasks from a split plan that tasks made and that was stored as a table."""
+    return scan_by_stored_plan(spark, work_path(spark, "split-plan"), _orders_schema(spark, sf), _flat_opts(spark, sf))
+
+
+def q46_distributed_split_plan(spark, sf):
+    """The plan itself: the ids and ranges of q35, with nothing per split on the driver."""
+    plan = distributed_split_plan(spark, "o_orderkey BIGINT", _flat_opts(spark, sf))
+    return plan.select("split_id", "url_no", F.col("table_name").alias("tbl"), "split_no",
+                       F.col("lo").cast("bigint").alias("lo"), F.col("hi").cast("bigint").alias("hi"))
+
+
+def q47_group_in_shards(spark, sf):
+    """q23's shape and more, aggregated in the shards (V2 scan, PushedAggregates) and merged."""
+    return sharded_aggregate(spark, _orders_schema(spark, sf), _orders_opts(spark, sf), {
+        "n": ("count", None), "custs": ("sum", "o_custkey"), "first_date": ("min", "o_orderdate"),
+        "top_price": ("max", "o_totalprice"), "avg_cust": ("avg", "o_custkey")}, ["o_orderstatus"], "o_totalprice > 1000")
+
+
+def q48_total_in_shards(spark, sf):
+    return sharded_aggregate(spark, _orders_schema(spark, sf), _orders_opts(spark, sf, "nulls"), {
+        "n": ("count", None), "keys": ("count", "o_orderkey"), "top_key": ("max", "o_orderkey")})
+
+
+def q49_top_k_in_shards(spark, sf):
+    """The hundred dearest orders: each shard sends a hundred rows at most."""
+    return sharded_top_k(spark, _orders_schema(spark, sf), _orders_opts(spark, sf),
+                         [("o_totalprice", "desc"), ("o_orderkey", "asc")], 100)
+
+
+def _faults(plan, keys, key):
+    return check_split_plan(plan, keys, key).select(
+        "url_no", F.col("table_name").alias("tbl"), "fault", F.col("lo").cast("bigint").alias("lo"),
+        F.col("hi").cast("bigint").alias("hi"), "depth", "n_keys")
+
+
+def q50_each_key_in_one_split(spark, sf):
+    """The faults of the planned splits against the live keys: none."""
+    plan = distributed_split_plan(spark, "o_orderkey BIGINT", _flat_opts(spark, sf))
+    return _faults(plan, FX.orders_shard_keys(spark, sf, F.col("o_orderkey")), "key")
+
+
+def q51_faults_of_a_broken_plan(spark, sf):
+    """Every range number 1 of 4 is lost, every number 2 of 4 is there twice."""
+    plan = distributed_split_plan(spark, "o_orderkey BIGINT", _flat_opts(spark, sf, **{"scan.partition.num": 13}))
+    broken = plan.where("split_no % 4 <> 1").unionByName(plan.where("split_no % 4 = 2"))
+    return _faults(broken, FX.orders_shard_keys(spark, sf, F.col("o_orderkey")), "key")
+
+
+def _sparse(spark, sf):
+    opts = {"url": list(FX.orders_sparse_sqlite(spark, sf)), "table-name": "ORDERS_.*", "schema-name": "main",
+            "scan.partition.column": "sparse_key", "scan.partition.num": 1}
+    return opts, equal_depth_plan(spark, _orders_schema(spark, sf), opts, max_rows=100, fan_out=16)
+
+
+def q52_scan_by_equal_depth_plan(spark, sf):
+    opts, plan = _sparse(spark, sf)
+    return read_split_plan(spark, plan, _orders_schema(spark, sf), opts)
+
+
+def q53_equal_depth_report(spark, sf):
+    """Ranges of a sparse key (the cube of the order key) by row count: rows, whether every range is below twice the
+    wanted 100, and faults, per shard."""
+    opts, plan = _sparse(spark, sf)
+    keys = FX.orders_shard_keys(spark, sf, F.pow("o_orderkey", F.lit(3)).cast("bigint"))
+    faults = check_split_plan(plan, keys, "key").groupBy("table_name").agg(F.count(F.lit(1)).alias("n_faults"))
+    rows = plan.groupBy("table_name").agg(F.sum("n_rows").alias("n_rows"), (F.max("n_rows") < 200).alias("even"))
+    return rows.join(faults, "table_name", "left").select(
+        F.col("table_name").alias("tbl"), "n_rows", "even", F.coalesce("n_faults", F.lit(0)).cast("bigint").alias("n_faults"))
+
+
+def q54_key_ranges(spark, sf):
+    """Three key ranges: only splits that meet one become tasks, and they read only the wanted keys."""
+    return sharded_scan(spark, _orders_schema(spark, sf), _orders_opts(
+        spark, sf, **{"scan.key-ranges": [(100, 180), 7, (1201, 1300)]}))
+
+
+def q55_splits_that_meet_ranges(spark, sf):
+    """Splits of the stored plan that hold the key of some event, without a range join."""
+    plan = distributed_split_plan(spark, "o_orderkey BIGINT", _flat_opts(spark, sf, **{"scan.partition.num": 50}))
+    ids = FX.parquet(spark, sf, "events").where("event_type = 'purchase'").select(F.col("event_id").alias("lo"), F.col("event_id").alias("hi"))
+    return prune_split_plan(plan, ids).select("url_no", F.col("table_name").alias("tbl"), "split_no")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()
 }
@@ -343,6 +445,13 @@ _SPLIT_ROWS_SQL = (
     "SELECT 'ORDERS_' || t.shard AS tbl, CAST((o.o_orderkey - t.mn) // (t.step + 1) AS BIGINT) AS split_no, "
     "COUNT(*) AS n_rows FROM orders o JOIN t ON o.o_orderkey % 4 = t.shard GROUP BY 1, 2")
 
+_SPLITS_13 = (
+    "WITH s AS (SELECT o_orderkey % 4 AS shard, MIN(o_orderkey) AS mn, MAX(o_orderkey) AS mx FROM orders GROUP BY 1), "
+    "u AS (SELECT shard, mn, mx, (mx - mn) // 13 AS step, UNNEST(generate_series(0, (mx - mn) // ((mx - mn) // 13 + 1))) AS i FROM s), "
+    "r AS (SELECT shard, mx, i, mn + i * (step + 1) AS lo, mn + i * (step + 1) + step AS hi, "
+    "i = (mx - mn) // (step + 1) AS last FROM u) ")
+
+
 def _split_plan_sql(step: str) -> str:
     return (
         "WITH s AS (SELECT o_orderkey % 4 AS shard, MIN(o_orderkey) AS mn, MAX(o_orderkey) AS mx, "
@@ -373,6 +482,34 @@ _ORACLE = {
         "CAST((mx - mn) // ((mx - mn) // 4 + 1) + 1 AS BIGINT) AS n_splits FROM s"),
     "q43_anchored_names": "SELECT * FROM orders WHERE o_orderkey % 4 = 2",
     "q44_anchored_names_flat": "SELECT * FROM orders WHERE o_orderkey % 4 = 2",
+    "q45_scan_by_stored_plan": "SELECT * FROM orders",
+    "q46_distributed_split_plan": _split_plan_sql(
+        "CASE WHEN 1000 > n THEN mx - mn ELSE CAST((CAST(mx - mn AS HUGEINT) * 1000) // n AS BIGINT) END"),
+    "q47_group_in_shards": (
+        "SELECT o_orderstatus, COUNT(*) AS n, CAST(SUM(o_custkey) AS BIGINT) AS custs, MIN(o_orderdate) AS first_date, "
+        "MAX(o_totalprice) AS top_price, CAST(SUM(o_custkey) AS DOUBLE) / COUNT(o_custkey) AS avg_cust "
+        "FROM orders WHERE o_totalprice > 1000 GROUP BY 1"),
+    "q48_total_in_shards": (
+        "SELECT COUNT(*) AS n, COUNT(o_orderkey) AS keys, MAX(o_orderkey) AS top_key FROM orders WHERE o_orderkey % 10 <> 0"),
+    "q49_top_k_in_shards": "SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100",
+    "q50_each_key_in_one_split": (
+        "SELECT CAST(0 AS INTEGER) AS url_no, '' AS tbl, '' AS fault, CAST(0 AS BIGINT) AS lo, CAST(0 AS BIGINT) AS hi, "
+        "CAST(0 AS BIGINT) AS depth, CAST(0 AS BIGINT) AS n_keys WHERE 1 = 0"),
+    "q51_faults_of_a_broken_plan": (
+        _SPLITS_13 + "SELECT CAST(shard % 2 AS INTEGER) AS url_no, 'ORDERS_' || shard AS tbl, "
+        "CASE WHEN i % 4 = 1 THEN 'gap' ELSE 'overlap' END AS fault, CAST(lo AS BIGINT) AS lo, "
+        "CAST(CASE WHEN i % 4 = 1 AND last THEN mx ELSE hi END AS BIGINT) AS hi, "
+        "CAST(CASE WHEN i % 4 = 1 THEN 0 ELSE 2 END AS BIGINT) AS depth, "
+        "(SELECT COUNT(*) FROM orders o WHERE o.o_orderkey % 4 = r.shard AND o.o_orderkey BETWEEN r.lo AND r.hi) AS n_keys "
+        "FROM r WHERE i % 4 IN (1, 2)"),
+    "q52_scan_by_equal_depth_plan": "SELECT * FROM orders",
+    "q53_equal_depth_report": (
+        "SELECT 'ORDERS_' || (o_orderkey % 4) AS tbl, COUNT(*) AS n_rows, TRUE AS even, CAST(0 AS BIGINT) AS n_faults FROM orders GROUP BY 1"),
+    "q54_key_ranges": (
+        "SELECT * FROM orders WHERE o_orderkey BETWEEN 100 AND 180 OR o_orderkey = 7 OR o_orderkey BETWEEN 1201 AND 1300"),
+    "q55_splits_that_meet_ranges": (
+        _SPLITS_13.replace("// 13", "// 50") + "SELECT CAST(shard % 2 AS INTEGER) AS url_no, 'ORDERS_' || shard AS tbl, CAST(i AS BIGINT) AS split_no "
+        "FROM r WHERE EXISTS (SELECT 1 FROM events e WHERE e.event_type = 'purchase' AND e.event_id BETWEEN r.lo AND r.hi)"),
     "q01_scan_bag": "SELECT * FROM orders",
     "q02_scan_duplicate_servers": "SELECT * FROM nation UNION ALL SELECT * FROM nation",
     "q03_table_regex": "SELECT * FROM orders WHERE o_orderkey % 4 IN (0, 2)",

@@ -300,6 +300,22 @@ def orders_sqlite(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
                        F.concat(F.lit("ORDERS_"), (k % 4).cast("string")), 2, index_on="o_orderkey")
 
 
+def orders_sparse_sqlite(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
+    """orders as in :func:`orders_sqlite` plus ``sparse_key``, the cube of the key: equal-width ranges of it are very uneven."""
+    src = parquet(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    return load_sqlite(spark, f"ss_{sf_tag(sf_dir)}_orders_sparse", src.withColumn("sparse_key", k * k * k), k % 2,
+                       F.concat(F.lit("ORDERS_"), (k % 4).cast("string")), 2, index_on="sparse_key")
+
+
+def orders_shard_keys(spark: SparkSession, sf_dir: str, key: Column, name: str = "key") -> DataFrame:
+    """The live keys of the SQLite shards of orders, from the parquet file: ``url_no, schema_name, table_name`` and the key."""
+    k = F.col("o_orderkey")
+    return parquet(spark, sf_dir, "orders").select(
+        (k % 2).cast("int").alias("url_no"), F.lit("main").alias("schema_name"),
+        F.concat(F.lit("ORDERS_"), (k % 4).cast("string")).alias("table_name"), key.alias(name))
+
+
 def events_sqlite_many(spark: SparkSession, sf_dir: str, n_tables: int) -> tuple[str, ...]:
     """events in ``n_tables`` SQLite tables ``EV_{event_id % n_tables}`` over 2 files."""
     src = parquet(spark, sf_dir, "events")

@@ -12,10 +12,17 @@ Public API::
     split_row_counts / skew_report / scan_report        # plan quality reports
     split_row_counts_in_db / skew_report_in_db(spark, schema, options)  # the same, counted in the databases
 
+    distributed_split_plan / equal_depth_plan(spark, schema, options)   # split plans as tables, made by tasks
+    read_split_plan(spark, plan, schema, options)   # ... and read by tasks (DB-API drivers)
+    check_split_plan / prune_split_plan             # each key in exactly one split; splits that meet key ranges
+    sharded_aggregate / sharded_top_k               # computed in the shards, merged by Spark
+
 The flat DB-API backend registers as the Python data source ``sharded_dbapi``
 (:func:`shardscan.sources.dbapi.register`).
 """
 
+from shardscan.operators.coverage import check_split_plan, prune_split_plan
+from shardscan.operators.equal_depth import equal_depth_plan
 from shardscan.operators.lake import assign_splits, lake_shard_stats, lake_split_plan
 from shardscan.operators.report import scan_report, skew_report, split_row_counts
 from shardscan.options import ScanOptions
@@ -29,6 +36,8 @@ from shardscan.sources.jdbc import (
     split_plan,
     split_row_counts_in_db,
 )
+from shardscan.sources.pushdown import sharded_aggregate, sharded_top_k
+from shardscan.sources.stored import distributed_split_plan, read_split_plan, scan_by_stored_plan
 
 
 def discover_shards(spark, options=None, **kwargs):
@@ -41,14 +50,22 @@ def discover_shards(spark, options=None, **kwargs):
 __all__ = [
     "ScanOptions",
     "assign_splits",
+    "check_split_plan",
     "discover_shards",
+    "distributed_split_plan",
+    "equal_depth_plan",
     "lake_shard_stats",
     "lake_split_plan",
     "plan_scan",
+    "prune_split_plan",
+    "read_split_plan",
     "register_view",
+    "scan_by_stored_plan",
     "scan_report",
     "shard_stats",
+    "sharded_aggregate",
     "sharded_scan",
+    "sharded_top_k",
     "skew_report",
     "skew_report_in_db",
     "split_plan",

@@ -14,6 +14,8 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from typing import Any
 
+from shardscan.plans.key_ranges import KeyRanges
+
 # The JDBC fetch-size sentinel some drivers read as "stream rows".
 INT_MIN = -(2**31)
 
@@ -130,6 +132,7 @@ class ScanOptions:
     salt_column: str | None = None
     salt_buckets: int = 1
     max_parallel_reads: int | None = None
+    key_ranges: KeyRanges = KeyRanges()
 
     # ------------------------------------------------------------------ build
     @classmethod
@@ -148,7 +151,7 @@ class ScanOptions:
             "scan_conditions", "scan_null_key", "table_types", "scan_provenance",
             "scan_max_splits", "scan_session_init_statement", "scan_query_timeout",
             "scan_splits_per_task", "scan_salt_column", "scan_salt_buckets",
-            "scan_max_parallel_reads",
+            "scan_max_parallel_reads", "scan_key_ranges",
             "connector", "schema",
         }
         aliases = {
@@ -164,6 +167,7 @@ class ScanOptions:
             "null_key": "scan_null_key",
             "provenance": "scan_provenance",
             "max_splits": "scan_max_splits",
+            "key_ranges": "scan_key_ranges",
             "user": "username",
         }
         for a, target in aliases.items():
@@ -215,6 +219,7 @@ class ScanOptions:
             salt_column=m.get("scan_salt_column") or None,
             salt_buckets=_default(_as_int("scan.salt.buckets", m.get("scan_salt_buckets")), 1),
             max_parallel_reads=_as_int("scan.max-parallel-reads", m.get("scan_max_parallel_reads")),
+            key_ranges=KeyRanges.of(m.get("scan_key_ranges") or ()),
         )
         opts.validate()
         return opts
@@ -242,6 +247,8 @@ class ScanOptions:
             raise ValueError("'scan.lower-bound' and 'scan.upper-bound' go together")
         if self.lower_bound is not None and self.lower_bound > self.upper_bound:
             raise ValueError("'scan.lower-bound' must not exceed 'scan.upper-bound'")
+        if self.key_ranges and self.null_key == "keep":
+            raise ValueError("'scan.key-ranges' holds no NULL key: it does not go with 'scan.null-key' = 'keep'")
         if self.null_key not in ("drop", "keep"):
             raise ValueError("'scan.null-key' must be 'drop' or 'keep'")
         if self.max_splits is not None and self.max_splits < 1:

@@ -38,6 +38,7 @@ SQL::
 
 from __future__ import annotations
 
+import contextlib
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -170,11 +171,13 @@ class Task(InputPartition):
 
 
 class ShardedDbapiReader(DataSourceReader):
-    def __init__(self, schema: StructType, options: dict[str, str], zone: str = "UTC"):
+    def __init__(self, schema: StructType, options: dict[str, str] | ScanOptions, zone: str = "UTC"):
         self.schema = schema
         self.zone = zone
-        opts = {k: v for k, v in options.items() if k.lower() not in ("path",)}
-        self.opts = ScanOptions.from_map(opts)
+        if isinstance(options, ScanOptions):
+            self.opts = options
+        else:
+            self.opts = ScanOptions.from_map({k: v for k, v in options.items() if k.lower() not in ("path",)})
         if self.opts.provenance:
             raise ValueError("scan.provenance is a JDBC-backend option (sharded_scan)")
         if self.opts.max_parallel_reads is not None:
@@ -240,35 +243,37 @@ class ShardedDbapiReader(DataSourceReader):
         cur.execute(f"SELECT {sub(f'MIN({qk})')}, {sub(f'MAX({qk})')}, {n}, {nn}")
         return cur.fetchone()
 
-    def _plan_server(self, url_no: int, url: str) -> tuple[list[Split], list[Split]]:
-        """Range splits and NULL-key splits of one server (ids assigned later)."""
+    def shards_of(self, url_no: int, url: str) -> list[tuple]:
+        """``(schema, table, actual declared columns, key, salt, missing)`` of one server's matched tables."""
         o = self.opts
-        mode = {"batch_size": o.batch_size, "partition_num": o.partition_num}
-        kind = _kind(url)
-        conn = open_session(url, o)
-        try:
+        with contextlib.closing(open_session(url, o)) as conn:
             if o.query and "{table}" not in o.query:
                 shards = [(None, None, tuple(f.name for f in self.schema.fields) + (o.partition_column,))]
             else:
                 shards = self._discover(url_no, url, conn)
-        finally:
-            conn.close()
-        planned = []
+        found = []
         for schema_name, table, cols in shards:
-            declared = [self._resolve(cols, f.name) for f in self.schema.fields]
+            wanted = [(f.name, self._resolve(cols, f.name)) for f in self.schema.fields]
             key = o.partition_column if o.query else self._resolve(cols, o.partition_column)
-            missing = [f.name for f, a in zip(self.schema.fields, declared) if a is None]
-            if key is None:
-                missing.append(o.partition_column)
-            if missing:
-                raise ValueError(f"server {url_no} {schema_name}.{table} lacks declared column(s) {missing}")
             salt = None
             if o.salt_column:
                 salt = o.salt_column if o.query else self._resolve(cols, o.salt_column)
-                if salt is None:
-                    raise ValueError(f"server {url_no} {schema_name}.{table} lacks salt column "
-                                     f"{o.salt_column!r}")
-            planned.append((schema_name, table, tuple(declared), key, salt))
+            missing = [n for n, a in [*wanted, (o.partition_column, key)] if a is None]
+            if o.salt_column and salt is None:
+                missing.append(o.salt_column)
+            found.append((schema_name, table, tuple(a for _, a in wanted), key, salt, tuple(missing)))
+        return found
+
+    def _plan_server(self, url_no: int, url: str) -> tuple[list[Split], list[Split]]:
+        """Range splits and NULL-key splits of one server (ids assigned later)."""
+        o = self.opts
+        mode = {"batch_size": o.batch_size, "partition_num": o.partition_num}
+        kind = _kind(url)
+        planned = []
+        for schema_name, table, declared, key, salt, missing in self.shards_of(url_no, url):
+            if missing:
+                raise ValueError(lacks(url_no, schema_name, table, missing))
+            planned.append((schema_name, table, declared, key, salt))
         if o.explicit_bounds and o.partition_num is not None:
             stats = [(o.lower_bound, o.upper_bound, None, None)] * len(planned)
         else:
@@ -285,6 +290,8 @@ class ShardedDbapiReader(DataSourceReader):
             if o.explicit_bounds:
                 top = min(top, o.upper_bound)
             for lo, hi in split_ranges(mn, mx, n, top=top, **mode):
+                if o.key_ranges and not o.key_ranges.hits(lo, hi):
+                    continue
                 for b in o.buckets:
                     ranges.append(Split(-1, url_no, schema_name, table, declared, key, lo, hi, b, salt))
             if o.null_key == "keep" and (n_null is None or n_null > 0):
@@ -349,6 +356,9 @@ class ShardedDbapiReader(DataSourceReader):
         cols = ", ".join(_quote(kind, c) for c in s.columns)
         qk = _quote(kind, s.key)
         cond = [f"{qk} IS NULL" if s.lo is None else f"{qk} BETWEEN {s.lo} AND {s.hi}"]
+        wanted = self.opts.key_ranges
+        if wanted and s.lo is not None and wanted.hits(s.lo, s.hi) != [(s.lo, s.hi)]:
+            cond.append(wanted.sql(qk, s.lo, s.hi))
         if s.bucket is not None:
             cond.append(salt_predicate(_quote(kind, s.salt), self.opts.salt_buckets, s.bucket))
         text = f"SELECT {cols} FROM {self._source(kind, s.schema, s.table)} WHERE " + " AND ".join(cond)
@@ -477,6 +487,10 @@ def _timestamps(values: list, typ, zone: str):
     return pc.cast(pc.assume_timezone(plain, zone, ambiguous="earliest", nonexistent="latest"), typ)
 
 
+def lacks(url_no: int, schema_name: str | None, table: str | None, missing: Sequence[str]) -> str:
+    return f"server {url_no} {schema_name}.{table} lacks declared column(s) {list(missing)}"
+
+
 def pack(splits: list[Split], per_task: int) -> list[Task]:
     """Group consecutive splits of the same server, ``per_task`` to a task
     (the plan's splits are unchanged; only the task they run in)."""

@@ -35,6 +35,10 @@ class Dialect:
     # SQL text of the schema and table name in ``catalog_query`` (for a prefix filter on the server)
     name_columns: tuple[str, str] = ("t.table_schema", "t.table_name")
     schema_query: str = "SELECT schema_name FROM information_schema.schemata"
+    limit_clause: str = "LIMIT {k}"  # after ORDER BY
+    # whether NULLS FIRST / LAST can be said; where not, NULLs already sort as the least, as in Spark
+    null_order: bool = True
+    wide_sums: bool = True  # whether a SUM of 32-bit integers is wider than 32 bits
     backslash_escapes: bool = False  # whether a backslash inside a string literal escapes
     booleans: tuple[str, str] = ("FALSE", "TRUE")
     # fetch size for split reads when none is given: some drivers otherwise
@@ -70,6 +74,11 @@ class Dialect:
     def equals(self, column_sql: str, v: Any) -> str:
         return f"{column_sql} IS NULL" if v is None else f"{column_sql} = {self.literal(v)}"
 
+    def order_term(self, column_sql: str, way: str) -> str:
+        """An ``ORDER BY`` term with Spark's place for NULLs: first ascending, last descending."""
+        nulls = (" NULLS FIRST" if way == "asc" else " NULLS LAST") if self.null_order else ""
+        return f"{column_sql} {way.upper()}{nulls}"
+
     def catalog(self, schema_regex: str, table_regex: str) -> str:
         """The catalog query, cut down on the server to names with the regexes' literal prefixes."""
         parts = []
@@ -125,6 +134,8 @@ DERBY = Dialect(
     schema_query="SELECT SCHEMANAME AS schema_name FROM SYS.SYSSCHEMAS",
     # exact for DECIMAL keys too: the quotient is cut, not rounded
     div_template="CAST(({a}) / ({b}) AS BIGINT)",
+    limit_clause="FETCH FIRST {k} ROWS ONLY",
+    wide_sums=False,
     dual=" FROM SYSIBM.SYSDUMMY1",
 )
 
@@ -144,6 +155,7 @@ MYSQL = Dialect(
     name_columns=("t.TABLE_SCHEMA", "t.TABLE_NAME"),
     schema_query="SELECT SCHEMA_NAME AS schema_name FROM information_schema.SCHEMATA",
     backslash_escapes=True,
+    null_order=False,
     scan_fetch_size=-(2**31),  # the driver's row-streaming mode
 )
 

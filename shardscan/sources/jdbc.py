@@ -196,8 +196,10 @@ def plan_scan(spark: SparkSession, schema: StructType | str,
             top = min(top, opts.upper_bound)
         mine = plan.splits.setdefault(i, [])
         for j, (lo, hi) in enumerate(split_ranges(mn, mx, rows_of, top=top, **mode)):
+            wanted = not opts.key_ranges or opts.key_ranges.hits(lo, hi)
             for b in opts.buckets:
-                mine.append((n, j, lo, hi, b))
+                if wanted:  # a dropped split keeps its id: ids do not depend on the key ranges
+                    mine.append((n, j, lo, hi, b))
                 n += 1
     if opts.null_key == "keep":
         # one IS NULL split per shard that has (or, unprobed, may have) NULL keys
@@ -262,6 +264,8 @@ def split_predicate(shard: Shard, opts: ScanOptions, lo: Any, hi: Any, bucket: i
     SQL dialect."""
     k = key_sql(shard, opts)
     parts = [f"{k} IS NULL" if lo is None else f"{k} BETWEEN {lo} AND {hi}"]
+    if opts.key_ranges and lo is not None and opts.key_ranges.hits(lo, hi) != [(lo, hi)]:
+        parts.append(opts.key_ranges.sql(k, lo, hi))
     if bucket is not None:
         salt = shard.dialect.quote(shard.resolve(opts.salt_column) or opts.salt_column)
         parts.append(salt_predicate(salt, opts.salt_buckets, bucket))
@@ -423,6 +427,8 @@ def split_row_counts_in_db(spark: SparkSession, schema: StructType | str,
         if opts.explicit_bounds:
             bound = f"{k} BETWEEN {opts.lower_bound} AND {opts.upper_bound}"
             where.append(f"({bound} OR {k} IS NULL)" if opts.null_key == "keep" else bound)
+        if opts.key_ranges:
+            where.append(opts.key_ranges.sql(k))
         where += conditions_sql(shard, opts, plan.schema)
         mn, step = plan.steps.get(shard_no, (0, 0))
         idx = d.int_div(f"{k} - {mn}", str(step + 1))

@@ -17,6 +17,7 @@ from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType
 
 from shardscan.options import ScanOptions
 from shardscan.sources.discovery import Shard
@@ -93,9 +94,10 @@ def probe(spark: SparkSession, opts: ScanOptions, shards: Sequence[Shard]) -> Da
 
 
 def union_all_statements(spark: SparkSession, opts: ScanOptions, shards: Sequence[Shard], members: Iterable[int],
-                         statement: Callable[[int], str], chunk: int, columns: Sequence[str]) -> DataFrame:
+                         statement: Callable[[int], str], chunk: int, columns: Sequence[str],
+                         types: Sequence[DataType] | None = None, properties: dict[str, str] | None = None) -> DataFrame:
     """The rows of ``statement(shard_no)`` of all ``members``: per server, ``chunk`` statements joined by
-    ``UNION ALL`` are one relation and one task."""
+    ``UNION ALL`` are one relation and one task.  Columns are cast to ``types`` (default: all DECIMAL(38,0))."""
     by_url: dict[int, list[int]] = {}
     for i in members:
         by_url.setdefault(shards[i].url_no, []).append(i)
@@ -105,10 +107,11 @@ def union_all_statements(spark: SparkSession, opts: ScanOptions, shards: Sequenc
         url_no, mine = part
         reader = spark.read.format("jdbc").option("url", opts.urls[url_no]).option(
             "query", " UNION ALL ".join(statement(i) for i in mine))
-        for k, v in opts.jdbc_properties(shards[mine[0]].dialect.driver).items():
+        for k, v in {**opts.jdbc_properties(shards[mine[0]].dialect.driver), **(properties or {})}.items():
             reader = reader.option(k, v)
         df = reader.load().toDF(*columns)
         # databases type the same expression differently
-        return df.select(*[F.col(c).cast("decimal(38,0)").alias(c) for c in columns])
+        wanted = types or [DecimalType(38, 0)] * len(columns)
+        return df.select(*[df[f"`{c}`"].cast(t).alias(c) for c, t in zip(columns, wanted)])
 
     return balanced_union(parallel_map(one, chunks))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from shardscan.session import checkpoint_dir
 
 T = TypeVar("T")
 R = TypeVar("R")
@@ -43,3 +46,17 @@ def balanced_union(parts: Sequence[DataFrame]) -> DataFrame:
             nxt.append(level[-1])
         level = nxt
     return level[0]
+
+
+def work_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a fresh table below the shared checkpoint folder, read back: computed once, whatever reads it,
+    and a lost executor takes nothing with it."""
+    spark = df.sparkSession
+    path = work_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
