@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 
 from shardscan import (
     check_split_plan,
+    co_sharded_join,
     distributed_split_plan,
     equal_depth_plan,
+    except_all,
     lake_shard_stats,
     lake_split_plan,
     plan_scan,
@@ -433,6 +435,32 @@ def q55_splits_that_meet_ranges(spark, sf):
     return prune_split_plan(plan, ids).select("url_no", F.col("table_name").alias("tbl"), "split_no")
 
 
+def q56_co_sharded_join(spark, sf):
+    """orders joined with lineitem split by split: paired shards on different servers, no shuffle of either table."""
+    lineitem = {"url": list(FX.lineitem_tables_sqlite(spark, sf)), "table-name": "LINEITEM_(.*)", "schema-name": "main",
+                "scan.partition.column": "l_orderkey", "scan.partition.num": 1}
+    joined = co_sharded_join(
+        spark, "o_orderkey BIGINT, o_orderstatus STRING", _flat_opts(spark, sf, **{"table-name": "ORDERS_(.*)"}),
+        "l_orderkey BIGINT, l_linenumber BIGINT, l_quantity DOUBLE", lineitem)
+    return joined.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("qty"),
+                                               F.countDistinct("o_orderkey").alias("n_orders"))
+
+
+def _copies(spark, sf, changed):
+    copy = {"url": list(FX.orders_copy_sqlite(spark, sf, changed)), "table-name": "COPY_.*", "schema-name": "main",
+            "scan.partition.column": "o_orderkey", "scan.partition.num": 1}
+    return except_all(spark, _orders_schema(spark, sf), _flat_opts(spark, sf), copy, leaf_rows=50, fan_out=16)
+
+
+def q57_differences_of_copies(spark, sf):
+    """EXCEPT ALL both ways between two copies sharded differently; only differing ranges are read."""
+    return _copies(spark, sf, changed=True)
+
+
+def q58_equal_copies(spark, sf):
+    return _copies(spark, sf, changed=False)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()
 }
@@ -510,6 +538,15 @@ _ORACLE = {
     "q55_splits_that_meet_ranges": (
         _SPLITS_13.replace("// 13", "// 50") + "SELECT CAST(shard % 2 AS INTEGER) AS url_no, 'ORDERS_' || shard AS tbl, CAST(i AS BIGINT) AS split_no "
         "FROM r WHERE EXISTS (SELECT 1 FROM events e WHERE e.event_type = 'purchase' AND e.event_id BETWEEN r.lo AND r.hi)"),
+    "q56_co_sharded_join": (
+        "SELECT o_orderstatus, COUNT(*) AS n, SUM(l_quantity) AS qty, COUNT(DISTINCT o_orderkey) AS n_orders "
+        "FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1"),
+    "q57_differences_of_copies": (
+        "WITH k AS (SELECT * REPLACE (CASE WHEN o_orderkey % 97 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice) "
+        "FROM orders WHERE o_orderkey % 101 <> 5), c AS (SELECT * FROM k UNION ALL SELECT * FROM k WHERE o_orderkey % 103 = 0) "
+        "SELECT *, 'left' AS side FROM (SELECT * FROM orders EXCEPT ALL SELECT * FROM c) UNION ALL "
+        "SELECT *, 'right' AS side FROM (SELECT * FROM c EXCEPT ALL SELECT * FROM orders)"),
+    "q58_equal_copies": "SELECT *, '' AS side FROM orders WHERE 1 = 0",
     "q01_scan_bag": "SELECT * FROM orders",
     "q02_scan_duplicate_servers": "SELECT * FROM nation UNION ALL SELECT * FROM nation",
     "q03_table_regex": "SELECT * FROM orders WHERE o_orderkey % 4 IN (0, 2)",

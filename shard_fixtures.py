@@ -308,6 +308,31 @@ def orders_sparse_sqlite(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
                        F.concat(F.lit("ORDERS_"), (k % 4).cast("string")), 2, index_on="sparse_key")
 
 
+def lineitem_tables_sqlite(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
+    """lineitem in three SQLite files, tables ``LINEITEM_{l_orderkey % 4}`` (file: that number modulo 3): cut by the key of
+    orders, but on other servers."""
+    src = parquet(spark, sf_dir, "lineitem")
+    shard = F.col("l_orderkey") % 4
+    return load_sqlite(spark, f"ss_{sf_tag(sf_dir)}_lineitem_tables", src, shard % 3,
+                       F.concat(F.lit("LINEITEM_"), shard.cast("string")), 3, index_on="l_orderkey")
+
+
+def orders_changed(df: DataFrame) -> DataFrame:
+    """orders with planted differences: every 97th price changed, every 101st order missing, every 103rd there twice."""
+    k = F.col("o_orderkey")
+    price = F.when(k % 97 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    kept = df.where(k % 101 != 5).withColumn("o_totalprice", price)
+    return kept.unionByName(kept.where(k % 103 == 0))
+
+
+def orders_copy_sqlite(spark: SparkSession, sf_dir: str, changed: bool) -> tuple[str, ...]:
+    """A copy of orders sharded in another way: three files, tables ``COPY_{o_orderkey % 5}``; with planted differences or without."""
+    src = parquet(spark, sf_dir, "orders")
+    shard = F.col("o_orderkey") % 5
+    return load_sqlite(spark, f"ss_{sf_tag(sf_dir)}_orders_copy_{int(changed)}", orders_changed(src) if changed else src, shard % 3,
+                       F.concat(F.lit("COPY_"), shard.cast("string")), 3, index_on="o_orderkey")
+
+
 def orders_shard_keys(spark: SparkSession, sf_dir: str, key: Column, name: str = "key") -> DataFrame:
     """The live keys of the SQLite shards of orders, from the parquet file: ``url_no, schema_name, table_name`` and the key."""
     k = F.col("o_orderkey")

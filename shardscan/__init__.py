@@ -16,11 +16,15 @@ Public API::
     read_split_plan(spark, plan, schema, options)   # ... and read by tasks (DB-API drivers)
     check_split_plan / prune_split_plan             # each key in exactly one split; splits that meet key ranges
     sharded_aggregate / sharded_top_k               # computed in the shards, merged by Spark
+    co_sharded_join                                 # two logical tables cut by one key, split by split, no shuffle
+    differing_ranges / except_all                   # two copies compared by checksums, rows only where they differ
 
 The flat DB-API backend registers as the Python data source ``sharded_dbapi``
 (:func:`shardscan.sources.dbapi.register`).
 """
 
+from shardscan.operators.compare import differing_ranges, except_all
+from shardscan.operators.cosharded import co_sharded_join
 from shardscan.operators.coverage import check_split_plan, prune_split_plan
 from shardscan.operators.equal_depth import equal_depth_plan
 from shardscan.operators.lake import assign_splits, lake_shard_stats, lake_split_plan
@@ -51,9 +55,12 @@ __all__ = [
     "ScanOptions",
     "assign_splits",
     "check_split_plan",
+    "co_sharded_join",
+    "differing_ranges",
     "discover_shards",
     "distributed_split_plan",
     "equal_depth_plan",
+    "except_all",
     "lake_shard_stats",
     "lake_split_plan",
     "plan_scan",

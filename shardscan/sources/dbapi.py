@@ -105,6 +105,19 @@ def open_session(url: str, o: ScanOptions):
     return conn
 
 
+def prepare_hash(conn, kind: str) -> None:
+    """Give a SQLite connection the row hash that the other engines have built in."""
+    if kind == "sqlite":
+        conn.create_function("shardscan_row_hash", -1, _row_hash, deterministic=True)
+
+
+def _row_hash(*values) -> int:
+    import hashlib
+
+    text = "|".join("-" if v is None else f"{len(str(v))}:{v}" for v in values)
+    return int(hashlib.md5(text.encode()).hexdigest()[:15], 16)
+
+
 def stream_cursor(conn, kind: str, batch: int):
     """A cursor that leaves the result on the server and hands it out by ``batch`` rows."""
     if kind == "mysql":

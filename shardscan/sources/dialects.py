@@ -38,6 +38,8 @@ class Dialect:
     limit_clause: str = "LIMIT {k}"  # after ORDER BY
     # whether NULLS FIRST / LAST can be said; where not, NULLs already sort as the least, as in Spark
     null_order: bool = True
+    # 60 bits of an md5 over a list of texts
+    hash_template: str = "CAST(CONV(SUBSTRING(MD5(CONCAT_WS('|', {text})), 1, 15), 16, 10) AS UNSIGNED)"
     wide_sums: bool = True  # whether a SUM of 32-bit integers is wider than 32 bits
     backslash_escapes: bool = False  # whether a backslash inside a string literal escapes
     booleans: tuple[str, str] = ("FALSE", "TRUE")
@@ -74,6 +76,20 @@ class Dialect:
     def equals(self, column_sql: str, v: Any) -> str:
         return f"{column_sql} IS NULL" if v is None else f"{column_sql} = {self.literal(v)}"
 
+    def row_hash(self, columns_sql: list[str]) -> str:
+        """60 bits of an md5 over the text of columns, NULL told apart from any text."""
+        return self.hash_template.format(text=self.text_template(columns_sql))
+
+    def text_template(self, columns_sql: list[str]) -> str:
+        if self.name == "sqlite":
+            return ", ".join(columns_sql)
+        kind = "CHAR" if self.name in ("mysql", "mariadb") else "VARCHAR"
+        # with its length before each text, so that no two rows have one spelling
+        return ", ".join(f"COALESCE(CONCAT(CHAR_LENGTH(CAST({c} AS {kind})), ':', CAST({c} AS {kind})), '-')" for c in columns_sql)
+
+    def mod(self, a: str, b: int) -> str:
+        return f"MOD({a}, {b})" if self.name != "sqlite" else f"{a} % {b}"
+
     def order_term(self, column_sql: str, way: str) -> str:
         """An ``ORDER BY`` term with Spark's place for NULLs: first ascending, last descending."""
         nulls = (" NULLS FIRST" if way == "asc" else " NULLS LAST") if self.null_order else ""
@@ -179,11 +195,13 @@ POSTGRES = Dialect(
     ),
     name_columns=("n.nspname", "t.relname"),
     schema_query="SELECT nspname AS schema_name FROM pg_catalog.pg_namespace",
+    hash_template="CAST(CAST('x' || SUBSTR(MD5(CONCAT_WS('|', {text})), 1, 15) AS BIT(60)) AS BIGINT)",
     div_template="DIV(CAST({a} AS NUMERIC), CAST({b} AS NUMERIC))",
 )
 
 SQLITE = Dialect(
     name="sqlite",
+    hash_template="shardscan_row_hash({text})",  # a function of the connection
     quote_char='"',
     driver="org.sqlite.JDBC",
     catalog_query=(

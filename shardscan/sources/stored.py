@@ -15,6 +15,7 @@ Both use the DB-API drivers of :mod:`shardscan.sources.dbapi` and the same optio
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from math import gcd
 from typing import Any
 
 import pyarrow as pa
@@ -182,12 +183,6 @@ def read_split_plan(spark: SparkSession, plan: DataFrame, schema: StructType | s
     if not n_splits:
         return spark.createDataFrame([], schema)
     opts.check_split_count(n_splits)
-    tasks = min(MAX_TASKS, -(-n_splits // opts.splits_per_task))
-    # groups of neighbouring ids, scattered over the tasks by a multiplier without a common factor
-    step = next(s for s in range(int(tasks * 0.618) or 1, 2 * tasks + 2) if _coprime(s, tasks))
-    group = F.expr(f"split_id div {-(-n_splits // tasks)}")
-    task = F.pmod(group * F.lit(step), F.lit(tasks)).cast("int")
-
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             splits = [dbapi.Split(r["split_id"], r["url_no"], r["schema_name"], r["table_name"], tuple(r["columns"]), r["key_column"],
@@ -196,14 +191,17 @@ def read_split_plan(spark: SparkSession, plan: DataFrame, schema: StructType | s
             for t in dbapi.pack(splits, len(splits) or 1):
                 yield from reader.read(t)
 
-    dealt = plan.repartitionById(tasks, task) if hasattr(plan, "repartitionById") else plan.repartition(tasks, task)
-    return dealt.sortWithinPartitions("url_no", "split_id").mapInArrow(read, schema)
+    return dealt(plan, n_splits, opts.splits_per_task).mapInArrow(read, schema)
 
 
-def _coprime(a: int, b: int) -> bool:
-    from math import gcd
-
-    return gcd(a, b) == 1
+def dealt(plan: DataFrame, n_splits: int, per_task: int) -> DataFrame:
+    """``plan`` with each task's splits in one partition, sorted by server."""
+    tasks = min(MAX_TASKS, -(-n_splits // per_task))
+    # groups of neighbouring ids, scattered over the tasks by a multiplier without a common factor
+    step = next(s for s in range(int(tasks * 0.618) or 1, 2 * tasks + 2) if gcd(s, tasks) == 1)
+    group = F.expr(f"split_id div {-(-n_splits // tasks)}")
+    task = F.pmod(F.pmod(group, F.lit(tasks)) * F.lit(step), F.lit(tasks)).cast("int")
+    return plan.repartitionById(tasks, task).sortWithinPartitions("url_no", "split_id")
 
 
 def scan_by_stored_plan(spark: SparkSession, path: str, schema: StructType | str,
