@@ -461,6 +461,14 @@ def q58_equal_copies(spark, sf):
     return _copies(spark, sf, changed=False)
 
 
+def q59_columns_and_filters_in_tasks(spark, sf):
+    """Two columns of six, and three filters, in every split's SQL."""
+    opts = _flat_opts(spark, sf)
+    schema = _orders_schema(spark, sf)
+    return read_split_plan(spark, distributed_split_plan(spark, schema, opts), schema, opts, columns=["o_totalprice", "o_custkey"],
+                           filters=[("o_orderstatus", "in", ["F", "P"]), ("o_totalprice", ">", 250000.0), ("o_custkey", "<>", 7)])
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()
 }
@@ -547,6 +555,8 @@ _ORACLE = {
         "SELECT *, 'left' AS side FROM (SELECT * FROM orders EXCEPT ALL SELECT * FROM c) UNION ALL "
         "SELECT *, 'right' AS side FROM (SELECT * FROM c EXCEPT ALL SELECT * FROM orders)"),
     "q58_equal_copies": "SELECT *, '' AS side FROM orders WHERE 1 = 0",
+    "q59_columns_and_filters_in_tasks": (
+        "SELECT o_totalprice, o_custkey FROM orders WHERE o_orderstatus IN ('F', 'P') AND o_totalprice > 250000 AND o_custkey <> 7"),
     "q01_scan_bag": "SELECT * FROM orders",
     "q02_scan_duplicate_servers": "SELECT * FROM nation UNION ALL SELECT * FROM nation",
     "q03_table_regex": "SELECT * FROM orders WHERE o_orderkey % 4 IN (0, 2)",

@@ -20,9 +20,10 @@ are applied by Spark after the read, so declare only the columns you need and pu
 equality filters into ``scan.conditions`` (bound as parameters); with filters or few columns of
 many, prefer the JDBC backend.  Names are matched with Python's ``re`` in its
 ASCII mode; regex syntax that Java reads differently is refused.  Filter pushdown is
-deliberately not implemented: on PySpark 4.1.2 a reader whose ``pushFilters`` recorded a
-filter was reused, filter included, by a later query on the same
-DataFrame (a ``count()`` after a filtered ``collect()`` returned 1 row of 3).
+deliberately not implemented: on PySpark 4.1.2 the input partitions planned for a filtered query are used again
+by a later query on the same DataFrame, whether the filter is kept in the reader or in the partitions
+(a ``count()`` after a filtered ``collect()`` returned 1 row of 3).  :func:`shardscan.sources.stored.read_split_plan`
+takes columns and filters of its own.
 Options of JDBC drivers (``driver``) are refused; ``scan.session-init-statement`` runs on every
 connection, ``scan.query-timeout`` is set on MySQL and PostgreSQL and refused for SQLite.
 A declared ``TIMESTAMP`` reads zoneless values in the zone of the session that registered
@@ -49,6 +50,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
 from shardscan.options import ScanOptions, redacted_errors
+from shardscan.plans.filters import pushed
 from shardscan.plans.rule import split_count, split_ranges
 from shardscan.sources.dialects import MYSQL, POSTGRES, SQLITE, salt_predicate
 
@@ -187,6 +189,7 @@ class ShardedDbapiReader(DataSourceReader):
     def __init__(self, schema: StructType, options: dict[str, str] | ScanOptions, zone: str = "UTC"):
         self.schema = schema
         self.zone = zone
+        self.filters: tuple = ()  # of a stored plan's reader; Spark's own pushdown stays off (see above)
         if isinstance(options, ScanOptions):
             self.opts = options
         else:
@@ -377,7 +380,7 @@ class ShardedDbapiReader(DataSourceReader):
         text = f"SELECT {cols} FROM {self._source(kind, s.schema, s.table)} WHERE " + " AND ".join(cond)
         by_decl = {f.name.lower(): a for f, a in zip(self.schema.fields, s.columns)}
         params = []
-        if self.opts.conditions and mark == "%s":
+        if (self.opts.conditions or self.filters) and mark == "%s":
             text = text.replace("%", "%%")
         for name, value in self.opts.conditions:  # declared equality conditions
             column, value = _quote(kind, by_decl.get(name.lower(), name)), typed_value(value, self.schema, name)
@@ -386,6 +389,12 @@ class ShardedDbapiReader(DataSourceReader):
             else:
                 text += f" AND {column} = {mark}"
                 params.append(_sqlite_param(value) if kind == "sqlite" else value)
+        for name, op, value in pushed(self.filters, self.schema, kind):
+            column = _quote(kind, by_decl[name.lower()])
+            values = list(value) if op == "in" else [] if op.startswith("is") else [value]
+            marks = f" ({', '.join([mark] * len(values))})" if op == "in" else f" {mark}" if values else ""
+            text += f" AND {column} {op.upper()}{marks}"
+            params += [_sqlite_param(v) if kind == "sqlite" else v for v in values]
         return text, params
 
     def read(self, partition: Task) -> Iterator[Any]:

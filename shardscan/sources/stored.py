@@ -14,7 +14,7 @@ Both use the DB-API drivers of :mod:`shardscan.sources.dbapi` and the same optio
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from math import gcd
 from typing import Any
 
@@ -26,6 +26,7 @@ from pyspark.sql.types import DecimalType, StructType
 from shardscan.operators.prefix import running_sums
 from shardscan.options import ScanOptions, redacted_errors
 from shardscan.plans import splits as P
+from shardscan.plans.filters import checked, column_of
 from shardscan.session import ship_package
 from shardscan.sources import dbapi
 from shardscan.sources.jdbc import as_options, as_schema
@@ -170,28 +171,43 @@ def _salted(df: DataFrame, opts: ScanOptions) -> DataFrame:
 
 
 def read_split_plan(spark: SparkSession, plan: DataFrame, schema: StructType | str,
-                    options: ScanOptions | Mapping[str, Any] | None = None, **kwargs: Any) -> DataFrame:
+                    options: ScanOptions | Mapping[str, Any] | None = None, columns: Sequence[str] | None = None,
+                    filters: Sequence[Sequence[Any]] = (), **kwargs: Any) -> DataFrame:
     """The rows of every split of ``plan`` (columns of :func:`distributed_split_plan`) in the declared schema.
 
+    ``columns`` (of those declared, in this order) and ``filters`` (``(column, operator, value)``, see
+    :mod:`shardscan.plans.filters`) go into every split's SQL: a task fetches nothing else.
+
     ``options`` name the servers and credentials, as when the plan was made; a split is read as often as it is in the plan.
     ``scan.splits-per-task`` splits with neighbouring ids share a task.  Tasks are dealt so that neighbours in the
     schedule go to different servers' splits, and each holds as many splits as the others."""
     opts = as_options(options, **kwargs)
     schema = as_schema(schema)
+    filters = checked(filters, schema)
+    at = {f.name: i for i, f in enumerate(schema.fields)}
+    wanted = list(columns) if columns is not None else list(at)
+    unknown = [c for c in wanted if c not in at]
+    if unknown or not wanted:
+        raise ValueError(f"not declared: {unknown}" if unknown else "no columns to read")
+    read_too = wanted + [c for c in dict.fromkeys(f[0] for f in filters) if c not in wanted]
+    places = [at[c] for c in read_too]
+    schema = StructType([schema.fields[i] for i in places])
     reader = _reader(spark, schema, opts)
+    reader.filters = filters
     n_splits = plan.count()
     if not n_splits:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], schema).select(*[f"`{c}`" for c in wanted])
     opts.check_split_count(n_splits)
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            splits = [dbapi.Split(r["split_id"], r["url_no"], r["schema_name"], r["table_name"], tuple(r["columns"]), r["key_column"],
+            splits = [dbapi.Split(r["split_id"], r["url_no"], r["schema_name"], r["table_name"], tuple(r["columns"][i] for i in places), r["key_column"],
                                   None if r["lo"] is None else int(r["lo"]), None if r["hi"] is None else int(r["hi"]),
                                   r["bucket"], r["salt_column"]) for r in b.to_pylist()]
             for t in dbapi.pack(splits, len(splits) or 1):
                 yield from reader.read(t)
 
-    return dealt(plan, n_splits, opts.splits_per_task).mapInArrow(read, schema)
+    rows = dealt(plan, n_splits, opts.splits_per_task).mapInArrow(read, schema)
+    return (rows.where(column_of(filters)) if filters else rows).select(*[f"`{c}`" for c in wanted])
 
 
 def dealt(plan: DataFrame, n_splits: int, per_task: int) -> DataFrame:

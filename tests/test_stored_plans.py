@@ -306,3 +306,50 @@ def test_equal_depth_refuses(spark, servers):
             equal_depth_plan(spark, SCHEMA, opts(servers[0]), **kw)
     with pytest.raises(ValueError, match="salt"):
         equal_depth_plan(spark, SCHEMA, opts(servers[0], **{"scan.salt.column": "S", "scan.salt.buckets": 2}))
+
+
+# ------------------------------------------------------ columns and filters
+FILTERS = [[("k", ">=", 100)], [("v", "=", "hot0-3")], [("v", "in", ["a0-5", "a1-7", "no such"]), ("k", "<", 7)], [("v", "<", "a1")], [("k", "<>", 777), ("k", ">", 700)],
+           [("v", "is not null"), ("k", "<=", 0)], [("k", "is null")], [("v", "<>", "a0-5"), ("k", "=", 5)]]
+
+
+@pytest.mark.parametrize("filters", FILTERS, ids=str)
+def test_columns_and_filters(spark, servers, filters):
+    urls, rows = servers
+    plan = distributed_split_plan(spark, SCHEMA, opts(urls, **{"scan.null-key": "keep"})).cache()
+    every = [(v, k) for (_, t), r in rows.items() if t != "U_9" for k, v, _ in r]
+    fits = {"=": lambda a, b: a == b, "<>": lambda a, b: a != b, "<": lambda a, b: a < b, "<=": lambda a, b: a <= b, ">": lambda a, b: a > b,
+            ">=": lambda a, b: a >= b, "in": lambda a, b: a in b}
+
+    def keeps(row):
+        for c, op, *v in filters:
+            x = row["vk".index(c)]
+            if op.startswith("is"):
+                if (x is None) != (op == "is null"):
+                    return False
+            elif x is None or not fits[op](x, v[0]):
+                return False
+        return True
+
+    df = read_split_plan(spark, plan, SCHEMA, opts(urls), columns=["k"], filters=filters)
+    assert df.columns == ["k"] and tuples(df) == Counter((k,) for v, k in every if keeps((v, k)))
+    assert df.count() == sum(keeps(r) for r in every)
+    assert tuples(read_split_plan(spark, plan, SCHEMA, opts(urls))) == Counter(every)  # the same plan, unfiltered
+
+
+def test_the_sql_of_a_split_holds_columns_and_filters(spark, servers):
+    from shardscan.plans.filters import checked
+
+    schema = stored.as_schema("v STRING, k BIGINT, f DOUBLE, t TIMESTAMP_NTZ")
+    reader = dbapi.ShardedDbapiReader(schema, ScanOptions.from_map(opts(servers[0])))
+    reader.filters = checked([("k", ">", 3), ("v", "in", ["a", "b"]), ("v", "<", "z"), ("f", "is null"), ("t", "<", "2020-01-01")], schema)
+    split = dbapi.Split(0, 0, "main", "T_1", ("V", "K", "F", "T"), "K", 1, 9)
+    text, params = reader._statement("sqlite", split)
+    assert text.endswith('WHERE "K" BETWEEN 1 AND 9 AND "K" > ? AND "V" IN (?, ?) AND "F" IS NULL') and params == [3, "a", "b"]
+    text, params = reader._statement("postgresql", split)
+    assert text.endswith('"F" IS NULL AND "T" < %s') and params == [3, "a", "b", "2020-01-01"]
+    for bad in ([("zz", "=", 1)], [("k", "like", "x")], [("k", "=")], [("k", "=", None)], [("k", "in", [])], [("k", "is null", 1)]):
+        with pytest.raises(ValueError):
+            checked(bad, schema)
+    with pytest.raises(ValueError, match="not declared"):
+        read_split_plan(spark, spark.createDataFrame([], stored.PLAN), SCHEMA, opts(servers[0]), columns=["nope"])
