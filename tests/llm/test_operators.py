@@ -304,27 +304,26 @@ def test_cnn_tables_equal_the_network():
 def test_op6(spark, edge_dir):
     vecs = defaultdict(list)
     for i, v in rows(spark, edge_dir, "embeddings", "vec_id", "embedding"):
-        if i is not None and v is not None and len(v) == 4 and all(x is not None and np.isfinite(x) for x in v) and any(v):
-            vecs[i].append(np.array(v, float))
+        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v):
+            vecs[i].append(np.array(list(v) + [0.0] * (4 - len(v))))  # a short vector ends in zeros
     cos = lambda a, b: (a * b).sum() / (np.sqrt((a * a).sum()) * np.sqrt((b * b).sum()))
     want = []
     for q in sorted(i for i in vecs if i % 50 == 0):
         near = sorted((-cos(vecs[q][0], vecs[i][0]), i) for i in vecs if i != q)[:5]
         want += [(q, n + 1, i) for n, (s, i) in enumerate(near)]
     out = sorted(got(spark, "op6", edge_dir))
-    assert {r[0] for r in out} == {-50, 50, 100, 450}
-    score = {(q, i): cos(vecs[q][0], vecs[i][0]) for q in (-50, 50, 100, 450) for i in vecs}
+    assert {r[0] for r in out} == {-50, 50, 100, 400, 450}
+    score = {(q, i): cos(vecs[q][0], vecs[i][0]) for q in (-50, 50, 100, 400, 450) for i in vecs}
     for r, w in zip(out, want):
         assert r[:2] == w[:2] and abs(r[3] - score[w[0], w[2]]) < 1e-12 and abs(r[3] - score[r[0], r[2]]) < 1e-12
     assert len(out) == len(want)
 
 
-@pytest.mark.parametrize("sf,rows_of_block", [("/root/testdata/sf0.1", 16_384), ("/root/testdata/sf0.1", 300)])
+@pytest.mark.parametrize("sf,rows_of_block", [("/root/testdata/sf0.1", 4096), ("/root/testdata/sf0.1", 300)])
 def test_op6_recall(spark, sf, rows_of_block):
-    """At least 0.9 of the true neighbours, also when only a part of each block is reranked."""
+    """At least 0.95 of the true neighbours, though less than half of each block is reranked."""
     vectors = spark.read.parquet(f"{sf}/embeddings.parquet")
-    out = permutation_index.search(vectors, vectors.where("vec_id % 50 = 0"), block_rows=rows_of_block, least=32,
-                                   query_bytes=20_000).toPandas()
+    out = permutation_index.search(vectors, vectors.where("vec_id % 50 = 0"), block_rows=rows_of_block, chunk_rows=13).toPandas()
     e = vectors.toPandas()
     ids, x = e.vec_id.to_numpy(), np.stack(e.embedding.to_numpy()).astype(float)
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
@@ -335,7 +334,16 @@ def test_op6_recall(spark, sf, rows_of_block):
         true = set(ids[np.argsort(-s)[:5]])
         hit += len(true & set(out[out.query_id == q].vec_id))
         total += 5
-    assert hit / total >= 0.9
+    assert hit / total >= 0.95
+
+
+def test_op6_extreme_magnitudes(spark):
+    rows = [(0, [1e200, 1e200, 0.0]), (1, [1e-200, 0.0, 0.0]), (2, [3e-320, 3e-320, 0.0]), (3, [-1e308, 1e308, 1e308]), (50, [2.0]), (4, [0.0, 0.0, 5e-324])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.vec_id): r.score for r in permutation_index.search(df, df.where("vec_id % 50 = 0")).collect()}
+    h = 0.5 ** 0.5
+    want = {(0, 1): h, (0, 2): 1, (0, 3): 0, (0, 50): h, (0, 4): 0, (50, 0): h, (50, 1): 1, (50, 2): h, (50, 3): -(1 / 3) ** 0.5, (50, 4): 0}
+    assert set(got) == set(want) and all(abs(got[k] - v) < 1e-12 for k, v in want.items())
 
 
 def test_footrule_from_postings():
