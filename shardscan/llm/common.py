@@ -41,6 +41,14 @@ def python_tasks(spark: SparkSession) -> None:
     ship_package(spark)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores before it until ``df`` has no column of that name in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def split_crc(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo ``n`` (null ids count as empty text)."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(n))

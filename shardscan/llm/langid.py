@@ -8,8 +8,8 @@ over all windows, weighted by their letters; the score is that language's
 weighted mean probability.
 
 Training runs in numpy on the driver on a bounded sample: about ``per_language``
-labelled texts of each language (by id hash, known before reading any text), two
-windows of each at hash-chosen offsets.  The weights have a fixed size and go to the
+labelled texts of each language (by id hash, known before reading any text), fewer where all languages together
+would be more than ``max_sample``, two windows of each at hash-chosen offsets.  Every language that occurs is learned.  The weights have a fixed size and go to the
 tasks in their closure.  Scoring reads every byte of every text; because
 embedding and first filter layer are both linear, the filters are applied as sums of
 two looked-up rows for byte pairs instead of products.
@@ -37,6 +37,7 @@ WIDTHS = (2, 3, 4)
 FILTERS = 12
 DIM = 8
 PER_LANGUAGE = 1500
+MAX_SAMPLE = 300_000
 LETTER = regex.compile(r"\p{L}")
 
 
@@ -46,12 +47,12 @@ def _symbols() -> np.ndarray:
     for b in range(1, 128):
         c = chr(b)
         out[b] = (3 + ord(c.lower()) - 97) if c.isalpha() else 1 if c.isspace() else 2
-    out[128:] = np.minimum(29 + np.arange(128), 127)  # 0x80-0xE1 one by one, the rest together
+    out[128:] = 29 + np.arange(128)
     return out
 
 
 SYMBOLS = _symbols()
-N_SYMBOLS = 128
+N_SYMBOLS = 157
 IS_LETTER = (SYMBOLS >= 3).astype(np.float32)
 
 
@@ -186,19 +187,19 @@ def predict_batch(model: ByteCnn, arr: pa.Array, block: int = 2048) -> tuple[np.
     return best, np.clip(score, 0, 1)
 
 
-def train(labelled: DataFrame, per_language: int = PER_LANGUAGE, max_languages: int = 200, text_col: str = "text",
+def train(labelled: DataFrame, per_language: int = PER_LANGUAGE, max_sample: int = MAX_SAMPLE, text_col: str = "text",
           lang_col: str = "lang", id_col: str = "doc_id") -> ByteCnn | None:
-    """Fit the network on a bounded sample: about ``per_language`` texts of each of the
-    ``max_languages`` most frequent languages, two windows of each text."""
+    """Fit the network on a bounded sample: about ``per_language`` texts of each language, ``max_sample`` in all, two windows
+    of each text.  None when nothing is labelled."""
     python_tasks(labelled.sparkSession)
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"),
         F.col(lang_col).cast("string").alias("lang"))
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(
-        F.desc("count"), "lang").limit(max_languages).collect()}
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row a language
     if len(counts) < 1:
         return None
-    share = F.create_map(*[x for k, c in counts.items() for x in (F.lit(k), F.lit(min(1.0, per_language / c)))])
+    each = min(per_language, max(1, max_sample // len(counts)))
+    share = F.create_map(*[x for k, c in sorted(counts.items()) for x in (F.lit(k), F.lit(min(1.0, each / c)))])
     draw = F.pmod(F.xxhash64("id", F.lit(17)), F.lit(1 << 20)) / float(1 << 20)
     some = rows.where(draw < F.try_element_at(share, F.col("lang"))).withColumn("h", F.xxhash64("id", F.lit(23)))
 

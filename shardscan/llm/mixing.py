@@ -4,11 +4,11 @@ Source ``s`` with ``n_s`` bytes shall make up the share ``w_s`` of a mixture
 of ``N`` bytes, so each of its documents repeats at the mean rate
 ``w_s * N / n_s``.  A document's count is the inverse of the Poisson
 distribution function at a uniform number from the md5 of seed, id and the text's md5:
-independent of partitioning, and the same in any engine.  With ``by_text=False`` the text is
-left out, as in ``MIX_SQL``: then all documents of an id, or without one, share a draw.  A rate above ``PART``
+independent of partitioning, and the same in any engine.  A rate above ``PART``
 is drawn as a sum of independent parts of at most ``PART`` each, so the tabulated
 function stays short.  Every copy gets a key
-from the md5 of the same and the copy number; rows are dealt out by it and their text, and sorted by it.
+from the md5 of the same and the copy number; rows are dealt out by it and their place in the input, so that rows equal
+in id and text do not meet in one task, and sorted by it.
 
 Target weights default to ``n_s ** temperature``; or give ``weights``
 (source -> weight; a source not named gets none).  Only DataFrame functions.
@@ -19,7 +19,8 @@ so that a source with a third of all rows is spread over ``salts`` keys.
 
 Defined results: a null source is a source of its own; null and empty texts
 have size 1; repeated rows share their count and keys; null ids draw like the
-empty id; an empty table gives an empty result; other columns pass through.
+empty id, each by its text; a very long text is hashed once, never cut; an empty table gives an empty result; other columns
+pass through, whatever their names (columns of the names under ``prefix`` are replaced).
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardscan.llm.common import documents, written
+from shardscan.llm.common import documents, fresh, written
 
 SEED = "mix-1"
 PART = 128.0
@@ -88,38 +89,40 @@ def source_rates(docs: DataFrame, temperature: float = 0.5, weights: dict[str, f
 
 
 def mix(docs: DataFrame, temperature: float = 0.5, weights: dict[str, float] | None = None,
-        max_broadcast_sources: int = 10_000, salts: int = 64, prefix: str = "mix_", by_text: bool = True) -> DataFrame:
+        max_broadcast_sources: int = 10_000, salts: int = 64, prefix: str = "mix_") -> DataFrame:
     """``docs`` with each row repeated by its count, shuffled, and the columns
     ``rate, count, copy`` (from 0) and ``key`` under ``prefix``."""
     spark = docs.sparkSession
-    rates = source_rates(docs, temperature, weights).toDF("__source", f"{prefix}rate", "__parts", "__steps")
+    rate, count, copy, key = (f"{prefix}{x}" for x in ("rate", "count", "copy", "key"))
+    docs = docs.drop(rate, count, copy, key)
+    # columns of our own, by names the documents do not have
+    own_source, own_rate, parts, steps, drawn, row, salt, salted_by = (
+        fresh(docs, f"__mix_{x}") for x in ("source", "rate", "parts", "steps", "drawn", "row", "salt", "salted"))
+    rates = source_rates(docs, temperature, weights).toDF(own_source, own_rate, parts, steps)
     text = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
-    docs = docs.withColumn("__drawn", F.concat_ws("|", _id("doc_id"), text) if by_text else _id("doc_id"))
+    docs = docs.withColumns({drawn: F.concat_ws("|", _id("doc_id"), text), row: F.xxhash64(F.monotonically_increasing_id())})
     few = rates.limit(max_broadcast_sources + 1).collect()
-    source = docs["source"].cast("string")
+    source = F.col("source").cast("string")
     if len(few) <= max_broadcast_sources:
         side = F.broadcast(spark.createDataFrame(few, rates.schema))
-        rows = docs.join(side, source.eqNullSafe(side["__source"]))
+        rows = docs.join(side, source.eqNullSafe(F.col(own_source)))
     else:
-        salted = rates.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        left = docs.withColumn("__s", F.pmod(F.xxhash64("doc_id", "text"), F.lit(salts)).cast("int"))
-        rows = left.join(salted, left["source"].cast("string").eqNullSafe(salted["__source"])
-                         & (left["__s"] == salted["__salt"])).drop("__s", "__salt")
-    rate, count, copy, key = (f"{prefix}{x}" for x in ("rate", "count", "copy", "key"))
-    counted = rows.withColumn(count, poisson_count(F.col("__steps"), F.col("__parts"), F.col("__drawn")).cast("int")).where(
-        F.col(count) > 0)
+        salted = rates.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        left = docs.withColumn(salted_by, F.pmod(F.col(row), F.lit(salts)).cast("int"))
+        rows = left.join(salted, source.eqNullSafe(F.col(own_source)) & (F.col(salted_by) == F.col(salt)))
+    counted = rows.withColumn(rate, F.col(own_rate)).withColumn(
+        count, poisson_count(F.col(steps), F.col(parts), F.col(drawn)).cast("int")).where(F.col(count) > 0)
     copies = counted.withColumn(copy, F.explode(F.sequence(F.lit(0), F.col(count) - 1)))
-    keyed = copies.withColumn(key, F.md5(F.concat_ws(
-        "|", F.lit(SEED), F.col("__drawn"), F.col(copy).cast("string")).cast("binary")))
-    # different texts may share a key: the text deals them out too
-    dealt = keyed.drop("__source", "__parts", "__steps", "__drawn").repartition(F.col(key), F.xxhash64("text"))
-    return dealt.sortWithinPartitions(key)
+    keyed = copies.withColumn(key, F.md5(F.concat_ws("|", F.lit(SEED), F.col(drawn), F.col(copy).cast("string")).cast("binary")))
+    # equal rows share a key: the place in the input, fixed by the scan, deals them out too
+    dealt = keyed.drop(own_source, own_rate, parts, steps, drawn, salt, salted_by).repartition(F.col(key), F.col(row))
+    return dealt.drop(row).sortWithinPartitions(key)
 
 
 def op9_poisson_mixing(spark, sf_dir: str) -> DataFrame:
     """The mixture of ``documents``, sources at the square root of their bytes."""
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang", "source", "n_chars")
-    return mix(docs, by_text=False).select(
+    return mix(docs).select(
         "doc_id", "text", "lang", "source", "n_chars", F.round("mix_rate", 9).alias("rate"),
         F.col("mix_count").alias("n_copies"), F.col("mix_copy").alias("copy"), F.col("mix_key").alias("shuffle_key"))
 
@@ -136,7 +139,7 @@ c AS (SELECT source, rate, parts, k, SUM(p) OVER (PARTITION BY source ORDER BY k
 l AS (SELECT source, rate, parts, list(f ORDER BY k) AS steps FROM c GROUP BY ALL)"""
 
 MIX_SQL = "WITH " + _RATES_SQL.format(docs="documents") + """,
-d AS (SELECT *, 'mix-1|' || COALESCE(CAST(doc_id AS VARCHAR), '') AS key FROM documents),
+d AS (SELECT *, 'mix-1|' || COALESCE(CAST(doc_id AS VARCHAR), '') || '|' || md5(COALESCE(text, '')) AS key FROM documents),
 m AS (SELECT d.key, d.doc_id, d.text, d.lang, d.source, d.n_chars, round(l.rate, 9) AS rate,
         CAST(list_sum(list_transform(range(1, l.parts + 1), lambda i: len(list_filter(l.steps, lambda f: f <= (
           '0x' || substr(md5(d.key || CASE WHEN i = 1 THEN '' ELSE '|part ' || i END), 1, 13))::BIGINT

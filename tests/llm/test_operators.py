@@ -153,7 +153,7 @@ def test_op9_is_native(spark):
         assert not re.search("Python|Pandas|Arrow", plan) and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
-def test_op9_documents_without_id_draw_by_text_and_are_dealt_out(spark):
+def test_op9_documents_without_id_draw_by_text_and_are_dealt_out(spark, tmp_path):
     docs = spark.range(600).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"),
                                    F.lit("s").alias("source"))
     out = mixing.mix(docs)
@@ -161,16 +161,27 @@ def test_op9_documents_without_id_draw_by_text_and_are_dealt_out(spark):
     assert 480 < n < 720 and 300 < texts < 460  # 1 - 1/e of them at rate 1
     assert out.select("mix_key").distinct().count() == n
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:  # the query's keys are those of MIX_SQL: equal for equal ids, but rows do not meet in one task
-        same = spark.range(600).select(F.concat(F.lit("text "), "id").alias("text"), F.lit("s").alias("source"),
-                                       F.lit(3).alias("doc_id"))
-        by = [r["count"] for r in mixing.mix(same, by_text=False, weights={"s": 1.0}).groupBy(
-            F.spark_partition_id()).count().collect()]
-        assert not by or max(by) < sum(by) / 2
+    try:  # rows equal in id and text share their keys, but do not meet in one task
+        spark.range(900).select(F.when(F.col("id") < 700, "hot").otherwise(F.concat(F.lit("text "), "id")).alias("text"), F.lit("s").alias("source"),
+                                F.lit(3).alias("doc_id")).write.parquet(f"{tmp_path}/same")
+        same = spark.read.parquet(f"{tmp_path}/same")
+        for few in (10_000, 0):
+            by = [r["count"] for r in mixing.mix(same, temperature=1.0, max_broadcast_sources=few).groupBy(F.spark_partition_id()).count().collect()]
+            assert not by or max(by) < sum(by) / 3
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
+def test_op9_extra_columns_of_its_own_names_pass(spark):
+    names = ["__mix_source", "__mix_drawn", "__MIX_ROW", "_____x", "__mix_salt", "rate"]
+    docs = spark.createDataFrame([(i, f"t{i}", "s" if i % 3 else None, *[f"{c}{i}" for c in names]) for i in range(200)],
+                                 "doc_id long, text string, source string, " + ", ".join(f"`{c}` string" for c in names))
+    for few in (10, 0):
+        out = mixing.mix(docs, max_broadcast_sources=few)
+        assert out.columns == docs.columns + ["mix_rate", "mix_count", "mix_copy", "mix_key"]
+        assert all(r[c] == f"{c}{r.doc_id}" for r in out.collect() for c in names)
+
+
 def test_poisson_counts(spark):
     rates = spark.createDataFrame([(0.0,), (0.3,), (4.0,), (128.0,)], "r double").withColumn("s", mixing.poisson_steps(F.col("r")))
     for r in rates.collect():
@@ -277,6 +288,51 @@ def test_op3_accuracy_on_held_out_texts(spark):
     assert len(out) > 150 and sum(lang[d] == p for d, _, p, _ in out) / len(out) > 0.97
 
 
+def test_op3_scripts_beyond_latin_and_many_languages(spark):
+    """Chinese, Japanese and Korean differ in lead bytes; 230 languages are all learned."""
+    rnd = np.random.default_rng(3)
+    chars = {"zh": [chr(c) for c in range(0x4E00, 0x4F00)], "ja": [chr(c) for c in range(0x3042, 0x3093)] + [chr(c) for c in range(0x4E00, 0x4E40)],
+             "ko": [chr(c) for c in range(0xAC00, 0xAD00)], "ru": [chr(c) for c in range(0x430, 0x450)], "emoji": [chr(c) for c in range(0x1F600, 0x1F640)]}
+    docs = [(i, "".join(rnd.choice(c, 60)), lang) for i, (lang, c) in enumerate(list(chars.items()) * 40)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    out = langid.identify(df, df.where("doc_id % 4 <> 2")).where("doc_id % 4 = 2 and lang <> 'emoji'").select("lang", "lid.lang_pred").collect()
+    assert sum(r.lang == r.lang_pred for r in out) / len(out) > 0.95
+    assert len(set(langid.SYMBOLS[128:])) == 128 and langid.SYMBOLS.max() == langid.N_SYMBOLS - 1
+    many = spark.createDataFrame([(i, f"text of language number {i % 230}", f"l{i % 230}") for i in range(460)], "doc_id long, text string, lang string")
+    assert len(langid.train(many).languages) == 230
+
+
+def test_op3_scores_against_a_plain_forward_pass(spark, edge_dir):
+    """Window by window, filter by filter, in plain loops, on given and awkward texts."""
+    given = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.train(given)
+    texts = [r.text for r in given.limit(25).collect()] + [r.text for r in spark.read.parquet(f"{edge_dir}/documents.parquet").collect()]
+    texts = [t for t in texts if t is None or len(t) < 4000]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = {r.i: (r.p.lang_pred, r.p.score) for r in df.select("i", langid.predictor(model)("text").alias("p")).collect()}
+    for i, t in enumerate(texts):
+        raw = (t or "").encode()
+        logs, probs, total = np.zeros(len(model.languages)), np.zeros(len(model.languages)), 0
+        for a in range(0, len(raw), 256):
+            sym = [int(langid.SYMBOLS[b]) for b in raw[a:a + 256]]
+            letters = sum(s >= 3 for s in sym)
+            emb = model.p["E"][sym + [0] * (256 - len(sym))].astype(float)
+            h = [max(0.0, max(sum(float(emb[at + j] @ model.p[f"W{w}"][j * langid.DIM:(j + 1) * langid.DIM, f]) for j in range(w)) for at in range(253))
+                     + float(model.p[f"b{w}"][f])) for w in langid.WIDTHS for f in range(langid.FILTERS)]
+            z = np.array(h) @ model.p["D"] + model.p["d"]
+            p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+            logs, probs, total = logs + np.log(p + 1e-6) * letters, probs + p * letters, total + letters
+        if not t or not any(unicodedata.category(c)[0] == "L" for c in t):
+            assert got[i] == ("und", 0.0)
+            continue
+        top = np.sort(logs)[::-1]
+        assert got[i][0] == model.languages[int(logs.argmax())] or top[0] - top[1] < 1e-2
+        if got[i][0] == model.languages[int(logs.argmax())]:
+            assert abs(got[i][1] - probs[int(logs.argmax())] / max(total, 1)) < 1e-3
+        if i > 60:
+            break
+
+
 def test_cnn_tables_equal_the_network():
     model = langid.ByteCnn(["a", "b", "c"])
     x = np.random.default_rng(1).integers(0, langid.N_SYMBOLS, (40, langid.WINDOW)).astype(np.uint8)
