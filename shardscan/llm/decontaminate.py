@@ -8,33 +8,38 @@ that ends there.  A match of at least ``window`` words means that its last
 fewer words is hit where it occurs whole, found on the state's chain of
 suffix links.
 
-The automaton is small and goes to the tasks in their closure: the items'
-bytes are checked first, and items above ``block_bytes`` are cut into blocks
-by hash, one automaton and one pass each, the hits of all blocks united per
-row without a shuffle.
+An automaton takes about a hundred times its items' text in memory, so it never travels.  The items are cut into
+blocks of about ``block_bytes`` of text by hash (one item is never cut); a block's text, compressed, goes to the tasks in
+their closure, and a Python worker builds the block's automaton when it first needs it and keeps that one only.  One
+block, the usual case, is one pass over the documents without a shuffle.  More blocks are one pass each over the documents,
+numbered in a written table; a pass leaves only the rows with hits, which are united by row number.
 
-Defined results: null and empty texts have no words and are clean; an item
+Defined results: null and empty texts have no words and are clean; very long texts are read in pieces, whole; an item
 without words matches nothing, equal items count as items of their own; null
 item ids count as the empty id; empty tables give empty or clean results;
-repeated rows get equal results; other columns pass through.
+repeated rows get equal results; other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardscan.llm.common import documents, pieces, python_tasks, table
+from shardscan.llm.common import documents, fresh, pieces, python_tasks, table, written
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 GAP = re.compile(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")  # no letter of either case: between words
 LOWER = {c: c + 32 for c in range(65, 91)}
 WINDOW = 13
+#: Text of one automaton: about 400 MB of states.
+BLOCK_BYTES = 4 << 20
 
 
 def words(text: str | None) -> list[str]:
@@ -153,27 +158,39 @@ class SuffixAutomaton:
                 spans.append((start, i + 1))
 
 
-def _blocks(benchmark: DataFrame, window: int, block_bytes: int) -> list[SuffixAutomaton]:
+def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[bytes]:
+    """The items (id, text), compressed, of one block after the other; the driver holds one."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("id"),
                              F.col("text").cast("string").alias("text"))
     size = items.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     n = int(size // block_bytes) + 1
-    out = []
-    for k in range(n):  # each block is collected by itself, about block_bytes
+    for k in range(n):
         part = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).collect()
-        out.append(SuffixAutomaton(sorted((r["id"], words(r["text"])) for r in part), window))
-    return out
+        yield zlib.compress(pickle.dumps(sorted((r["id"], r["text"] or "") for r in part)))
+
+
+_BUILT: dict[tuple, SuffixAutomaton] = {}
 
 
-RESULT = ("struct<n_words:long,spans:array<struct<a:int,b:int>>,items:array<string>>")
+def automaton_of(block: bytes, window: int) -> SuffixAutomaton:
+    """The automaton of a block in this Python worker: built once, and the one before it dropped."""
+    key = (zlib.crc32(block), len(block), window)
+    if key not in _BUILT:
+        _BUILT.clear()
+        _BUILT[key] = SuffixAutomaton([(i, words(t)) for i, t in pickle.loads(zlib.decompress(block))], window)
+    return _BUILT[key]
 
 
-def matcher(automaton: SuffixAutomaton):
+SPANS = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
+RESULT = "struct<n_words:long,spans:array<struct<a:int,b:int>>,items:array<string>>"
+
+
+def matcher(block: bytes, window: int):
     """Arrow UDF text -> (n_words, hit word spans, item ids)."""
     @F.arrow_udf(RESULT)
     def match(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        kind = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))),
-                          ("items", pa.list_(pa.string()))])
+        kind = pa.struct([("n_words", pa.int64()), ("spans", SPANS), ("items", pa.list_(pa.string()))])
+        automaton = automaton_of(block, window)
         for arr in batches:
             out = []
             for t in arr:
@@ -186,7 +203,7 @@ def matcher(automaton: SuffixAutomaton):
     return match
 
 
-def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+def _union(spans: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for a, b in sorted(spans):
         if out and a <= out[-1][1]:
@@ -196,28 +213,50 @@ def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def uniter():
+    """Arrow UDF: the spans of all blocks as disjoint ones, in order."""
+    @F.arrow_udf("array<struct<a:int,b:int>>")
+    def united(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for arr in batches:
+            yield pa.array([[{"a": a, "b": b} for a, b in _union([(s["a"], s["b"]) for s in row or ()])] for row in arr.to_pylist()], SPANS)
+
+    return united
+
+
 def find_overlap(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, out: str = "overlap",
-                 block_bytes: int = 16 << 20) -> DataFrame:
+                 block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with a struct ``out``: n_words, n_hit, longest (words of the longest hit span),
     spans (word ranges), items (sorted ids of items with an occurring window, one entry an item)."""
     python_tasks(docs.sparkSession)
-    automata = _blocks(benchmark, window, block_bytes)
     text = F.col("text").cast("string")
-    names = [f"__{out}_{k}" for k in range(len(automata))]
-    for name, automaton in zip(names, automata):
-        docs = docs.withColumn(name, matcher(automaton)(text))
-    if len(names) == 1:
-        spans, items = F.col(f"{names[0]}.spans"), F.col(f"{names[0]}.items")
-    else:
-        merge = F.udf(lambda x: _union([(r["a"], r["b"]) for r in x]), "array<struct<a:int,b:int>>")
-        spans = merge(F.flatten(F.array(*[F.col(f"{n}.spans") for n in names])))
-        items = F.sort_array(F.flatten(F.array(*[F.col(f"{n}.items") for n in names])))
+    blocks = _blocks(benchmark, block_bytes)
+    block, more = next(blocks), next(blocks, None)
+    match = fresh(docs, "__match")
+    if more is None:
+        found = docs.withColumn(match, matcher(block, window)(text))
+        spans, items = F.col(f"{match}.spans"), F.col(f"{match}.items")
+        return found.withColumn(out, _overlap(F.col(f"{match}.n_words"), spans, items)).drop(match)
+    row = fresh(docs, "__row")
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    first = written(numbered.select(row, matcher(block, window)(text).alias("m")), "block")
+    hits = first.select(row, "m.spans", "m.items")
+    while more is not None:
+        m = written(numbered.select(row, matcher(more, window)(text).alias("m")).where(F.size("m.spans") > 0), "block")
+        hits, more = hits.unionByName(m.select(row, "m.spans", "m.items")), next(blocks, None)
+    each = hits.groupBy(F.col(row).alias("__hit_row")).agg(
+        F.flatten(F.collect_list("spans")).alias("spans"),
+        F.sort_array(F.flatten(F.collect_list("items"))).alias("items"))  # a row has one entry a block
+    each = each.withColumn("spans", uniter()("spans")).join(first.select(F.col(row).alias("__hit_row"), "m.n_words"), "__hit_row")
+    each = each.select("__hit_row", _overlap(F.col("n_words"), F.col("spans"), F.col("items")).alias(match))
+    joined = numbered.join(each, F.col(row) == F.col("__hit_row")).drop("__hit_row", row)
+    return joined.withColumn(out, F.col(match)).drop(match)
+
+
+def _overlap(n_words: Column, spans: Column, items: Column) -> Column:
     length = F.transform(spans, lambda s: s["b"] - s["a"])
-    return docs.withColumn(out, F.struct(
-        F.col(f"{names[0]}.n_words").alias("n_words"),
-        F.aggregate(length, F.lit(0).cast("long"), lambda x, y: x + y).alias("n_hit"),
-        F.coalesce(F.array_max(length), F.lit(0)).alias("longest"),
-        spans.alias("spans"), items.alias("items"))).drop(*names)
+    return F.struct(
+        n_words.alias("n_words"), F.aggregate(length, F.lit(0).cast("long"), lambda x, y: x + y).alias("n_hit"),
+        F.coalesce(F.array_max(length), F.lit(0)).alias("longest"), spans.alias("spans"), items.alias("items"))
 
 
 def contaminated(overlap: str = "overlap", longest_limit: int | None = None):
@@ -226,24 +265,40 @@ def contaminated(overlap: str = "overlap", longest_limit: int | None = None):
     return rule if longest_limit is None else rule | (F.col(f"{overlap}.longest") > longest_limit)
 
 
-def _without(text: str | None, spans, min_words: int) -> str | None:
-    if not spans or text is None:
+def without(text: str | None, spans: Sequence[tuple[int, int]]) -> str | None:
+    """``text`` less the words of ``spans`` (disjoint, in order) and what stands between them; words are walked one at a time."""
+    if text is None or not spans:
         return text
-    at = [m.span() for m in WORD.finditer(text.translate(LOWER))]
-    out, end = [], 0
-    for s in spans:
-        if s["b"] - s["a"] >= min_words:
-            out.append(text[end:at[s["a"]][0]])
-            end = at[s["b"] - 1][1]
+    out, end, at = [], 0, 0
+    lowered = text.translate(LOWER)  # as long as the text, letter by letter
+    todo = iter(spans)
+    a, b = next(todo)
+    for m in WORD.finditer(lowered):
+        if at == a:
+            out.append(text[end:m.start()])
+        at += 1
+        if at == b:
+            end = m.end()
+            a, b = next(todo, (-1, -1))
+            if a < 0:
+                break
     return "".join(out) + text[end:]
 
 
-def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_words: int = WINDOW) -> DataFrame:
-    """``docs`` with ``text`` less the hit spans of at least ``min_words`` words (other rows unchanged)."""
-    cut = F.udf(lambda t, s: _without(t, s, min_words), "string")
-    found = find_overlap(docs, benchmark, window, "__overlap")
-    return found.withColumn("text", F.when(F.col("__overlap.n_hit") > 0, cut(F.col("text"), F.col("__overlap.spans")))
-                            .otherwise(F.col("text"))).drop("__overlap")
+def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_words: int = WINDOW,
+                 block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` with ``text`` less the hit spans of at least ``min_words`` words (other rows unchanged).
+
+    Null and empty texts stay as they are; repeated rows are cut alike; a text of nothing but hits becomes empty."""
+    @F.arrow_udf("string")
+    def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, spans in batches:
+            yield pa.array([without(t.as_py(), [(s["a"], s["b"]) for s in (x.as_py() or ()) if s["b"] - s["a"] >= min_words])
+                            for t, x in zip(texts, spans)], pa.string())
+
+    found = find_overlap(docs, benchmark, window, overlap := fresh(docs, "__overlap"), block_bytes)
+    text = F.col("text").cast("string")
+    return found.withColumn("text", F.when(F.col(f"{overlap}.n_hit") > 0, cut(text, F.col(f"{overlap}.spans"))).otherwise(text)).drop(overlap)
 
 
 def op8_suffix_automaton_decontamination(spark, sf_dir: str) -> DataFrame:

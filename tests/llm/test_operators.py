@@ -580,3 +580,31 @@ def test_decontaminate_blocks_and_removed_spans(spark, edge_dir):
     item = " ".join(f"bench{i}" for i in range(20))
     assert cut[11] == "" and cut[12] == "clean words " * 200 and cut[13] == " " + "tail " * 30 and cut[14] in (
         "one two three", "another text under one id") and item not in cut[12]
+    parted = {r.doc_id: r.text for r in decontaminate.remove_spans(docs, bench, block_bytes=60).collect()}
+    assert parted == cut
+
+
+def test_removed_words_against_a_list_of_all_words():
+    import random
+
+    rnd = random.Random(8)
+    for _ in range(400):
+        text = "".join(rnd.choice("abZ ,.\u00e9\u4e2d9") for _ in range(rnd.randint(0, 50)))
+        at = [m.span() for m in decontaminate.WORD.finditer(text.translate(decontaminate.LOWER))]
+        ends = sorted(rnd.sample(range(len(at) + 1), min(len(at) + 1, 2 * rnd.randint(0, 3)))) if at else []
+        spans = list(zip(ends[::2], ends[1::2]))
+        want, end = "", 0
+        for a, b in spans:
+            want, end = want + text[end:at[a][0]], at[b - 1][1]
+        assert decontaminate.without(text, spans) == want + text[end:]
+    assert decontaminate.without(None, [(0, 1)]) is None and decontaminate.without("", []) == ""
+
+
+def test_a_worker_holds_one_automaton():
+    import pickle
+    import zlib as z
+
+    blocks = [z.compress(pickle.dumps([(str(n), f"w{n} " * 20)])) for n in range(3)]
+    for b in blocks:
+        a = decontaminate.automaton_of(b, 13)
+        assert decontaminate.automaton_of(b, 13) is a and len(decontaminate._BUILT) == 1
