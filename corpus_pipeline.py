@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardscan.llm import decontaminate, langid, mixing, sharding, simhash
-from shardscan.llm.common import table, work_path
+from shardscan.llm.common import fresh, table, work_path
 
 #: A document's language is rejected below this mean probability.
 LEAST_SCORE = 0.3
@@ -25,25 +25,50 @@ def _columns(df: DataFrame, like: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a recognised language: neither ``und`` nor a score below ``LEAST_SCORE``."""
-    found = langid.identify(docs, docs, "__lid")
-    return _columns(found.where((F.col("__lid.lang_pred") != "und") & (F.col("__lid.score") >= LEAST_SCORE)), docs)
+    """Documents with a recognised language: neither ``und`` nor a score below ``LEAST_SCORE``.
+
+    Learns from the rows that have a ``lang``; where no row has one, every document with a letter stays.  Null, empty and
+    letterless texts go; very long texts are judged whole; repeated rows are judged alike; an empty table stays empty."""
+    model = langid.train(docs)
+    if model is None:
+        return docs.where(F.col("text").cast("string").rlike(r"\p{L}"))
+    lid = fresh(docs, "__lid")
+    found = docs.withColumn(lid, langid.predictor(model)(F.col("text").cast("string")))
+    return _columns(found.where((F.col(f"{lid}.lang_pred") != "und") & (F.col(f"{lid}.score") >= LEAST_SCORE)), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group whose fingerprints link: that with the smallest id.
+
+    Null and empty texts and those of white space alone share fingerprint zero, so one of them stays; of rows that repeat id and
+    text one stays; rows without an id come last in their group; very long texts are hashed whole; empty stays empty."""
     return simhash.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.find_overlap(docs, table(spark, sf_dir, "benchmark"), out="__overlap")
-    return _columns(found.where(~decontaminate.contaminated("__overlap")), docs)
+    """Documents of which less than a twentieth of the words are benchmark windows.
+
+    Null and empty texts have no words and stay; repeated rows stay or go alike; very long texts are read whole; with an empty
+    benchmark all stay."""
+    overlap = fresh(docs, "__overlap")
+    found = decontaminate.find_overlap(docs, table(spark, sf_dir, "benchmark"), out=overlap)
+    return _columns(found.where(~decontaminate.contaminated(overlap)), docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _columns(mixing.mix(docs, prefix="__mix_"), docs)
+    """Documents repeated by their Poisson counts, sources at the square root of their bytes; a count of zero drops one.
+
+    A null source is a source; null and empty texts count one byte; null ids draw by text; repeated rows are repeated alike;
+    an empty table stays empty."""
+    prefix = "__mix_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix = "_" + prefix
+    return _columns(mixing.mix(docs, prefix=prefix), docs)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row in a shard and slot (see ``sharding.shard``): null texts have size 1, null ids and repeated rows are rows like
+    any other, equal texts stay together where they fit a shard, an empty table stays empty."""
     return sharding.shard(docs)
 
 
