@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shardscan.llm.common import pieces, python_tasks, texts, written
+from shardscan.llm.common import fresh, pieces, python_tasks, texts, written
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 SEED = 42
@@ -225,13 +225,14 @@ def op10_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
 
 def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
     """``docs`` with one row of each group of linked texts: that with the smallest id
-    (null ids last; of rows that repeat the id and text, one)."""
+    (null ids last; of rows that repeat the id and text, one), its columns as they are."""
+    no_id, own_id, own_text, number = (fresh(docs, f"__keep_{x}") for x in ("null", "id", "text", "number"))
     comp = near_duplicates(docs, shingle=shingle, radius=radius)
     none, same = F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0))
     stay = comp.groupBy("root").agg(F.min(F.struct(none.alias("none"), "doc_id", "text_hash")).alias("x")).select(
-        "x.doc_id", "x.text_hash").select(none.alias("__none"), same.alias("__id"), F.col("text_hash").alias("__text"))
-    tagged = docs.withColumns({"__none": none, "__id": same, "__text": F.xxhash64(F.col("text").cast("string"))})
-    keys = ["__none", "__id", "__text"]
+        "x.doc_id", "x.text_hash").select(none.alias(no_id), same.alias(own_id), F.col("text_hash").alias(own_text))
+    tagged = docs.withColumns({no_id: none, own_id: same, own_text: F.xxhash64(F.col("text").cast("string"))})
+    keys = [no_id, own_id, own_text]
     row = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in docs.columns])
-    one = tagged.join(stay, keys).withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(row)))
-    return one.where("__n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    one = tagged.join(stay, keys).withColumn(number, F.row_number().over(Window.partitionBy(*keys).orderBy(row)))
+    return one.where(f"{number} = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
