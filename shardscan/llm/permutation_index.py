@@ -2,7 +2,7 @@
 
 Every vector is represented by its ``prefix`` nearest pivots in order.  The
 index is kept in blocks of about ``block_rows`` vectors (hash of the id); each
-block holds one inverted file per pivot with (vector, place of the pivot) postings.
+block holds one inverted file per pivot, a byte for each vector: the place of the pivot in its list, if any.
 A query reads the files of its own nearest pivots and adds up the footrule
 distance: |own place - posted place| for pivots both have, ``prefix - place`` for
 those only one of them has.  The ``share`` of a block with the smallest footrule, and ``SLACK`` vectors more,
@@ -47,15 +47,8 @@ def scaled(rows: np.ndarray) -> np.ndarray:
     return np.ldexp(rows, -exponent[:, None])
 
 
-def cosines(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Cosine of every (scaled) row with the query, in double precision; a row's result depends on its values only."""
-    dot = (rows * query).sum(axis=1)
-    norm = np.sqrt((rows * rows).sum(axis=1)) * np.sqrt((query[None] * query[None]).sum(axis=1))
-    return dot / norm
-
-
 def permutations(rows: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
-    """The ``prefix`` nearest pivots (by cosine) of every row, nearest first."""
+    """The ``prefix`` (at most 255) nearest pivots (by cosine) of every row, nearest first."""
     unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
     near = unit @ pivots.T
     part = np.argpartition(-near, min(prefix, near.shape[1]) - 1, axis=1)[:, :prefix]
@@ -81,23 +74,18 @@ class Block:
         self.id_start = np.searchsorted(self.id_group, np.arange(len(first) + 1))
         self.prefix = min(prefix, len(pivots))
         perm = permutations(self.rows, pivots, self.prefix)
-        flat = perm.ravel()
-        post = np.argsort(flat, kind="stable")
-        self.vec = (post // self.prefix).astype(np.int32)
-        self.place = (post % self.prefix).astype(np.int32)
-        self.start = np.searchsorted(flat[post], np.arange(len(pivots) + 1))
+        # one file per pivot: for every vector how early the pivot comes, prefix - place, 0 where it does not come
+        self.files = np.zeros((len(pivots), len(self.rows)), np.uint8)
+        self.files[perm, np.arange(len(self.rows))[:, None]] = self.prefix - np.arange(self.prefix)
+        self.norms = np.sqrt((self.rows * self.rows).sum(axis=1))
 
     def footrule(self, perm: np.ndarray) -> np.ndarray:
         """Footrule distance of a query's pivot list to every vector, from the postings of its pivots only."""
         p = self.prefix
-        sizes = self.start[perm + 1] - self.start[perm]
-        own = np.repeat(np.arange(p), sizes)
-        first = np.cumsum(sizes) - sizes
-        post = np.arange(len(own)) - np.repeat(first - self.start[perm], sizes)
-        posted = self.place[post]
-        # a common pivot costs |own - posted| instead of both missing; with nothing in common every place is missing on both sides
-        saved = (p - own) + (p - posted) - np.abs(own - posted)
-        return p * (p + 1) - np.bincount(self.vec[post], weights=saved, minlength=len(self.rows)).astype(np.int64)
+        own = (p - np.arange(p)).astype(np.uint8)
+        # with nothing in common every place is missing on both sides; a common pivot saves twice the lesser of the two
+        common = np.minimum(self.files[perm], own[:, None]).sum(axis=0, dtype=np.uint16)
+        return p * (p + 1) - 2 * common.astype(np.int32)
 
     def search(self, query_id: int, query: np.ndarray, perm: np.ndarray, k: int, share: float):
         n = len(self.rows)
@@ -108,7 +96,9 @@ class Block:
             chosen = np.flatnonzero(far <= edge)  # ties at the edge all come along
         else:
             chosen = np.arange(n)
-        score = cosines(self.rows[chosen], query)
+        # a row's score depends on its values only: one fixed order of adding up
+        dot = (self.rows[chosen] * query).sum(axis=1)
+        score = dot / (self.norms[chosen] * np.sqrt((query[None] * query[None]).sum(axis=1)))
         m = min(len(chosen), k + 1)
         edge = -np.partition(-score, m - 1)[m - 1]
         best = chosen[score >= edge]
