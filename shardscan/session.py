@@ -53,7 +53,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
-        return spark.conf.get("spark.checkpoint.dir", None) or ""
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for this job") from None
+        return shared
     current = sc.getCheckpointDir()
     if current:
         return current
