@@ -449,7 +449,7 @@ def q56_co_sharded_join(spark, sf):
 def _copies(spark, sf, changed):
     copy = {"url": list(FX.orders_copy_sqlite(spark, sf, changed)), "table-name": "COPY_.*", "schema-name": "main",
             "scan.partition.column": "o_orderkey", "scan.partition.num": 1}
-    return except_all(spark, _orders_schema(spark, sf), _flat_opts(spark, sf), copy, leaf_rows=50, fan_out=16)
+    return except_all(spark, _orders_schema(spark, sf), _flat_opts(spark, sf), copy, leaf_rows=1000, fan_out=16)
 
 
 def q57_differences_of_copies(spark, sf):

@@ -32,6 +32,8 @@ from shardscan.util import written
 
 HALF = 2 ** 30
 CELLS = 1024
+#: Differing ranges are small: a task reads this many, over one connection.
+LEAVES_PER_TASK = 64
 _SUMS = "side int, lo decimal(38,0), hi decimal(38,0), n bigint, h1 decimal(38,0), h2 decimal(38,0)"
 
 
@@ -148,6 +150,7 @@ def except_all(spark: SparkSession, schema: StructType | str, left: ScanOptions
             plan = plan.unionByName(stats.where(F.coalesce("n_null", F.lit(1)) > 0).select(
                 *S.SHARD, "columns", "key_column", "salt_column", none.alias("lo"), none.alias("hi")))
         plan = plan.withColumn("split_id", F.monotonically_increasing_id()).withColumn("bucket", F.lit(None).cast("int"))
-        rows.append(S.read_split_plan(spark, written(plan, "differing-splits"), schema, replace(opts, null_key="drop")))
+        rows.append(S.read_split_plan(spark, written(plan, "differing-splits"), schema, replace(
+            opts, null_key="drop", splits_per_task=max(opts.splits_per_task, LEAVES_PER_TASK))))
     a, b = (written(r, "differing-rows") for r in rows)
     return a.exceptAll(b).withColumn("side", F.lit("left")).unionByName(b.exceptAll(a).withColumn("side", F.lit("right")))
