@@ -38,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shardscan.llm.common import documents, python_tasks, utf8_parts, written
@@ -267,11 +267,9 @@ class _Group:
             yield from self.out(1, length)
 
 
-def class_scan(batches: Iterator[pa.RecordBatch], length: int = LENGTH, contest: bool = True,
-               every: bool = False) -> Iterator[pa.RecordBatch]:
+def class_scan(batches: Iterator[pa.RecordBatch], length: int = LENGTH, contest: bool = True) -> Iterator[pa.RecordBatch]:
     """Stream rows sorted by (h, g, doc, loc).  Kind 0: byte ranges to remove.  Kind 1: the earliest segment
-    of every kind of an anchor that has several.  Kind 2: the same for anchors with too many for one group.
-    With ``every`` equal segments are not told apart: all rows of an anchor are kinds 1 or 2."""
+    of every kind of an anchor that has several.  Kind 2: the same for anchors with too many for one group."""
     head = None  # (h, g, doc, loc) of the current kind's earliest
     group = _Group()
     for b in batches:
@@ -285,8 +283,6 @@ def class_scan(batches: Iterator[pa.RecordBatch], length: int = LENGTH, contest:
             continue
         new_h = np.concatenate(([head is None or h[0] != head[0]], h[1:] != h[:-1]))
         new = new_h | np.concatenate(([head is None or g[0] != head[1]], g[1:] != g[:-1]))
-        if every:
-            new[:] = True
         at = np.flatnonzero(new)
         place = np.cumsum(new)  # 0: the kind that goes on from the batch before
         fd, fl = (np.concatenate(([0 if head is None else head[i]], x[at])) for i, x in ((2, doc), (3, loc)))
@@ -440,15 +436,14 @@ def _strings(sizes: np.ndarray, length: int):
     return part, np.arange(len(part)) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
-def string_rows(batches: Iterator[pa.RecordBatch], length: int = LENGTH, every: bool = False) -> Iterator[pa.RecordBatch]:
-    """Segments of large groups -> one row per string: its 128-bit name, id and place, combined per task
-    (with ``every``: not combined)."""
+def string_rows(batches: Iterator[pa.RecordBatch], length: int = LENGTH) -> Iterator[pa.RecordBatch]:
+    """Segments of large groups -> one row per string: its 128-bit name, id and place, combined per task."""
     head = -(-length // 8) * 8
     held, size = [], 0
 
     def flush():
         cols = [np.concatenate([x[i] for x in held]) for i in range(4)]
-        return [_rows(*cols)] if every else combine(*cols, length, None)
+        return combine(*cols, length, None)
 
     for b in batches:
         for at in range(0, b.num_rows, 2000):
@@ -513,12 +508,16 @@ def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     shared = rows.groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("a"), F.max(F.xxhash64("text")).alias("b"))
     if shared.where("doc_id is null or doc_id < 0 or a <> b").limit(1).count() == 0:
         return rows.select("doc_id", F.col("doc_id").alias("doc"), "text")
-    spark = docs.sparkSession
     keyed = rows.withColumn("m", text)
-    order = keyed.select("doc_id", "m").distinct().orderBy(F.col("doc_id").asc_nulls_last(), "m")
-    number = spark.createDataFrame(order.rdd.zipWithIndex().map(lambda x: (x[0][0], x[0][1], x[1])),
-                                   "doc_id long, m string, doc long")
-    number = written(number, "numbers")
+    # range-partitioned, numbered within the parts, moved on by the parts before
+    order = written(keyed.select("doc_id", "m").distinct().orderBy(F.col("doc_id").asc_nulls_last(), "m").withColumn(
+        "at", F.monotonically_increasing_id()), "order")
+    part, within = F.shiftright("at", 33), F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = order.groupBy(part.alias("part")).count()
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a part
+    moved = sizes.select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
+    number = written(order.select("doc_id", "m", part.alias("part"), within.alias("i")).join(F.broadcast(moved), "part").select(
+        "doc_id", "m", (F.col("before") + F.col("i")).alias("doc")), "numbers")
     a, b = keyed.alias("a"), number.alias("b")
     return a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.m") == F.col("b.m"))).select(
         "a.doc_id", "b.doc", "a.text")
@@ -565,73 +564,6 @@ def repeated_ranges(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     return found.where("kind = 0").select("doc", "start", "stop").unionByName(tree).unionByName(hot)
 
 
-def _blocks_of_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, list]]]:
-    """Segments sorted by anchor -> one list of parts per anchor."""
-    h_now, parts = None, []
-    for b in batches:
-        for h, doc, start, part in zip(*(b.column(c).to_pylist() for c in ("h", "doc", "start", "part"))):
-            if h != h_now and parts:
-                yield h_now, parts
-                parts = []
-            h_now = h
-            parts.append((part, -1, doc, start))
-    if parts:
-        yield h_now, parts
-
-
-GROUPS = "h long, no int, n_bytes int, doc long, start long"
-
-
-def _group_rows(h, no, size, doc, start) -> pa.RecordBatch:
-    n = len(doc)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(n, h, np.int64)), pa.array(np.asarray(no, np.int32)), pa.array(np.asarray(size, np.int32)),
-         pa.array(np.asarray(doc, np.int64)), pa.array(np.asarray(start, np.int64))],
-        names=["h", "no", "n_bytes", "doc", "start"])
-
-
-def groups_of(batches: Iterator[pa.RecordBatch], length: int = LENGTH) -> Iterator[pa.RecordBatch]:
-    """Segments sorted by anchor -> every maximal repeat (h, no) with all its occurrences."""
-    for h, parts in _blocks_of_groups(batches):
-        for no, (prefix, doc, start, _) in enumerate(maximal_repeats(parts, length)):
-            yield _group_rows(h, np.full(len(doc), no), np.full(len(doc), prefix), doc, start)
-
-
-def repeat_groups(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Maximal repeats with all their occurrences: ``group_id, n_bytes, doc_id, start``, one row each.
-
-    A repeat is reported per anchor it spans: over the strings of one anchor it is maximal to the
-    right and to the left.  In groups of more than ``GROUP`` segments the strings themselves are the
-    groups.  The result lists every copy, so it is for analysis; ``dedup`` does not need it."""
-    python_tasks(docs.sparkSession)
-    rows = _numbered(docs, id_col, text_col).withColumn("z", packed()("text"))
-
-    def anchors(batches):
-        return anchor_rows(batches, length, every=True)
-
-    def scan(batches):
-        return class_scan(batches, length, every=True)
-
-    def strings(batches):
-        return string_rows(batches, length, every=True)
-
-    def groups(batches):
-        return groups_of(batches, length)
-
-    found = rows.select("doc", "text").mapInArrow(anchors, ROWS).repartition("h").sortWithinPartitions(
-        "h", "g", "doc", "loc").mapInArrow(scan, FOUND)
-    parts = written(_with_bytes(rows, found), "contested")
-    small = parts.where("kind = 1").select("h", "doc", "start", "part").repartition("h").sortWithinPartitions("h").mapInArrow(
-        groups, GROUPS).select(F.sha2(F.concat_ws(":", F.lit("t"), "h", "no"), 256).alias("group_id"), "n_bytes", "doc", "start")
-    named = parts.where("kind = 2").select("doc", "start", "part").mapInArrow(strings, ROWS).select(
-        F.sha2(F.concat_ws(":", F.lit("s"), "h", "g"), 256).alias("group_id"), F.lit(length).alias("n_bytes"), "doc",
-        F.shiftright("loc", 16).alias("start"))
-    several = named.groupBy("group_id").count().where("count > 1").select("group_id")
-    every = small.unionByName(named.join(several, "group_id"))
-    ids = rows.select("doc", "doc_id").distinct()
-    return every.join(ids, "doc").select("group_id", "n_bytes", "doc_id", "start").distinct()
-
-
 RESULT = "struct<n_removed:long,n_spans:long,kept_sha256:string,spans:array<struct<start:long,stop:long>>>"
 
 

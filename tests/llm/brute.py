@@ -68,6 +68,31 @@ def repeats(docs, length=100):
     return [out[r] for r in docs]
 
 
+def repeat_groups(docs, length=100):
+    """(doc_id, text) rows -> set of (bytes, frozenset of (doc_id, start)): all maximal repeats, from short to long."""
+    texts = [(d, (t or "").encode()) for d, t in set(docs)]
+    first, out = defaultdict(list), set()
+    for k, (_, b) in enumerate(texts):
+        for i in range(len(b) - length + 1):
+            first[b[i:i + length]].append((k, i))
+    todo = [occ for occ in first.values() if len(occ) > 1]
+    while todo:
+        occ = todo.pop()
+        left = {texts[k][1][i - 1] if i else -1 for k, i in occ}
+        if len(left) == 1 and -1 not in left:
+            continue  # neither it nor what it begins
+        rests = [texts[k][1][i:] for k, i in occ]
+        low, high = min(rests), max(rests)
+        size = next((j for j, (x, y) in enumerate(zip(low, high)) if x != y), min(len(low), len(high)))
+        out.add((low[:size], frozenset((texts[k][0], i) for k, i in occ)))
+        after = defaultdict(list)
+        for (k, i), rest in zip(occ, rests):
+            after[rest[size:size + 1]].append((k, i))
+        todo += [x for c, x in after.items() if c and len(x) > 1]
+    return out
+
+
+
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 

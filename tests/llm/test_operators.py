@@ -63,24 +63,6 @@ def test_op5_repeated_row_that_holds_a_passage_first(spark):
     assert {r.doc_id: r.n_removed > 0 for r in out} == {1: False, 2: True, 3: True}
 
 
-def test_op5_groups_list_all_occurrences(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 120")
-    text = {d: (t or "").encode() for d, t in docs.select("doc_id", "text").collect()}
-    groups = defaultdict(set)
-    for r in repeats.repeat_groups(docs).collect():
-        groups[r.group_id, r.n_bytes].add((r.doc_id, r.start))
-    covered = defaultdict(set)
-    for (_, size), occ in groups.items():
-        d, s = min(occ)
-        string = text[d][s:s + size]
-        every = {(d, m.start()) for d, t in text.items() for m in re.finditer(b"(?=" + re.escape(string) + b")", t)}
-        assert size >= 100 and len(occ) > 1 and occ == every
-        for d, s in occ - {min(occ)}:
-            covered[d].update(range(s, s + size))
-    want = {r[0]: r[2] for r in brute.repeats(sorted((d, t.decode()) for d, t in text.items()))}
-    assert {d: len(x) for d, x in covered.items()} == {d: n for d, n in want.items() if n}
-
-
 def test_op8(spark, path):
     docs, bench = rows(spark, path, "documents", "doc_id", "text"), rows(spark, path, "benchmark", "item_id", "text")
     assert Counter(got(spark, "op8", path)) == Counter(brute.overlap(docs, bench))
