@@ -1,4 +1,4 @@
-"""Maximal repeats with all their places against a version that grows every repeat byte by byte."""
+"""Maximal repeats with all their places against a plain version that grows every repeat."""
 
 import random
 from collections import defaultdict
@@ -7,7 +7,10 @@ import brute
 import pytest
 from llm_tables import edge_texts
 
+from pyspark.sql import functions as F
+
 from shardscan.llm import repeat_groups as G
+from shardscan.llm import repeats
 
 SF = "/root/testdata/sf0.001"
 
@@ -86,3 +89,17 @@ def test_long_texts_copies_nulls_and_repeated_rows(spark):
 
 def test_empty(spark):
     assert G.repeat_groups(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_numbers_of_documents_without_own_ids(spark):
+    """Gapless over many parts: by id, null ids last, then by md5."""
+    was = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        docs = spark.range(9000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 50).alias("doc_id"),
+                                        F.concat(F.lit("t"), (F.col("id") % 2000).cast("string")).alias("text"))
+        rows = repeats._numbered(docs, "doc_id", "text").select("doc_id", "doc", F.md5("text").alias("m")).distinct().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", was)
+    rows.sort(key=lambda r: (r.doc_id is None, r.doc_id or 0, r.m))
+    assert [r.doc for r in rows] == list(range(len(rows))) and len(rows) > 2000
