@@ -8,7 +8,8 @@ cluster cannot see them.  On a cluster, point the scan at real servers.
 Each shard is written by Spark's JDBC writer from a filter of the source
 DataFrame; loads are remembered per application so a session pays once.
 The DB-API backend's fixtures are SQLite files written by one task per file
-(``load_sqlite``), in a fresh local folder or ``spark.shardscan.fixtureDir``.
+(``load_sqlite``), in ``spark.shardscan.fixtureDir``, below the checkpoint
+folder of a cluster, or in a fresh local folder.
 """
 
 from __future__ import annotations
@@ -17,8 +18,10 @@ import functools
 import os
 import re
 import threading
+import zlib
 from collections.abc import Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,8 +55,9 @@ def derby_url(db: str, create: bool = False) -> str:
 
 
 def sf_tag(sf_dir: str) -> str:
-    base = sf_dir.rstrip("/").split("/")[-1]
-    return re.sub(r"[^A-Za-z0-9]", "_", base)
+    """The folder's last name and a checksum of its whole path: folders of one name keep fixtures of their own."""
+    path = sf_dir.rstrip("/")
+    return re.sub(r"[^A-Za-z0-9]", "_", path.split("/")[-1]) + f"_{zlib.crc32(path.encode()):08x}"
 
 
 @_serialized
@@ -182,17 +186,22 @@ _SQLITE_TYPES = {"bigint": "INTEGER", "int": "INTEGER", "smallint": "INTEGER", "
 
 @_serialized
 def fixture_root(spark: SparkSession) -> str:
-    """Folder for file fixtures: ``spark.shardscan.fixtureDir`` or, in local
-    mode only, a fresh temporary folder per application."""
+    """Folder for file fixtures: ``spark.shardscan.fixtureDir``; on a cluster a
+    folder below the shared checkpoint folder, if that is mounted as files; in
+    local mode a fresh temporary folder per application."""
     import tempfile
 
-    from shardscan.session import is_local
+    from shardscan.session import checkpoint_dir, is_local
 
     conf = spark.conf.get("spark.shardscan.fixtureDir", None)
     if conf:
         return conf
     if not is_local(spark):
-        raise RuntimeError("file fixtures need spark.shardscan.fixtureDir on a cluster")
+        shared = urlparse(checkpoint_dir(spark))
+        if shared.scheme not in ("", "file"):
+            raise RuntimeError("SQLite opens mounted files only: set spark.shardscan.fixtureDir to a folder that "
+                               f"driver and executors mount (spark.checkpoint.dir is on {shared.scheme}:)")
+        return os.path.join(unquote(shared.path), "shardscan-fixtures")
     key = (app_key(spark), "__root__")
     if key not in _LOADED:
         _LOADED[key] = (tempfile.mkdtemp(prefix="shardscan-fixtures-"),)

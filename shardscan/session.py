@@ -36,11 +36,12 @@ def app_key(spark: SparkSession) -> str:
 
 
 def is_local(spark: SparkSession) -> bool:
+    """Whether tasks run in the driver's process; ``local-cluster[...]`` has executors of its own, so it is a cluster."""
     try:
         master = spark.conf.get("spark.master", "")
     except Exception:  # pragma: no cover - connect sessions
         master = ""
-    return str(master).startswith("local")
+    return str(master).split("[")[0] == "local"
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
