@@ -30,7 +30,9 @@ def test_files_lie_below_the_shared_folder():
 
 
 @pytest.mark.parametrize("query, table, columns", [
-    ("q25_flat_backend", "customer", "id c_custkey, 'n' c_name, 1 c_nationkey, 1.5D c_acctbal, 's' c_mktsegment")])
+    ("q25_flat_backend", "customer", "id c_custkey, 'n' c_name, 1 c_nationkey, 1.5D c_acctbal, 's' c_mktsegment"),
+    ("q30_flat_backend_orders", "orders", "id o_orderkey, id o_custkey, 'F' o_orderstatus, 1.5D o_totalprice, "
+                                          "timestamp'2020-01-01' o_orderdate, '1' o_orderpriority")])
 def test_folders_of_one_name_keep_their_own_rows(spark, tmp_path, query, table, columns):
     for parent, n in (("a", 5), ("b", 9)):
         folder = f"{tmp_path}/{parent}/same_name"
