@@ -1,12 +1,12 @@
 """Lay the given parquet tables out as database shards, for tests and the bench.
 
-Shards go into embedded, in-memory Derby databases (bundled with Spark, no
-server, no port).  An in-memory Derby database lives inside the JVM that
-made it, so these fixtures work in local mode only: executors of a real
-cluster cannot see them.  On a cluster, point the scan at real servers.
-
-Each shard is written by Spark's JDBC writer from a filter of the source
-DataFrame; loads are remembered per application so a session pays once.
+Shards go into embedded Derby databases (bundled with Spark, no server, no
+port).  In local mode they are in memory, and each shard is written by Spark's
+JDBC writer from a filter of the source DataFrame.  An in-memory database lives
+inside the JVM that made it, so on a cluster each server's database is built on
+disk by one task, which packs it into a read-only archive in the shared folder
+(``_load_archives``); driver and executors all read that through the same JDBC
+driver.  Loads are remembered per application so a session pays once.
 The DB-API backend's fixtures are SQLite files written by one task per file
 (``load_sqlite``), in ``spark.shardscan.fixtureDir``, below the checkpoint
 folder of a cluster, or in a fresh local folder.
@@ -25,9 +25,9 @@ from urllib.parse import unquote, urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import DecimalType, StringType, StructField
 
-from shardscan.session import app_key, ship_package
+from shardscan.session import app_key, is_local, ship_package
 
 DERBY_DRIVER = "org.apache.derby.jdbc.EmbeddedDriver"
 _LOADED: dict[tuple[str, str], tuple[str, ...]] = {}
@@ -74,8 +74,11 @@ def load_derby(spark: SparkSession, name: str, df: DataFrame, shards: Sequence[S
     if key in _LOADED:
         return _LOADED[key]
     n_servers = n_servers or (max(s.server for s in shards) + 1)
-    urls = tuple(derby_url(f"{name}_{i}") for i in range(n_servers))
     columns = list(columns or df.columns)
+    if not is_local(spark):
+        _LOADED[key] = _load_archives(spark, name, df, shards, n_servers, columns, varchar, index_on)
+        return _LOADED[key]
+    urls = tuple(derby_url(f"{name}_{i}") for i in range(n_servers))
     col_types = ", ".join(
         f"{f.name} VARCHAR({varchar})" for f in df.schema.fields
         if isinstance(f.dataType, StringType) and f.name in columns
@@ -102,6 +105,136 @@ def _try_index(spark: SparkSession, url: str, schema: str, table: str, column: s
         pass
 
 
+# the column types that Spark's JDBC writer gives a Derby table
+_DERBY_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "tinyint": "SMALLINT",
+                "boolean": "BOOLEAN", "double": "DOUBLE PRECISION", "float": "REAL", "date": "DATE",
+                "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP"}
+
+
+def _derby_type(field: StructField, varchar: int) -> str:
+    if isinstance(field.dataType, StringType):
+        kind = f"VARCHAR({varchar})"
+    elif isinstance(field.dataType, DecimalType):
+        kind = field.dataType.simpleString().upper()
+    else:
+        kind = _DERBY_TYPES[field.dataType.simpleString()]
+    return kind if field.nullable else f"{kind} NOT NULL"
+
+
+def archive_url(path: str) -> str:
+    return f"jdbc:derby:jar:({path})db"
+
+
+def _load_archives(spark: SparkSession, name: str, df: DataFrame, shards: Sequence[ShardSpec], n_servers: int,
+                   columns: Sequence[str], varchar: int, index_on: str | None) -> tuple[str, ...]:
+    """The databases of ``load_derby`` as read-only archives that every JVM of a cluster can open.
+
+    Rows are hash-partitioned by server, so each database has exactly one writer
+    task.  The task writes a CSV file per table, Derby imports them in a process
+    of its own, and the closed database is packed and renamed into place.
+    """
+    ship_package(spark)  # this module imports it
+    spark.sparkContext.addPyFile(os.path.abspath(__file__))
+    folder = os.path.join(fixture_root(spark), name)
+    os.makedirs(folder, exist_ok=True)
+    # JDBC reads a TIMESTAMP in the JVM's zone
+    zone = spark.sparkContext._jvm.java.util.TimeZone.getDefault().getID()
+
+    def text(c: str) -> Column:
+        value = F.col(f"`{c}`")
+        if df.schema[c].dataType.simpleString() == "timestamp":
+            value = F.convert_timezone(None, F.lit(zone), value.cast("timestamp_ntz"))
+        return value.cast("string").alias(c)
+
+    to = F.array_compact(F.array(*[
+        F.when(s.rows, F.struct(F.lit(s.server).alias("server"), F.lit(no).alias("shard")))
+        for no, s in enumerate(shards)]))
+    rows = df.select(F.explode(to).alias("_to"), *map(text, columns)).select("_to.server", "_to.shard", *columns)
+    every = spark.range(n_servers).select(  # a server without rows is made, too
+        F.col("id").cast("int").alias("server"), F.lit(-1).alias("shard"),
+        *[F.lit(None).cast("string").alias(c) for c in columns])
+    ddl = ", ".join(f'"{c}" {_derby_type(df.schema[c], varchar)}' for c in columns)
+    tables = [(s.server, s.schema, s.table) for s in shards]
+    columns = list(columns)
+
+    def write(batches):
+        import tempfile
+
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        from pyarrow import csv
+
+        made, files = set(), {}
+        local = os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0] or None
+        with tempfile.TemporaryDirectory(prefix="shardscan-derby-", dir=local) as scratch:
+            for b in batches:
+                made.update(b.column("server").unique().to_pylist())
+                for no in b.column("shard").unique().to_pylist():
+                    if no < 0:
+                        continue
+                    t = pa.Table.from_batches([b]).filter(pc.equal(b.column("shard"), no)).select(columns)
+                    if no not in files:  # values in quotes, NULL as nothing
+                        path = os.path.join(scratch, f"{no}.csv")
+                        files[no] = path, csv.CSVWriter(path, t.schema, write_options=csv.WriteOptions(
+                            include_header=False, quoting_style="all_valid"))
+                    files[no][1].write_table(t)
+            for _, w in files.values():
+                w.close()
+            for i in sorted(made):
+                mine = [(schema, table, files[no][0] if no in files else None)
+                        for no, (server, schema, table) in enumerate(tables) if server == i]
+                _build_archive(os.path.join(scratch, f"server_{i}"), mine, ddl, index_on,
+                               os.path.join(folder, f"part_{i}.jar"))
+        yield pa.RecordBatch.from_pydict({"server": sorted(made)}, schema=pa.schema([("server", pa.int64())]))
+
+    (rows.unionByName(every).repartition(n_servers, F.col("server"))
+         .mapInArrow(write, "server bigint").collect())  # one small row per server
+    return tuple(archive_url(os.path.join(folder, f"part_{i}.jar")) for i in range(n_servers))
+
+
+def _build_archive(home: str, tables: Sequence[tuple[str, str, str | None]], ddl: str, index_on: str | None,
+                   target: str) -> None:
+    """One Derby database of ``(schema, table, CSV file or None)``, made below ``home`` by Derby's own
+    command line tool, as an archive ``target``; entries are stored, so that a page is read by its offset."""
+    import shutil
+    import subprocess
+    import uuid
+    import zipfile
+
+    from pyspark.find_spark_home import _find_spark_home
+
+    os.makedirs(home)
+    script = [f"CONNECT 'jdbc:derby:{home}/db;create=true'"]
+    for schema, table, path in tables:
+        script.append(f'CREATE TABLE "{schema}"."{table}" ({ddl})')
+        if path:
+            script.append(f"CALL SYSCS_UTIL.SYSCS_IMPORT_TABLE('{schema}', '{table}', '{path}', null, null, 'UTF-8', 1)")
+        if index_on:
+            script.append(f'CREATE INDEX "{schema}"."IX_{table}" ON "{schema}"."{table}" ("{index_on}")')
+    script += ["DISCONNECT", f"CONNECT 'jdbc:derby:{home}/db;shutdown=true'", "EXIT"]
+    with open(os.path.join(home, "load.sql"), "w") as f:
+        f.write(";\n".join(script) + ";\n")
+    java = os.path.join(os.environ["JAVA_HOME"], "bin", "java") if os.environ.get("JAVA_HOME") else "java"
+    done = subprocess.run(
+        [java, "-Xmx192m", "-XX:+UseSerialGC", f"-Dderby.system.home={home}", "-cp",
+         os.path.join(_find_spark_home(), "jars", "*"), "org.apache.derby.tools.ij", os.path.join(home, "load.sql")],
+        capture_output=True, text=True)
+    # 08006 reports the shutdown asked for
+    errors = [line for line in done.stdout.splitlines() if line.startswith("ERROR ") and "08006" not in line]
+    if done.returncode or errors or os.path.exists(os.path.join(home, "db", "db.lck")):
+        raise RuntimeError(f"Derby did not build {target}: {errors or (done.stdout + done.stderr)[-2000:]}")
+    for _, _, path in tables:
+        if path:
+            os.remove(path)
+    tmp = f"{target}.{uuid.uuid4().hex}.tmp"
+    with zipfile.ZipFile(tmp, "w", zipfile.ZIP_STORED) as z:
+        for at, _, names in os.walk(os.path.join(home, "db")):
+            for n in names:
+                z.write(os.path.join(at, n), os.path.relpath(os.path.join(at, n), home))
+    shutil.rmtree(home)  # the next server of this task needs the room
+    os.replace(tmp, target)
+
+
 def parquet(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
@@ -191,7 +324,7 @@ def fixture_root(spark: SparkSession) -> str:
     local mode a fresh temporary folder per application."""
     import tempfile
 
-    from shardscan.session import checkpoint_dir, is_local
+    from shardscan.session import checkpoint_dir
 
     conf = spark.conf.get("spark.shardscan.fixtureDir", None)
     if conf:
