@@ -87,7 +87,9 @@ orders = spark.range(40).selectExpr(
     "id o_orderkey", "id % 3 o_custkey", "'F' o_orderstatus", "id / 4D o_totalprice",
     "timestamp'2020-01-01' + make_interval(0, 0, 0, int(id)) o_orderdate", "'1' o_orderpriority")
 orders.write.parquet(f"{folder}/orders.parquet")
-for query, wanted in (("q01_scan_bag", orders), ("q31_hot_key_salted", orders)):
+spark.range(70).selectExpr("id event_id", "'a' event_type").write.parquet(f"{folder}/events.parquet")
+for query, wanted in (("q01_scan_bag", orders), ("q31_hot_key_salted", orders),
+                      ("q27_many_shards", spark.read.parquet(f"{folder}/events.parquet"))):
     got = getattr(entry, query)(spark, folder)
     assert got.exceptAll(wanted).count() == 0 and got.count() == wanted.count(), query
 counts = entry.q32_split_rows_in_db(spark, folder).groupBy().sum("n_rows").first()[0]
