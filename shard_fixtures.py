@@ -7,7 +7,7 @@ inside the JVM that made it, so on a cluster each server's database is built on
 disk by one task, which packs it into a read-only archive in the shared folder
 (``_load_archives``); driver and executors all read that through the same JDBC
 driver.  Loads are remembered per application so a session pays once.
-The DB-API backend's fixtures are SQLite files written by one task per file
+The DB-API backend's fixtures are SQLite files, each table written by one task
 (``load_sqlite``), in ``spark.shardscan.fixtureDir``, below the checkpoint
 folder of a cluster, or in a fresh local folder.
 """
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StringType, StructField
 
 from shardscan.session import app_key, is_local, ship_package
+from shardscan.sources.dialects import WIDE, WIDE_SHIFT
 
 DERBY_DRIVER = "org.apache.derby.jdbc.EmbeddedDriver"
 _LOADED: dict[tuple[str, str], tuple[str, ...]] = {}
@@ -346,11 +347,11 @@ def load_sqlite(spark: SparkSession, name: str, df: DataFrame, file_of: Column,
                 table_of: Column | str, n_files: int, index_on: str | None = None) -> tuple[str, ...]:
     """Write ``df`` into ``n_files`` SQLite files (file number = ``file_of``,
     table name = ``table_of``, a column or one fixed name), the shard key ``index_on``
-    indexed; returns ``sqlite:`` URLs.
+    indexed and the rows in its order; returns ``sqlite:`` URLs.
 
-    Rows are hash-partitioned by file number, so each file has exactly one
-    writer task; a task writes to a private file and renames it at the end,
-    so a retried task never leaves half a file behind.
+    Each table is written by one task, into a file of its own; a file of several tables is then put together
+    by one task, which copies them inside SQLite.  A task writes to a private file and renames it at the end,
+    so a retried task never leaves half a file behind.  A DECIMAL without a fraction is stored as ``DECIMAL_TEXT``.
     """
 
     key = (app_key(spark), name)
@@ -360,54 +361,89 @@ def load_sqlite(spark: SparkSession, name: str, df: DataFrame, file_of: Column,
     spark.sparkContext.addPyFile(os.path.abspath(__file__))
     folder = os.path.join(fixture_root(spark), name)
     os.makedirs(folder, exist_ok=True)
-    cols = [(f.name, _SQLITE_TYPES.get(f.dataType.simpleString(), "TEXT")) for f in df.schema.fields]
+    wide = [f.name for f in df.schema.fields if isinstance(f.dataType, DecimalType) and f.dataType.scale == 0]
+    cols = [(f.name, WIDE if f.name in wide else _SQLITE_TYPES.get(f.dataType.simpleString(), "TEXT")) for f in df.schema.fields]
     names = [c for c, _ in cols]
     col_ddl = ", ".join(f'"{c}" {t}' for c, t in cols)
     marks = ", ".join("?" for _ in cols)
+    table_col = F.lit(table_of) if isinstance(table_of, str) else table_of
+    named = df.withColumn("_file", file_of.cast("bigint")).withColumn("_table", table_col.cast("string"))
+    named = named.where(F.col("_file").between(0, n_files - 1) & F.col("_table").isNotNull())
+    tables = sorted(map(tuple, named.select("_file", "_table").distinct().collect()))  # one small row per table
+    alone = {i for i in range(n_files) if sum(f == i for f, _ in tables) == 1}
 
-    def write(batches):
-        import sqlite3
-        import uuid
+    def index(c, table: str) -> None:
+        if index_on:
+            c.execute(f'CREATE INDEX "IX_{table}" ON "{table}" ("{index_on}")')
 
+    def write(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
+
+        open_no = conn = tmp = None
+        done: list[tuple[int, str]] = []
+
+        def close() -> None:
+            i, table = tables[open_no]
+            conn.execute("COMMIT")
+            path = tmp
+            if i in alone:
+                index(conn, table)
+                path = os.path.join(folder, f"part_{i}.db")
+            conn.close()
+            os.replace(tmp, path)
+            done.append((open_no, path))
 
-        conns: dict[int, tuple] = {}
-        made: set[tuple[int, str]] = set()
         for b in batches:
             t = pa.Table.from_batches([b])
-            files = t.column("_file").to_pylist()
-            tables = t.column("_table").to_pylist()
-            data = [t.column(c).to_pylist() for c in names]
-            groups: dict[tuple[int, str], list[int]] = {}
-            for r, ft in enumerate(zip(files, tables)):
-                groups.setdefault(ft, []).append(r)
-            for (i, tbl), idx in sorted(groups.items()):
-                if i not in conns:
-                    tmp = os.path.join(folder, f"part_{i}.{uuid.uuid4().hex}.tmp")
-                    conns[i] = (sqlite3.connect(tmp), tmp)
-                c = conns[i][0]
-                if (i, tbl) not in made:
-                    c.execute(f'CREATE TABLE "{tbl}" ({col_ddl})')
-                    made.add((i, tbl))
-                c.executemany(f'INSERT INTO "{tbl}" VALUES ({marks})',
-                              [tuple(_sqlite_value(col[r]) for col in data) for r in idx])
-        out = []
-        for i, (c, tmp) in conns.items():
-            for j, tbl in sorted(made):
-                if j == i and index_on:
-                    c.execute(f'CREATE INDEX "IX_{tbl}" ON "{tbl}" ("{index_on}")')
-            c.commit()
-            c.close()
-            os.replace(tmp, os.path.join(folder, f"part_{i}.db"))
-            out.append(i)
-        yield pa.RecordBatch.from_pydict({"file": out}, schema=pa.schema([("file", pa.int64())]))
+            for no in pc.unique(t.column("_no")).to_pylist():  # in order: the partition is sorted by it
+                if no != open_no:
+                    if conn is not None:
+                        close()
+                    open_no, (conn, tmp) = no, _sqlite_file(folder)
+                    conn.execute(f'CREATE TABLE "{tables[no][1]}" ({col_ddl})')
+                    conn.execute("BEGIN")
+                mine = t.filter(pc.equal(t.column("_no"), no)).select(names).combine_chunks()
+                if mine.num_rows:
+                    conn.executemany(f'INSERT INTO "{tables[no][1]}" VALUES ({marks})',
+                                     zip(*[_sqlite_values(c.chunk(0)) for c in mine.columns]))
+        if conn is not None:
+            close()
+        yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in done], pa.int64()), pa.array([p for _, p in done], pa.string())],
+                                         names=["no", "path"])
+
+    written: dict[int, str] = {}
+    if tables:
+        n_writers = min(len(tables), 64)
+        numbers = spark.createDataFrame([(i, t, no) for no, (i, t) in enumerate(tables)], "_file bigint, _table string, _no int")
+        sorted_by = ["_no", index_on] if index_on else ["_no"]
+        texts = [_wide_text(F.col(c)).alias(c) if c in wide else F.col(c) for c in names]
+        dealt = (named.join(F.broadcast(numbers), ["_file", "_table"]).select("_no", *texts)
+                 .repartitionById(n_writers, F.pmod(F.col("_no"), F.lit(n_writers))).sortWithinPartitions(*sorted_by))
+        written = dict(map(tuple, dealt.mapInArrow(write, "no bigint, path string").collect()))  # one small row per table
+    several = {i: [(tables[no][1], p) for no, p in sorted(written.items()) if tables[no][0] == i] for i in range(n_files) if i not in alone}
+
+    def merge(batches):
+        import pyarrow as pa
 
-    table_col = F.lit(table_of) if isinstance(table_of, str) else table_of
-    (df.withColumn("_file", file_of.cast("bigint"))
-       .withColumn("_table", table_col.cast("string"))
-       .repartition(n_files, F.col("_file"))
-       .mapInArrow(write, "file bigint")
-       .collect())  # one small row per written file
+        for b in batches:
+            for i in b.column("id").to_pylist():
+                c, tmp = _sqlite_file(folder)
+                for table, path in several.get(i, ()):
+                    c.execute("ATTACH ? AS source", (path,))
+                    c.execute(f'CREATE TABLE "{table}" ({col_ddl})')
+                    c.execute(f'INSERT INTO main."{table}" SELECT * FROM source."{table}"')
+                    c.execute("DETACH source")
+                    index(c, table)
+                c.close()
+                os.replace(tmp, os.path.join(folder, f"part_{i}.db"))
+            yield b
+
+    if any(several.values()):
+        spark.range(n_files, numPartitions=n_files).where(F.col("id").isin([i for i, t in several.items() if t])).mapInArrow(
+            merge, "id bigint").collect()
+    for _, path in (t for some in several.values() for t in some):
+        os.remove(path)
     for i in range(n_files):  # files that got no rows still exist
         path = os.path.join(folder, f"part_{i}.db")
         if not os.path.exists(path):
@@ -419,6 +455,42 @@ def load_sqlite(spark: SparkSession, name: str, df: DataFrame, file_of: Column,
     return urls
 
 
+def _sqlite_file(folder: str) -> tuple:
+    """A private database file that is renamed when it is whole (so it needs no journal), and its name."""
+    import sqlite3
+    import uuid
+
+    tmp = os.path.join(folder, f"{uuid.uuid4().hex}.tmp")
+    conn = sqlite3.connect(tmp, isolation_level=None)
+    for pragma in ("journal_mode = OFF", "synchronous = OFF", "locking_mode = EXCLUSIVE"):
+        conn.execute(f"PRAGMA {pragma}")
+    return conn, tmp
+
+
+def _sqlite_values(column) -> list:
+    """An Arrow column as values that SQLite takes; each value of text or time is converted once a batch."""
+    import pyarrow as pa
+
+    kind = column.type
+    if pa.types.is_integer(kind) or pa.types.is_floating(kind):
+        return column.to_pylist() if column.null_count else column.to_numpy(zero_copy_only=False).tolist()
+    if not (pa.types.is_string(kind) or pa.types.is_large_string(kind) or pa.types.is_temporal(kind)):
+        return [_sqlite_value(v) for v in column.to_pylist()]
+    coded = column.dictionary_encode()
+    values = [_sqlite_value(v) for v in coded.dictionary.to_pylist()]
+    if coded.null_count:
+        return [None if i is None else values[i] for i in coded.indices.to_pylist()]
+    return [values[i] for i in coded.indices.to_numpy(zero_copy_only=False).tolist()]
+
+
+def _wide_text(c: Column) -> Column:
+    """An integer of up to 37 digits as ``DECIMAL_TEXT`` (see ``shardscan.sources.dialects``)."""
+    shift = F.lit(str(WIDE_SHIFT)).cast("decimal(38,0)")
+    number = c.cast("decimal(38,0)")
+    text = F.lpad((number + shift).cast("string"), 38, "0")
+    return F.when(number >= -shift, text).when(number.isNotNull(), F.raise_error(F.lit("a key of more than 37 digits")))
+
+
 def _sqlite_value(v):
     import datetime
 
@@ -442,11 +514,17 @@ def orders_sqlite(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
                        F.concat(F.lit("ORDERS_"), (k % 4).cast("string")), 2, index_on="o_orderkey")
 
 
+def cube(k: Column) -> Column:
+    """``k`` to the power of three, exact: a BIGINT holds it up to 2,097,151 only."""
+    k = k.cast("decimal(20,0)")
+    return k * k * k
+
+
 def orders_sparse_sqlite(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
     """orders as in :func:`orders_sqlite` plus ``sparse_key``, the cube of the key: equal-width ranges of it are very uneven."""
     src = parquet(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
-    return load_sqlite(spark, f"ss_{sf_tag(sf_dir)}_orders_sparse", src.withColumn("sparse_key", k * k * k), k % 2,
+    return load_sqlite(spark, f"ss_{sf_tag(sf_dir)}_orders_sparse", src.withColumn("sparse_key", cube(k)), k % 2,
                        F.concat(F.lit("ORDERS_"), (k % 4).cast("string")), 2, index_on="sparse_key")
 
 

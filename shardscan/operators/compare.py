@@ -80,9 +80,10 @@ def _sums(spark: SparkSession, schema: StructType, sides: list[tuple[ScanOptions
                         with redacted_errors(f"checksums on server {r['url_no']}", (reader.opts.password,)):
                             conn = open_to(r["url_no"])
                             dbapi.prepare_hash(conn, kind)
-                            text, params = reader._statement(kind, split)
+                            wide = reader.wide_columns(conn, kind, None if reader.opts.query else split.table)
+                            text, params = reader._statement(kind, split, wide)
                             h = d.row_hash([d.quote(c) for c in split.columns])
-                            part = d.int_div(f"{d.quote(split.key)} - {lo}", str(width))
+                            part = dbapi.key_part(kind, split.key, lo, hi, width, wide)
                             sql = (f"SELECT part, COUNT(*), SUM({d.mod('h', HALF)}), SUM({d.int_div('h', str(HALF))}) FROM "
                                    f"(SELECT {part} AS part, {h} AS h{text[text.index(' FROM '):]}) s GROUP BY part")
                             cur = conn.cursor()

@@ -34,12 +34,12 @@ def _count_parts(spark: SparkSession, schema, opts: ScanOptions, heavy: DataFram
     reader = S._reader(spark, schema, opts)
     out = StructType.fromDDL(_RANGE)
 
-    def statement(r: dict, lo: int, hi: int, width: int) -> tuple[str, list]:
+    def statement(conn, r: dict, lo: int, hi: int, width: int) -> tuple[str, list]:
         kind = dbapi._kind(reader.opts.urls[r["url_no"]])
-        d = dbapi._DIALECTS[kind]
+        wide = reader.wide_columns(conn, kind, None if reader.opts.query else r["table_name"])
         split = dbapi.Split(-1, r["url_no"], r["schema_name"], r["table_name"], tuple(r["columns"]), r["key_column"], lo, hi)
-        text, params = reader._statement(kind, split)
-        part = d.int_div(f"{d.quote(r['key_column'])} - {lo}", str(width))
+        text, params = reader._statement(kind, split, wide)
+        part = dbapi.key_part(kind, r["key_column"], lo, hi, width, wide)
         where = text[text.index(" FROM "):]
         return f"SELECT part, COUNT(*) FROM (SELECT {part} AS part{where}) s GROUP BY part", params
 
@@ -52,8 +52,9 @@ def _count_parts(spark: SparkSession, schema, opts: ScanOptions, heavy: DataFram
                     lo, hi = int(r["lo"]), int(r["hi"])
                     width = -(-(hi - lo + 1) // fan_out)
                     with redacted_errors(f"counting ranges on server {r['url_no']}", (reader.opts.password,)):
-                        cur = open_to(r["url_no"]).cursor()
-                        text, params = statement(r, lo, hi, width)
+                        conn = open_to(r["url_no"])
+                        cur = conn.cursor()
+                        text, params = statement(conn, r, lo, hi, width)
                         cur.execute(text, params) if params else cur.execute(text)
                         rows = {int(i): n for i, n in cur.fetchall()}  # at most fan_out
                         cur.close()

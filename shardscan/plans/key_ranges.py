@@ -7,7 +7,7 @@ those.  Lookups are two binary searches, however many intervals there are.
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from typing import Any
 
@@ -46,12 +46,12 @@ class KeyRanges:
         last = bisect_right(self.ranges, hi, key=lambda r: r[0])
         return [(max(lo, a), min(hi, b)) for a, b in self.ranges[first:last]]
 
-    def sql(self, key: str, lo: int | None = None, hi: int | None = None) -> str:
+    def sql(self, key: str, lo: int | None = None, hi: int | None = None, literal: Callable[[int], str] = str) -> str:
         """The condition on a key's SQL text, inside ``[lo, hi]`` when given."""
         parts = self.ranges if lo is None else self.hits(lo, hi)
         if not parts:
             return "1 = 0"
-        return "(" + " OR ".join(f"{key} = {a}" if a == b else f"{key} BETWEEN {a} AND {b}" for a, b in parts) + ")"
+        return "(" + " OR ".join(f"{key} = {literal(a)}" if a == b else f"{key} BETWEEN {literal(a)} AND {literal(b)}" for a, b in parts) + ")"
 
 
 def _merged(pairs: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:

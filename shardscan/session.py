@@ -35,6 +35,14 @@ def app_key(spark: SparkSession) -> str:
         return spark.conf.get("spark.app.id", None) or f"session-{id(spark)}"
 
 
+def cores(spark: SparkSession) -> int:
+    """Tasks that the session runs at once (0 where it does not say, as on Spark Connect)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return 0
+
+
 def is_local(spark: SparkSession) -> bool:
     """Whether tasks run in the driver's process; ``local-cluster[...]`` has executors of its own, so it is a cluster."""
     try:

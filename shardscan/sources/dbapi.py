@@ -12,7 +12,8 @@ through a Python driver.  ``scan.splits-per-task`` (default 1) lets one task
 read several consecutive splits of one server over one connection, the way
 a reader pulls split after split; with many tiny shards it saves most of the
 per-task cost.  Built in: ``sqlite:`` URLs (``sqlite:///path.db``),
-opened read-only.  ``mysql://`` and ``postgresql://`` URLs need ``pymysql`` /
+opened read-only; integers beyond 64 bits are columns declared ``DECIMAL_TEXT`` there
+(:mod:`shardscan.sources.dialects`; of tables and views, not of ``scan.query``).  ``mysql://`` and ``postgresql://`` URLs need ``pymysql`` /
 ``psycopg2`` on the executors (imported only when used).
 
 Differences from the JDBC backend: every declared column is fetched and user filters
@@ -41,7 +42,7 @@ from __future__ import annotations
 
 import contextlib
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from typing import Any
 from urllib.parse import unquote, urlparse
@@ -52,7 +53,7 @@ from pyspark.sql.types import StructType
 from shardscan.options import ScanOptions, redacted_errors
 from shardscan.plans.filters import pushed
 from shardscan.plans.rule import split_count, split_ranges
-from shardscan.sources.dialects import MYSQL, POSTGRES, SQLITE, salt_predicate
+from shardscan.sources.dialects import MYSQL, POSTGRES, SQLITE, WIDE, salt_predicate, wide_number, wide_text
 
 NAME = "sharded_dbapi"
 PROBE_CONNECTIONS = 4  # per server, while planning
@@ -143,7 +144,9 @@ def connect(url: str, username: str | None = None, password: str | None = None):
             path = path[2:]
         elif path.startswith("//"):
             path = path[2:]
-        return sqlite3.connect(f"file:{path}?mode=ro", uri=True, check_same_thread=False)
+        conn = sqlite3.connect(f"file:{path}?mode=ro", uri=True, check_same_thread=False)
+        conn.create_function("shardscan_number", 1, lambda t: None if t is None else str(wide_number(t)), deterministic=True)
+        return conn
     p = urlparse(url)
     kw: dict[str, Any] = {"host": p.hostname, "user": username or (unquote(p.username) if p.username else None),
                           "password": password or (unquote(p.password) if p.password else None)}
@@ -243,11 +246,21 @@ class ShardedDbapiReader(DataSourceReader):
             return "(" + q.replace("{table}", self._from(kind, schema_name, table)) + ") q"
         return self._from(kind, schema_name, table)
 
-    def _probe(self, conn, kind: str, src: str, qk: str) -> tuple:
+    @staticmethod
+    def wide_columns(conn, kind: str, table: str | None) -> frozenset[str]:
+        """The columns of a SQLite table that hold integers beyond 64 bits, as text."""
+        if kind != "sqlite" or table is None:
+            return frozenset()
+        cur = conn.cursor()
+        cur.execute("SELECT name FROM pragma_table_info(?) WHERE type = ?", (table, WIDE))
+        return frozenset(name for name, in cur.fetchall())
+
+    def _probe(self, conn, kind: str, src: str, qk: str, wide: bool = False) -> tuple:
         """``MIN``, ``MAX`` (each its own subquery, so an index answers them),
         ``COUNT(*)`` only in batch-size mode, NULL-key count only with keep."""
         o = self.opts
-        cond = f"{qk} BETWEEN {o.lower_bound} AND {o.upper_bound}" if o.explicit_bounds else ""
+        text = key_literal(wide)
+        cond = f"{qk} BETWEEN {text(o.lower_bound)} AND {text(o.upper_bound)}" if o.explicit_bounds else ""
 
         def sub(expr: str, where: str = cond) -> str:
             return f"(SELECT {expr} FROM {src}" + (f" WHERE {where}" if where else "") + ")"
@@ -257,7 +270,13 @@ class ShardedDbapiReader(DataSourceReader):
         nn = sub("COUNT(*)", f"{qk} IS NULL") if o.null_key == "keep" else "NULL"
         cur = conn.cursor()
         cur.execute(f"SELECT {sub(f'MIN({qk})')}, {sub(f'MAX({qk})')}, {n}, {nn}")
-        return cur.fetchone()
+        mn, mx, n, nn = cur.fetchone()
+        return (wide_number(mn), wide_number(mx), n, nn) if wide else (mn, mx, n, nn)
+
+    def probe(self, conn, kind: str, schema_name: str | None, table: str | None, key: str) -> tuple:
+        """``MIN, MAX, COUNT, NULL keys`` of one table, as integers (:meth:`_probe`)."""
+        wide = key in self.wide_columns(conn, kind, None if self.opts.query else table)
+        return self._probe(conn, kind, self._source(kind, schema_name, table), _quote(kind, key), wide)
 
     def shards_of(self, url_no: int, url: str) -> list[tuple]:
         """``(schema, table, actual declared columns, key, salt, missing)`` of one server's matched tables."""
@@ -293,8 +312,7 @@ class ShardedDbapiReader(DataSourceReader):
         if o.explicit_bounds and o.partition_num is not None:
             stats = [(o.lower_bound, o.upper_bound, None, None)] * len(planned)
         else:
-            stats = self._probe_all(url, kind, [(self._source(kind, p[0], p[1]), _quote(kind, p[3]))
-                                                for p in planned])
+            stats = self._probe_all(url, kind, [(p[0], p[1], p[3]) for p in planned])
         ranges: list[Split] = []
         nulls: list[Split] = []
         for (schema_name, table, declared, key, salt), (mn, mx, n, n_null) in zip(planned, stats):
@@ -315,7 +333,7 @@ class ShardedDbapiReader(DataSourceReader):
                     nulls.append(Split(-1, url_no, schema_name, table, declared, key, None, None, b, salt))
         return ranges, nulls
 
-    def _probe_all(self, url: str, kind: str, items: list[tuple[str, str]]) -> list[tuple]:
+    def _probe_all(self, url: str, kind: str, items: list[tuple[str | None, str | None, str]]) -> list[tuple]:
         """Probe many tables of one server over a few connections at once
         (a row count scans its table: several run side by side)."""
         import threading
@@ -326,13 +344,13 @@ class ShardedDbapiReader(DataSourceReader):
         opened = []
         lock = threading.Lock()
 
-        def one(item: tuple[str, str]) -> tuple:
+        def one(item: tuple[str | None, str | None, str]) -> tuple:
             c = getattr(local, "conn", None)
             if c is None:
                 c = local.conn = open_session(url, o)
                 with lock:
                     opened.append(c)
-            return self._probe(c, kind, *item)
+            return self.probe(c, kind, *item)
 
         try:
             with ThreadPoolExecutor(max(1, min(PROBE_CONNECTIONS, len(items)))) as pool:
@@ -364,17 +382,24 @@ class ShardedDbapiReader(DataSourceReader):
         return f"{_quote(kind, schema_name)}.{_quote(kind, table)}"
 
     # ------------------------------------------------------------ reading
-    def _statement(self, kind: str, s: Split) -> tuple[str, list]:
-        """SQL text of a split and the parameters of its equality conditions."""
+    def _statement(self, kind: str, s: Split, wide: frozenset[str] = frozenset()) -> tuple[str, list]:
+        """SQL text of a split and the parameters of its equality conditions; ``wide`` columns are ``DECIMAL_TEXT``."""
         from shardscan.sources.jdbc import typed_value
 
         mark = "?" if kind == "sqlite" else "%s"
-        cols = ", ".join(_quote(kind, c) for c in s.columns)
+        cols = ", ".join(f"shardscan_number({_quote(kind, c)})" if c in wide else _quote(kind, c) for c in s.columns)
         qk = _quote(kind, s.key)
-        cond = [f"{qk} IS NULL" if s.lo is None else f"{qk} BETWEEN {s.lo} AND {s.hi}"]
+        text_of = key_literal(s.key in wide)
+
+        def param(column: str, v: Any) -> Any:
+            if column in wide:
+                return wide_text(v)
+            return _sqlite_param(v) if kind == "sqlite" else v
+
+        cond = [f"{qk} IS NULL" if s.lo is None else f"{qk} BETWEEN {text_of(s.lo)} AND {text_of(s.hi)}"]
         wanted = self.opts.key_ranges
         if wanted and s.lo is not None and wanted.hits(s.lo, s.hi) != [(s.lo, s.hi)]:
-            cond.append(wanted.sql(qk, s.lo, s.hi))
+            cond.append(wanted.sql(qk, s.lo, s.hi, text_of))
         if s.bucket is not None:
             cond.append(salt_predicate(_quote(kind, s.salt), self.opts.salt_buckets, s.bucket))
         text = f"SELECT {cols} FROM {self._source(kind, s.schema, s.table)} WHERE " + " AND ".join(cond)
@@ -383,32 +408,42 @@ class ShardedDbapiReader(DataSourceReader):
         if (self.opts.conditions or self.filters) and mark == "%s":
             text = text.replace("%", "%%")
         for name, value in self.opts.conditions:  # declared equality conditions
-            column, value = _quote(kind, by_decl.get(name.lower(), name)), typed_value(value, self.schema, name)
+            actual = by_decl.get(name.lower(), name)
+            column, value = _quote(kind, actual), typed_value(value, self.schema, name)
             if value is None:
                 text += f" AND {column} IS NULL"
             else:
                 text += f" AND {column} = {mark}"
-                params.append(_sqlite_param(value) if kind == "sqlite" else value)
+                params.append(param(actual, value))
         for name, op, value in pushed(self.filters, self.schema, kind):
             column = _quote(kind, by_decl[name.lower()])
             values = list(value) if op == "in" else [] if op.startswith("is") else [value]
             marks = f" ({', '.join([mark] * len(values))})" if op == "in" else f" {mark}" if values else ""
             text += f" AND {column} {op.upper()}{marks}"
-            params += [_sqlite_param(v) if kind == "sqlite" else v for v in values]
+            params += [param(by_decl[name.lower()], v) for v in values]
         return text, params
 
     def read(self, partition: Task) -> Iterator[Any]:
+        if partition is None:  # no split at all: Spark runs one task without a partition
+            return
+        with redacted_errors(f"reading server {partition.url_no}", (self.opts.password,)):
+            conn = open_session(self.opts.urls[partition.url_no], self.opts)
+        try:
+            yield from self.read_over(conn, partition)
+        finally:
+            conn.close()
+
+    def read_over(self, conn, partition: Task) -> Iterator[Any]:
+        """:meth:`read` over an open connection to the server."""
         import pyarrow as pa
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        if partition is None:  # no split at all: Spark runs one task without a partition
-            return
         o = self.opts
-        url = o.urls[partition.url_no]
-        kind = _kind(url)
+        kind = _kind(o.urls[partition.url_no])
         arrow_schema = to_arrow_schema(self.schema)
         batch = o.fetch_size if o.fetch_size and o.fetch_size > 0 else 10_000
         held: list = []  # rows of small splits share a batch
+        wide: dict[str | None, frozenset[str]] = {}
 
         def out():
             with redacted_errors(f"reading server {partition.url_no}", (o.password,)):
@@ -416,26 +451,40 @@ class ShardedDbapiReader(DataSourceReader):
             held.clear()
             return pa.RecordBatch.from_arrays(arrays, schema=arrow_schema)
 
-        with redacted_errors(f"reading server {partition.url_no}", (o.password,)):
-            conn = open_session(url, o)
-        try:
-            for split in partition.splits:
-                rows = None
-                while rows is None or rows:
-                    with redacted_errors(f"split {split.split_id} of server {partition.url_no}", (o.password,)):
-                        if rows is None:
-                            cur = stream_cursor(conn, kind, batch)
-                            text, params = self._statement(kind, split)
-                            cur.execute(text, params) if params else cur.execute(text)
-                        rows = cur.fetchmany(batch)
-                    held += rows
-                    if len(held) >= batch:
-                        yield out()
-                cur.close()
-            if held:
-                yield out()
-        finally:
-            conn.close()
+        for split in partition.splits:
+            rows = None
+            while rows is None or rows:
+                with redacted_errors(f"split {split.split_id} of server {partition.url_no}", (o.password,)):
+                    if rows is None:
+                        if split.table not in wide:
+                            wide[split.table] = self.wide_columns(conn, kind, None if o.query else split.table)
+                        cur = stream_cursor(conn, kind, batch)
+                        text, params = self._statement(kind, split, wide[split.table])
+                        cur.execute(text, params) if params else cur.execute(text)
+                    rows = cur.fetchmany(batch)
+                held += rows
+                if len(held) >= batch:
+                    yield out()
+            cur.close()
+        if held:
+            yield out()
+
+
+def key_literal(wide: bool) -> Callable[[int], str]:
+    """SQL text of a key value."""
+    return (lambda v: f"'{wide_text(v)}'") if wide else str
+
+
+def key_part(kind: str, key: str, lo: int, hi: int, width: int, wide: frozenset[str]) -> str:
+    """SQL text: the number of the part of ``[lo, hi]``, cut into parts of ``width`` keys, that a key lies in."""
+    d = _DIALECTS[kind]
+    qk = d.quote(key)
+    if key not in wide:
+        return d.int_div(f"{qk} - {lo}", str(width))
+    text = key_literal(True)
+    parts = "".join(f" WHEN {qk} < {text(a)} THEN {i}" for i, a in enumerate(range(lo + width, hi + 1, width)))
+    last = (hi - lo) // width
+    return f"CASE{parts} ELSE {last} END" if parts else "0"
 
 
 def _sqlite_param(v: Any) -> Any:

@@ -17,6 +17,11 @@ import re
 from dataclasses import dataclass, replace
 from typing import Any
 
+#: Declared type of a SQLite column of integers beyond 64 bits, which that engine has not: 38 digits of text, the number plus
+#: ``WIDE_SHIFT``, so that texts sort as the numbers do, negative ones included.
+WIDE = "DECIMAL_TEXT"
+WIDE_SHIFT = 10 ** 37
+
 CATALOG_COLUMNS = ("schema_name", "table_name", "table_type", "column_name", "ordinal")
 
 
@@ -113,6 +118,15 @@ class Dialect:
         return f"{self.quote(schema)}.{self.quote(table)}"
 
 
+def wide_text(v: int) -> str:
+    """A number as ``WIDE`` text; one beyond its range as the end of the range, for comparisons."""
+    return f"{min(max(int(v), -WIDE_SHIFT), 9 * WIDE_SHIFT - 1) + WIDE_SHIFT:038d}"
+
+
+def wide_number(text: str | None) -> int | None:
+    return None if text is None else int(text) - WIDE_SHIFT
+
+
 def literal_prefix(regex: str) -> str:
     """Characters every whole-string match of ``regex`` starts with ("" when none are certain)."""
     if "|" in regex or "(?" in regex:

@@ -27,7 +27,7 @@ from shardscan.operators.prefix import running_sums
 from shardscan.options import ScanOptions, redacted_errors
 from shardscan.plans import splits as P
 from shardscan.plans.filters import checked, column_of
-from shardscan.session import ship_package
+from shardscan.session import cores, ship_package
 from shardscan.sources import dbapi
 from shardscan.sources.jdbc import as_options, as_schema
 from shardscan.util import written
@@ -40,6 +40,8 @@ PLAN = ("split_id bigint, url_no int, schema_name string, table_name string, col
         "salt_column string, split_no bigint, lo decimal(38,0), hi decimal(38,0), bucket int")
 #: More tasks than this a job does not get: a task then reads more splits.
 MAX_TASKS = 100_000
+#: Nor more than so many for each core, once it has ``LEAST_TASKS``: a task costs more than a small split.
+TASKS_PER_CORE, LEAST_TASKS = 32, 500
 
 
 def _reader(spark: SparkSession, schema: StructType | str, opts: ScanOptions) -> dbapi.ShardedDbapiReader:
@@ -91,8 +93,7 @@ def probe_shards(spark: SparkSession, schema: StructType | str, opts: ScanOption
                 for r in b.to_pylist():
                     kind = dbapi._kind(reader.opts.urls[r["url_no"]])
                     with redacted_errors(f"shard probe on server {r['url_no']}", (reader.opts.password,)):
-                        mn, mx, n, n_null = reader._probe(open_to(r["url_no"]), kind, reader._source(kind, r["schema_name"], r["table_name"]),
-                                                          dbapi._quote(kind, r["key_column"]))
+                        mn, mx, n, n_null = reader.probe(open_to(r["url_no"]), kind, r["schema_name"], r["table_name"], r["key_column"])
                     got.append((None if mn is None else Decimal(int(mn)), None if mx is None else Decimal(int(mx)), n, n_null))
                 kinds = [pa.decimal128(38, 0)] * 2 + [pa.int64()] * 2
                 stats = [pa.array(c, k) for c, k in zip(zip(*got), kinds)] if got else [pa.array([], k) for k in kinds]
@@ -179,7 +180,8 @@ def read_split_plan(spark: SparkSession, plan: DataFrame, schema: StructType | s
     :mod:`shardscan.plans.filters`) go into every split's SQL: a task fetches nothing else.
 
     ``options`` name the servers and credentials, as when the plan was made; a split is read as often as it is in the plan.
-    ``scan.splits-per-task`` splits with neighbouring ids share a task.  Tasks are dealt so that neighbours in the
+    ``scan.splits-per-task`` splits with neighbouring ids share a task, more where there would be over ``TASKS_PER_CORE``
+    tasks for each core (and ``LEAST_TASKS``).  Tasks are dealt so that neighbours in the
     schedule go to different servers' splits, and each holds as many splits as the others."""
     opts = as_options(options, **kwargs)
     schema = as_schema(schema)
@@ -212,7 +214,7 @@ def read_split_plan(spark: SparkSession, plan: DataFrame, schema: StructType | s
 
 def dealt(plan: DataFrame, n_splits: int, per_task: int) -> DataFrame:
     """``plan`` with each task's splits in one partition, sorted by server."""
-    tasks = min(MAX_TASKS, -(-n_splits // per_task))
+    tasks = min(MAX_TASKS, max(LEAST_TASKS, TASKS_PER_CORE * cores(plan.sparkSession)), -(-n_splits // per_task))
     # groups of neighbouring ids, scattered over the tasks by a multiplier without a common factor
     step = next(s for s in range(int(tasks * 0.618) or 1, 2 * tasks + 2) if gcd(s, tasks) == 1)
     group = F.expr(f"split_id div {-(-n_splits // tasks)}")

@@ -1,0 +1,122 @@
+"""Keys beyond 64 bits in SQLite (DECIMAL_TEXT), and plans of many splits."""
+
+import datetime
+import sqlite3
+
+import pytest
+
+import __spark_entry__ as entry
+import shard_fixtures as FX
+from shardscan import distributed_split_plan, equal_depth_plan, except_all, read_split_plan
+from shardscan.sources import dbapi, stored
+from shardscan.sources.dialects import wide_number, wide_text
+
+
+@pytest.fixture(scope="module")
+def large_orders(spark, tmp_path_factory):
+    """Order keys whose cubes a BIGINT cannot hold, or a DOUBLE not exactly; one comes twice, one is NULL."""
+    day = datetime.datetime(2024, 2, 3, 4, 5, 6, 70)
+    keys = [*range(400), *range(300_001, 300_300), *range(8_999_000, 9_000_000, 3), 9_000_001, 54_000_001, 54_000_001, None]
+    rows = [(k, i, "OFP"[i % 3], i / 7, day + datetime.timedelta(hours=i), None if i % 5 == 0 else "5-LOW") for i, k in enumerate(keys)]
+    d = str(tmp_path_factory.mktemp("large_orders"))
+    spark.createDataFrame(rows, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+                                "o_orderdate timestamp_ntz, o_orderpriority string").write.parquet(f"{d}/orders.parquet")
+    return d, rows
+
+
+def test_equal_depth_scan_of_cubes_beyond_64_bits(spark, large_orders):
+    d, rows = large_orders
+    got = entry.q52_scan_by_equal_depth_plan(spark, d).collect()
+    assert sorted(map(tuple, got), key=lambda r: r[:2]) == sorted((r for r in rows if r[0] is not None), key=lambda r: r[:2])
+
+
+def test_wide_text_keeps_order_and_value():
+    values = [-10 ** 37, -2 ** 64, -125, -1, 0, 1, 2 ** 63, 7 * 10 ** 20, 9 * 10 ** 37 - 1]
+    texts = [wide_text(v) for v in values]
+    assert texts == sorted(texts) and [wide_number(t) for t in texts] == values and {len(t) for t in texts} == {38}
+    assert wide_text(-10 ** 40) == texts[0] and wide_text(10 ** 40) == texts[-1] and wide_number(None) is None
+
+
+@pytest.fixture
+def wide(tmp_path):
+    keys = [-3 * 10 ** 20, -125, -1, 0, 0, 1, 7, 2 ** 63 + 5, 10 ** 21, 10 ** 21 + 1, 5 * 10 ** 21, None]
+    path = tmp_path / "wide.db"
+    c = sqlite3.connect(path)
+    for name in ("T_1", "T_2"):
+        c.execute(f'CREATE TABLE "{name}" (K DECIMAL_TEXT, V INTEGER)')
+        c.executemany(f'INSERT INTO "{name}" VALUES (?, ?)', [(None if k is None else wide_text(k), i) for i, k in enumerate(keys)])
+        c.execute(f'CREATE INDEX "I{name}" ON "{name}" (K)')
+    c.execute('UPDATE "T_2" SET V = 99 WHERE K = ?', (wide_text(10 ** 21 + 1),))
+    c.commit()
+    c.close()
+    return {"url": [f"sqlite://{path}"], "schema-name": "main", "table-name": "T_1", "scan.partition.column": "k"}, keys
+
+
+SCHEMA = "k DECIMAL(38,0), v INT"
+
+
+def pairs(df):
+    return sorted(((None if r[0] is None else int(r[0])), r[1]) for r in df.collect())
+
+
+def test_splits_of_a_wide_key(spark, wide):
+    o, keys = wide
+    want = sorted((k, i) for i, k in enumerate(keys) if k is not None)
+    for kw in ({"scan.partition.num": 7}, {"scan.batch.size": 2}):
+        plan = distributed_split_plan(spark, SCHEMA, o | kw)
+        assert plan.count() > 1 and pairs(read_split_plan(spark, plan, SCHEMA, o | kw)) == want
+        reader = dbapi.ShardedDbapiReader(stored.as_schema(SCHEMA), stored.as_options(o | kw))
+        assert sum(len(t.splits) for t in reader.partitions()) == plan.count()
+    one = o | {"scan.partition.num": 1}
+    some = {"scan.key-ranges": [(-200, -1), 10 ** 21]}
+    assert [k for k, _ in pairs(read_split_plan(spark, distributed_split_plan(spark, SCHEMA, one | some), SCHEMA, one | some))] == [-125, -1, 10 ** 21]
+    some = {"scan.lower-bound": -1, "scan.upper-bound": 2 ** 64}
+    assert [k for k, _ in pairs(read_split_plan(spark, distributed_split_plan(spark, SCHEMA, one | some), SCHEMA, one | some))] == [-1, 0, 0, 1, 7, 2 ** 63 + 5]
+    some = {"scan.conditions": {"k": 2 ** 63 + 5}}
+    assert [k for k, _ in pairs(read_split_plan(spark, distributed_split_plan(spark, SCHEMA, one | some), SCHEMA, one | some))] == [2 ** 63 + 5]
+    got = read_split_plan(spark, distributed_split_plan(spark, SCHEMA, one), SCHEMA, one, filters=[("k", ">", 7)])
+    assert [k for k, _ in pairs(got)] == [2 ** 63 + 5, 10 ** 21, 10 ** 21 + 1, 5 * 10 ** 21]
+    by_depth = equal_depth_plan(spark, SCHEMA, one, max_rows=2, fan_out=4).collect()
+    assert sum(s.n_rows for s in by_depth) == len(want) and all(s.n_rows < 4 for s in by_depth)
+    for s in by_depth:
+        assert s.n_rows == sum(s.lo <= k <= s.hi for k, _ in want)
+
+
+def test_copies_with_a_wide_key(spark, wide):
+    o, _ = wide
+    one = o | {"scan.partition.num": 1}
+    got = except_all(spark, SCHEMA, one, one | {"table-name": "T_2"}, leaf_rows=1, fan_out=4).collect()
+    assert sorted((int(r.k), r.v, r.side) for r in got) == [(10 ** 21 + 1, 9, "left"), (10 ** 21 + 1, 99, "right")]
+
+
+def test_small_splits_share_tasks(spark, wide, monkeypatch):
+    """A plan of many splits has some tasks per core, not one per split; each split is still read once."""
+    o, keys = wide
+    monkeypatch.setattr(stored, "LEAST_TASKS", 3)
+    monkeypatch.setattr(stored, "TASKS_PER_CORE", 0)
+    kw = o | {"scan.batch.size": 1}
+    plan = distributed_split_plan(spark, SCHEMA, kw)
+    df = read_split_plan(spark, plan, SCHEMA, kw)
+    assert plan.count() > 3 and df.rdd.getNumPartitions() == 3
+    assert pairs(df) == sorted((k, i) for i, k in enumerate(keys) if k is not None)
+
+
+def test_load_sqlite_rows_in_key_order(spark, tmp_path):
+    """Several tables in one file, one alone in another, none in a third; values as before, rows in the key's order."""
+    rows = [(k, None if k % 4 == 0 else k / 3, f"é{k % 3}", datetime.datetime(2020, 1, 1, 0, 0, k % 60, 250_000 * (k % 2)), k % 2 == 0)
+            for k in (j * 37 % 101 for j in range(101))]
+    df = spark.createDataFrame(rows, "k bigint, f double, s string, t timestamp_ntz, b boolean")
+    k = FX.F.col("k")
+    urls = FX.load_sqlite(spark, f"rows_{tmp_path.name}", df, FX.F.when(k % 3 == 2, 1).otherwise(0), FX.F.concat(FX.F.lit("T_"), (k % 3).cast("string")), 3, index_on="k")
+    found = []
+    for url in urls:
+        c = sqlite3.connect(url[len("sqlite://"):])
+        for name, in c.execute("SELECT name FROM sqlite_master WHERE type = 'table' ORDER BY name").fetchall():
+            found.append((url[-4], name))
+            got = c.execute(f'SELECT * FROM "{name}" ORDER BY rowid').fetchall()
+            assert got == [(r[0], r[1], r[2], r[3].isoformat(sep=" "), int(r[4])) for r in sorted(rows) if r[0] % 3 == int(name[-1])]
+            assert "IX_" in c.execute(f'EXPLAIN QUERY PLAN SELECT * FROM "{name}" WHERE k = 5').fetchone()[3]
+        c.close()
+    assert found == [("0", "T_0"), ("0", "T_1"), ("1", "T_2")]
+    folder = urls[0][len("sqlite://"):].rsplit("/", 1)[0]
+    assert sorted(FX.os.listdir(folder)) == ["part_0.db", "part_1.db", "part_2.db"]
