@@ -7,7 +7,7 @@ inside the JVM that made it, so on a cluster each server's database is built on
 disk by one task, which packs it into a read-only archive in the shared folder
 (``_load_archives``); driver and executors all read that through the same JDBC
 driver.  Loads are remembered per application so a session pays once.
-The DB-API backend's fixtures are SQLite files, each table written by one task
+The DB-API backend's fixtures are SQLite files, written in pieces by many tasks
 (``load_sqlite``), in ``spark.shardscan.fixtureDir``, below the checkpoint
 folder of a cluster, or in a fresh local folder.
 """
@@ -342,6 +342,10 @@ def fixture_root(spark: SparkSession) -> str:
     return _LOADED[key][0]
 
 
+#: Rows that one task sorts and writes for a SQLite file.
+PIECE_ROWS = 500_000
+
+
 @_serialized
 def load_sqlite(spark: SparkSession, name: str, df: DataFrame, file_of: Column,
                 table_of: Column | str, n_files: int, index_on: str | None = None) -> tuple[str, ...]:
@@ -349,8 +353,8 @@ def load_sqlite(spark: SparkSession, name: str, df: DataFrame, file_of: Column,
     table name = ``table_of``, a column or one fixed name), the shard key ``index_on``
     indexed and the rows in its order; returns ``sqlite:`` URLs.
 
-    Each table is written by one task, into a file of its own; a file of several tables is then put together
-    by one task, which copies them inside SQLite.  A task writes to a private file and renames it at the end,
+    Tasks write pieces of the tables, of about ``PIECE_ROWS`` rows in the key's order, each to a file of its own; one task
+    per file then copies its pieces inside SQLite, in order.  A task writes to a private file and renames it at the end,
     so a retried task never leaves half a file behind.  A DECIMAL without a fraction is stored as ``DECIMAL_TEXT``.
     """
 
@@ -369,30 +373,22 @@ def load_sqlite(spark: SparkSession, name: str, df: DataFrame, file_of: Column,
     table_col = F.lit(table_of) if isinstance(table_of, str) else table_of
     named = df.withColumn("_file", file_of.cast("bigint")).withColumn("_table", table_col.cast("string"))
     named = named.where(F.col("_file").between(0, n_files - 1) & F.col("_table").isNotNull())
-    tables = sorted(map(tuple, named.select("_file", "_table").distinct().collect()))  # one small row per table
-    alone = {i for i in range(n_files) if sum(f == i for f, _ in tables) == 1}
-
-    def index(c, table: str) -> None:
-        if index_on:
-            c.execute(f'CREATE INDEX "IX_{table}" ON "{table}" ("{index_on}")')
+    counts = named.groupBy("_file", "_table").count().collect()  # one small row per table
+    tables = sorted((r["_file"], r["_table"]) for r in counts)
 
     def write(batches):
         import pyarrow as pa
         import pyarrow.compute as pc
+        from pyspark import TaskContext
 
         open_no = conn = tmp = None
         done: list[tuple[int, str]] = []
 
         def close() -> None:
-            i, table = tables[open_no]
             conn.execute("COMMIT")
-            path = tmp
-            if i in alone:
-                index(conn, table)
-                path = os.path.join(folder, f"part_{i}.db")
             conn.close()
-            os.replace(tmp, path)
-            done.append((open_no, path))
+            os.replace(tmp, tmp.removesuffix(".tmp"))
+            done.append((open_no, tmp.removesuffix(".tmp")))
 
         for b in batches:
             t = pa.Table.from_batches([b])
@@ -404,45 +400,44 @@ def load_sqlite(spark: SparkSession, name: str, df: DataFrame, file_of: Column,
                     conn.execute(f'CREATE TABLE "{tables[no][1]}" ({col_ddl})')
                     conn.execute("BEGIN")
                 mine = t.filter(pc.equal(t.column("_no"), no)).select(names).combine_chunks()
-                if mine.num_rows:
-                    conn.executemany(f'INSERT INTO "{tables[no][1]}" VALUES ({marks})',
-                                     zip(*[_sqlite_values(c.chunk(0)) for c in mine.columns]))
+                conn.executemany(f'INSERT INTO "{tables[no][1]}" VALUES ({marks})', zip(*[_sqlite_values(c.chunk(0)) for c in mine.columns]))
         if conn is not None:
             close()
-        yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in done], pa.int64()), pa.array([p for _, p in done], pa.string())],
-                                         names=["no", "path"])
+        at = TaskContext.get().partitionId()
+        yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in done], pa.int64()), pa.array([at] * len(done), pa.int64()),
+                                          pa.array([p for _, p in done], pa.string())], names=["no", "piece", "path"])
 
-    written: dict[int, str] = {}
+    pieces: list[tuple[int, int, str]] = []
     if tables:
-        n_writers = min(len(tables), 64)
+        n_pieces = max(len(tables), -(-sum(r["count"] for r in counts) // PIECE_ROWS))
         numbers = spark.createDataFrame([(i, t, no) for no, (i, t) in enumerate(tables)], "_file bigint, _table string, _no int")
         sorted_by = ["_no", index_on] if index_on else ["_no"]
         texts = [_wide_text(F.col(c)).alias(c) if c in wide else F.col(c) for c in names]
         dealt = (named.join(F.broadcast(numbers), ["_file", "_table"]).select("_no", *texts)
-                 .repartitionById(n_writers, F.pmod(F.col("_no"), F.lit(n_writers))).sortWithinPartitions(*sorted_by))
-        written = dict(map(tuple, dealt.mapInArrow(write, "no bigint, path string").collect()))  # one small row per table
-    several = {i: [(tables[no][1], p) for no, p in sorted(written.items()) if tables[no][0] == i] for i in range(n_files) if i not in alone}
+                 .repartitionByRange(n_pieces, *sorted_by).sortWithinPartitions(*sorted_by))
+        pieces = sorted(map(tuple, dealt.mapInArrow(write, "no bigint, piece bigint, path string").collect()))  # one small row per piece
+    parts = {i: [(tables[no][1], p) for no, _, p in pieces if tables[no][0] == i] for i in range(n_files)}
 
     def merge(batches):
-        import pyarrow as pa
-
         for b in batches:
             for i in b.column("id").to_pylist():
                 c, tmp = _sqlite_file(folder)
-                for table, path in several.get(i, ()):
-                    c.execute("ATTACH ? AS source", (path,))
+                for table in dict.fromkeys(table for table, _ in parts[i]):
                     c.execute(f'CREATE TABLE "{table}" ({col_ddl})')
-                    c.execute(f'INSERT INTO main."{table}" SELECT * FROM source."{table}"')
-                    c.execute("DETACH source")
-                    index(c, table)
+                    for path in (p for t, p in parts[i] if t == table):
+                        c.execute("ATTACH ? AS piece", (path,))
+                        c.execute(f'INSERT INTO main."{table}" SELECT * FROM piece."{table}"')
+                        c.execute("DETACH piece")
+                    if index_on:
+                        c.execute(f'CREATE INDEX "IX_{table}" ON "{table}" ("{index_on}")')
                 c.close()
                 os.replace(tmp, os.path.join(folder, f"part_{i}.db"))
             yield b
 
-    if any(several.values()):
-        spark.range(n_files, numPartitions=n_files).where(F.col("id").isin([i for i, t in several.items() if t])).mapInArrow(
-            merge, "id bigint").collect()
-    for _, path in (t for some in several.values() for t in some):
+    if pieces:
+        filled = F.col("id").isin([i for i, p in parts.items() if p])
+        spark.range(n_files, numPartitions=n_files).where(filled).mapInArrow(merge, "id bigint").collect()
+    for _, _, path in pieces:
         os.remove(path)
     for i in range(n_files):  # files that got no rows still exist
         path = os.path.join(folder, f"part_{i}.db")

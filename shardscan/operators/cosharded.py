@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from shardscan.operators.prefix import joined
-from shardscan.options import ScanOptions
+from shardscan.options import ScanOptions, redacted_errors
 from shardscan.sources import dbapi
 from shardscan.sources import stored as S
 from shardscan.sources.discovery import full_match
@@ -75,23 +75,26 @@ def co_sharded_join(spark: SparkSession, left: StructType | str, left_options: S
         return spark.createDataFrame([], out)
     a, b = S._reader(spark, lschema, lopts), S._reader(spark, rschema, ropts)
 
-    def rows_of(reader, split: dbapi.Split) -> pa.Table:
-        from pyspark.sql.pandas.types import to_arrow_schema
-
-        batches = list(reader.read(dbapi.Task(split.url_no, (split,))))
-        return pa.Table.from_batches(batches, schema=to_arrow_schema(reader.schema))
+    def rows_of(reader, open_to, split: dbapi.Split) -> pa.Table:
+        with redacted_errors(f"reading server {split.url_no}", (reader.opts.password,)):
+            conn = open_to(split.url_no)
+        return pa.Table.from_batches(list(reader.read_over(conn, dbapi.Task(split.url_no, (split,)))), schema=_arrow(reader.schema))
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with S.Connections(a.opts) as to_left, S.Connections(b.opts) as to_right:  # neighbouring splits share servers
+            yield from join_over(batches, to_left, to_right)
+
+    def join_over(batches: Iterator[pa.RecordBatch], to_left, to_right) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
                 lo, hi = (None if r[c] is None else int(r[c]) for c in ("lo", "hi"))
-                mine = rows_of(a, dbapi.Split(r["split_id"], r["url_no"], r["schema_name"], r["table_name"], tuple(r["columns"]),
-                                              r["key_column"], lo, hi))
+                mine = rows_of(a, to_left, dbapi.Split(r["split_id"], r["url_no"], r["schema_name"], r["table_name"],
+                                                       tuple(r["columns"]), r["key_column"], lo, hi))
                 if r["r_url_no"] is None or lo is None:  # no partner, or the NULL keys: nothing to meet
                     other = pa.Table.from_batches([], schema=_arrow(rschema))
                 else:
-                    other = rows_of(b, dbapi.Split(r["split_id"], r["r_url_no"], r["r_schema_name"], r["r_table_name"],
-                                                   tuple(r["r_columns"]), r["r_key_column"], lo, hi))
+                    other = rows_of(b, to_right, dbapi.Split(r["split_id"], r["r_url_no"], r["r_schema_name"], r["r_table_name"],
+                                                             tuple(r["r_columns"]), r["r_key_column"], lo, hi))
                 at = other.schema.get_field_index(rkey)
                 other = other.set_column(at, MATCH, other[rkey].cast(mine.schema.field(lkey).type))
                 got = mine.join(other, keys=lkey, right_keys=MATCH, join_type=kinds[how], use_threads=False)

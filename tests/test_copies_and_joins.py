@@ -72,6 +72,29 @@ def test_join_moves_only_the_plan(spark, sides):
     assert Counter(map(tuple, again.collect())) == Counter(map(tuple, got.collect()))
 
 
+def test_join_of_many_splits_has_few_tasks_and_connections(spark, sides, monkeypatch):
+    """Splits beyond ``LEAST_TASKS`` share tasks, and a task's splits share their connections."""
+    from shardscan.sources import dbapi, stored
+
+    lurls, rurls, left, right = sides
+    monkeypatch.setattr(stored, "LEAST_TASKS", 2)
+    monkeypatch.setattr(stored, "TASKS_PER_CORE", 0)
+    kw = {"scan.batch.size": 1}
+    got = co_sharded_join(spark, LEFT, lopts(lurls, **kw), RIGHT, ropts(rurls))
+    a, b = (spark.createDataFrame([r for r in rows if r[0] is not None], ddl) for rows, ddl in ((left, LEFT), (right, RIGHT)))
+    assert got.rdd.getNumPartitions() == 2
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, a.join(b, a.id == b.ref).drop("ref").collect()))
+    opened = []
+    monkeypatch.setattr(dbapi, "connect", lambda url, *a: opened.append(url) or sqlite3.connect(url[len("sqlite://"):]))
+    schema = stored.as_schema(LEFT)
+    o = stored.as_options(lopts(lurls))
+    reader = dbapi.ShardedDbapiReader(schema, o)
+    with stored.Connections(o) as open_to:
+        splits = [dbapi.Split(i, 0, "main", "L_0", ("ID", "A"), "ID", k, k) for i, k in enumerate(range(0, 60, 3))]
+        n = sum(batch.num_rows for s in splits for batch in reader.read_over(open_to(0), dbapi.Task(0, (s,))))
+    assert opened == lurls[:1] and n == sum(k is not None and k % 3 == 0 for k, _ in left)
+
+
 def test_join_refuses(spark, sides):
     lurls, rurls, *_ = sides
     for args, text in ((( LEFT, lopts(lurls, **{"table-name": "L_.*"}), RIGHT, ropts(rurls)), "captures no group"),

@@ -110,8 +110,10 @@ def test_small_splits_share_tasks(spark, wide, monkeypatch):
     assert pairs(df) == sorted((k, i) for i, k in enumerate(keys) if k is not None)
 
 
-def test_load_sqlite_rows_in_key_order(spark, tmp_path):
+@pytest.mark.parametrize("piece_rows", [500_000, 10])
+def test_load_sqlite_rows_in_key_order(spark, tmp_path, monkeypatch, piece_rows):
     """Several tables in one file, one alone in another, none in a third; values as before, rows in the key's order."""
+    monkeypatch.setattr(FX, "PIECE_ROWS", piece_rows)
     rows = [(k, None if k % 4 == 0 else k / 3, f"é{k % 3}", datetime.datetime(2020, 1, 1, 0, 0, k % 60, 250_000 * (k % 2)), k % 2 == 0)
             for k in (j * 37 % 101 for j in range(101))]
     df = spark.createDataFrame(rows, "k bigint, f double, s string, t timestamp_ntz, b boolean")
