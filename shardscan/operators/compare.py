@@ -1,10 +1,11 @@
 """Set operations between two sharded copies: checksums first, rows only where they differ.
 
-The key axis is cut into ranges; for each, every shard of both sides returns a row count and a sum of row
-hashes, computed in its database by one ``GROUP BY``.  Sums add up over shards, so the two sides may be sharded differently.
-Ranges with equal counts and sums are done; the others are cut again, down to ranges of at most ``leaf_rows`` rows or one
-key.  The rows of those alone travel, and ``EXCEPT ALL`` runs on them.  Copies that agree cost one scan
-inside the databases and no row.
+The key axis is cut into ranges, by the row counts so many that most hold about ``leaf_rows`` rows; for each, every shard of
+both sides returns a row count and a sum of row hashes, computed in its database by one ``GROUP BY``.  Sums add up over shards,
+so the two sides may be sharded differently.  Ranges with equal counts and sums are done; of the others, those with more rows (keys lie
+unevenly) are cut again, down to ranges of at most ``leaf_rows`` rows or one key.  The rows of those alone travel, and
+``EXCEPT ALL`` runs on them.  Copies that agree cost one scan inside the databases and no row; so do the sums of copies
+that differ everywhere, where keys lie evenly.
 
 A row's hash is 60 bits of an md5 of its declared columns' text; ranges that differ pass as equal with a
 probability of about 2^-60 each.  Different engines may spell one value differently: such ranges are fetched and
@@ -31,9 +32,12 @@ from shardscan.sources.jdbc import as_options, as_schema
 from shardscan.util import written
 
 HALF = 2 ** 30
+EXCESS, BLOCK = "__excess", 4096
 CELLS = 1024
 #: Differing ranges are small: a task reads this many, over one connection.
 LEAVES_PER_TASK = 64
+#: The first cut makes no ranges for fewer rows than this, however small the leaves may be.
+FIRST_ROWS = 1000
 _SUMS = "side int, lo decimal(38,0), hi decimal(38,0), n bigint, h1 decimal(38,0), h2 decimal(38,0)"
 
 
@@ -99,12 +103,27 @@ def _sums(spark: SparkSession, schema: StructType, sides: list[tuple[ScanOptions
         asked = overlapping(shards, ranges, whole)
         lanes = dbapi.PROBE_CONNECTIONS
         lane = F.pmod(F.xxhash64(*S.SHARD, "lo"), F.lit(lanes))
-        dealt = asked.repartition(min(S.MAX_TASKS, lanes * len(opts.urls)), "url_no", lane).sortWithinPartitions("url_no")
+        n_tasks = min(S.MAX_TASKS, lanes * len(opts.urls))
+        task = F.pmod(F.col("url_no") * lanes + lane.cast("int"), F.lit(n_tasks))
+        dealt = asked.repartitionById(n_tasks, task).sortWithinPartitions("url_no", *S.SHARD[1:], "lo")  # neighbours in turn
         found.append(dealt.mapInArrow(add, _SUMS))
     return written(found[0].unionByName(found[1]).groupBy("lo", "hi").agg(*[
         F.sum(F.when(F.col("side") == side, F.col(c)).otherwise(0)).alias(f"{c}_{side}") for c in ("n", "h1", "h2") for side in (0, 1)]), "sums")
 
 
+def _equal_ranges(spark: SparkSession, whole: tuple[int, int], n_rows: int, rows: int) -> DataFrame:
+    """``whole`` in ranges of equal width, for about three quarters of ``rows`` rows each where keys lie evenly."""
+    lo, hi = whole
+    width = max(1, -(-(hi - lo + 1) // max(1, -(-4 * n_rows // (3 * rows)))))
+    n = -(-(hi - lo + 1) // width)
+
+    def big(v: int):
+        return F.lit(str(v)).cast("decimal(38,0)")
+
+    start = big(lo) + F.col("id").cast("decimal(20,0)") * big(width)
+    return spark.range(n).select(start.cast("decimal(38,0)").alias("lo"), F.least(start + big(width - 1), big(hi)).cast("decimal(38,0)").alias("hi"))
+
+
 def differing_ranges(spark: SparkSession, schema: StructType | str, left: ScanOptions | Mapping[str, Any],
                      right: ScanOptions | Mapping[str, Any], leaf_rows: int = 10_000, fan_out: int = 64) -> DataFrame:
     """``lo, hi, n_left, n_right``: disjoint key ranges whose rows differ between the two logical tables, each with at most
@@ -112,7 +131,8 @@ def differing_ranges(spark: SparkSession, schema: StructType | str, left: ScanOp
     schema = as_schema(schema)
     sides = []
     for o in (left, right):
-        opts = replace(as_options(o), batch_size=None, partition_num=1, salt_column=None, salt_buckets=1, null_key="drop")
+        # a batch size, so that rows are counted
+        opts = replace(as_options(o), batch_size=FIRST_ROWS, partition_num=None, salt_column=None, salt_buckets=1, null_key="drop")
         if opts.explicit_bounds:
             raise ValueError("compare by 'scan.key-ranges' or conditions, not by declared bounds")
         sides.append((opts, S.probe_shards(spark, schema, opts, S.find_shards(spark, schema, opts))))
@@ -121,10 +141,11 @@ def differing_ranges(spark: SparkSession, schema: StructType | str, left: ScanOp
     if not ends:
         return out
     whole = min(a for a, _ in ends), max(b for _, b in ends)
-    ranges = spark.createDataFrame([tuple(map(Decimal, whole))], "lo decimal(38,0), hi decimal(38,0)")
+    n_rows = max(s.agg(F.sum("n")).first()[0] or 0 for _, s in sides)
+    ranges = _equal_ranges(spark, whole, n_rows, max(leaf_rows, FIRST_ROWS) * fan_out)
     differ = (F.col("n_0") != F.col("n_1")) | (F.col("h1_0") != F.col("h1_1")) | (F.col("h2_0") != F.col("h2_1"))
     large = (F.greatest("n_0", "n_1") > leaf_rows) & (F.col("lo") < F.col("hi"))
-    while ranges.count():  # at most log(span) / log(fan_out) rounds
+    while not ranges.isEmpty():  # at most log(span) / log(fan_out) rounds
         bad = _sums(spark, schema, sides, ranges, whole, fan_out).where(differ)
         out = out.unionByName(bad.where(~large).select("lo", "hi", F.col("n_0").alias("n_left"), F.col("n_1").alias("n_right")))
         ranges = bad.where(large)
@@ -153,5 +174,12 @@ def except_all(spark: SparkSession, schema: StructType | str, left: ScanOptions
         plan = plan.withColumn("split_id", F.monotonically_increasing_id()).withColumn("bucket", F.lit(None).cast("int"))
         rows.append(S.read_split_plan(spark, written(plan, "differing-splits"), schema, replace(
             opts, null_key="drop", splits_per_task=max(opts.splits_per_task, LEAVES_PER_TASK))))
-    a, b = (written(r, "differing-rows") for r in rows)
-    return a.exceptAll(b).withColumn("side", F.lit("left")).unionByName(b.exceptAll(a).withColumn("side", F.lit("right")))
+    signed = [r.withColumn(EXCESS, F.lit(sign).cast("bigint")) for r, sign in zip(rows, (1, -1))]
+    names = [f"`{f.name}`" for f in schema.fields]
+    excess = signed[0].unionByName(signed[1]).groupBy(*names).agg(F.sum(EXCESS).alias(EXCESS)).where(f"{EXCESS} <> 0")
+    # each row as often as it is in excess, without an array as long as that
+    times = F.abs(F.col(EXCESS))
+    blocks = excess.withColumn("__block", F.explode(F.sequence(F.lit(0), R.long_div(times - 1, F.lit(BLOCK)))))
+    left_over = F.least(F.lit(BLOCK), times - F.col("__block") * BLOCK).cast("int")
+    each = blocks.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), left_over)))
+    return written(each.select(*names, F.when(F.col(EXCESS) > 0, "left").otherwise("right").alias("side")), "differences")

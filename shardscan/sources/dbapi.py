@@ -44,6 +44,7 @@ import contextlib
 import re
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from hashlib import md5
 from typing import Any
 from urllib.parse import unquote, urlparse
 
@@ -115,10 +116,8 @@ def prepare_hash(conn, kind: str) -> None:
 
 
 def _row_hash(*values) -> int:
-    import hashlib
-
-    text = "|".join("-" if v is None else f"{len(str(v))}:{v}" for v in values)
-    return int(hashlib.md5(text.encode()).hexdigest()[:15], 16)
+    texts = ["-" if v is None else f"{len(t := str(v))}:{t}" for v in values]
+    return int.from_bytes(md5("|".join(texts).encode()).digest()[:8], "big") >> 4  # its first 15 hexadecimal digits
 
 
 def stream_cursor(conn, kind: str, batch: int):

@@ -149,6 +149,30 @@ def test_ranges_that_differ_are_few_and_small(spark, tmp_path):
     assert except_all(spark, "k BIGINT, v STRING, f DOUBLE", none, opts(a), leaf_rows=50).count() == n
 
 
+def test_copies_that_differ_everywhere_are_summed_once(spark, tmp_path, monkeypatch):
+    """Keys that lie evenly: the first cut is fine enough, and no row is hashed again in rounds of smaller ranges."""
+    from shardscan.operators import compare
+
+    rows = [(k, f"v{k}", k / 2) for k in range(9000)]
+    other = [(k, v, f + 1 if k % 100 == 0 else f) for k, v, f in rows]
+    ddl = "K INTEGER, V TEXT, F REAL"
+    a, b = ([database(str(tmp_path / f"{n}.db"), {"T_0": (ddl, r[:4000]), "T_1": (ddl, r[4000:])})] for n, r in (("a", rows), ("b", other)))
+    rounds, sums = [], compare._sums
+    monkeypatch.setattr(compare, "_sums", lambda *args: rounds.append(1) or sums(*args))
+    got = except_all(spark, "k BIGINT, v STRING, f DOUBLE", opts(a), opts(b), leaf_rows=1000, fan_out=2).collect()
+    x, y = Counter(rows), Counter(other)
+    assert Counter(map(tuple, got)) == Counter({(*r, "left"): 1 for r in x - y}) + Counter({(*r, "right"): 1 for r in y - x})
+    assert len(got) == 180 and len(rounds) == 1
+
+
+def test_a_row_many_times_in_excess(spark, tmp_path):
+    ddl = "K INTEGER, V TEXT"
+    left, right = [(1, "x")] * 9000 + [(2, None)] * 3, [(1, "x")] * 5 + [(2, None)] * 4103 + [(3, "")] * 4096
+    a, b = ([database(str(tmp_path / f"{n}.db"), {"T_0": (ddl, r)})] for n, r in (("l", left), ("r", right)))
+    got = except_all(spark, "k BIGINT, v STRING", opts(a), opts(b)).groupBy("k", "v", "side").count().collect()
+    assert sorted(map(tuple, got)) == [(1, "x", "left", 8995), (2, None, "right", 4100), (3, "", "right", 4096)]
+
+
 def test_row_hash_tells_rows_apart_and_its_text():
     assert _row_hash("a|1:b", "c") != _row_hash("a", "b|1:c") and _row_hash(None) != _row_hash("-") and _row_hash("a", None) != _row_hash(None, "a")
     assert 0 <= _row_hash("x", 1) < 2 ** 60
