@@ -14,10 +14,12 @@ folder of a cluster, or in a fresh local folder.
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import os
 import re
 import threading
+import uuid
 import zlib
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -199,7 +201,6 @@ def _build_archive(home: str, tables: Sequence[tuple[str, str, str | None]], ddl
     command line tool, as an archive ``target``; entries are stored, so that a page is read by its offset."""
     import shutil
     import subprocess
-    import uuid
     import zipfile
 
     from pyspark.find_spark_home import _find_spark_home
@@ -354,8 +355,9 @@ def load_sqlite(spark: SparkSession, name: str, df: DataFrame, file_of: Column,
     indexed and the rows in its order; returns ``sqlite:`` URLs.
 
     Tasks write pieces of the tables, of about ``PIECE_ROWS`` rows in the key's order, each to a file of its own; one task
-    per file then copies its pieces inside SQLite, in order.  A task writes to a private file and renames it at the end,
-    so a retried task never leaves half a file behind.  A DECIMAL without a fraction is stored as ``DECIMAL_TEXT``.
+    per file then copies its pieces inside SQLite, in order (:func:`_merge_pieces`).  A task writes to a private file and
+    renames it at the end, so a retried task never leaves half a file behind.  Rows with another file number, or none, are in no
+    shard.  A DECIMAL without a fraction is stored as ``DECIMAL_TEXT``.
     """
 
     key = (app_key(spark), name)
@@ -418,27 +420,19 @@ def load_sqlite(spark: SparkSession, name: str, df: DataFrame, file_of: Column,
         pieces = sorted(map(tuple, dealt.mapInArrow(write, "no bigint, piece bigint, path string").collect()))  # one small row per piece
     parts = {i: [(tables[no][1], p) for no, _, p in pieces if tables[no][0] == i] for i in range(n_files)}
 
+    load = uuid.uuid4().hex
+
     def merge(batches):
         for b in batches:
             for i in b.column("id").to_pylist():
-                c, tmp = _sqlite_file(folder)
-                for table in dict.fromkeys(table for table, _ in parts[i]):
-                    c.execute(f'CREATE TABLE "{table}" ({col_ddl})')
-                    for path in (p for t, p in parts[i] if t == table):
-                        c.execute("ATTACH ? AS piece", (path,))
-                        c.execute(f'INSERT INTO main."{table}" SELECT * FROM piece."{table}"')
-                        c.execute("DETACH piece")
-                    if index_on:
-                        c.execute(f'CREATE INDEX "IX_{table}" ON "{table}" ("{index_on}")')
-                c.close()
+                tmp = os.path.join(folder, f"{load}.{i}.tmp")
+                _merge_pieces(tmp, parts[i], col_ddl, index_on)
                 os.replace(tmp, os.path.join(folder, f"part_{i}.db"))
             yield b
 
     if pieces:
         filled = F.col("id").isin([i for i, p in parts.items() if p])
         spark.range(n_files, numPartitions=n_files).where(filled).mapInArrow(merge, "id bigint").collect()
-    for _, _, path in pieces:
-        os.remove(path)
     for i in range(n_files):  # files that got no rows still exist
         path = os.path.join(folder, f"part_{i}.db")
         if not os.path.exists(path):
@@ -450,10 +444,35 @@ def load_sqlite(spark: SparkSession, name: str, df: DataFrame, file_of: Column,
     return urls
 
 
+def _merge_pieces(target: str, pieces: Sequence[tuple[str, str]], ddl: str, index_on: str | None) -> None:
+    """Copy the pieces ``(table, path)`` into the database file ``target``, in order, and remove each once it is in: at no time is
+    there room taken for all rows twice.  ``target`` notes what it holds, so that a retried task goes on where the first one stopped."""
+    import sqlite3
+
+    with contextlib.closing(sqlite3.connect(target, isolation_level=None, timeout=60)) as c:
+        c.execute("PRAGMA synchronous = OFF")  # with its journal, a task that is killed still leaves what it committed
+        c.execute("CREATE TABLE IF NOT EXISTS _merged (path TEXT)")
+        held = {path for path, in c.execute("SELECT path FROM _merged").fetchall()}
+        for table, path in pieces:
+            if path not in held:
+                c.execute("ATTACH ? AS piece", (path,))
+                c.execute("BEGIN")
+                c.execute(f'CREATE TABLE IF NOT EXISTS main."{table}" ({ddl})')
+                c.execute(f'INSERT INTO main."{table}" SELECT * FROM piece."{table}"')
+                c.execute("INSERT INTO _merged VALUES (?)", (path,))
+                c.execute("COMMIT")
+                c.execute("DETACH piece")
+            with contextlib.suppress(FileNotFoundError):
+                os.remove(path)
+        for table in dict.fromkeys(table for table, _ in pieces):
+            if index_on:
+                c.execute(f'CREATE INDEX IF NOT EXISTS "IX_{table}" ON "{table}" ("{index_on}")')
+        c.execute("DROP TABLE _merged")
+
+
 def _sqlite_file(folder: str) -> tuple:
     """A private database file that is renamed when it is whole (so it needs no journal), and its name."""
     import sqlite3
-    import uuid
 
     tmp = os.path.join(folder, f"{uuid.uuid4().hex}.tmp")
     conn = sqlite3.connect(tmp, isolation_level=None)

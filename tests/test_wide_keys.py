@@ -131,3 +131,25 @@ def test_load_sqlite_rows_in_key_order(spark, tmp_path, monkeypatch, piece_rows)
     assert found == [("0", "T_0"), ("0", "T_1"), ("1", "T_2")]
     folder = urls[0][len("sqlite://"):].rsplit("/", 1)[0]
     assert sorted(FX.os.listdir(folder)) == ["part_0.db", "part_1.db", "part_2.db"]
+
+
+def test_a_retried_merge_goes_on_where_the_first_stopped(tmp_path):
+    """Pieces go as soon as their rows are in; a retry neither loses nor repeats the rows of a piece that is gone."""
+    pieces = []
+    for n in range(3):
+        conn, tmp = FX._sqlite_file(str(tmp_path))
+        conn.execute('CREATE TABLE "T" (k INTEGER)')
+        conn.executemany('INSERT INTO "T" VALUES (?)', [(10 * n + j,) for j in range(10)])
+        conn.close()
+        pieces.append(("T", tmp))
+    target, last = str(tmp_path / "target"), pieces[2][1]
+    FX.os.rename(last, last + ".away")
+    with pytest.raises(sqlite3.OperationalError):  # the third piece is not there: the task fails with two pieces in
+        FX._merge_pieces(target, pieces, "k INTEGER", "k")
+    assert [FX.os.path.exists(p) for _, p in pieces[:2]] == [False, False]
+    FX.os.replace(last + ".away", last)
+    FX._merge_pieces(target, pieces, "k INTEGER", "k")
+    c = sqlite3.connect(target)
+    assert [k for k, in c.execute('SELECT k FROM "T" ORDER BY rowid')] == list(range(30)) and not FX.os.path.exists(last)
+    assert c.execute("SELECT name FROM sqlite_master ORDER BY name").fetchall() == [("IX_T",), ("T",)]
+    c.close()
